@@ -1,0 +1,55 @@
+import pytest
+from pyspark.sql import functions as F
+
+from tillstar.operators import integrity
+
+
+def star(spark):
+    one = lambda name, *keys: spark.createDataFrame([(k,) for k in keys], f"{name} string")
+    orders = spark.createDataFrame(
+        [("u1", "s1", "p1", "d1", "c1"), ("u1", "s1", "p1", "d9", "c1"), ("u9", None, "p1", "d9", "c1"),
+         ("u2", "s1", "p1", None, "c1")],
+        "user_uuid string, store_code string, product_code string, date_uuid string, card_number string",
+    )
+    return {
+        "orders": orders, "users": one("user_uuid", "u1", "u2", "u2"), "stores": one("store_code", "s1", None, None),
+        "products": one("product_code", "p1"), "dates": one("date_uuid", "d1"), "cards": one("card_number", "c1", None),
+    }
+
+
+def test_primary_keys(spark):
+    got = {(r.table_name, r.key_column, r.key_value, r.row_count) for r in integrity.pk_violations(star(spark)).collect()}
+    assert got == {
+        ("dim_users", "user_uuid", "u2", 2), ("dim_store_details", "store_code", None, 2),
+        ("dim_card_details", "card_number", None, 1),
+    }
+
+
+def test_foreign_keys(spark):
+    got = {r.key_column: (r.table_name, r.orphan_keys, r.orphan_rows) for r in integrity.fk_orphans(star(spark)).collect()}
+    assert got == {
+        "user_uuid": ("dim_users", 1, 1), "store_code": ("dim_store_details", 0, 0),
+        "product_code": ("dim_products", 0, 0), "date_uuid": ("dim_date_times", 1, 2),
+        "card_number": ("dim_card_details", 0, 0),
+    }
+
+
+def test_only_present_dimensions_are_checked(spark):
+    tables = {t: df for t, df in star(spark).items() if t in ("orders", "users")}
+    assert [r.key_column for r in integrity.fk_orphans(tables).collect()] == ["user_uuid"]
+
+
+def test_require_keys(spark):
+    tables = star(spark)
+    with pytest.raises(ValueError, match="violated"):
+        integrity.require_keys(tables)
+    whole = {t: df.dropDuplicates().na.drop() for t, df in tables.items() if t != "orders"}
+    integrity.require_keys({**whole, "orders": tables["orders"].where("user_uuid = 'u1' AND date_uuid = 'd1'")})
+
+
+def test_the_fact_is_scanned_once(spark, tmp_path, plan_of):
+    tables = star(spark)
+    tables["orders"].write.parquet(str(tmp_path / "orders"))
+    tables["orders"] = spark.read.parquet(str(tmp_path / "orders"))
+    text = plan_of(integrity.fk_orphans(tables).agg(F.sum("orphan_rows")))
+    assert text.count("FileScan") == 1 and "CartesianProduct" not in text

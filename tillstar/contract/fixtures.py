@@ -7,20 +7,34 @@ wrong spellings, mixed units. `oracle.py` states the same derivations in SQL.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import strict_double
+from ..functions import digits_only
 from ..operators.joins import lookup
 
 DATE_TEXTS = ["yyyy-MM-dd", "yyyy MMMM dd", "MMMM yyyy dd", "yyyy/MM/dd"]
 
 
+# Stated, so that opening a table costs no look into its files.
+SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def uuid_of(prefix: str, key: Column) -> Column:
     h = F.md5(F.concat(F.lit(prefix), key.cast("string")))
-    cuts = [(1, 8), (9, 4), (13, 4), (17, 4), (21, 12)]
-    return F.concat_ws("-", *(F.substring(h, start, n) for start, n in cuts))
+    return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
 
 
 def code_of(prefix: str, key: Column, width: int = 0) -> Column:
@@ -37,13 +51,17 @@ def dirty_date(start: str, days: Column, layout: Column, junk: Column) -> Column
     return F.when(junk, "JUNK").otherwise(text)
 
 
+def nations(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
+    """Nations keyed as `key`; 25 rows at any scale, so always fit to broadcast."""
+    return F.broadcast(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", key))
+
+
 def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, region = F.col("c_custkey"), F.col("n_regionkey")
-    nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_regionkey")
     uuid = uuid_of("u", k)
     country = F.when(region == 1, "United States").when(region == 2, "United Kingdom")
     code = F.when(region == 1, "US").when(region == 2, F.when(k % 3 == 0, "GGB").otherwise("GB"))
-    return table(spark, sf_dir, "customer").join(nation, "c_nationkey").select(
+    return table(spark, sf_dir, "customer").join(nations(spark, sf_dir, "c_nationkey"), "c_nationkey").select(
         F.lit("Customer").alias("first_name"),
         F.substring("c_name", 10, 1000).alias("last_name"),
         dirty_date("1950-01-01", k * 37 % 18000, k, k % 97 == 0).alias("date_of_birth"),
@@ -69,10 +87,9 @@ def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, region = F.col("s_suppkey"), F.col("n_regionkey")
-    nation = table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", "s_nationkey")
     staff = (k % 50 + 1).cast("string")
     kind = F.when(k % 5 == 0, "Web Portal").when(k % 5 == 1, "Local").when(k % 5 == 2, "Super Store")
-    return table(spark, sf_dir, "supplier").join(nation, "s_nationkey").select(
+    return table(spark, sf_dir, "supplier").join(nations(spark, sf_dir, "s_nationkey"), "s_nationkey").select(
         code_of("ST-", k, 8).alias("store_code"),
         F.when(region == 3, "DE").when(region == 1, "US").when(region == 2, "GB")
         .otherwise("XX").alias("country_code"),
@@ -156,24 +173,25 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: make(spark, sf_dir) for name, make in makers.items()}
 
 
-def sales_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Ready tables for the sales questions: every store, every price, every date.
-
-    The fact leaves out user and card, which no sales question asks for, and with
-    them the join to orders.
-    """
+def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact without user and card, which no sales question asks for, so without a join."""
     lines = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part")
-    stores = raw_stores(spark, sf_dir)
-    return {
-        "orders": lines.select(*(c.alias(n) for n, c in _fact(lines).items())),
-        "products": part.select(
-            code_of("P-", F.col("p_partkey")).alias("product_code"),
-            F.col("p_retailprice").alias("product_price"),
-        ),
-        "stores": stores.withColumn(
-            "staff_numbers",
-            strict_double(F.regexp_replace("staff_numbers", "[^0-9]", "")).cast("smallint"),
-        ),
-        "dates": raw_dates(spark, sf_dir),
-    }
+    return lines.select(*(c.alias(n) for n, c in _fact(lines).items()))
+
+
+def sales_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select(
+        code_of("P-", F.col("p_partkey")).alias("product_code"),
+        F.col("p_retailprice").alias("product_price"),
+    )
+
+
+def sales_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    staff = digits_only(F.col("staff_numbers")).cast("smallint")
+    return raw_stores(spark, sf_dir).withColumn("staff_numbers", staff)
+
+
+def sales_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
+    """Ready tables for the sales questions: every store, every price, every date."""
+    makers = {"orders": sales_fact, "products": sales_products, "stores": sales_stores, "dates": raw_dates}
+    return {name: makers[name](spark, sf_dir) for name in names}

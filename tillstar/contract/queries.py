@@ -51,44 +51,44 @@ def _text(*names: str) -> str:
 # --- The sales questions -----------------------------------------------------
 
 SALES = {
-    "stores_per_country": (sales.stores_per_country, """
+    "stores_per_country": (sales.stores_per_country, "stores", """
         SELECT country_code, count(country_code) AS total_no_stores FROM sales_stores GROUP BY country_code"""),
-    "top_localities": (sales.top_localities, """
+    "top_localities": (sales.top_localities, "stores", """
         SELECT locality, count(locality) AS total_no_stores FROM sales_stores GROUP BY locality
         ORDER BY total_no_stores DESC NULLS FIRST, locality LIMIT 7"""),
-    "sales_by_month": (sales.sales_by_month, """
+    "sales_by_month": (sales.sales_by_month, "orders products dates", """
         SELECT month, CAST(sum(amount) AS DOUBLE) AS total_sales FROM sold JOIN raw_dates USING (date_uuid)
         GROUP BY month"""),
-    "sales_by_month_first_sale": (sales.sales_by_month_first_sale, """
+    "sales_by_month_first_sale": (sales.sales_by_month_first_sale, "orders products dates", """
         , monthly AS (SELECT month, CAST(sum(amount) AS DOUBLE) AS total_sales
                       FROM sold JOIN raw_dates USING (date_uuid) GROUP BY month)
         SELECT DISTINCT ON (month, total_sales) product_quantity, product_code, date_uuid, month,
           CAST(price AS DOUBLE) AS product_price, CAST(amount AS DOUBLE) AS total_price, total_sales
         FROM sold JOIN raw_dates USING (date_uuid) JOIN monthly USING (month)
         ORDER BY total_sales DESC NULLS FIRST, month, product_code, date_uuid, product_quantity"""),
-    "web_vs_offline": (sales.web_vs_offline, """
+    "web_vs_offline": (sales.web_vs_offline, "orders stores", """
         SELECT CASE WHEN store_type IN ('Web Portal') THEN 'Web' ELSE 'Offline' END AS location,
           count(DISTINCT date_uuid) AS numbers_of_sales,
           CAST(sum(product_quantity) AS BIGINT) AS product_quantity_count
         FROM fact JOIN sales_stores USING (store_code) GROUP BY location"""),
-    "store_type_share": (sales.store_type_share, """
+    "store_type_share": (sales.store_type_share, "orders products stores", """
         , by_type AS (SELECT store_type, sum(amount) AS total FROM sold JOIN sales_stores USING (store_code)
                       GROUP BY store_type)
         SELECT store_type, CAST(total AS DOUBLE) AS total_sales,
           CAST(total AS DOUBLE) / CAST((SELECT sum(total) FROM by_type) AS DOUBLE) * 100 AS sales_percentage
         FROM by_type"""),
-    "top_year_months": (sales.top_year_months, """
+    "top_year_months": (sales.top_year_months, "orders products dates", """
         SELECT year, month, CAST(sum(amount) AS DOUBLE) AS total_sales FROM sold JOIN raw_dates USING (date_uuid)
         GROUP BY year, month ORDER BY total_sales DESC NULLS FIRST, year, month LIMIT 10"""),
-    "staff_per_country": (sales.staff_per_country, """
+    "staff_per_country": (sales.staff_per_country, "stores", """
         SELECT country_code, CAST(sum(staff_numbers) AS BIGINT) AS total_staff_numbers FROM sales_stores
         GROUP BY country_code"""),
-    "country_sales_by_store_type": (sales.country_sales_by_store_type, """
+    "country_sales_by_store_type": (sales.country_sales_by_store_type, "orders products stores", """
         SELECT store_type, country_code, CAST(sum(amount) AS DOUBLE) AS total_sales
         FROM sold JOIN sales_stores USING (store_code) WHERE country_code = 'DE' GROUP BY store_type, country_code"""),
-    "sale_gap_by_year": (sales.sale_gap_by_year, "SELECT sale_year, mean_gap_us FROM mean_gaps"),
-    "sale_gap_by_year_window": (sales.sale_gap_by_year_window, "SELECT sale_year, mean_gap_us FROM mean_gaps"),
-    "sale_gap_formatted": (sales.sale_gap_formatted, """
+    "sale_gap_by_year": (sales.sale_gap_by_year, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
+    "sale_gap_by_year_window": (sales.sale_gap_by_year_window, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
+    "sale_gap_formatted": (sales.sale_gap_formatted, "orders dates", """
         , texts AS (SELECT sale_year, printf('%02d:%02d:%02d.%03d', mean_gap_us // 3600000000,
             mean_gap_us % 3600000000 // 60000000, mean_gap_us % 60000000 // 1000000,
             mean_gap_us % 1000000 // 1000) AS actual_time_taken FROM mean_gaps)
@@ -99,8 +99,10 @@ SALES = {
         FROM texts ORDER BY actual_time_taken DESC NULLS FIRST, sale_year LIMIT 5"""),
 }
 
-for _name, (_question, _oracle) in SALES.items():
-    register(_name, _oracle)(lambda spark, sf, q=_question: q(fx.sales_tables(spark, sf)))
+for _name, (_question, _needed, _oracle) in SALES.items():
+    register(_name, _oracle)(
+        lambda spark, sf, q=_question, needed=_needed.split(): q(fx.sales_tables(spark, sf, *needed))
+    )
 
 
 @register("store_share_report", """
@@ -109,7 +111,7 @@ for _name, (_question, _oracle) in SALES.items():
     SELECT store_type, printf('%.2f', total) AS total_sales,
       printf('%.2f', total / (SELECT CAST(sum(amount) AS DOUBLE) FROM sold) * 100) AS sales_percentage FROM by_type""")
 def store_share_report(spark, sf):
-    return report(sales.store_type_share(fx.sales_tables(spark, sf)))
+    return report(sales.store_type_share(fx.sales_tables(spark, sf, "orders", "products", "stores")))
 
 
 # --- Column operators --------------------------------------------------------

@@ -35,30 +35,34 @@ def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def orphans(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
-    """Non-null fact keys with no dimension row, with their fact row count.
+def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Fact keys with no dimension row: key_column, key_value and how many fact rows hold it.
 
-    The fact is counted per key before the anti join, so it shuffles one row per
-    key and task, however many rows a key has.
+    `dims` maps a key column of the fact to the dimension it refers to. One scan of
+    the fact counts all its keys, each key once per task before anything shuffles,
+    and one anti join settles them all. A null key refers to nothing and is no orphan.
     """
-    counts = fact.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("row_count"))
-    return counts.join(dim.select(key), key, "left_anti")
+    key = ["key_column", "key_value"]
+    text = {k: F.col(k).cast("string").alias(k) for k in dims}
+    used = fact.select(*text.values()).unpivot([], list(dims), *key).where("key_value IS NOT NULL")
+    counts = used.groupBy(*key).agg(F.count("*").alias("row_count"))
+    known = reduce(DataFrame.unionByName, (
+        dim.select(F.lit(k).alias("key_column"), text[k].alias("key_value")) for k, dim in dims.items()
+    ))
+    return counts.join(known, key, "left_anti")
 
 
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Per foreign key of the fact: how many key values, and rows, find no dimension row."""
     fact = tables["orders"]
-    reports = [
-        orphans(fact, tables[t], key).agg(
-            F.count("*").alias("orphan_keys"),
-            F.coalesce(F.sum("row_count"), F.lit(0).cast("bigint")).alias("orphan_rows"),
-        ).select(
-            F.lit(key).alias("key_column"), F.lit(STAR[t].name).alias("table_name"),
-            "orphan_keys", "orphan_rows",
-        )
-        for key, t in FOREIGN_KEYS.items() if t in tables
-    ]
-    return reduce(DataFrame.unionByName, reports)
+    checked = {k: t for k, t in FOREIGN_KEYS.items() if t in tables}
+    found = orphans(fact, {k: tables[t] for k, t in checked.items()}).groupBy("key_column").agg(
+        F.count("*").alias("orphan_keys"), F.sum("row_count").alias("orphan_rows")
+    )
+    constraints = fact.sparkSession.createDataFrame(
+        [(k, STAR[t].name) for k, t in checked.items()], "key_column string, table_name string"
+    )
+    return constraints.join(found, "key_column", "left").na.fill(0, ["orphan_keys", "orphan_rows"])
 
 
 def require_keys(tables: dict[str, DataFrame]) -> None:

@@ -10,45 +10,49 @@ stay rows, split off the keys that are hot (`lookup`).
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT_KEYS = 10_000
+MAX_HOT_KEYS = 1_000
+SAMPLE_SHARE = 0.001
+LEAST_SEEN = 50
 
 
 def broadcastable(df: DataFrame) -> bool:
     """Whether Catalyst's size estimate of `df` is under the session's broadcast limit."""
-    session = df.sparkSession
-    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
-def hot_keys(fact: DataFrame, key: str, most: int = MAX_HOT_KEYS) -> DataFrame:
-    """Keys that hold more than 1/`most` of the rows: never more than `most` of them.
+def hot_keys(
+    fact: DataFrame, key: str, most: int = MAX_HOT_KEYS,
+    share: float = SAMPLE_SHARE, least: int = LEAST_SEEN,
+) -> list:
+    """Keys that hold more than 1/`most` of a sample of the rows: fewer than `most` of them.
 
-    One sketch aggregate over the key column alone. The sketch only decides which
-    way a row takes through `lookup`; it has no bearing on the result.
+    A key seen under `least` times in the sample counts as chance. The sample decides
+    which way a row takes through `lookup`, never whether it is in the result.
     """
-    tracked = min(8 * most, 1_000_000)
-    top = fact.where(F.col(key).isNotNull()).agg(
-        F.expr(f"approx_top_k(`{key}`, {most}, {tracked})").alias("top"), F.count("*").alias("n")
-    )
-    return (
-        top.select(F.explode("top").alias("t"), "n")
-        .where(F.col("t.count") * most > F.col("n"))
-        .select(F.col("t.item").alias(key))
-    )
-
-
-def lookup(fact: DataFrame, dim: DataFrame, key: str, most: int = MAX_HOT_KEYS) -> DataFrame:
+    seen = fact.select(key).where(F.col(key).isNotNull()).sample(share, seed=1)
+    counts = seen.groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).scalar()
+    hot = counts.where((F.col("n") >= least) & (F.col("n") * most > total))
+    return [row[0] for row in hot.select(key).collect()]
+
+
+def lookup(fact: DataFrame, dim: DataFrame, key: str, **sampling) -> DataFrame:
     """Inner join of every fact row to the dimension row of its key (unique in `dim`).
 
-    Large dimension: rows of hot keys meet the few dimension rows of those keys by
-    broadcast and never shuffle; all other rows take an ordinary shuffle join.
+    Large dimension: a job over a sample of the key column finds the hot keys. Their
+    rows meet the few dimension rows of those keys by broadcast and never shuffle;
+    all other rows take an ordinary shuffle join. The keys are fixed before the plan
+    is made, so both branches agree on them whatever is recomputed.
     """
     if broadcastable(dim):
         return fact.join(dim, key)
-    hot = F.broadcast(hot_keys(fact, key, most))
-    hot_dim = F.broadcast(dim.join(hot, key, "left_semi"))
-    rest = fact.join(hot, key, "left_anti").join(dim, key)
-    return fact.join(hot_dim, key).unionByName(rest)
+    hot = hot_keys(fact, key, **sampling)
+    if not hot:
+        return fact.join(dim, key)
+    is_hot = F.col(key).isin(hot)
+    by_broadcast = fact.where(is_hot).join(F.broadcast(dim.where(is_hot)), key)
+    return by_broadcast.unionByName(fact.where(~is_hot).join(dim, key))
 
 
 def sum_then_lookup(fact: DataFrame, dim: DataFrame, key: str, *sums: str) -> DataFrame:

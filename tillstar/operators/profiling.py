@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 
 def _one_row_to_many(row: DataFrame, name: str, value: str) -> DataFrame:
-    return row.unpivot([], row.columns, name, value)
+    return row.unpivot([], [F.col(f"`{c}`") for c in row.columns], name, value)
 
 
 def profile(df: DataFrame) -> DataFrame:
@@ -18,5 +18,5 @@ def profile(df: DataFrame) -> DataFrame:
 
 def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:
     """column_name and longest text length, for all columns in one aggregate."""
-    longest = df.agg(*(F.max(F.length(c)).cast("bigint").alias(c) for c in columns))
+    longest = df.agg(*(F.max(F.length(F.col(f"`{c}`"))).cast("bigint").alias(c) for c in columns))
     return _one_row_to_many(longest, "column_name", "max_length")

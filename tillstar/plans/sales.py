@@ -199,10 +199,8 @@ def sale_gap_by_year_window(tables: Tables, strict: bool = False) -> DataFrame:
 
 def sale_gap_formatted(tables: Tables, top: int = 5, strict: bool = False) -> DataFrame:
     """The years with the longest mean gap as clock text, ordered as text, and its parts."""
-    text = sale_gap_by_year(tables, strict).select(
-        "sale_year", clock_text(F.col("mean_gap_us")).alias("actual_time_taken")
-    )
-    longest = text.orderBy(F.desc_nulls_first("actual_time_taken"), "sale_year").limit(top)
-    return longest.select("*", split_clock(F.col("actual_time_taken")).alias("parts")).select(
-        "sale_year", "actual_time_taken", "parts.*"
-    )
+    clock = clock_text(F.col("mean_gap_us")).alias("actual_time_taken")
+    gaps = sale_gap_by_year(tables, strict).select("sale_year", clock)
+    parts = split_clock(F.col("actual_time_taken")).alias("parts")
+    split = gaps.select("*", parts).select("sale_year", "actual_time_taken", "parts.*")
+    return split.orderBy(F.desc_nulls_first("actual_time_taken"), "sale_year").limit(top)
