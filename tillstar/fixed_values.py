@@ -15,9 +15,17 @@ CONTINENT_NOISE = "ee"
 CURRENCY_SIGN = "£"
 MISSING_POSITION = "N/A"
 
-# Unit factors to kilograms and weight class limits in kilograms.
-GRAMS_PER_KG = 1000
-KG_PER_OUNCE = 0.0283495
+# Units of weight, each with the factor and the divisor that make it
+# kilograms; a millilitre counts as a gram, and `g .` is a misspelt gram.
+WEIGHT_UNITS = [
+    ("kg", 1.0, 1.0),
+    ("ml", 1.0, 1000.0),
+    ("oz", 0.0283495, 1.0),
+    ("g .", 1.0, 1000.0),
+    ("g", 1.0, 1000.0),
+]
+
+# Weight class limits in kilograms.
 WEIGHT_CLASSES = [(2, "Light"), (40, "Mid_Sized"), (140, "Heavy")]
 HEAVIEST_CLASS = "Truck_Required"
 
@@ -26,7 +34,8 @@ WEB_STORE_TYPE = "Web Portal"
 WEB, OFFLINE = "Web", "Offline"
 
 # Date layouts, each with the shape of text it may read. `NAME` is
-# a month name: three letters are read with MMM, longer names with MMMM.
+# a month name, whole or as its first three letters. Layouts of the same shape are
+# tried in order.
 DATE_LAYOUTS = [
     (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
     (r"\d{4} NAME \d{1,2}", "yyyy MMMM d"),

@@ -9,7 +9,7 @@ PLAIN_NUMBER = r"^\s*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 def strict_double(text: Column) -> Column:
     """Text to double; anything that is not a plain number becomes null."""
-    return F.when(text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+    return F.regexp_extract(text, PLAIN_NUMBER, 0).try_cast("double")
 
 
 def digits_only(text: Column) -> Column:

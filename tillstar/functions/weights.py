@@ -5,27 +5,28 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import GRAMS_PER_KG, HEAVIEST_CLASS, KG_PER_OUNCE, WEIGHT_CLASSES
+from ..fixed_values import HEAVIEST_CLASS, WEIGHT_CLASSES, WEIGHT_UNITS
 from .numbers import strict_double
 
 
-def _amount(weight: Column, unit_letters: str) -> Column:
-    # btrim drops the letters from both ends in any order, so '.5g .' reads as 5.
-    return strict_double(F.btrim(weight, F.lit(unit_letters)))
+def _of_unit(weight: Column, place: int) -> Column:
+    """An entry of the unit the text ends in; null if it ends in none."""
+    first, *rest = [(weight.endswith(unit[0]), F.lit(unit[place])) for unit in WEIGHT_UNITS]
+    return reduce(lambda chain, branch: chain.when(*branch), rest, F.when(*first))
 
 
 def to_kg(weight: Column) -> Column:
-    """Weight text to kilograms; text in no known unit, or with no readable number, is null."""
+    """Weight text to kilograms; text in no known unit, or with no readable number, is null.
+
+    `3 x 2g` is a pack, of grams. Unit letters are cut from both ends in any order,
+    so `.5g .` reads as 5. The text is cut and parsed once whatever its unit: a branch
+    per unit would make a method too large for the JVM to compile.
+    """
+    amount = strict_double(F.btrim(weight, _of_unit(weight, 0)))
+    single = amount * _of_unit(weight, 1) / _of_unit(weight, 2)
     pack = F.split(F.btrim(weight, F.lit("g")), " ")
-    pack_grams = strict_double(F.get(pack, F.lit(0))) * strict_double(F.get(pack, F.lit(2)))
-    return (
-        F.when(weight.endswith("kg"), _amount(weight, "kg"))
-        .when(weight.contains("x"), pack_grams / GRAMS_PER_KG)
-        .when(weight.endswith("ml"), _amount(weight, "ml") / GRAMS_PER_KG)
-        .when(weight.endswith("oz"), _amount(weight, "oz") * KG_PER_OUNCE)
-        .when(weight.endswith("g ."), _amount(weight, "g .") / GRAMS_PER_KG)
-        .when(weight.endswith("g"), _amount(weight, "g") / GRAMS_PER_KG)
-    )
+    packed = strict_double(F.get(pack, F.lit(0))) * strict_double(F.get(pack, F.lit(2))) / 1000.0
+    return F.when(weight.contains("x") & ~weight.endswith("kg"), packed).otherwise(single)
 
 
 def weight_class(kg: Column) -> Column:
