@@ -189,9 +189,3 @@ def sales_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     staff = digits_only(F.col("staff_numbers")).cast("smallint")
     return raw_stores(spark, sf_dir).withColumn("staff_numbers", staff)
-
-
-def sales_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Ready tables for the sales questions: every store, every price, every date."""
-    makers = {"orders": sales_fact, "products": sales_products, "stores": sales_stores, "dates": raw_dates}
-    return {name: makers[name](spark, sf_dir) for name in names}

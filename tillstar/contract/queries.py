@@ -23,6 +23,7 @@ from ..sources import (
     scalar, write_table,
 )
 from . import fixtures as fx
+from .landing import RAW, loaded, raw, raw_tables
 from .oracle import sql
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -101,7 +102,7 @@ SALES = {
 
 for _name, (_question, _needed, _oracle) in SALES.items():
     register(_name, _oracle)(
-        lambda spark, sf, q=_question, needed=_needed.split(): q(fx.sales_tables(spark, sf, *needed))
+        lambda spark, sf, q=_question, needed=_needed.split(): q(loaded(spark, sf, *needed))
     )
 
 
@@ -111,7 +112,7 @@ for _name, (_question, _needed, _oracle) in SALES.items():
     SELECT store_type, printf('%.2f', total) AS total_sales,
       printf('%.2f', total / (SELECT CAST(sum(amount) AS DOUBLE) FROM sold) * 100) AS sales_percentage FROM by_type""")
 def store_share_report(spark, sf):
-    return report(sales.store_type_share(fx.sales_tables(spark, sf, "orders", "products", "stores")))
+    return report(sales.store_type_share(loaded(spark, sf, "orders", "products", "stores")))
 
 
 # --- Column operators --------------------------------------------------------
@@ -119,8 +120,8 @@ def store_share_report(spark, sf):
 @register("weights_to_kg", """
     SELECT product_code, r.weight AS raw_weight, c.weight FROM clean_weights c JOIN raw_products r USING (product_code)""")
 def weights_to_kg(spark, sf):
-    raw = fx.raw_products(spark, sf).select("product_code", "weight", F.col("weight").alias("raw_weight"))
-    return convert_weights(raw)
+    weights = raw(spark, sf, "products").select("product_code", "weight", F.col("weight").alias("raw_weight"))
+    return convert_weights(weights)
 
 
 @register("weight_class", """
@@ -138,7 +139,7 @@ def weight_classes(spark, sf):
       CAST(p.joined AS VARCHAR) AS joined
     FROM raw_users u JOIN parsed_users p USING (user_uuid)""")
 def parse_dates(spark, sf):
-    return dates_as_text(fx.raw_users(spark, sf).select(
+    return dates_as_text(raw(spark, sf, "users").select(
         "user_uuid",
         F.col("date_of_birth").alias("dob_text"), parse_date(F.col("date_of_birth")).alias("dob"),
         F.col("join_date").alias("join_text"), parse_date(F.col("join_date")).alias("joined"),
@@ -150,7 +151,7 @@ def parse_dates(spark, sf):
     FROM raw_products""")
 def strict_numbers(spark, sf):
     text = F.replace("product_price", F.lit("£"), F.lit(""))
-    return fx.raw_products(spark, sf).select(
+    return raw(spark, sf, "products").select(
         "product_code", F.col("product_price").alias("price_text"), strict_double(text).alias("price")
     )
 
@@ -161,43 +162,39 @@ def strict_numbers(spark, sf):
       SELECT TRY_CAST(nullif(regexp_replace(staff_numbers, '[^0-9]', '', 'g'), '') AS BIGINT) AS n) staff""")
 def staff_digits(spark, sf):
     staff = F.coalesce(digits_only(F.col("staff_numbers")), F.lit(-1).cast("bigint"))
-    return fx.raw_stores(spark, sf).select(
+    return raw(spark, sf, "stores").select(
         "store_code", F.col("staff_numbers").alias("staff_text"), staff.alias("staff_numbers")
     )
 
 
 @register("merge_latitude", "SELECT store_code, latitude, longitude FROM typed_stores")
 def merge_latitude(spark, sf):
-    return star_tables({"stores": fx.raw_stores(spark, sf)})["stores"].select(
+    return star_tables({"stores": raw(spark, sf, "stores")})["stores"].select(
         "store_code", "latitude", "longitude"
     )
 
 
 @register("availability_flag", "SELECT product_code, still_available FROM typed_products")
 def availability_flag(spark, sf):
-    return star_tables({"products": fx.raw_products(spark, sf)})["products"].select(
+    return star_tables({"products": raw(spark, sf, "products")})["products"].select(
         "product_code", "still_available"
     )
 
 
 # --- Cleaning, typing, quarantine --------------------------------------------
 
-RAW = {
-    "users": fx.raw_users, "cards": fx.raw_cards, "stores": fx.raw_stores,
-    "products": fx.raw_products, "orders": fx.raw_orders, "dates": fx.raw_dates,
-}
 DATES_OF = {
     "users": ["date_of_birth", "join_date"], "cards": ["date_payment_confirmed"],
     "stores": ["opening_date"], "products": ["date_added"], "orders": [], "dates": [],
 }
 
-for _table, _raw in RAW.items():
+for _table in RAW:
     _columns = _text(*DATES_OF[_table]) if DATES_OF[_table] else "*"
     register(f"clean_{_table}", f"SELECT {_columns} FROM clean_{_table}")(
-        lambda spark, sf, t=_table, raw=_raw: dates_as_text(CLEANERS[t](raw(spark, sf)))
+        lambda spark, sf, t=_table: dates_as_text(CLEANERS[t](raw(spark, sf, t)))
     )
     register(f"typed_{_table}", f"SELECT {_columns} FROM typed_{_table}")(
-        lambda spark, sf, t=_table, raw=_raw: dates_as_text(star_tables({t: raw(spark, sf)})[t])
+        lambda spark, sf, t=_table: dates_as_text(star_tables({t: raw(spark, sf, t)})[t])
     )
 
 
@@ -212,7 +209,7 @@ for _table, _raw in RAW.items():
 def quarantine_counts(spark, sf):
     union = None
     for t in ("users", "cards", "stores", "products", "dates"):
-        rejects = quarantine(RAW[t](spark, sf), t)
+        rejects = quarantine(raw(spark, sf, t), t)
         one = rejects.select(F.lit(t).alias("table_name"), F.explode("reject_reasons").alias("reason"))
         union = one if union is None else union.unionByName(one)
     return union.groupBy("table_name", "reason").agg(F.count("*").alias("rows_rejected"))
@@ -231,7 +228,7 @@ def quarantine_counts(spark, sf):
     GROUP BY ALL HAVING count(*) > 1 OR key_value IS NULL""")
 def pk_report(spark, sf):
     """Users with every seventh name, and cards of one month, in twice, to have something to find."""
-    tables = star_tables({t: raw(spark, sf) for t, raw in RAW.items() if t != "orders"})
+    tables = star_tables(raw_tables(spark, sf, "users", "cards", "stores", "products", "dates"))
     users, cards = tables["users"], tables["cards"]
     again = users.where(F.col("last_name").cast("bigint") % 7 == 0)
     unkeyed = cards.where(F.col("expiry_date").startswith("05")).withColumn("card_number", F.lit(None).cast("string"))
@@ -248,7 +245,7 @@ def pk_report(spark, sf):
     SELECT key_column, table_name, count(DISTINCT k) AS orphan_keys, count(k) AS orphan_rows FROM checks
     GROUP BY key_column, table_name""")
 def fk_report(spark, sf):
-    return fk_orphans(star_tables(fx.raw_tables(spark, sf)))
+    return fk_orphans(star_tables(raw_tables(spark, sf)))
 
 
 @register("max_lengths", """
@@ -265,7 +262,7 @@ def fk_report(spark, sf):
       unnest([max(length(card_number)), max(length(expiry_date))]) FROM typed_cards""")
 def longest_texts(spark, sf):
     union = None
-    for t, df in star_tables(fx.raw_tables(spark, sf)).items():
+    for t, df in star_tables(raw_tables(spark, sf)).items():
         spec = STAR[t]
         one = max_lengths(df, list(spec.measured)).withColumn("table_name", F.lit(spec.name))
         union = one if union is None else union.unionByName(one)
@@ -279,7 +276,7 @@ def longest_texts(spark, sf):
       unnest(['string', 'double', 'double', 'string', 'date', 'string', 'string']) AS data_type
     FROM clean_products""")
 def profile_table(spark, sf):
-    return profile(CLEANERS["products"](fx.raw_products(spark, sf)))
+    return profile(CLEANERS["products"](raw(spark, sf, "products")))
 
 
 @register("indexed_rows", """
@@ -295,7 +292,7 @@ def indexed_rows(spark, sf):
     SELECT product_code, product_price, weight, EAN, date_added, removed, uuid FROM raw_products""")
 def scan_csv(spark, sf):
     path = scratch_path(spark, "products") + ".csv"
-    fx.raw_products(spark, sf).write.option("header", True).csv(path)
+    raw(spark, sf, "products").write.option("header", True).csv(path)
     return load(spark, path, RAW_SCHEMAS["products"])
 
 
@@ -303,7 +300,7 @@ def scan_csv(spark, sf):
     SELECT {', '.join(RAW_SCHEMAS['stores'].fieldNames())} FROM raw_stores""")
 def scan_json_lines(spark, sf):
     path = scratch_path(spark, "stores") + ".jsonl"
-    fx.raw_stores(spark, sf).write.json(path)
+    raw(spark, sf, "stores").write.json(path)
     return read_stores(spark, path, RAW_SCHEMAS["stores"])
 
 
@@ -329,7 +326,7 @@ def scan_json_columns(spark, sf):
       AS date_payment_confirmed FROM raw_cards""")
 def paged_union(spark, sf):
     """Cards on two kinds of pages, one of which has no payment column."""
-    cards, path = fx.raw_cards(spark, sf), scratch_path(spark, "cards")
+    cards, path = raw(spark, sf, "cards"), scratch_path(spark, "cards")
     noisy = F.col("card_number").startswith("??")
     cards.where(noisy).drop("date_payment_confirmed").write.parquet(f"{path}/page=1")
     cards.where(~noisy).write.parquet(f"{path}/page=2")
@@ -346,7 +343,7 @@ def json_scalar(spark, sf):
 def write_overwrite(spark, sf):
     """Written twice over; the second write replaces the first."""
     path = scratch_path(spark, "sink")
-    dates = star_tables({"dates": fx.raw_dates(spark, sf)})["dates"]
+    dates = star_tables({"dates": raw(spark, sf, "dates")})["dates"]
     write_table(dates.select("date_uuid"), "dim_date_times", path)
     write_table(dates, "dim_date_times", path)
     registry = SourceRegistry({"sales_data": {"format": "parquet", "path": path}})
@@ -361,5 +358,5 @@ def write_overwrite(spark, sf):
       total_sales / (SELECT CAST(sum(amount) AS DOUBLE) FROM amounts) * 100 AS sales_percentage FROM by_type""")
 def star_store_type_share(spark, sf):
     """End to end: raw tables cleaned, typed, written, and a sales question asked of what was written."""
-    raw = {t: RAW[t](spark, sf) for t in ("orders", "products", "stores")}
-    return sales.store_type_share(build_warehouse(spark, raw, scratch_path(spark, "star")).tables)
+    tables = raw_tables(spark, sf, "orders", "products", "stores")
+    return sales.store_type_share(build_warehouse(spark, tables, scratch_path(spark, "star")).tables)
