@@ -22,6 +22,12 @@ def test_next_moment_is_lead(spark, seed):
     }
     assert got == want
 
+    counted = df.withColumn("n", F.pmod(F.col("at"), F.lit(3)) + 1)
+    totals = {r.g: (r.total, r.gaps) for r in sequence.gap_totals(counted, "g", "at", "n").collect()}
+    for g in "a", "b", "c", "one":
+        times = sorted(t for h, t in moments if h == g for _ in range(t % 3 + 1))
+        assert totals[g] == (times[-1] - times[0], len(times) - 1)
+
 
 def test_no_window_spans_a_group(spark, plan_of):
     df = spark.createDataFrame([("a", 1)], "g string, at bigint")

@@ -89,6 +89,12 @@ SALES = {
         FROM sold JOIN sales_stores USING (store_code) WHERE country_code = 'DE' GROUP BY store_type, country_code"""),
     "sale_gap_by_year": (sales.sale_gap_by_year, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
     "sale_gap_by_year_window": (sales.sale_gap_by_year_window, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
+    "next_sale_moments": (sales.next_sale_moments, "orders dates", """
+        , sold_at AS (SELECT DISTINCT year, ts FROM fact JOIN moments USING (date_uuid))
+        SELECT CAST(year(ts) AS INTEGER) AS sale_year, epoch_us(ts) AS at,
+          epoch_us(lead(ts) OVER same_year) AS next_at,
+          epoch_us(lead(ts) OVER same_year) - epoch_us(ts) AS gap_us
+        FROM sold_at WINDOW same_year AS (PARTITION BY year ORDER BY ts)"""),
     "sale_gap_formatted": (sales.sale_gap_formatted, "orders dates", """
         , texts AS (SELECT sale_year, printf('%02d:%02d:%02d.%03d', mean_gap_us // 3600000000,
             mean_gap_us % 3600000000 // 60000000, mean_gap_us % 60000000 // 1000000,

@@ -1,6 +1,6 @@
 """Order-dependent operators that never gather one ordered group in one task."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..functions.durations import whole_div
@@ -10,29 +10,63 @@ BUCKET_MICROS = 60_000_000
 PER_PARTITION_BITS = 33
 
 
+def _buckets(moments: DataFrame, group: str, at: str) -> tuple[DataFrame, WindowSpec]:
+    """Rows in one-minute buckets, and the window over one bucket in order of `at`.
+
+    A bucket holds at most 60 million distinct microseconds and a year at most 527,040
+    buckets, so neither ever is too much for a task, however the rows are spread. One
+    shuffle serves all that is done per bucket. Rows without a group or a moment have
+    no place in an order and are left out.
+    """
+    bucket = whole_div(F.col(at), F.lit(BUCKET_MICROS))
+    placed = moments.withColumn("bucket", bucket).where(
+        F.col(group).isNotNull() & F.col("bucket").isNotNull()
+    )
+    bucketed = placed.repartition(group, "bucket")
+    return bucketed, Window.partitionBy(group, "bucket").orderBy(at)
+
+
 def next_moment(moments: DataFrame, group: str, at: str) -> DataFrame:
     """Add `next_at`: LEAD of `at` within `group`, for distinct (group, at) rows.
 
-    LEAD runs inside one-minute buckets; the last row of a bucket takes the first
-    moment of the next bucket that has any. A bucket holds at most 60 million
-    distinct microseconds and a year at most 527,040 buckets, so both windows are
-    bounded however the rows are spread.
+    LEAD runs inside buckets; the last row of a bucket takes the first moment of the
+    next bucket that has any.
     """
-    bucketed = moments.withColumn("bucket", whole_div(F.col(at), F.lit(BUCKET_MICROS)))
-    inside = Window.partitionBy(group, "bucket").orderBy(at)
+    bucketed, inside = _buckets(moments, group, at)
     across = Window.partitionBy(group).orderBy("bucket")
-    firsts = (
+    heads = (
         bucketed.groupBy(group, "bucket").agg(F.min(at).alias("first_at"))
         .select(group, "bucket", F.lead("first_at").over(across).alias("after_bucket"))
     )
     return (
         bucketed.withColumn("inside_next", F.lead(at).over(inside))
-        .join(firsts, [group, "bucket"])
+        .join(heads, [group, "bucket"])
         .withColumn("next_at", F.coalesce("inside_next", "after_bucket"))
         .drop("bucket", "inside_next", "after_bucket")
     )
 
 
+def gap_totals(moments: DataFrame, group: str, at: str, n: str) -> DataFrame:
+    """Per group, the sum (`total`) and number (`gaps`) of LEAD minus current, over all rows.
+
+    `moments` has distinct (group, at) rows that each stand for `n` equal ones, which
+    follow each other with gap 0. Gaps inside a bucket are summed there; what is left
+    is one row per bucket, and the gap from its end to the start of the next.
+    """
+    bucketed, inside = _buckets(moments, group, at)
+    across = Window.partitionBy(group).orderBy("bucket")
+    gap = F.lead(at).over(inside) - F.col(at)
+    per_bucket = bucketed.withColumn("gap", gap).groupBy(group, "bucket").agg(
+        F.min(at).alias("first_at"), F.max(at).alias("last_at"),
+        F.sum("gap").alias("inside"), (F.sum(F.col(n) - 1) + F.count("gap")).alias("gaps"),
+    )
+    to_next = F.lead("first_at").over(across) - F.col("last_at")
+    return per_bucket.withColumn("to_next", to_next).groupBy(group).agg(
+        (F.coalesce(F.sum("inside"), F.lit(0)) + F.coalesce(F.sum("to_next"), F.lit(0))).alias("total"),
+        (F.sum("gaps") + F.count("to_next")).alias("gaps"),
+    )
+
+
 def first_in_group(
     df: DataFrame, group: list[str], order: list[str], payload: list[str], **extra: Column
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import fixed_values as fixed
 from ..functions import clock_text, mean_micros, sale_moment, split_clock, to_micros
 from ..operators.joins import broadcastable, lookup, sum_then_lookup
-from ..operators.sequence import first_in_group, next_moment
+from ..operators.sequence import first_in_group, gap_totals, next_moment
 
 Tables = dict[str, DataFrame]
 SCALE = 2
@@ -183,20 +183,20 @@ def sale_gap_by_year(tables: Tables, strict: bool = False) -> DataFrame:
 
 
 def sale_gap_by_year_window(tables: Tables, strict: bool = False) -> DataFrame:
-    """`sale_gap_by_year` from the gaps themselves: each sale's LEAD minus its own moment.
-
-    Sales at the same moment follow each other with gap 0, so n equal moments are
-    one row with n - 1 zero gaps.
-    """
+    """`sale_gap_by_year` from the gaps themselves: each sale's LEAD minus its own moment."""
     moments = _sale_moments(tables, strict).groupBy("sale_year", "at").agg(F.sum("n").alias("n"))
-    gaps = next_moment(moments, "sale_year", "at").groupBy("sale_year").agg(
-        F.sum(F.col("next_at") - F.col("at")).alias("total"),
-        (F.sum(F.col("n") - 1) + F.count("next_at")).alias("gaps"),
-    )
-    mean = mean_micros(F.coalesce("total", F.lit(0)), F.col("gaps"))
+    gaps = gap_totals(moments, "sale_year", "at", "n")
+    mean = mean_micros(F.col("total"), F.col("gaps"))
     return gaps.select("sale_year", mean.alias("mean_gap_us")).where("mean_gap_us IS NOT NULL")
 
 
+def next_sale_moments(tables: Tables, strict: bool = False) -> DataFrame:
+    """Every moment with a sale, the next one of its year, and the microseconds between."""
+    moments = _sale_moments(tables, strict).select("sale_year", "at").distinct()
+    gap = (F.col("next_at") - F.col("at")).alias("gap_us")
+    return next_moment(moments, "sale_year", "at").select("sale_year", "at", "next_at", gap)
+
+
 def sale_gap_formatted(tables: Tables, top: int = 5, strict: bool = False) -> DataFrame:
     """The years with the longest mean gap as clock text, ordered as text, and its parts."""
     clock = clock_text(F.col("mean_gap_us")).alias("actual_time_taken")
