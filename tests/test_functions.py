@@ -1,4 +1,6 @@
 import datetime as dt
+import random
+import re
 
 import pytest
 from pyspark.errors import PySparkException
@@ -22,6 +24,40 @@ def test_weights(values):
         assert kg == want, text
 
 
+def by_class(text):
+    """Kilograms by the rule of each class on its own; None where no class can read it."""
+    def number(t):
+        return float(t) if re.fullmatch(r"\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*", t, re.ASCII) else None
+
+    found = []
+    if text.endswith("kg"):
+        found.append(number(text.strip("kg")))
+    if text.endswith("g") and not text.endswith("kg") and "x" not in text:
+        found.append(number(text.strip("g")) and number(text.strip("g")) / 1000)
+    if "x" in text:
+        parts = [number(p) for p in text.strip("g").split(" ")] + [None] * 3
+        found.append(None if None in (parts[0], parts[2]) else parts[0] * parts[2] / 1000)
+    for unit, factor, divisor in [("ml", 1, 1000), ("oz", 0.0283495, 1), ("g .", 1, 1000)]:
+        if text.endswith(unit):
+            amount = number(text.strip(unit))
+            found.append(None if amount is None else amount * factor / divisor)
+    return None if None in found or not found else found[0]
+
+
+def test_one_expression_equals_the_classes(values):
+    """Wherever every class that claims a text can read it, the one expression agrees."""
+    rng = random.Random(2)
+    pieces = ["1", "2.5", ".5", "30", "x", " x ", " ", "k", "g", "kg", "ml", "oz", "g .", ".", "m"]
+    texts = {"".join(rng.choices(pieces, k=rng.randrange(1, 7))) for _ in range(4000)}
+    texts |= {f"{rng.choice(pieces[:4])}{rng.choice(['', ' '])}{rng.choice(pieces[8:13])}" for _ in range(200)}
+    texts |= {f"{rng.randrange(9)} x {rng.randrange(99)}{rng.choice(pieces[6:])}" for _ in range(300)}
+    texts = sorted(texts)
+    got = values(to_kg, texts)
+    assert sum(kg is not None for kg in got) > 100
+    for text, kg in zip(texts, got):
+        assert kg == by_class(text), text
+
+
 def test_weight_class(spark):
     kgs = [1.999, 2.0, 39.9, 40.0, 139.9, 140.0, None]
     df = spark.createDataFrame([(i, k) for i, k in enumerate(kgs)], "i int, k double")

@@ -7,7 +7,7 @@ from tillstar import __main__ as cli
 from tillstar.contract import fixtures as fx
 from tillstar.operators.typing import STAR
 from tillstar.plans.run import read_raw, run
-from tillstar.plans.warehouse import star_tables
+from tillstar.plans.warehouse import build_warehouse, star_tables
 from tillstar.sources import RAW_SCHEMAS, SourceRegistry
 
 SF = "/root/testdata/sf0.001"
@@ -69,6 +69,24 @@ def test_command_line(spark, landed, tmp_path, capsys, monkeypatch):
     assert all((tmp_path / "star" / spec.name).is_dir() for spec in STAR.values())
 
 
+def test_columns_beyond_the_known_ones(spark, tmp_path):
+    """A null in any column of a card drops the card, so further columns count."""
+    rows = [("1", "01/24", "2001-02-03", "visa"), ("2", "01/24", "2001-02-03", None)]
+    cards = spark.createDataFrame(
+        rows, "card_number string, expiry_date string, date_payment_confirmed string, provider string"
+    )
+    cards.write.parquet(str(tmp_path / "cards"))
+    source = {"kind": "pages", "path": str(tmp_path / "cards"), "columns": ["provider"]}
+    got = star_tables({"cards": read_raw(spark, SourceRegistry(), "cards", source)})["cards"]
+    assert [(r.card_number, r.provider) for r in got.collect()] == [("1", "visa")]
+
+
+def test_star_in_the_catalog(spark):
+    raw = {"dates": fx.raw_dates(spark, SF)}
+    built = build_warehouse(spark, raw, {"format": "catalog"}).tables["dates"]
+    assert built.count() == spark.table("dim_date_times").count() > 0
+
+
 def test_unknown_kind(spark):
     with pytest.raises(ValueError, match="unknown kind"):
         read_raw(spark, SourceRegistry(), "users", {"kind": "fax"})

@@ -103,11 +103,11 @@ def test_registry_and_tables(spark, tmp_path):
     with pytest.raises(KeyError, match="no source named 'other'"):
         read_table(spark, registry, "other", "t")
     df = spark.createDataFrame([(0, "a"), (1, "b")], "index int, v string")
-    write_table(df, "t", str(tmp_path))
-    write_table(df.where("index = 1"), "t", str(tmp_path), show_profile=True)
+    write_table(df, registry, "landed", "t")
+    write_table(df.where("index = 1"), registry, "landed", "t", show_profile=True)
     assert rows(read_table(spark, registry, "landed", "t")) == [("b",)]
-    write_table(df, "kept")
-    write_table(df.where("index = 0"), "kept")
+    write_table(df, registry, "catalog", "kept")
+    write_table(df.where("index = 0"), registry, "catalog", "kept")
     assert rows(read_table(spark, registry, "catalog", "kept")) == [("a",)]
     assert "kept" in list_tables(spark)
 

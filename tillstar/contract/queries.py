@@ -348,11 +348,10 @@ def json_scalar(spark, sf):
 @register("write_overwrite", "SELECT * FROM typed_dates")
 def write_overwrite(spark, sf):
     """Written twice over; the second write replaces the first."""
-    path = scratch_path(spark, "sink")
+    registry = SourceRegistry({"sales_data": {"format": "parquet", "path": scratch_path(spark, "sink")}})
     dates = star_tables({"dates": raw(spark, sf, "dates")})["dates"]
-    write_table(dates.select("date_uuid"), "dim_date_times", path)
-    write_table(dates, "dim_date_times", path)
-    registry = SourceRegistry({"sales_data": {"format": "parquet", "path": path}})
+    write_table(dates.select("date_uuid"), registry, "sales_data", "dim_date_times")
+    write_table(dates, registry, "sales_data", "dim_date_times")
     return read_table(spark, registry, "sales_data", "dim_date_times")
 
 

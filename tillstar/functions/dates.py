@@ -20,9 +20,9 @@ def _by_shape() -> dict[str, list[str]]:
     return shapes
 
 
-def _read(trimmed: Column, layout: str) -> Column:
+def _read(text: Column, layout: str) -> Column:
     # ISO dates, the commonest, have a faster reader than a formatter.
-    return trimmed.try_cast("date") if layout == "yyyy-M-d" else F.try_to_date(trimmed, layout)
+    return text.try_cast("date") if layout == "yyyy-M-d" else F.try_to_date(F.trim(text), layout)
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:
@@ -32,9 +32,8 @@ def parse_date(text: Column, strict: bool = False) -> Column:
     than failing through a list of them: a failed parse costs far more than a
     pattern test.
     """
-    trimmed = F.trim(text)
     branches = [
-        (trimmed.rlike(f"^{shape}$"), F.coalesce(*(_read(trimmed, p) for p in layouts)))
+        (text.rlike(f"^ *{shape} *$"), F.coalesce(*(_read(text, p) for p in layouts)))
         for shape, layouts in _by_shape().items()
     ]
     first, *rest = branches

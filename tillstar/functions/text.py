@@ -14,7 +14,7 @@ def uuid_text(value: Column) -> Column:
     them in practice, take the first branch and skip the rewriting.
     """
     low = F.lower(value)
-    bare = F.regexp_replace(low, "[{}-]", "")
+    bare = F.translate(low, "{}-", "")
     return F.when(low.rlike(CANONICAL_UUID), low).when(
         bare.rlike(BARE_UUID), F.regexp_replace(bare, BARE_UUID, "$1-$2-$3-$4-$5")
     )

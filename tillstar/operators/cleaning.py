@@ -26,10 +26,6 @@ class Rule:
     drops: bool = True
 
 
-def _repair_availability(removed: Column) -> Column:
-    return F.replace(removed, *map(F.lit, fixed.AVAILABILITY_FIX))
-
-
 def _price(text: Column) -> Column:
     return strict_double(F.replace(text, F.lit(fixed.CURRENCY_SIGN), F.lit("")))
 
@@ -69,9 +65,9 @@ def store_rules(df: DataFrame) -> list[Rule]:
 
 
 def product_rules(df: DataFrame) -> list[Rule]:
-    removed = _repair_availability(F.col("removed"))
+    misspelt, _ = fixed.AVAILABILITY_FIX
     return [
-        Rule("removed not a known state", removed.isin(fixed.AVAILABILITY)),
+        Rule("removed not a known state", F.col("removed").isin(*fixed.AVAILABILITY, misspelt)),
         Rule("product_price unreadable", _price(F.col("product_price")).isNotNull(), drops=False),
         *_readable_dates("date_added"),
     ]
@@ -154,7 +150,7 @@ def clean_products(df: DataFrame, strict: bool = False) -> DataFrame:
     return (
         _keep(df, product_rules(df))
         .withColumns({
-            "removed": _repair_availability(F.col("removed")),
+            "removed": F.replace("removed", *map(F.lit, fixed.AVAILABILITY_FIX)),
             "product_price": _price(F.col("product_price")),
             "date_added": parse_date(F.col("date_added"), strict),
         })

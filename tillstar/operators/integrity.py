@@ -68,6 +68,7 @@ def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
 def require_keys(tables: dict[str, DataFrame]) -> None:
     """Raise if any key is violated, naming the first few violations."""
     bad = [r.asDict() for r in pk_violations(tables).limit(5).collect()]
-    bad += [r.asDict() for r in fk_orphans(tables).where("orphan_rows > 0").collect()]
+    if "orders" in tables:
+        bad += [r.asDict() for r in fk_orphans(tables).where("orphan_rows > 0").collect()]
     if bad:
         raise ValueError(f"star schema keys violated, for instance: {bad}")

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..sources import (
     RAW_SCHEMAS, SourceRegistry, load, read_pages, read_stores, read_table, store_count,
 )
+from ..sources.readers import text_schema
 from . import sales
 from .report import show
 from .warehouse import Warehouse, build_warehouse
@@ -23,15 +24,18 @@ QUESTIONS = {
 
 
 def read_raw(
-    spark: SparkSession, registry: SourceRegistry, table: str, source: dict[str, str]
+    spark: SparkSession, registry: SourceRegistry, table: str, source: dict
 ) -> DataFrame:
     """One raw table from where `source` says it is.
 
     kind `table`: `source` and `name` of a registered database, with the four split
     options if it is to be read in parallel; `file`: `path`; `pages`: `path`, `format`;
-    `stores`: `path`, and `count` if a document says how many stores there are.
+    `stores`: `path`, and `count` if a document says how many stores there are. Files
+    give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
+    gives all it has.
     """
-    kind, schema = source["kind"], RAW_SCHEMAS[table]
+    kind = source["kind"]
+    schema = text_schema(*RAW_SCHEMAS[table].fieldNames(), *source.get("columns", []))
     if kind == "table":
         split = {k: v for k, v in source.items() if k not in ("kind", "source", "name")}
         return read_table(spark, registry, source["source"], source["name"], split or None)
@@ -46,10 +50,10 @@ def read_raw(
 
 
 def run(
-    spark: SparkSession, registry: SourceRegistry, sources: dict[str, dict[str, str]], out: str,
-    strict: bool = False, printed: bool = True,
+    spark: SparkSession, registry: SourceRegistry, sources: dict[str, dict],
+    out: str | dict[str, str], strict: bool = False, printed: bool = True,
 ) -> Warehouse:
-    """Read every table of `sources`, write and check the star under `out`, print the answers."""
+    """Read every table of `sources`, write and check the star at `out`, print the answers."""
     raw = {table: read_raw(spark, registry, table, source) for table, source in sources.items()}
     warehouse = build_warehouse(spark, raw, out, strict)
     if printed:

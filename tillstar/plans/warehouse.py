@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators.cleaning import CLEANERS, RULES, quarantine
 from ..operators.integrity import fk_orphans, pk_violations, require_keys
 from ..operators.typing import STAR
-from ..sources.tables import write_table
+from ..sources.tables import SourceRegistry, read_table, write_table
 
 
 def star_tables(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
@@ -17,26 +17,29 @@ def star_tables(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, Da
 
 @dataclass
 class Warehouse:
-    """The written star and what its build found wrong."""
+    """The written star and what its build found wrong; no fact, no foreign key report."""
 
     tables: dict[str, DataFrame]
     rejects: dict[str, DataFrame]
     pk_report: DataFrame
-    fk_report: DataFrame
+    fk_report: DataFrame | None
 
 
 def build_warehouse(
-    spark: SparkSession, raw: dict[str, DataFrame], out: str, strict: bool = False
+    spark: SparkSession, raw: dict[str, DataFrame], out: str | dict[str, str], strict: bool = False
 ) -> Warehouse:
-    """Clean, type and write all tables under `out`, replacing earlier ones, then check keys.
+    """Clean, type and write the fact and dimensions given to `out`, replacing earlier ones, then check keys.
 
-    Later queries read the written tables. `strict` raises on unreadable values and
-    on violated keys instead of reporting them.
+    `out` is a folder for Parquet tables or the options of a database. Later queries
+    read the written tables. `strict` raises on unreadable values and on violated keys
+    instead of reporting them.
     """
+    registry = SourceRegistry({"star": {"format": "parquet", "path": out} if isinstance(out, str) else out})
     for t, df in star_tables(raw, strict).items():
-        write_table(df, STAR[t].name, out)
-    tables = {t: spark.read.parquet(f"{out.rstrip('/')}/{STAR[t].name}") for t in raw}
+        write_table(df, registry, "star", STAR[t].name)
+    tables = {t: read_table(spark, registry, "star", STAR[t].name) for t in raw}
     if strict:
         require_keys(tables)
     rejects = {t: quarantine(df, t) for t, df in raw.items() if t in RULES}
-    return Warehouse(tables, rejects, pk_violations(tables), fk_orphans(tables))
+    fk_report = fk_orphans(tables) if "orders" in tables else None
+    return Warehouse(tables, rejects, pk_violations(tables), fk_report)

@@ -57,13 +57,17 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
 
 
 def write_table(
-    df: DataFrame, name: str, path: str | None = None, show_profile: bool = False
+    df: DataFrame, registry: SourceRegistry, target: str, name: str, show_profile: bool = False
 ) -> None:
-    """Write a table and replace what was there: a folder under `path`, or a catalog table."""
+    """Write a table to a named database and replace what was there."""
+    options = registry.options(target)
+    fmt = options.pop("format")
     if show_profile:
         profile(df).show(1000, truncate=False)
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is None:
+    writer = df.write.mode("overwrite")
+    if fmt == "catalog":
         writer.saveAsTable(name)
+    elif fmt == "jdbc":
+        writer.format("jdbc").options(**jdbc_options(options, name, None)).save()
     else:
-        writer.save(f"{path.rstrip('/')}/{name}")
+        writer.format(fmt).save(f"{options['path'].rstrip('/')}/{name}")
