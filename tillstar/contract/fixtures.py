@@ -128,7 +128,8 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_dates(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     k, day = F.col("o_orderkey"), F.col("o_orderdate")
     second = k * 7919 % 86400
-    clock = F.date_format(F.timestamp_seconds(second), "HH:mm:ss")
+    parts = [second / 3600, second / 60 % 60, second % 60]
+    clock = F.format_string("%02d:%02d:%02d", *(p.cast("bigint") for p in parts))
     period = F.when(k % 37 == 0, "JUNK").when(second < 21600, "Late_Hours").when(second < 43200, "Morning")
     return table(spark, sf_dir, "orders").select(
         clock.alias("timestamp"),
