@@ -50,6 +50,15 @@ def test_json_columns(spark, tmp_path):
     assert rows(read_json_columns(spark, str(lines), schema, one_per_line=True)) == sorted(want, key=repr)
 
 
+def test_json_columns_said_to_be_aligned(spark, tmp_path):
+    schema = text_schema("a", "b")
+    (tmp_path / "0.json").write_text('{"a": {"0": "x", "1": "y"}, "b": {"0": "1", "1": null}}')
+    assert rows(read_json_columns(spark, str(tmp_path), schema, aligned=True)) == [("x", "1"), ("y", None)]
+    (tmp_path / "1.json").write_text('{"a": {"0": "x"}, "b": {"1": "1"}}')
+    with pytest.raises(PySparkException, match="different rows"):
+        read_json_columns(spark, str(tmp_path), schema, aligned=True).collect()
+
+
 def test_load_by_extension(spark, tmp_path):
     (tmp_path / "t.csv").write_text("a\n1\n")
     (tmp_path / "t.json").write_text('{"a": {"0": "1"}}')

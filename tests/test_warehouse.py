@@ -28,6 +28,15 @@ def test_build_twice_gives_the_same_star(spark, tmp_path):
     assert second.rejects["orders"].count() == 0 and second.rejects["products"].count() > 0
     assert sales.sale_gap_formatted(second.tables).count() == 5
 
+    second.create_views()
+    by_sql = spark.sql("""
+        SELECT s.store_type, sum(o.product_quantity * p.product_price) AS total_sales
+        FROM orders_table o JOIN dim_store_details s ON o.store_code = s.store_code
+        JOIN dim_products p ON o.product_code = p.product_code
+        WHERE s.country_code = 'DE' GROUP BY s.store_type""")
+    answers = {r.store_type: r.total_sales for r in sales.country_sales_by_store_type(second.tables).collect()}
+    assert {r.store_type: pytest.approx(r.total_sales) for r in by_sql.collect()} == answers
+
 
 def test_strict_build_raises(spark, tmp_path):
     with pytest.raises(Exception, match="unreadable date: JUNK"):

@@ -24,6 +24,11 @@ class Warehouse:
     pk_report: DataFrame
     fk_report: DataFrame | None
 
+    def create_views(self) -> None:
+        """Make the tables known to `spark.sql` under their names."""
+        for t, df in self.tables.items():
+            df.createOrReplaceTempView(STAR[t].name)
+
 
 def build_warehouse(
     spark: SparkSession, raw: dict[str, DataFrame], out: str | dict[str, str], strict: bool = False

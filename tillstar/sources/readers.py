@@ -82,7 +82,8 @@ def _cells(column: str) -> Column:
 
 
 def read_json_columns(
-    spark: SparkSession, path: str, schema: StructType, one_per_line: bool = False
+    spark: SparkSession, path: str, schema: StructType, one_per_line: bool = False,
+    aligned: bool = False,
 ) -> DataFrame:
     """Column-oriented documents, `{column: {row: value}}`, to rows.
 
@@ -90,7 +91,8 @@ def read_json_columns(
     documents: files, or lines of one (`one_per_line`). Where all columns of a
     document list the same row labels in the same order, as writers of this layout
     do, its columns are zipped in place with no shuffle. Any other document is
-    matched up by row label.
+    matched up by row label, for which all documents are read a second time;
+    `aligned` says that there is none, saves that, and raises if it is wrong.
     """
     columns = schema.fieldNames()
     column_map = MapType(StringType(), StringType())
@@ -101,9 +103,11 @@ def read_json_columns(
     labels = [F.map_keys(F.col(f"`{c}`")) for c in columns]
     same_labels = reduce(lambda a, b: a & b, (labels[0].eqNullSafe(x) for x in labels[1:]), F.lit(True))
 
-    zipped = docs.where(same_labels).select(
-        F.inline(F.arrays_zip(*(F.map_values(F.col(f"`{c}`")).alias(c) for c in columns)))
-    ).toDF(*columns)
+    rows = F.arrays_zip(*(F.map_values(F.col(f"`{c}`")).alias(c) for c in columns))
+    if aligned:
+        error = F.raise_error(F.lit("the columns of a document list different rows"))
+        return docs.select(F.inline(F.when(same_labels, rows).otherwise(error))).toDF(*columns)
+    zipped = docs.where(same_labels).select(F.inline(rows)).toDF(*columns)
 
     loose = docs.where(~same_labels).withColumn("doc_id", F.monotonically_increasing_id())
     pairs = F.explode(F.flatten(F.array(*(_cells(c) for c in columns))))
