@@ -3,9 +3,10 @@ import json
 import pytest
 from pyspark.errors import PySparkException
 
+from tillstar.plans.run import read_raw
 from tillstar.session import scratch_path, shared_dir
 from tillstar.sources import (
-    RAW_SCHEMAS, SourceRegistry, list_tables, load, read_csv, read_json_columns, read_pages, read_stores,
+    RAW_SCHEMAS, SourceRegistry, fetch_store_count, fetch_stores, list_tables, load, read_csv, read_json_columns, read_pages, read_stores,
     read_table, stack_pages, store_count, write_table,
 )
 from tillstar.sources.readers import text_schema
@@ -105,6 +106,23 @@ def test_stores(spark, tmp_path):
     assert len(rows(read_stores(spark, str(files), schema, one_per_line=False))) == 4
 
 
+def test_stores_of_a_service(spark, tmp_path):
+    """The service is a folder behind file: addresses; no server may run here."""
+    for i in range(7):
+        (tmp_path / f"{i}.json").write_text(json.dumps({"index": i, "store_code": f"S{i}", "staff_numbers": i or None}))
+    (tmp_path / "count.json").write_text('{"number_stores": 7}')
+    base, schema = tmp_path.as_uri(), text_schema("store_code", "staff_numbers")
+    assert fetch_store_count(f"{base}/count.json") == 7
+    stores = fetch_stores(spark, base + "/{store_number}.json", schema, 7, {"x-api-key": "none"}, tasks=3)
+    assert rows(stores) == sorted([("S0", None)] + [(f"S{i}", str(i)) for i in range(1, 7)], key=repr)
+    assert stores.rdd.getNumPartitions() == 3
+    with pytest.raises(PySparkException):
+        fetch_stores(spark, base + "/{store_number}.json", schema, 8).collect()
+
+    source = {"kind": "api", "endpoint": base + "/{store_number}.json", "count": f"{base}/count.json"}
+    assert read_raw(spark, SourceRegistry(), "stores", source).count() == 7
+
+
 def test_registry_and_tables(spark, tmp_path):
     registry = SourceRegistry({
         "landed": {"format": "parquet", "path": str(tmp_path)}, "catalog": {"format": "catalog"},

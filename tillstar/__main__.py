@@ -2,28 +2,34 @@
 
 The job file holds `databases` (reader options by name), `sources` (see
 `plans.run.read_raw`, one entry per raw table), `out`, and optionally `strict`.
-Passwords do not belong into it: `$NAME` in a database option is taken from the
+Passwords and keys do not belong into it: `$NAME` in any text is taken from the
 environment.
 """
 
 import json
 import os
 import sys
+from typing import Any
 
 from .plans.run import run
 from .session import build_session
 from .sources import SourceRegistry
 
 
+def expand(value: Any) -> Any:
+    """`value` with environment variables put into its texts."""
+    if isinstance(value, dict):
+        return {k: expand(v) for k, v in value.items()}
+    if isinstance(value, list):
+        return [expand(v) for v in value]
+    return os.path.expandvars(value) if isinstance(value, str) else value
+
+
 def main(path: str) -> None:
     with open(path) as file:
-        job = json.load(file)
-    databases = {
-        name: {k: os.path.expandvars(v) for k, v in options.items()}
-        for name, options in job.get("databases", {}).items()
-    }
-    spark = build_session()
-    run(spark, SourceRegistry(databases), job["sources"], job["out"], job.get("strict", False))
+        job = expand(json.load(file))
+    registry = SourceRegistry(job.get("databases", {}))
+    run(build_session(), registry, job["sources"], job["out"], job.get("strict", False))
 
 
 if __name__ == "__main__":

@@ -2,8 +2,10 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from ..sources import (
-    RAW_SCHEMAS, SourceRegistry, load, read_pages, read_stores, read_table, store_count,
+    RAW_SCHEMAS, SourceRegistry, fetch_store_count, fetch_stores, load, read_pages, read_stores,
+    read_table, store_count,
 )
 from ..sources.readers import text_schema
 from . import sales
@@ -30,8 +32,8 @@ def read_raw(
 
     kind `table`: `source` and `name` of a registered database, with the four split
     options if it is to be read in parallel; `file`: `path`; `pages`: `path`, `format`;
-    `stores`: `path`, and `count` if a document says how many stores there are. Files
-    give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
+    `stores`: `path`, and `count` if a document says how many stores there are; `api`:
+    `endpoint` and `count` endpoint of a store service, `headers`. Files and services give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
     gives all it has.
     """
     kind = source["kind"]
@@ -46,6 +48,12 @@ def read_raw(
     if kind == "stores":
         count = store_count(spark, source["count"]) if "count" in source else None
         return read_stores(spark, source["path"], schema, count)
+    if kind == "api":
+        headers = source.get("headers")
+        count = fetch_store_count(source["count"], headers)
+        fetched = scratch_path(spark, "fetched")
+        fetch_stores(spark, source["endpoint"], schema, count, headers).write.parquet(fetched)
+        return spark.read.schema(schema).parquet(fetched)
     raise ValueError(f"{table}: unknown kind of source {kind!r}")
 
 

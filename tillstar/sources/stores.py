@@ -1,5 +1,10 @@
 """Store records: one JSON object per store, and the document that counts them."""
 
+import json
+from collections.abc import Iterator
+from urllib.request import Request, urlopen
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -36,3 +41,35 @@ def read_stores(
     if count is not None:
         stores = stores.where((F.col("index") >= 0) & (F.col("index") < count))
     return stores.drop("index")
+
+
+def fetch_store_count(endpoint: str, headers: dict[str, str] | None = None, timeout: float = 30) -> int:
+    """`number_stores` as an endpoint gives it: one request."""
+    with urlopen(Request(endpoint, headers=headers or {}), timeout=timeout) as answer:
+        return int(json.load(answer)["number_stores"])
+
+
+def fetch_stores(
+    spark: SparkSession, endpoint: str, schema: StructType, count: int,
+    headers: dict[str, str] | None = None, tasks: int | None = None, timeout: float = 30,
+) -> DataFrame:
+    """Store objects 0 to count - 1 from `endpoint`, where `{store_number}` is the id.
+
+    Tasks each fetch a range of ids; a refused or broken answer fails the task, which
+    Spark runs again. Write the result before using it more than once: every use
+    fetches anew.
+    """
+    names = schema.fieldNames()
+
+    def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            stores = []
+            for store_number in batch["id"]:
+                url = endpoint.replace("{store_number}", str(store_number))
+                with urlopen(Request(url, headers=headers or {}), timeout=timeout) as answer:
+                    store = json.load(answer)
+                values = [store.get(name) for name in names]
+                stores.append([None if v is None else str(v) for v in values])
+            yield pd.DataFrame(stores, columns=names, dtype=object)
+
+    return spark.range(0, count, 1, tasks).mapInPandas(fetch, schema)
