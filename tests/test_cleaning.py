@@ -62,7 +62,10 @@ def test_cards(spark):
 
 
 def test_integer_card_numbers_stay_integers(spark):
-    raw = spark.createDataFrame([(30060773296197, "1", "a", "b")], "card_number bigint, `1` string, first_name string, last_name string")
+    raw = spark.createDataFrame(
+        [(30060773296197, "1", "a", "b")],
+        "card_number bigint, `1` string, first_name string, last_name string",
+    )
     assert [tuple(r) for r in clean_orders(raw).collect()] == [("30060773296197",)]
 
 

@@ -137,6 +137,10 @@ def test_registry_and_tables(spark, tmp_path):
     write_table(df.where("index = 0"), registry, "catalog", "kept")
     assert rows(read_table(spark, registry, "catalog", "kept")) == [("a",)]
     assert "kept" in list_tables(spark)
+    plain = spark.createDataFrame([("b",), ("a",)], "v string")
+    write_table(plain, registry, "catalog", "numbered", index_by=("v",))
+    assert rows(spark.table("numbered")) == [(0, "a"), (1, "b")]
+    assert rows(read_table(spark, registry, "catalog", "numbered")) == [("a",), ("b",)]
 
 
 def test_jdbc_options():

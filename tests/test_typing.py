@@ -57,7 +57,10 @@ def test_store_limits(spark):
 
 
 def test_uuid_strictness(spark):
-    raw = spark.createDataFrame([("JUNK", "1", "1", "1", "1", "t")], "date_uuid string, month string, year string, day string, time_period string, timestamp string")
+    raw = spark.createDataFrame(
+        [("JUNK", "1", "1", "1", "1", "t")],
+        "date_uuid string, month string, year string, day string, time_period string, timestamp string",
+    )
     assert STAR["dates"].apply(raw).first().date_uuid is None
     with pytest.raises(PySparkException, match="not a UUID: JUNK"):
         STAR["dates"].apply(raw, strict=True).collect()

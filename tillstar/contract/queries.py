@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import digits_only, parse_date, strict_double, to_kg, weight_class
+from ..functions import digits_only, parse_date, strict_double, weight_class
 from ..operators.cleaning import CLEANERS, convert_weights, quarantine
 from ..operators.integrity import fk_orphans, pk_violations
 from ..operators.profiling import max_lengths, profile

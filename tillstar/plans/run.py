@@ -33,7 +33,8 @@ def read_raw(
     kind `table`: `source` and `name` of a registered database, with the four split
     options if it is to be read in parallel; `file`: `path`; `pages`: `path`, `format`;
     `stores`: `path`, and `count` if a document says how many stores there are; `api`:
-    `endpoint` and `count` endpoint of a store service, `headers`. Files and services give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
+    `endpoint` and `count` endpoint of a store service, `headers`. Files and services
+    give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
     gives all it has.
     """
     kind = source["kind"]

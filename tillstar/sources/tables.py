@@ -5,6 +5,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.profiling import profile
+from ..operators.sequence import with_index
 
 
 @dataclass
@@ -57,11 +58,17 @@ def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
 
 
 def write_table(
-    df: DataFrame, registry: SourceRegistry, target: str, name: str, show_profile: bool = False
+    df: DataFrame, registry: SourceRegistry, target: str, name: str, show_profile: bool = False,
+    index_by: tuple[str, ...] = (),
 ) -> None:
-    """Write a table to a named database and replace what was there."""
+    """Write a table to a named database and replace what was there.
+
+    `index_by` puts a dense 0-based `index` column in that order in front.
+    """
     options = registry.options(target)
     fmt = options.pop("format")
+    if index_by:
+        df = with_index(df, *index_by)
     if show_profile:
         profile(df).show(1000, truncate=False)
     writer = df.write.mode("overwrite")
