@@ -47,9 +47,27 @@ def test_require_keys(spark):
     integrity.require_keys({**whole, "orders": tables["orders"].where("user_uuid = 'u1' AND date_uuid = 'd1'")})
 
 
-def test_the_fact_is_scanned_once(spark, tmp_path, plan_of):
+def stored(spark, tmp_path):
     tables = star(spark)
-    tables["orders"].write.parquet(str(tmp_path / "orders"))
-    tables["orders"] = spark.read.parquet(str(tmp_path / "orders"))
-    text = plan_of(integrity.fk_orphans(tables).agg(F.sum("orphan_rows")))
-    assert text.count("FileScan") == 1 and "CartesianProduct" not in text
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    return tables
+
+
+def test_large_dimensions_share_one_scan_of_the_fact(spark, tmp_path, no_broadcast, plan_of):
+    report = integrity.fk_orphans(stored(spark, tmp_path))
+    assert plan_of(report).count("FileScan") == 1 + len(integrity.FOREIGN_KEYS)
+    assert {r.key_column: r.orphan_rows for r in report.collect()}["date_uuid"] == 2
+
+
+def test_small_dimensions_are_looked_up_before_the_shuffle(spark, tmp_path, plan_of):
+    tables = stored(spark, tmp_path)
+    dims = {k: tables[t] for k, t in integrity.FOREIGN_KEYS.items()}
+    found = integrity.orphans(tables["orders"], dims)
+    text = plan_of(found)
+    assert "SortMergeJoin" not in text
+    lines = text.splitlines()
+    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
+    assert len(joins) == len(dims) and all("partial_count" in lines[i - 1] for i in joins)
+    assert sorted(tuple(r) for r in found.collect()) == [("date_uuid", "d9", 2), ("user_uuid", "u9", 1)]

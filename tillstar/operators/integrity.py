@@ -5,6 +5,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .joins import broadcastable
 from .typing import STAR
 
 # The fact's foreign keys: column and the dimension whose key it must match.
@@ -35,13 +36,8 @@ def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """Fact keys with no dimension row: key_column, key_value and how many fact rows hold it.
-
-    `dims` maps a key column of the fact to the dimension it refers to. One scan of
-    the fact counts all its keys, each key once per task before anything shuffles,
-    and one anti join settles them all. A null key refers to nothing and is no orphan.
-    """
+def _unmatched(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """`orphans` for some of the keys, in one scan of the fact and one anti join."""
     key = ["key_column", "key_value"]
     text = {k: F.col(k).cast("string").alias(k) for k in dims}
     used = fact.select(*text.values()).unpivot([], list(dims), *key).where("key_value IS NOT NULL")
@@ -52,6 +48,20 @@ def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     return counts.join(known, key, "left_anti")
 
 
+def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
+    """Fact keys with no dimension row: key_column, key_value and how many fact rows hold it.
+
+    `dims` maps a key column of the fact to the dimension it refers to. Keys of a
+    dimension that can be broadcast are looked up where the fact is read, and only
+    orphans shuffle. All other keys share one scan, are counted per task before they
+    shuffle, and meet their dimensions in one join. A null key refers to nothing and
+    is no orphan.
+    """
+    large = {k: dim for k, dim in dims.items() if not broadcastable(dim.select(k))}
+    groups = [{k: dim} for k, dim in dims.items() if k not in large] + ([large] if large else [])
+    return reduce(DataFrame.unionByName, (_unmatched(fact, group) for group in groups))
+
+
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
     """Per foreign key of the fact: how many key values, and rows, find no dimension row."""
     fact = tables["orders"]
