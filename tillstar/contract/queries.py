@@ -1,6 +1,7 @@
 """Every registered query with its SQL twin.
 
-Dates leave as ISO text, so that both engines print them alike.
+Dates, and whole numbers that may be null, leave as text, so that both engines show
+them alike.
 """
 
 from collections.abc import Callable
@@ -40,9 +41,9 @@ def register(name: str, oracle: str) -> Callable[[Query], Query]:
     return add
 
 
-def dates_as_text(df: DataFrame) -> DataFrame:
-    dates = {c: F.col(c).cast("string") for c, t in df.dtypes if t == "date"}
-    return df.withColumns(dates) if dates else df
+def printable(df: DataFrame, *nullable: str) -> DataFrame:
+    as_text = {c: F.col(c).cast("string") for c, t in df.dtypes if t == "date" or c in nullable}
+    return df.withColumns(as_text) if as_text else df
 
 
 def _text(*names: str) -> str:
@@ -89,11 +90,11 @@ SALES = {
         FROM sold JOIN sales_stores USING (store_code) WHERE country_code = 'DE' GROUP BY store_type, country_code"""),
     "sale_gap_by_year": (sales.sale_gap_by_year, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
     "sale_gap_by_year_window": (sales.sale_gap_by_year_window, "orders dates", "SELECT sale_year, mean_gap_us FROM mean_gaps"),
-    "next_sale_moments": (sales.next_sale_moments, "orders dates", """
+    "next_sale_moments": (lambda t: printable(sales.next_sale_moments(t), "next_at", "gap_us"), "orders dates", """
         , sold_at AS (SELECT DISTINCT year, ts FROM fact JOIN moments USING (date_uuid))
         SELECT CAST(year(ts) AS INTEGER) AS sale_year, epoch_us(ts) AS at,
-          epoch_us(lead(ts) OVER same_year) AS next_at,
-          epoch_us(lead(ts) OVER same_year) - epoch_us(ts) AS gap_us
+          CAST(epoch_us(lead(ts) OVER same_year) AS VARCHAR) AS next_at,
+          CAST(epoch_us(lead(ts) OVER same_year) - epoch_us(ts) AS VARCHAR) AS gap_us
         FROM sold_at WINDOW same_year AS (PARTITION BY year ORDER BY ts)"""),
     "sale_gap_formatted": (sales.sale_gap_formatted, "orders dates", """
         , texts AS (SELECT sale_year, printf('%02d:%02d:%02d.%03d', mean_gap_us // 3600000000,
@@ -145,7 +146,7 @@ def weight_classes(spark, sf):
       CAST(p.joined AS VARCHAR) AS joined
     FROM raw_users u JOIN parsed_users p USING (user_uuid)""")
 def parse_dates(spark, sf):
-    return dates_as_text(raw(spark, sf, "users").select(
+    return printable(raw(spark, sf, "users").select(
         "user_uuid",
         F.col("date_of_birth").alias("dob_text"), parse_date(F.col("date_of_birth")).alias("dob"),
         F.col("join_date").alias("join_text"), parse_date(F.col("join_date")).alias("joined"),
@@ -189,18 +190,18 @@ def availability_flag(spark, sf):
 
 # --- Cleaning, typing, quarantine --------------------------------------------
 
-DATES_OF = {
+SHOWN_AS_TEXT = {
     "users": ["date_of_birth", "join_date"], "cards": ["date_payment_confirmed"],
-    "stores": ["opening_date"], "products": ["date_added"], "orders": [], "dates": [],
+    "stores": ["opening_date", "staff_numbers"], "products": ["date_added"], "orders": [], "dates": [],
 }
 
 for _table in RAW:
-    _columns = _text(*DATES_OF[_table]) if DATES_OF[_table] else "*"
+    _columns = _text(*SHOWN_AS_TEXT[_table]) if SHOWN_AS_TEXT[_table] else "*"
     register(f"clean_{_table}", f"SELECT {_columns} FROM clean_{_table}")(
-        lambda spark, sf, t=_table: dates_as_text(CLEANERS[t](raw(spark, sf, t)))
+        lambda spark, sf, t=_table: printable(CLEANERS[t](raw(spark, sf, t)), *SHOWN_AS_TEXT[t])
     )
     register(f"typed_{_table}", f"SELECT {_columns} FROM typed_{_table}")(
-        lambda spark, sf, t=_table: dates_as_text(star_tables({t: raw(spark, sf, t)})[t])
+        lambda spark, sf, t=_table: printable(star_tables({t: raw(spark, sf, t)})[t], *SHOWN_AS_TEXT[t])
     )
 
 
