@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import mixing, packing, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, mixing, packing, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -38,6 +38,11 @@ def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op9_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every embedding."""
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Greedy word-piece counts of every document."""
     docs, at = wordpiece.token_counts(read_table(spark, sf_dir, "documents", "doc_id", "text"), PIECES)
@@ -46,6 +51,30 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_zstd_bands, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op10_longest_match_counts)
+    for f in (op1_zstd_bands, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
+}
+ORACLES: dict[str, str] = {
+    "op9_product_quantisation": """
+with recursive v as (
+    select vec_id, label, list_transform(embedding, x -> x::double) as e
+    from embeddings
+    where label is not null and len(embedding) > 0
+      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, x -> x <> 0)) > 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b
+    from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+    where list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select r.vec_id, l.b from reach r join links l on r.other = l.a
+),
+named as (select vec_id, min(other) as component_id from reach group by vec_id),
+counted as (select a, count(*) as n from links group by a)
+select n.vec_id, coalesce(c.n, 0)::bigint as n_links, n.component_id, n.vec_id = n.component_id as kept
+from named n left join counted c on c.a = n.vec_id
+""",
 }
-ORACLES: dict[str, str] = {}
