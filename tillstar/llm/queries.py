@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, mixing, packing, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, mixing, packing, pii, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,23 @@ def op1_zstd_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{at}.*")
 
 
+def _of_kind(kind: str):
+    return lambda span: span["kind"] == kind
+
+
+def op3_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base spans and those the trees add."""
+    docs, at = pii.with_spans(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+    base = F.filter(at, lambda s: s["base"] == 1)
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return docs.select(
+        "doc_id",
+        *[F.size(F.filter(base, _of_kind(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(F.col(at)).alias("spans"),
+    )
+
+
 def op5_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -51,7 +68,7 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_zstd_bands, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
+    for f in (op1_zstd_bands, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
 }
 ORACLES: dict[str, str] = {
     "op9_product_quantisation": """
