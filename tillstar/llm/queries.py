@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, mixing, packing, pii, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, licenses, mixing, packing, pii, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -20,6 +20,11 @@ def op1_zstd_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{at}.*")
 
 
+def op2_diagonal_voting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def _of_kind(kind: str):
     return lambda span: span["kind"] == kind
 
@@ -68,7 +73,7 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_zstd_bands, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
+    for f in (op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
 }
 ORACLES: dict[str, str] = {
     "op9_product_quantisation": """
