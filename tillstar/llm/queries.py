@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, licenses, mixing, packing, pii, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, html_model, licenses, mixing, packing, pii, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -60,6 +60,12 @@ def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_tree_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages, at = html_model.with_main_text(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col(at).alias("text"), F.length(at).cast("long").alias("n_chars"))
+
+
 def op9_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and near-duplicate component of every embedding."""
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
@@ -73,7 +79,7 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op9_product_quantisation, op10_longest_match_counts)
+    for f in (op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts)
 }
 ORACLES: dict[str, str] = {
     "op9_product_quantisation": """
