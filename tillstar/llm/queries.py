@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, html_model, licenses, mixing, packing, pii, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, html_model, licenses, mixing, packing, pii, quality_model, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,17 @@ def op3_candidate_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_attention_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned outside the held-out quarter."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    docs = read_table(spark, sf_dir, "documents", "doc_id", "text")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality")
+    model = quality_model.train(docs, labels.where(~held_out))
+    scored, at = quality_model.with_score(docs, model)
+    predicted = (F.col(at) >= quality_model.THRESHOLD).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), F.col(at).alias("score"), predicted.alias("predicted"))
+
+
 def op5_simhash_popcount(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -79,7 +90,10 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op5_simhash_popcount, op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts)
+    for f in (
+        op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op4_attention_passages, op5_simhash_popcount,
+        op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts,
+    )
 }
 ORACLES: dict[str, str] = {
     "op9_product_quantisation": """
