@@ -23,6 +23,7 @@ import random
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -210,11 +211,13 @@ def _look_alike(kind: str, rnd: random.Random) -> tuple[str, str]:
     wrong = d(rnd.choice([13, 14, 15, 16, 16, 16, 18, 19]))
     if len(wrong) >= 14 and luhn(wrong):
         wrong = wrong[:-1] + str((int(wrong[-1]) + 1) % 10)
+    token = "".join(rnd.choice("0123456789abcdef") for _ in range(12)) + rnd.choice("abcdef")
+    token = f'"{token}{d(rnd.choice([7, 9, 10, 10, 11, 12, 14, 16]))}{token[::-1]}"'  # digits inside a longer code
     four = " ".join(wrong[i : i + 4] for i in range(0, len(wrong), 4))
     if kind == "card":
         return hint, rnd.choice([wrong, wrong, four, f"978{d(10)}", f"{date.replace('-', '')}{d(6)}", f"{d(4)} {d(5)} {d(6)}"])
     return hint, rnd.choice([
-        date, date.replace("-", "/"), date.replace("-", "."), f"{date} {d(2)}", wrong, four, d(rnd.randint(7, 12)), f"{d(1)}.{d(8)}",
+        token, token, date, date.replace("-", "/"), date.replace("-", "."), f"{date} {d(2)}", wrong, four, d(rnd.randint(7, 12)), f"{d(1)}.{d(8)}",
         f"978-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"{d(3)}.{d(3)}.{d(3)}.{d(2)}", f"{d(4)} {d(4)}", f"{d(3)} {d(4)}", f"{d(2)}-{d(7)}", f"{d(4)}-{d(4)}", f"{d(5)} {d(2)} {d(3)}",
     ])
 
@@ -241,14 +244,19 @@ def examples(texts: list[str], kind: str, seed: int = 11) -> tuple[np.ndarray, n
     for label, make in ((1, _made), (0, _look_alike)):
         for _ in range(EXAMPLES):
             hint, span = make(kind, rnd)
+            parts = [span]
+            if label and kind in ("card", "phone") and rnd.random() < 0.3:  # neighbours
+                parts.append(make(kind, rnd)[1])
+            span = " ".join(parts)
             left = " ".join([rnd.choice(words), rnd.choice(words), hint + rnd.choice([":", ""]) if hint else rnd.choice(words), ""])
             text = left + span + rnd.choice([" ", ".", ", ", "!! "]) + rnd.choice(words)
+            # Only a whole is an example of the kind; its parts are not, nor is it with more.
+            ends = list(accumulate((len(p) + 1 for p in parts), initial=len(left)))
+            right = {(a, b - 1) for a, b in zip(ends, ends[1:], strict=False)} if label else set()
             for k, a, b in candidates(text):
                 if k == kind:
-                    # Only the whole is an example of the kind; its parts are not.
-                    right = label == 1 and a == len(left) and b == len(left) + len(span)
                     x.append(features(text, kind, a, b))
-                    y.append(float(right))
+                    y.append(float((a, b) in right))
     for text in texts:
         exact = set(base_spans(text))
         for k, a, b in candidates(text):
