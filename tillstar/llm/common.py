@@ -69,28 +69,38 @@ def spread(*columns: str | Column, buckets: int) -> Column:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of the graph whose edges are the rows of `edges`.
 
-    Returns (node, component), component being the smallest node that can be reached.
+    Returns (node, component); component is one node of the component, the same for all.
     Nodes are those with an edge; ends of null are dropped, loops and repeated edges do
-    no harm. Every round takes the least label among a node and its neighbours, then the
-    label of that label, so chains shorten by doubling. Rounds are written tables; what
-    is collected is one count a round.
+    no harm. Each round, every node joins the neighbour (or itself) whose hash is least,
+    and only edges between what is then apart go on, so a dense group is gone after a
+    round or two and a chain shrinks by a factor, however its nodes are numbered. Rounds
+    are written tables; nothing is collected.
     """
-    spark = edges.sparkSession
-    pairs = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u is not null and v is not null and u != v")
-    both = written(pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "edges")
-    labels = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")), "labels")
-    while True:
-        near = (
-            both.join(labels.select(F.col("u").alias("v"), "label"), "v")
-            .groupBy("u").agg(F.min("label").alias("best"))
-            .join(labels, "u")
-            .select("u", F.col("label").alias("old"), F.least("best", "label").alias("label"))
+    left = written(_apart(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "edges")
+    found = None
+    for turn in range(200):
+        if left.isEmpty():
+            break
+        ends = left.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e"))
+        rank = lambda node: F.xxhash64(node, F.lit(turn))  # noqa: B023, E731
+        nearest = ends.select("e.u", "e.v").groupBy("u").agg(F.min_by("v", rank("v")).alias("best"))
+        moved = written(
+            nearest.select(F.col("u").alias("node"), F.when(rank("best") < rank("u"), F.col("best")).otherwise(F.col("u")).alias("to")), "moved"
         )
-        over = labels.select(F.col("u").alias("label"), F.col("label").alias("next"))
-        step = written(
-            near.join(over, "label", "left").select("u", "old", F.least("label", "next").alias("label")), "labels"
-        )
-        moved = step.where("old != label").limit(1).count()
-        labels = step.select("u", "label")
-        if not moved:
-            return labels.select(F.col("u").alias("node"), F.col("label").alias("component"))
+        at = lambda end: moved.select(F.col("node").alias(end), F.col("to").alias(f"{end}_to"))  # noqa: B023, E731
+        left = written(_apart(left.join(at("u"), "u").join(at("v"), "v").select(F.col("u_to").alias("u"), F.col("v_to").alias("v"))), "edges")
+        if found is None:
+            found = moved
+        else:
+            later = moved.select(F.col("node").alias("to"), F.col("to").alias("later"))
+            found = written(found.join(later, "to", "left").select("node", F.coalesce("later", "to").alias("to")), "found")
+    else:
+        raise RuntimeError("components haven't come together in 200 rounds")
+    if found is None:
+        return left.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return found.select("node", F.col("to").alias("component"))
+
+
+def _apart(edges: DataFrame) -> DataFrame:
+    """Distinct edges (u, v), u < v, between different nodes."""
+    return edges.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
