@@ -32,6 +32,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from tillstar.llm.common import components, written
 
@@ -44,6 +45,8 @@ CODEWORDS = 256
 PER_LIST = 2000
 LISTS = 1024
 MEMBERS, QUERIES = 2000, 4000
+#: More than single precision can be out by, in distances between unit vectors.
+SLACK = 1e-3
 
 
 def _nearest(x: np.ndarray, centers: np.ndarray) -> np.ndarray:
@@ -91,16 +94,18 @@ class Index:
         squared = (x**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
         own = squared[np.arange(len(x)), at][:, None]
         apart = np.sqrt(np.maximum(0, ((self.centroids[at][:, None] - self.centroids) ** 2).sum(2)))
-        return (squared - own) <= 2 * (self.radius + 1e-9) * apart + 1e-9
+        near = (squared - own) <= 2 * (self.radius + 1e-9) * apart + 1e-9
+        return near & (np.arange(len(self.centroids)) >= at[:, None])
 
     def distances(self, x: np.ndarray, place: int, codes: np.ndarray) -> np.ndarray:
-        """Asymmetric distances of unit vectors to the coded members of the list `place`."""
-        parts = self.parts(x - self.centroids[place])
-        total = np.zeros((len(x), len(codes)))
-        for s, words in enumerate(self.codewords):
-            table = ((parts[:, s, None] - words) ** 2).sum(2)
-            total += table[:, codes[:, s]]
-        return np.sqrt(np.maximum(0, total))
+        """Asymmetric distances of unit vectors to the coded members of the list `place`, in
+        single precision: right to within SLACK."""
+        parts = self.parts(x - self.centroids[place]).astype(np.float32)
+        total = np.zeros((len(x), len(codes)), np.float32)
+        for s, words in enumerate(self.codewords.astype(np.float32)):
+            table = (parts[:, s] ** 2).sum(1)[:, None] - 2 * (parts[:, s] @ words.T) + (words**2).sum(1)
+            total += np.take(table, codes[:, s], axis=1)
+        return np.sqrt(np.maximum(total, 0, out=total), out=total)
 
 
 def fit(x: np.ndarray, lists: int, cosine: float, subspaces: int = SUBSPACES) -> Index:
@@ -110,15 +115,17 @@ def fit(x: np.ndarray, lists: int, cosine: float, subspaces: int = SUBSPACES) ->
     return Index(centroids, words, float(np.sqrt(max(0.0, 2 - 2 * cosine))))
 
 
-def _plain(vectors, dimension: int) -> np.ndarray:
-    """Vectors in double precision, the largest component one, with zeros up to `dimension`."""
-    out = np.zeros((len(vectors), dimension))
+def _plain(vectors, dimension: int, dtype=np.float64) -> np.ndarray:
+    """Vectors as rows, with zeros up to `dimension`; doubles are scaled to a largest
+    component of one, so that no square overflows."""
+    out = np.zeros((len(vectors), dimension), dtype)
     for i, v in enumerate(vectors):
         out[i, : len(v)] = v
-    return out / np.abs(out).max(1, keepdims=True) if len(out) else out
+    return out / np.abs(out).max(1, keepdims=True) if len(out) and dtype == np.float64 else out
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    x = x.astype(np.float64, copy=False)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -141,22 +148,23 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             return root
 
 
-def _compare(index: Index, cosine: float):
+def _compare(index: Index, cosine: float, dtype):
     """Links between a block of queries and a block of members of one list."""
 
     def block(key, queries: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         out = {"cid": [], "other": [], "links": []}
         if len(queries) and len(members):
-            read = lambda rows: np.frombuffer(b"".join(rows["vec"]), np.float64).reshape(len(rows), -1)
+            read = lambda rows: np.frombuffer(b"".join(rows["vec"]), dtype).reshape(len(rows), -1).astype(np.float64)
             x, y = read(queries), read(members)
             ux, ny = _unit(x), np.linalg.norm(y, axis=1)
             codes = np.frombuffer(b"".join(members["codes"]), np.uint8).reshape(len(members), -1)
-            q, m = queries["cid"].to_numpy(), members["cid"].to_numpy()
-            reach = index.radius + members["error"].to_numpy() + 1e-9
+            q, m, home = queries["cid"].to_numpy(), members["cid"].to_numpy(), queries["home"].to_numpy()
+            reach = (index.radius + members["error"].to_numpy() + SLACK).astype(np.float32)
             found = []
             for at in range(0, len(x), 256):
                 near = index.distances(ux[at : at + 256], int(key[2]), codes) <= reach
-                i, j = np.nonzero(near & (q[at : at + 256, None] < m))
+                once = (home[at : at + 256, None] != key[2]) | (q[at : at + 256, None] < m)
+                i, j = np.nonzero(near & once)
                 i = i + at
                 for k in range(0, len(i), 65536):
                     a, b = i[k : k + 65536], j[k : k + 65536]
@@ -194,11 +202,14 @@ def near_duplicates(
     chosen = classes.select("vec").orderBy(F.xxhash64("cid")).limit(sample).collect()
     index = fit(_unit(_plain([r["vec"] for r in chosen], dimension)), max(1, min(LISTS, size["n"] // per_list)), cosine)
 
+    # Single precision is stored as such; every cosine is taken in double precision.
+    dtype = np.float32 if isinstance(df.schema[vector].dataType.elementType, FloatType) else np.float64
+
     def encode(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 512):
                 part = pdf.iloc[at : at + 512]
-                x = _plain(part["vec"].to_list(), dimension)
+                x = _plain(part["vec"].to_list(), dimension, dtype)
                 place, codes, error = index.encode(_unit(x))
                 probes = index.probes(_unit(x), place)
                 yield pd.DataFrame({
@@ -214,18 +225,18 @@ def near_duplicates(
     )
     key = ["label", "d", "list"]
     # Aliased, as both sides of a cogroup need columns of their own.
-    asked = coded.select(*[F.col(c).alias(c) for c in ("cid", "label", "d", "n", "vec")], F.explode("probes").alias("list"))
+    asked = coded.select(*[F.col(c).alias(c) for c in ("cid", "label", "d", "n", "vec")], F.col("list").alias("home"), F.explode("probes").alias("list"))
     blocks = (
         coded.groupBy(*key).agg(F.ceil(F.count("*") / members).cast("int").alias("parts"))
         .join(asked.groupBy(*key).agg(F.ceil(F.count("*") / queries).cast("int").alias("turns")), key)
     )
     own = lambda n: F.pmod(F.xxhash64("cid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    asking = asked.join(blocks, key).select(*key, every("parts").alias("part"), own("turns").alias("turn"), "cid", "n", "vec")
+    asking = asked.join(blocks, key).select(*key, every("parts").alias("part"), own("turns").alias("turn"), "cid", "n", "vec", "home")
     asked_of = coded.join(blocks, key).select(*key, own("parts").alias("part"), every("turns").alias("turn"), "cid", "n", "vec", "codes", "error")
     full = [*key, "part", "turn"]
     found = written(
-        asking.groupBy(*full).cogroup(asked_of.groupBy(*full)).applyInPandas(_compare(index, cosine), "cid long, other long, links long"),
+        asking.groupBy(*full).cogroup(asked_of.groupBy(*full)).applyInPandas(_compare(index, cosine, dtype), "cid long, other long, links long"),
         "links",
     )
 
