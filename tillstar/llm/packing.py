@@ -6,7 +6,8 @@ counts per length: from the longest length down, each remaining piece leaves a g
 is filled exactly by a single length, a pair or a triple (an index of single and pair
 sums over the lengths still available), and a combination is used as often as its counts
 allow. What has no exact complement is placed best-fit: longest first, into the smallest
-gap that holds it. The plan is a list of patterns with their numbers of uses; its size
+gap that holds it. Of the plans with triples, with pairs and with single fillers only, the
+shortest is taken. The plan is a list of patterns with their numbers of uses; its size
 depends on `size`, not on the data.
 
 Pieces are matched to places by their rank within their length, which comes from counts
@@ -102,7 +103,15 @@ def pieces(
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int, ...]]]:
-    """Patterns (number of uses, lengths) that use up `counts` pieces per length."""
+    """Patterns (number of uses, lengths) that use up `counts` pieces per length.
+
+    Filling gaps by triples uses up short pieces that later ones may lack, so plans with up
+    to three, two and one fillers are made, and the one with the fewest sequences is taken.
+    """
+    return min((_plan(counts, size, most) for most in (3, 2, 1)), key=lambda p: sum(times for times, _ in p))
+
+
+def _plan(counts: dict[int, int], size: int, most: int) -> list[tuple[int, tuple[int, ...]]]:
     left = {n: c for n, c in counts.items() if c > 0}
     patterns: list[tuple[int, tuple[int, ...]]] = []
 
@@ -121,7 +130,7 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int,
     rest: dict[int, int] = {}
     while left:
         top = max(left)
-        parts = (top,) if top == size else _complement(top, size - top, left, enough)
+        parts = (top,) if top == size else _complement(top, size - top, left, enough, most)
         if parts:
             use(parts)
         else:
@@ -129,17 +138,20 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, tuple[int,
     return patterns + _best_fit(rest, size)
 
 
-def _complement(top: int, gap: int, left: dict[int, int], enough) -> tuple[int, ...] | None:
-    """Lengths that fill `gap` exactly beside `top`: one, two or three, the longest first."""
+def _complement(top: int, gap: int, left: dict[int, int], enough, most: int) -> tuple[int, ...] | None:
+    """Lengths that fill `gap` exactly beside `top`: one, two or three (`most` at most), the
+    longest first."""
     if enough(top, gap):
         return (top, gap)
+    if most < 2:
+        return None
     order = sorted((n for n in left if n < gap), reverse=True)
     for a in order:
         if 2 * a < gap:
             break
         if enough(top, a, gap - a):
             return (top, a, gap - a)
-    for a in order:
+    for a in order if most > 2 else ():
         if 3 * a < gap:
             break
         for b in order:
