@@ -1,0 +1,90 @@
+"""The pipeline against plain versions of its stages."""
+
+import random
+from collections import Counter, defaultdict
+
+import brute
+import corpus_pipeline
+import pytest
+from test_sets import check_packing, expected_pieces
+
+from tillstar.llm import pii, quality_rules
+from tillstar.llm.common import read_table, written
+
+
+@pytest.fixture(scope="module")
+def stages(spark, small):
+    """What each stage reads and writes."""
+    docs = read_table(spark, small, "documents")
+    out = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = written(stage(spark, docs, small), name)
+        out.append(docs)
+    return out
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def test_stages(spark, small, stages):
+    raw, quality, single, clean, mixed, packed = stages
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "simhash_near_dedup", "pii", "source_mixing", "best_fit_packing"]
+    assert all(df.columns == raw.columns for df in stages[:-1])
+    judge = quality_rules.judge(quality_rules.Bands())
+    before = rows_of(raw)
+    assert sorted(rows_of(quality)) == sorted(r for r in before if judge([r[1] or ""])[0]["kept"])
+
+    before = rows_of(quality)
+    near = brute.near_duplicates([(r[0], r[1]) for r in before])
+    assert sorted(rows_of(single)) == sorted(r for r in before if near[r[0], r[1]][1] == r[0])
+
+    before = {r[0]: r for r in rows_of(single)}
+    after = {r[0]: r for r in rows_of(clean)}
+    assert set(before) == set(after)
+    for i, row in after.items():
+        assert row[4] == len(row[1]) and not brute.spans(row[1]) and row[2:4] == before[i][2:4]
+        if not pii.candidates(before[i][1]):
+            assert row[1] == before[i][1]
+
+    sizes = {i: len(brute.WORD.findall(r[1])) for i, r in after.items()}
+    copies = Counter(rows_of(mixed))
+    assert set(copies) <= set(after.values()) and max(copies.values()) <= 3
+    by = defaultdict(int)
+    for r in after.values():
+        by[r[3]] += sizes[r[0]]
+    from tillstar.llm import mixing
+
+    want = mixing.share_out(dict(by), mixing.cycled_weights(by))
+    for source, target in want.items():
+        taken = sum(n * sizes[r[0]] for r, n in copies.items() if r[3] == source)
+        assert abs(taken - target) <= max(s for i, s in sizes.items() if after[i][3] == source) / 2
+
+    last = packed.collect()
+    expected = sorted((r[0], *p) for r, n in copies.items() for _ in range(n) for p in expected_pieces(r[1]))
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in last) == expected
+    used, least = check_packing(last, 1024)
+    assert used <= 1.05 * least + 1
+    run = corpus_pipeline.run(spark, small)
+    key = lambda df: sorted((r["doc_id"], r["piece"], r["ids_crc32"]) for r in df.collect())
+    assert key(run) == key(packed)
+
+
+def test_stages_on_odd_rows(spark, odd, nothing):
+    for start in (odd, nothing):
+        docs = start.select("doc_id", "text", "lang", "source", "key", "id")
+        for name, stage in corpus_pipeline.STAGES:
+            docs = written(stage(spark, docs, ""), name)
+        assert docs.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+        check_packing(docs.collect(), 1024)
+    assert docs.count() == 0
+
+
+def test_order_of_rows_does_not_matter(spark, small):
+    docs = read_table(spark, small, "documents").collect()
+    random.Random(1).shuffle(docs)
+    again = spark.createDataFrame(docs, read_table(spark, small, "documents").schema).repartition(7)
+    first = read_table(spark, small, "documents")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        first, again = (written(stage(spark, d, small), "stage") for d in (first, again))
+    assert sorted(map(str, first.collect())) == sorted(map(str, again.collect()))

@@ -98,11 +98,11 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op9_product_quantisation": """
 with recursive v as (
-    select vec_id, label, list_transform(embedding, x -> x::double) as e
+    select vec_id, label, embedding::double[] as e
     from embeddings
     where label is not null and len(embedding) > 0
-      and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-      and len(list_filter(embedding, x -> x <> 0)) > 0
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+      and len([x for x in embedding if x <> 0]) > 0
 ),
 links as (
     select a.vec_id as a, b.vec_id as b
