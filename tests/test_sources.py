@@ -9,8 +9,8 @@ from tillstar.sources import (
     RAW_SCHEMAS, SourceRegistry, fetch_store_count, fetch_stores, list_tables, load, read_csv, read_json_columns, read_pages, read_stores,
     read_table, stack_pages, store_count, write_table,
 )
-from tillstar.sources.readers import text_schema
-from tillstar.sources.tables import jdbc_options
+from tillstar.sources.readers import BROKEN, text_schema
+from tillstar.sources.tables import bounds_query, jdbc_options, split_of
 
 
 def rows(df):
@@ -20,16 +20,31 @@ def rows(df):
 def test_csv_by_name_with_null_tokens(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text(',b,a,c\n0,"x, ""y""",1,z\n1,N/A,2,z\n2,,NULL,z\n')
-    assert rows(read_csv(spark, str(path), text_schema("a", "b"))) == sorted(
-        [("1", 'x, "y"'), ("2", None), (None, None)], key=repr
-    )
-    assert rows(read_csv(spark, str(path), text_schema("b"), null_tokens=())) == sorted(
+    df = read_csv(spark, str(path), text_schema("a", "b"))
+    assert df.columns == ["a", "b", "_c0", "c"] and df.count() == 3
+    assert rows(df.select("a", "b")) == sorted([("1", 'x, "y"'), ("2", None), (None, None)], key=repr)
+    assert rows(df.select("c")) == [("z",)] * 3
+    assert rows(read_csv(spark, str(path), text_schema("b"), null_tokens=()).select("b")) == sorted(
         [('x, "y"',), ("N/A",), (None,)], key=repr
     )
     with pytest.raises(ValueError, match="lacks the columns"):
         read_csv(spark, str(path), text_schema("a", "missing"))
 
 
+def test_csv_rows_with_surplus_fields(spark, tmp_path):
+    path = tmp_path / "p.csv"
+    path.write_text('a,b\n1,2\n3\n4,5,6\n7,8,\n"x,y",9\n')
+    kept = read_csv(spark, str(path), text_schema("a", "b"), broken=BROKEN)
+    assert rows(kept) == sorted(
+        [("1", "2", None), ("3", None, None), (None, None, "4,5,6"), (None, None, "7,8,"), ("x,y", "9", None)], key=repr
+    )
+    assert kept.count() == 5 and kept.select("b").distinct().count() == 3
+    strict = read_csv(spark, str(path), text_schema("a", "b"))
+    for use in (strict.collect, strict.count, strict.select("a").collect):
+        with pytest.raises(PySparkException, match="broken input"):
+            use()
+
+
 def test_csv_line_breaks_in_quotes(spark, tmp_path):
     path = tmp_path / "p.csv"
     path.write_text('a,b\n1,"x\ny"\n')
@@ -84,7 +99,7 @@ def test_pages(spark, tmp_path):
         path = str(tmp_path / fmt)
         one.write.format(fmt).mode("append").save(path)
         two.write.format(fmt).mode("append").save(path)
-        assert rows(read_pages(spark, path, RAW_SCHEMAS["cards"], fmt)) == [("1", "01/24", None), ("2", None, "d")]
+        assert rows(read_pages(spark, path, RAW_SCHEMAS["cards"], fmt)) == [("1", "01/24", None, "x"), ("2", None, "d", None)]
     with pytest.raises(ValueError, match="stack_pages"):
         read_pages(spark, path, RAW_SCHEMAS["cards"], "csv")
 
@@ -115,9 +130,8 @@ def test_stores_of_a_service(spark, tmp_path):
     assert fetch_store_count(f"{base}/count.json") == 7
     stores = fetch_stores(spark, base + "/{store_number}.json", schema, 7, {"x-api-key": "none"}, tasks=3)
     assert rows(stores) == sorted([("S0", None)] + [(f"S{i}", str(i)) for i in range(1, 7)], key=repr)
-    assert stores.rdd.getNumPartitions() == 3
     with pytest.raises(PySparkException):
-        fetch_stores(spark, base + "/{store_number}.json", schema, 8).collect()
+        fetch_stores(spark, base + "/{store_number}.json", schema, 8)
 
     source = {"kind": "api", "endpoint": base + "/{store_number}.json", "count": f"{base}/count.json"}
     assert read_raw(spark, SourceRegistry(), "stores", source).count() == 7
@@ -145,12 +159,12 @@ def test_registry_and_tables(spark, tmp_path):
 
 def test_jdbc_options():
     source = {"url": "jdbc:postgresql://db/retail", "user": "u", "password": "p"}
-    whole = jdbc_options(source, "legacy_users", None)
-    assert whole["dbtable"] == "legacy_users" and "numPartitions" not in whole
+    whole = jdbc_options(source, "users", None)
+    assert whole["dbtable"] == "users" and "numPartitions" not in whole
     split = {"partitionColumn": "index", "lowerBound": "0", "upperBound": "1000", "numPartitions": "8"}
-    assert jdbc_options(source, "legacy_users", split).items() >= split.items()
+    assert jdbc_options(source, "users", split).items() >= split.items()
     with pytest.raises(ValueError, match="parallel"):
-        jdbc_options(source, "legacy_users", {"numPartitions": "8"})
+        jdbc_options(source, "users", {"numPartitions": "8"})
 
 
 def test_scratch_is_under_the_shared_folder(spark):
@@ -158,9 +172,56 @@ def test_scratch_is_under_the_shared_folder(spark):
     assert a != b and a.startswith(shared_dir(spark))
 
 
-def test_bad_json_reads_as_nulls_not_as_failure(spark, tmp_path):
-    (tmp_path / "x.json").write_text("not json")
-    try:
-        assert rows(read_json_columns(spark, str(tmp_path), text_schema("a"))) == []
-    except PySparkException:
-        pytest.fail("a broken document must not end the read")
+def test_pages_with_numbers(spark, tmp_path):
+    """Pages as their writer typed them, alike or not."""
+    numbers = spark.createDataFrame([(1, "01/24")], "card_number bigint, expiry_date string")
+    texts = spark.createDataFrame([("??2", "02/25")], "card_number string, expiry_date string")
+    numbers.write.parquet(str(tmp_path / "pages" / "1"))
+    path = str(tmp_path / "pages")
+    assert rows(read_pages(spark, path, RAW_SCHEMAS["cards"])) == [("1", "01/24", None)]
+    texts.write.parquet(str(tmp_path / "pages" / "2"))
+    assert rows(read_pages(spark, path, RAW_SCHEMAS["cards"])) == [("1", "01/24", None), ("??2", "02/25", None)]
+
+
+def test_columns_nobody_listed(spark, tmp_path):
+    df = spark.createDataFrame([("1", 2, "x")], "a string, b int, c string")
+    df.write.option("header", True).csv(str(tmp_path / "t.csv"))
+    df.write.json(str(tmp_path / "t.jsonl"))
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    (tmp_path / "t.json").write_text('{"c": {"0": "x"}, "b": {"0": 2}, "a": {"0": "1"}}')
+    for name in ("t.csv", "t.jsonl", "t.json", "t.parquet"):
+        got = load(spark, str(tmp_path / name), text_schema("b"))
+        assert rows(got.select("a", "b", "c")) == [("1", "2", "x")], name
+        assert got.columns[0] == "b"
+
+
+def test_broken_json(spark, tmp_path):
+    lines = tmp_path / "t.jsonl"
+    lines.write_text('{"a": "1", "z": 5}\nnot json\n')
+    documents = tmp_path / "documents"
+    documents.mkdir()
+    (documents / "good.json").write_text('{"a": {"0": "1"}}')
+    (documents / "bad.json").write_text('{"a": {"0": ')
+    assert rows(load(spark, str(lines), text_schema("a"), broken=BROKEN).select("a", "z", BROKEN)) == [("1", "5", None), (None, None, "not json")]
+    assert rows(load(spark, str(documents), text_schema("a"), "json", BROKEN)) == [("1", None), (None, '{"a": {"0": ')]
+    for path, fmt in ((lines, None), (documents, "json")):
+        whole = load(spark, str(path), text_schema("a"), fmt)
+        for use in (whole.collect, whole.count):
+            with pytest.raises(PySparkException, match="broken input"):
+                use()
+
+
+def test_listed_tables(spark, tmp_path):
+    registry = SourceRegistry({"landed": {"format": "parquet", "path": str(tmp_path / "db")}})
+    assert list_tables(spark, registry=registry, source="landed") == []
+    for name in ("b", "a"):
+        write_table(spark.range(3).toDF("n"), registry, "landed", name)
+    assert list_tables(spark, registry=registry, source="landed") == ["a", "b"]
+
+
+def test_split_from_bounds():
+    assert split_of(None, None, 0) is None and split_of(0, 9, 10, per_task=10) is None
+    assert split_of(0, 99, 100, per_task=30) == {
+        "partitionColumn": "index", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"
+    }
+    assert bounds_query("users") == '(SELECT min("index") AS low, max("index") AS high, count(*) AS n FROM users) bounds'

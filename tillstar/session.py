@@ -33,9 +33,11 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session may do without the setting; it gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    master = spark.sparkContext.master
+    one_process = master == "local" or master.startswith("local[")  # local-cluster has executors of its own
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not one_process:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     own = tempfile.mkdtemp(prefix="tillstar-")
     spark.conf.set("spark.checkpoint.dir", own)

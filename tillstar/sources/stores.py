@@ -7,8 +7,9 @@ from urllib.request import Request, urlopen
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import scratch_path
 from .readers import read_json_lines, read_json_objects
 
 
@@ -29,17 +30,19 @@ def store_count(spark: SparkSession, path: str) -> int:
 
 def read_stores(
     spark: SparkSession, path: str, schema: StructType, count: int | None = None,
-    one_per_line: bool = True,
+    one_per_line: bool = True, broken: str | None = None, columns: list[str] | None = None,
 ) -> DataFrame:
     """Store objects landed as JSON, one per line or one per file.
 
-    `count` keeps the ids 0 to count - 1.
+    `count` keeps the ids 0 to count - 1. `broken` and `columns` are those of the reader.
     """
-    with_index = StructType([StructField("index", LongType()), *schema.fields])
+    with_index = StructType([StructField("index", StringType()), *schema.fields])
     read = read_json_lines if one_per_line else read_json_objects
-    stores = read(spark, path, with_index)
+    stores = read(spark, path, with_index, broken, columns)
     if count is not None:
-        stores = stores.where((F.col("index") >= 0) & (F.col("index") < count))
+        number = F.col("index").try_cast("bigint")
+        wanted = (number >= 0) & (number < count)
+        stores = stores.where(wanted | F.col(broken).isNotNull() if broken else wanted)
     return stores.drop("index")
 
 
@@ -52,24 +55,24 @@ def fetch_store_count(endpoint: str, headers: dict[str, str] | None = None, time
 def fetch_stores(
     spark: SparkSession, endpoint: str, schema: StructType, count: int,
     headers: dict[str, str] | None = None, tasks: int | None = None, timeout: float = 30,
+    broken: str | None = None,
 ) -> DataFrame:
     """Store objects 0 to count - 1 from `endpoint`, where `{store_number}` is the id.
 
-    Tasks each fetch a range of ids; a refused or broken answer fails the task, which
-    Spark runs again. Write the result before using it more than once: every use
-    fetches anew.
+    Tasks each fetch a range of ids; a refused answer fails the task, which Spark runs
+    again. The documents are landed in the shared folder, one per line, and read from
+    there, so that no use fetches anew.
     """
-    names = schema.fieldNames()
 
     def fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            stores = []
+            documents = []
             for store_number in batch["id"]:
                 url = endpoint.replace("{store_number}", str(store_number))
                 with urlopen(Request(url, headers=headers or {}), timeout=timeout) as answer:
-                    store = json.load(answer)
-                values = [store.get(name) for name in names]
-                stores.append([None if v is None else str(v) for v in values])
-            yield pd.DataFrame(stores, columns=names, dtype=object)
+                    documents.append(" ".join(answer.read().decode().splitlines()))
+            yield pd.DataFrame({"value": documents})
 
-    return spark.range(0, count, 1, tasks).mapInPandas(fetch, schema)
+    path = scratch_path(spark, "fetched")
+    spark.range(0, count, 1, tasks).mapInPandas(fetch, "value string").write.text(path)
+    return read_json_lines(spark, path, schema, broken).drop("index")

@@ -2,11 +2,15 @@
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.profiling import profile
+from ..operators.profiling import profile, show_all
 from ..operators.sequence import with_index
 
+#: Rows that one task reads of a database table that is split.
+ROWS_PER_TASK = 1_000_000
+
 
 @dataclass
 class SourceRegistry:
@@ -28,7 +32,8 @@ def jdbc_options(source: dict[str, str], name: str, split: dict[str, str] | None
     """Options of one JDBC table read.
 
     `split` (partitionColumn, lowerBound, upperBound, numPartitions) lets tasks read
-    ranges of the table in parallel; without it one task reads it all.
+    ranges of the table in parallel; without it one task reads it all (`read_table`
+    makes one up where the table has an `index`).
     """
     needed = {"partitionColumn", "lowerBound", "upperBound", "numPartitions"}
     if split and set(split) != needed:
@@ -36,6 +41,30 @@ def jdbc_options(source: dict[str, str], name: str, split: dict[str, str] | None
     return {"fetchsize": "10000", **source, "dbtable": name, **(split or {})}
 
 
+def bounds_query(name: str, column: str = "index") -> str:
+    """A query, as a table, for the least and greatest value of a column and the row count."""
+    return f'(SELECT min("{column}") AS low, max("{column}") AS high, count(*) AS n FROM {name}) bounds'
+
+
+def split_of(low: int | None, high: int | None, n: int, column: str = "index", per_task: int = ROWS_PER_TASK):
+    """The split that gives each task about `per_task` rows; None where one task is enough."""
+    if low is None or n <= per_task:
+        return None
+    tasks = -(-n // per_task)
+    return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(tasks)}
+
+
+def _read_jdbc(spark: SparkSession, source: dict[str, str], name: str, split: dict[str, str] | None) -> DataFrame:
+    """Without a split: by ranges of the table's `index`, whose bounds one small query gives."""
+    whole = spark.read.format("jdbc").options(**jdbc_options(source, name, split)).load()
+    whole_numbers = ("smallint", "int", "bigint")
+    if split or dict(whole.dtypes).get("index") not in whole_numbers:
+        return whole
+    bounds = spark.read.format("jdbc").options(**jdbc_options(source, bounds_query(name), None)).load().first()
+    found = split_of(bounds["low"], bounds["high"], bounds["n"])
+    return spark.read.format("jdbc").options(**jdbc_options(source, name, found)).load() if found else whole
+
+
 def read_table(
     spark: SparkSession, registry: SourceRegistry, source: str, name: str,
     split: dict[str, str] | None = None,
@@ -46,15 +75,33 @@ def read_table(
     if fmt == "catalog":
         df = spark.table(name)
     elif fmt == "jdbc":
-        df = spark.read.format("jdbc").options(**jdbc_options(options, name, split)).load()
+        df = _read_jdbc(spark, options, name, split)
     else:
         df = spark.read.format(fmt).load(f"{options['path'].rstrip('/')}/{name}")
     return df.drop("index")
 
 
-def list_tables(spark: SparkSession, database: str | None = None) -> list[str]:
-    """Names of the tables and views the session's catalog knows."""
-    return sorted(t.name for t in spark.catalog.listTables(database))
+def list_tables(
+    spark: SparkSession, database: str | None = None, registry: SourceRegistry | None = None, source: str | None = None
+) -> list[str]:
+    """Names of the tables of a named source, or of those the session's catalog knows.
+
+    A folder's tables are the folders in it; a JDBC source lists its information schema.
+    """
+    options = registry.options(source) if registry and source else {"format": "catalog"}
+    fmt = options.pop("format")
+    if fmt == "catalog":
+        return sorted(t.name for t in spark.catalog.listTables(database))
+    if fmt == "jdbc":
+        query = "(SELECT table_name FROM information_schema.tables) listed"
+        return sorted(r[0] for r in spark.read.format("jdbc").options(**jdbc_options(options, query, None)).load().collect())
+    root = options["path"].rstrip("/")
+    try:
+        files = spark.read.option("recursiveFileLookup", True).text(root).inputFiles()
+    except AnalysisException:  # nothing there yet
+        return []
+    inside = [f.split(f"{root.rpartition(':')[2].rstrip('/')}/", 1)[-1] for f in files]
+    return sorted({f.split("/", 1)[0] for f in inside if "/" in f})
 
 
 def write_table(
@@ -70,7 +117,7 @@ def write_table(
     if index_by:
         df = with_index(df, *index_by)
     if show_profile:
-        profile(df).show(1000, truncate=False)
+        show_all(profile(df))
     writer = df.write.mode("overwrite")
     if fmt == "catalog":
         writer.saveAsTable(name)
