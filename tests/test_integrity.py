@@ -66,8 +66,24 @@ def test_small_dimensions_are_looked_up_before_the_shuffle(spark, tmp_path, plan
     dims = {k: tables[t] for k, t in integrity.FOREIGN_KEYS.items()}
     found = integrity.orphans(tables["orders"], dims)
     text = plan_of(found)
-    assert "SortMergeJoin" not in text
-    lines = text.splitlines()
-    joins = [i for i, line in enumerate(lines) if "BroadcastHashJoin" in line]
-    assert len(joins) == len(dims) and all("partial_count" in lines[i - 1] for i in joins)
+    assert "SortMergeJoin" not in text and text.count("FileScan") == 1 + len(dims)
+    assert text.count("BroadcastHashJoin") == len(dims)
+    assert text.index("partial_count") < text.index("BroadcastHashJoin")  # the plan's end comes first
     assert sorted(tuple(r) for r in found.collect()) == [("date_uuid", "d9", 2), ("user_uuid", "u9", 1)]
+
+
+@pytest.mark.parametrize("large", [("users",), ("users", "dates", "cards"), ("products",)])
+def test_any_mix_of_dimensions_reads_the_fact_once(spark, tmp_path, plan_of, monkeypatch, large):
+    tables = stored(spark, tmp_path)
+    keys = {k for k, t in integrity.FOREIGN_KEYS.items() if t in large}
+    monkeypatch.setattr(integrity, "broadcastable", lambda df: not keys & set(df.columns))
+    dims = {k: tables[t] for k, t in integrity.FOREIGN_KEYS.items()}
+    found = integrity.orphans(tables["orders"], dims)
+    assert plan_of(found).count("FileScan") == 1 + len(dims)
+    assert sorted(tuple(r) for r in found.collect()) == [("date_uuid", "d9", 2), ("user_uuid", "u9", 1)]
+
+
+def test_violations_are_counted_beyond_those_shown(spark):
+    users = spark.createDataFrame([(str(i // 2),) for i in range(40)], "user_uuid string")
+    with pytest.raises(ValueError, match="20 primary key values"):
+        integrity.require_keys({"users": users})

@@ -27,24 +27,41 @@ def joined(rows, dim_rows):
 
 def test_hot_keys_are_few_and_found(spark):
     _, fact, _ = skewed(spark)
-    assert joins.hot_keys(fact, "k", most=10, share=1.0) == ["hot"]
-    assert joins.hot_keys(fact, "k", most=10, share=1.0, least=1001) == []
-    every = joins.hot_keys(fact, "k", most=50, share=1.0, least=1)
-    assert "hot" in every and len(every) < 50 and None not in every
+    assert [tuple(r) for r in joins.hot_keys(fact, "k", 300).collect()] == [("hot", 4)]
+    assert joins.hot_keys(fact, "k", 1000).count() == 0
+    every = {r.hot_key: r.shares for r in joins.hot_keys(fact, "k", 10).collect()}
+    assert every["hot"] == 100 and None not in every and len(every) <= 300
 
 
-@pytest.mark.parametrize("most, least", [(10, 1), (300, 1), (10, 10_000)])
-def test_lookup_is_the_inner_join(spark, no_broadcast, most, least):
+@pytest.mark.parametrize("rows_per_task", [1, 10, 300, 10_000])
+def test_lookup_is_the_inner_join(spark, no_broadcast, rows_per_task):
     rows, fact, dim = skewed(spark)
-    got = joins.lookup(fact, dim, "k", most=most, share=1.0, least=least)
+    got = joins.lookup(fact, dim, "k", rows_per_task)
     want = joined(rows, [tuple(r) for r in dim.collect()])
     assert sorted(tuple(r) for r in got.select("k", "other", "n", "v").collect()) == want
 
 
-def test_hot_rows_do_not_shuffle(spark, no_broadcast, plan_of):
+def test_repeated_dimension_keys(spark, no_broadcast):
+    """A key that stands in the dimension twice finds both rows, hot or not."""
+    rows, fact, dim = skewed(spark)
+    got = joins.lookup(fact, dim.union(dim), "k", 300)
+    want = joined(rows, [tuple(r) for r in dim.collect()])
+    assert sorted(tuple(r) for r in got.select("k", "other", "n", "v").collect()) == sorted(want * 2)
+
+
+def test_hot_rows_are_shared(spark, no_broadcast, tmp_path, plan_of):
     _, fact, dim = skewed(spark)
-    text = plan_of(joins.lookup(fact, dim, "k", most=10, share=1.0))
-    assert text.count("BroadcastHashJoin") == 1 and text.count("SortMergeJoin") == 1
+    fact.write.parquet(str(tmp_path / "fact"))
+    fact = spark.read.parquet(str(tmp_path / "fact"))
+    out = joins.lookup(fact, dim, "k", 100)
+    text = plan_of(out)
+    assert text.count("FileScan") == 1 and text.count("SortMergeJoin") == 1
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = out.groupBy("k", F.spark_partition_id()).count().where("k = 'hot'").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(hot) > 1 and sum(r["count"] for r in hot) == 1000
 
 
 def test_small_dimension_is_broadcast_by_size(spark, tmp_path, plan_of):

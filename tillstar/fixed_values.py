@@ -35,16 +35,30 @@ WEB, OFFLINE = "Web", "Offline"
 
 # Date layouts, each with the shape of text it may read. `NAME` is
 # a month name, whole or as its first three letters. Layouts of the same shape are
-# tried in order.
+# tried in order: where day and month could be either, the month comes first.
 DATE_LAYOUTS = [
     (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
     (r"\d{4} NAME \d{1,2}", "yyyy MMMM d"),
     (r"NAME \d{4} \d{1,2}", "MMMM yyyy d"),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
+    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
+    (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
+    (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"),
     (r"\d{8}", "yyyyMMdd"),
-    (r"\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}", "yyyy-MM-dd HH:mm:ss"),
     (r"\d{1,2} NAME \d{4}", "d MMMM yyyy"),
+    (r"\d{1,2}-NAME-\d{4}", "d-MMMM-yyyy"),
+    (r"\d{4}-NAME-\d{1,2}", "yyyy-MMMM-d"),
     (r"NAME \d{1,2}, \d{4}", "MMMM d, yyyy"),
+    (r"NAME \d{1,2} \d{4}", "MMMM d yyyy"),
+    (r"NAME-\d{1,2}-\d{4}", "MMMM-d-yyyy"),
 ]
+
+# What may follow a date and is dropped: a clock, with or without seconds,
+# fractions, half of day and zone.
+CLOCK = r"[T ]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?( ?[AaPp][Mm])?( ?(Z|[+-]\d{2}:?\d{2}))? *$"
+# Endings of a day's number, as in 22nd.
+ORDINAL = r"(?<=\d)(st|nd|rd|th)(?=[ ,])"

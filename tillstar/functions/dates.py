@@ -5,7 +5,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import DATE_LAYOUTS
+from ..fixed_values import CLOCK, DATE_LAYOUTS, ORDINAL
 
 MONTH_NAME = "[A-Za-z]{3,9}"
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
@@ -25,6 +25,12 @@ def _read(text: Column, layout: str) -> Column:
     return text.try_cast("date") if layout == "yyyy-M-d" else F.try_to_date(F.trim(text), layout)
 
 
+def day_part(text: Column) -> Column:
+    """The text without a clock behind its date, and without the ending of an ordinal."""
+    plain = F.when(text.contains(":"), F.regexp_replace(text, CLOCK, "")).otherwise(text)
+    return F.when(plain.rlike(ORDINAL), F.regexp_replace(plain, ORDINAL, "")).otherwise(plain)
+
+
 def parse_date(text: Column, strict: bool = False) -> Column:
     """Read a date from any known layout; unreadable text is null, or an error when strict.
 
@@ -32,6 +38,10 @@ def parse_date(text: Column, strict: bool = False) -> Column:
     than failing through a list of them: a failed parse costs far more than a
     pattern test.
     """
+    # Most dates are ISO and need none of the rest.
+    iso = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
+    written = text
+    text = F.when(iso, text).otherwise(day_part(text))
     branches = [
         (text.rlike(f"^ *{shape} *$"), F.coalesce(*(_read(text, p) for p in layouts)))
         for shape, layouts in _by_shape().items()
@@ -40,7 +50,7 @@ def parse_date(text: Column, strict: bool = False) -> Column:
     parsed = reduce(lambda chain, b: chain.when(*b), rest, F.when(*first))
     if not strict:
         return parsed
-    shown = F.coalesce(text, F.lit("null"))
+    shown = F.coalesce(written, F.lit("null"))
     return F.coalesce(parsed, F.raise_error(F.concat(F.lit("unreadable date: "), shown)).cast("date"))
 
 

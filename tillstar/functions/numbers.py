@@ -20,3 +20,12 @@ def digits_only(text: Column) -> Column:
 def to_smallint(number: Column, strict: bool = False) -> Column:
     """Fit a value into SMALLINT: out of range is null, or an error when strict."""
     return number.cast("smallint") if strict else number.try_cast("smallint")
+
+
+#: What a price that is summed exactly may hold: 24 digits before the point, 6 behind.
+MONEY = "decimal(30,6)"
+
+
+def fits_money(price: Column) -> Column:
+    """Whether a price is exactly a number with up to six decimals."""
+    return F.coalesce(price.try_cast(MONEY).cast("double") == price, F.lit(False))

@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions import digits_only, parse_date, strict_double, to_kg
+from ..functions import digits_only, nullable_text, parse_date, strict_double, to_kg, to_smallint, uuid_text
+from ..functions.numbers import fits_money
+from ..sources.readers import BROKEN
 
 
 @dataclass(frozen=True)
@@ -31,24 +33,52 @@ def _price(text: Column) -> Column:
 
 
 def _no_nulls(df: DataFrame) -> list[Rule]:
-    return [Rule(f"{name} missing", F.col(f"`{name}`").isNotNull()) for name in df.columns]
+    return [Rule(f"{name} missing", F.col(f"`{name}`").isNotNull()) for name in df.columns if name != BROKEN]
 
 
 def _readable_dates(*names: str) -> list[Rule]:
     return [Rule(f"{n} unreadable", parse_date(F.col(n)).isNotNull(), drops=False) for n in names]
 
 
+def _whole_input(df: DataFrame) -> list[Rule]:
+    """Rows that stand for input that could not be read, if the reader kept them."""
+    return [Rule("input unreadable", F.col(BROKEN).isNull())] if BROKEN in df.columns else []
+
+
+def _kept_by_typing(reason: str, raw: Column, typed: Column) -> Rule:
+    """Whether typing keeps a value; where there is none, nothing is lost."""
+    return Rule(reason, raw.isNull() | typed.isNotNull(), drops=False)
+
+
+def _uuids(df: DataFrame, *names: str) -> list[Rule]:
+    present = [n for n in names if n in df.columns]
+    return [_kept_by_typing(f"{n} no UUID", F.col(n), uuid_text(F.col(n))) for n in present]
+
+
+def position_text(*names: str) -> Column:
+    """A coordinate written in the first of several columns that has it; null for none."""
+    return nullable_text(F.concat(*(F.coalesce(F.col(n), F.lit("")) for n in names)), fixed.MISSING_POSITION)
+
+
+def _position(reason: str, *names: str) -> Rule:
+    text = position_text(*names)
+    return _kept_by_typing(reason, text, strict_double(text))
+
+
 def user_rules(df: DataFrame) -> list[Rule]:
     return [
+        *_whole_input(df),
         Rule("country not served", F.col("country").isin(fixed.USER_COUNTRIES)),
         Rule("country_code not served", F.col("country_code").isin(fixed.USER_COUNTRY_CODES)),
         *_no_nulls(df),
         *_readable_dates("date_of_birth", "join_date"),
+        *_uuids(df, "user_uuid"),
     ]
 
 
 def card_rules(df: DataFrame) -> list[Rule]:
     return [
+        *_whole_input(df),
         Rule("expiry_date has no slash", F.col("expiry_date").contains("/")),
         *_no_nulls(df),
         *_readable_dates("date_payment_confirmed"),
@@ -58,18 +88,35 @@ def card_rules(df: DataFrame) -> list[Rule]:
 def store_rules(df: DataFrame) -> list[Rule]:
     staff = digits_only(F.col("staff_numbers"))
     return [
+        *_whole_input(df),
         Rule("country_code not served", F.col("country_code").isin(fixed.STORE_COUNTRY_CODES)),
         *_readable_dates("opening_date"),
         Rule("staff_numbers unreadable", staff.isNotNull(), drops=False),
+        _kept_by_typing("staff_numbers too large", staff, to_smallint(staff)),
+        _position("longitude unreadable", "longitude"),
+        _position("latitude unreadable", "latitude", "lat"),
     ]
 
 
 def product_rules(df: DataFrame) -> list[Rule]:
     misspelt, _ = fixed.AVAILABILITY_FIX
+    price = _price(F.col("product_price"))
     return [
+        *_whole_input(df),
         Rule("removed not a known state", F.col("removed").isin(*fixed.AVAILABILITY, misspelt)),
-        Rule("product_price unreadable", _price(F.col("product_price")).isNotNull(), drops=False),
+        Rule("product_price unreadable", price.isNotNull(), drops=False),
+        Rule("product_price beyond six decimals or 24 digits", price.isNull() | fits_money(price), drops=False),
         *_readable_dates("date_added"),
+        *_uuids(df, "uuid"),
+    ]
+
+
+def order_rules(df: DataFrame) -> list[Rule]:
+    quantity = F.col("product_quantity")
+    return [
+        *_whole_input(df),
+        *_uuids(df, "date_uuid", "user_uuid"),
+        _kept_by_typing("product_quantity no small whole number", quantity, to_smallint(quantity)),
     ]
 
 
@@ -78,7 +125,11 @@ def weight_rules(df: DataFrame) -> list[Rule]:
 
 
 def date_rules(df: DataFrame) -> list[Rule]:
-    return [Rule("time_period not a known period", F.col("time_period").isin(fixed.TIME_PERIODS))]
+    return [
+        *_whole_input(df),
+        Rule("time_period not a known period", F.col("time_period").isin(fixed.TIME_PERIODS)),
+        *_uuids(df, "date_uuid"),
+    ]
 
 
 RULES: dict[str, Callable[[DataFrame], list[Rule]]] = {
@@ -86,20 +137,23 @@ RULES: dict[str, Callable[[DataFrame], list[Rule]]] = {
     "cards": card_rules,
     "stores": store_rules,
     "products": lambda df: [*weight_rules(df), *product_rules(df)],
-    "orders": lambda df: [],
+    "orders": order_rules,
     "dates": date_rules,
 }
 
 
 def _keep(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Rows that pass every dropping rule; plain conjuncts, so scans can take them."""
-    return df.where(reduce(lambda a, b: a & b, (r.ok for r in rules if r.drops)))
+    dropping = [r.ok for r in rules if r.drops]
+    return (df.where(reduce(lambda a, b: a & b, dropping)) if dropping else df).drop(BROKEN)
 
 
 def quarantine(df: DataFrame, table: str) -> DataFrame:
-    """Raw rows that were dropped or lost a value in cleaning, with every reason."""
+    """Raw rows that were dropped or lost a value in cleaning or typing, with every reason."""
     failed = [F.when(~F.coalesce(r.ok, F.lit(False)), r.reason) for r in RULES[table](df)]
-    reasons = F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")
+    reasons = F.array_compact(F.array(*failed))
+    if BROKEN in df.columns:  # that it could not be read is all there is to say of such a row
+        reasons = F.when(F.col(BROKEN).isNotNull(), F.array(F.lit("input unreadable"))).otherwise(reasons)
     return df.withColumn("reject_reasons", reasons).where(F.size("reject_reasons") > 0)
 
 
@@ -164,7 +218,7 @@ def clean_orders(df: DataFrame, strict: bool = False) -> DataFrame:
     absent = [c for c in unwanted if c not in df.columns]
     if strict and absent:
         raise KeyError(f"orders lack the columns {absent}")
-    return df.drop(*unwanted).withColumn("card_number", F.col("card_number").cast("string"))
+    return _keep(df, order_rules(df)).drop(*unwanted).withColumn("card_number", F.col("card_number").cast("string"))
 
 
 def clean_dates(df: DataFrame, strict: bool = False) -> DataFrame:

@@ -33,33 +33,37 @@ def pk_violations(tables: dict[str, DataFrame]) -> DataFrame:
         )
         for t, spec in STAR.items() if spec.key and t in tables
     ]
+    if not reports:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "table_name string, key_column string, key_value string, row_count long")
     return reduce(DataFrame.unionByName, reports)
 
 
-def _unmatched(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
-    """`orphans` for some of the keys, in one scan of the fact and one anti join."""
-    key = ["key_column", "key_value"]
-    text = {k: F.col(k).cast("string").alias(k) for k in dims}
-    used = fact.select(*text.values()).unpivot([], list(dims), *key).where("key_value IS NOT NULL")
-    counts = used.groupBy(*key).agg(F.count("*").alias("row_count"))
-    known = reduce(DataFrame.unionByName, (
-        dim.select(F.lit(k).alias("key_column"), text[k].alias("key_value")) for k, dim in dims.items()
-    ))
-    return counts.join(known, key, "left_anti")
-
-
 def orphans(fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """Fact keys with no dimension row: key_column, key_value and how many fact rows hold it.
 
-    `dims` maps a key column of the fact to the dimension it refers to. Keys of a
-    dimension that can be broadcast are looked up where the fact is read, and only
-    orphans shuffle. All other keys share one scan, are counted per task before they
-    shuffle, and meet their dimensions in one join. A null key refers to nothing and
-    is no orphan.
+    `dims` maps a key column of the fact to the dimension it refers to. The fact is read
+    once. Keys of a dimension that can be broadcast are looked up there and taken out
+    where they are found; what is left of all keys is counted per task before it
+    shuffles, and the keys of large dimensions meet those in one join. A null key refers
+    to nothing and is no orphan.
     """
-    large = {k: dim for k, dim in dims.items() if not broadcastable(dim.select(k))}
-    groups = [{k: dim} for k, dim in dims.items() if k not in large] + ([large] if large else [])
-    return reduce(DataFrame.unionByName, (_unmatched(fact, group) for group in groups))
+    text = {k: F.col(k).cast("string").alias(k) for k in dims}
+    small = {k: dim for k, dim in dims.items() if broadcastable(dim.select(k))}
+    left = fact.select(*text.values())
+    for k, dim in small.items():
+        known = dim.select(text[k]).where(F.col(k).isNotNull()).distinct().withColumnRenamed(k, "known")
+        left = left.join(known, F.col(k) == F.col("known"), "left").withColumn(
+            k, F.when(F.col("known").isNull(), F.col(k))
+        ).drop("known")
+    key = ["key_column", "key_value"]
+    counts = left.unpivot([], list(dims), *key).where("key_value IS NOT NULL").groupBy(*key).agg(
+        F.count("*").alias("row_count")
+    )
+    large = [
+        dim.select(F.lit(k).alias("key_column"), text[k].alias("key_value")) for k, dim in dims.items() if k not in small
+    ]
+    return counts.join(reduce(DataFrame.unionByName, large), key, "left_anti") if large else counts
 
 
 def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
@@ -76,9 +80,11 @@ def fk_orphans(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def require_keys(tables: dict[str, DataFrame]) -> None:
-    """Raise if any key is violated, naming the first few violations."""
-    bad = [r.asDict() for r in pk_violations(tables).limit(5).collect()]
-    if "orders" in tables:
-        bad += [r.asDict() for r in fk_orphans(tables).where("orphan_rows > 0").collect()]
-    if bad:
-        raise ValueError(f"star schema keys violated, for instance: {bad}")
+    """Raise if any key is violated, with counts and the first few violations."""
+    found = pk_violations(tables)
+    bad, some = found.count(), [r.asDict() for r in found.limit(5).collect()]
+    lost = []
+    if "orders" in tables and len(tables) > 1:
+        lost = [r.asDict() for r in fk_orphans(tables).where("orphan_rows > 0").collect()]
+    if bad or lost:
+        raise ValueError(f"star schema keys violated: {bad} primary key values, such as {some}; foreign keys {lost}")

@@ -4,15 +4,15 @@ A dimension is broadcast only where Spark's own size estimate puts it under
 `spark.sql.autoBroadcastJoinThreshold`. Beyond that the fact has to shuffle, and
 one key may hold a large share of its rows. Two exact ways keep that from landing
 in one task: sum the fact per key first (`sum_then_lookup`), or, where rows must
-stay rows, split off the keys that are hot (`lookup`).
+stay rows, cut the keys that are hot into shares (`lookup`).
 """
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-MAX_HOT_KEYS = 1_000
-SAMPLE_SHARE = 0.001
-LEAST_SEEN = 50
+#: Rows of one key that one task may be left with.
+ROWS_PER_TASK = 4_000_000
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -21,38 +21,44 @@ def broadcastable(df: DataFrame) -> bool:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= limit
 
 
-def hot_keys(
-    fact: DataFrame, key: str, most: int = MAX_HOT_KEYS,
-    share: float = SAMPLE_SHARE, least: int = LEAST_SEEN,
-) -> list:
-    """Keys that hold more than 1/`most` of a sample of the rows: fewer than `most` of them.
+def hot_keys(fact: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys with more rows than a task should get, and by how many tasks they are shared.
 
-    A key seen under `least` times in the sample counts as chance. The sample decides
-    which way a row takes through `lookup`, never whether it is in the result.
+    `hot_key` and `shares`. Counted exactly, from the key column alone and folded per task
+    before anything shuffles; there are at most as many such keys as tasks of that size.
     """
-    seen = fact.select(key).where(F.col(key).isNotNull()).sample(share, seed=1)
-    counts = seen.groupBy(key).agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).scalar()
-    hot = counts.where((F.col("n") >= least) & (F.col("n") * most > total))
-    return [row[0] for row in hot.select(key).collect()]
+    counts = fact.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("hot_key")).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > rows_per_task).select(
+        "hot_key", F.ceil(F.col("n") / rows_per_task).cast("int").alias("shares")
+    )
 
 
-def lookup(fact: DataFrame, dim: DataFrame, key: str, **sampling) -> DataFrame:
-    """Inner join of every fact row to the dimension row of its key (unique in `dim`).
+def lookup(fact: DataFrame, dim: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
+    """Inner join of every fact row to the dimension rows of its key.
 
-    Large dimension: a job over a sample of the key column finds the hot keys. Their
-    rows meet the few dimension rows of those keys by broadcast and never shuffle;
-    all other rows take an ordinary shuffle join. The keys are fixed before the plan
-    is made, so both branches agree on them whatever is recomputed.
+    Large dimension: a key with more rows than a task should get is cut into shares, by a
+    hash of its rows, and only its dimension rows are repeated, once a share. The fact is
+    read twice: its key column to count, and once for the join.
     """
     if broadcastable(dim):
         return fact.join(dim, key)
-    hot = hot_keys(fact, key, **sampling)
-    if not hot:
+    found = hot_keys(fact, key, rows_per_task or ROWS_PER_TASK).collect()  # a row per task of the hot keys at most
+    if not found:
         return fact.join(dim, key)
-    is_hot = F.col(key).isin(hot)
-    by_broadcast = fact.where(is_hot).join(F.broadcast(dim.where(is_hot)), key)
-    return by_broadcast.unionByName(fact.where(~is_hot).join(dim, key))
+    hot = F.broadcast(fact.sparkSession.createDataFrame(found, hot_schema(fact, key)))
+    columns = [F.col(f"`{c}`") for c in fact.columns]
+    # Equal rows differ in their number, which a scan gives them alike each time.
+    share = F.pmod(F.xxhash64(*columns, F.monotonically_increasing_id()), "shares").cast("int")
+    cut = fact.join(hot, F.col(key) == F.col("hot_key"), "left").select(*columns, F.coalesce(share, F.lit(0)).alias("hot_share"))
+    places = F.sequence(F.lit(0), F.coalesce(F.col("shares") - 1, F.lit(0)))
+    repeated = dim.join(hot, F.col(key) == F.col("hot_key"), "left").select(
+        *(F.col(f"`{c}`") for c in dim.columns), F.explode(places).alias("hot_share")
+    )
+    return cut.join(repeated, [key, "hot_share"]).drop("hot_share")
+
+
+def hot_schema(fact: DataFrame, key: str) -> StructType:
+    return StructType([StructField("hot_key", fact.schema[key].dataType), StructField("shares", IntegerType())])
 
 
 def sum_then_lookup(fact: DataFrame, dim: DataFrame, key: str, *sums: str) -> DataFrame:

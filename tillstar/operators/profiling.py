@@ -20,3 +20,9 @@ def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:
     """column_name and longest text length, for all columns in one aggregate."""
     longest = df.agg(*(F.max(F.length(F.col(f"`{c}`"))).cast("bigint").alias(c) for c in columns))
     return _one_row_to_many(longest, "column_name", "max_length")
+
+
+def show_all(df: DataFrame) -> None:
+    """Print a small result, every row of it."""
+    rows = df.collect()
+    df.sparkSession.createDataFrame(rows, df.schema).show(max(1, len(rows)), truncate=False)

@@ -81,14 +81,15 @@ def first_in_group(
     return df.groupBy(*group).agg(first.alias("first"), *named).select(*group, "first.*", *extra)
 
 
-def with_index(df: DataFrame, *order: str, name: str = "index") -> DataFrame:
+def with_index(df: DataFrame, *order: str, name: str = "index", path: str | None = None) -> DataFrame:
     """Add a dense 0-based row number in the given order, without a global window.
 
     Rows are range partitioned, sorted and numbered within their partition, and
     frozen as a table in the cluster's shared folder, so a lost executor cannot
     renumber them. The partitions' sizes, one row per partition, then give each
     partition its offset. A hash of the row and a row id break ties in `order`,
-    so that rows which tie still spread out.
+    so that rows which tie still spread out. The frozen table stands at `path`, for the
+    caller to remove when the result has been used, or at a fresh one in the scratch space.
     """
     spark, columns = df.sparkSession, df.columns
     tied = df.withColumns({
@@ -96,7 +97,7 @@ def with_index(df: DataFrame, *order: str, name: str = "index") -> DataFrame:
         "tie_id": F.monotonically_increasing_id(),
     })
     keys = [F.asc_nulls_last(o) for o in order] + [F.col("tie_hash"), F.col("tie_id")]
-    path = scratch_path(spark, "index")
+    path = path or scratch_path(spark, "index")
     (
         tied.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("tie_hash", "tie_id")
         .withColumn("slot", F.monotonically_increasing_id())

@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
-from ..functions import nullable_text, strict_double, to_smallint, uuid_text, varchar, weight_class
+from ..functions import strict_double, to_smallint, uuid_text, varchar, weight_class
+from .cleaning import position_text
 
 
 @dataclass(frozen=True)
@@ -57,10 +58,13 @@ def _uuid(name):
 
 
 def _position(*names):
-    """A coordinate written in the first of several columns that has it."""
     def typed(strict: bool) -> Column:
-        text = F.concat(*(F.coalesce(F.col(n), F.lit("")) for n in names))
-        return strict_double(nullable_text(text, fixed.MISSING_POSITION))
+        text = position_text(*names)
+        number = strict_double(text)
+        if not strict:
+            return number
+        error = F.raise_error(F.concat(F.lit("not a coordinate: "), text)).cast("double")
+        return F.when(number.isNull() & text.isNotNull(), error).otherwise(number)
 
     return typed
 

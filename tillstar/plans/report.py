@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.profiling import show_all
+
 
 def two_decimals(number: Column) -> Column:
     """Fixed two decimals without thousands separators, as money and percent are printed."""
@@ -15,6 +17,7 @@ def report(df: DataFrame) -> DataFrame:
     return df.withColumns(shown) if shown else df
 
 
-def show(df: DataFrame, title: str, rows: int = 100) -> None:
+def show(df: DataFrame, title: str) -> None:
+    """Print a small result under a title, every row of it."""
     print(f"\n{title}")
-    report(df).show(rows, truncate=False)
+    show_all(report(df))

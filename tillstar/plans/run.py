@@ -1,13 +1,12 @@
-"""The whole job: read the six raw tables, build the star, answer the nine questions."""
+"""The whole job: read the six raw tables, build the star, report on it, answer the nine questions."""
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import scratch_path
 from ..sources import (
-    RAW_SCHEMAS, SourceRegistry, fetch_store_count, fetch_stores, load, read_pages, read_stores,
+    RAW_SCHEMAS, SourceRegistry, fetch_store_count, fetch_stores, list_tables, load, read_pages, read_stores,
     read_table, store_count,
 )
-from ..sources.readers import text_schema
+from ..sources.readers import BROKEN
 from . import sales
 from .report import show
 from .warehouse import Warehouse, build_warehouse
@@ -25,49 +24,71 @@ QUESTIONS = {
 }
 
 
+#: The tables each question needs.
+NEEDS = {
+    "Stores per country": "stores", "Localities with most stores": "stores", "Staff per country": "stores",
+    "Sales by month": "orders products dates", "Web and offline": "orders stores",
+    "Share of each store type": "orders products stores", "Best months": "orders products dates",
+    "German sales by store type": "orders products stores", "Time between sales": "orders dates",
+}
+
+
 def read_raw(
-    spark: SparkSession, registry: SourceRegistry, table: str, source: dict
+    spark: SparkSession, registry: SourceRegistry, table: str, source: dict, strict: bool = False
 ) -> DataFrame:
-    """One raw table from where `source` says it is.
+    """One raw table from where `source` says it is, with every column it has there.
 
     kind `table`: `source` and `name` of a registered database, with the four split
-    options if it is to be read in parallel; `file`: `path`; `pages`: `path`, `format`;
-    `stores`: `path`, and `count` if a document says how many stores there are; `api`:
-    `endpoint` and `count` endpoint of a store service, `headers`. Files and services
-    give the columns of `RAW_SCHEMAS` and those listed in `columns`; a database table
-    gives all it has.
+    options if its parallel read is not to be worked out; `file`: `path`; `pages`:
+    `path`, `format`; `stores`: `path`, and `count` if a document says how many stores
+    there are; `api`: `endpoint` and `count` endpoint of a store service, `headers`.
+    Input that can't be read becomes rows for `quarantine`, or an error when strict.
     """
-    kind = source["kind"]
-    schema = text_schema(*RAW_SCHEMAS[table].fieldNames(), *source.get("columns", []))
+    kind, schema = source["kind"], RAW_SCHEMAS[table]
+    broken = None if strict else BROKEN
     if kind == "table":
         split = {k: v for k, v in source.items() if k not in ("kind", "source", "name")}
         return read_table(spark, registry, source["source"], source["name"], split or None)
     if kind == "file":
-        return load(spark, source["path"], schema, source.get("format"))
+        return load(spark, source["path"], schema, source.get("format"), broken)
     if kind == "pages":
-        return read_pages(spark, source["path"], schema, source.get("format", "parquet"))
+        return read_pages(spark, source["path"], schema, source.get("format", "parquet"), broken)
     if kind == "stores":
         count = store_count(spark, source["count"]) if "count" in source else None
-        return read_stores(spark, source["path"], schema, count)
+        return read_stores(spark, source["path"], schema, count, broken=broken)
     if kind == "api":
         headers = source.get("headers")
         count = fetch_store_count(source["count"], headers)
-        fetched = scratch_path(spark, "fetched")
-        fetch_stores(spark, source["endpoint"], schema, count, headers).write.parquet(fetched)
-        return spark.read.schema(schema).parquet(fetched)
+        return fetch_stores(spark, source["endpoint"], schema, count, headers, broken=broken)
     raise ValueError(f"{table}: unknown kind of source {kind!r}")
 
 
+def answers(tables: dict[str, DataFrame], strict: bool = False) -> dict[str, DataFrame]:
+    """The answer to each question that the tables at hand allow."""
+    asked = {t: q for t, q in QUESTIONS.items() if set(NEEDS[t].split()) <= set(tables)}
+    return {t: q(tables, strict=strict) if q is sales.sale_gap_formatted else q(tables) for t, q in asked.items()}
+
+
 def run(
     spark: SparkSession, registry: SourceRegistry, sources: dict[str, dict],
     out: str | dict[str, str], strict: bool = False, printed: bool = True,
 ) -> Warehouse:
-    """Read every table of `sources`, write and check the star at `out`, print the answers."""
-    raw = {table: read_raw(spark, registry, table, source) for table, source in sources.items()}
+    """Read every table of `sources`, write and check the star at `out`, print what it says.
+
+    Beside the star's tables stand the raw rows that cleaning or typing could not use
+    (`rejects_<table>`) and every violated key (`pk_violations`, `fk_orphans`).
+    """
+    raw = {table: read_raw(spark, registry, table, source, strict) for table, source in sources.items()}
     warehouse = build_warehouse(spark, raw, out, strict)
     if printed:
-        for title, question in QUESTIONS.items():
-            show(question(warehouse.tables), title)
-        show(warehouse.pk_report, "Primary key violations")
-        show(warehouse.fk_report, "Foreign keys without a match")
+        for title, answer in answers(warehouse.tables, strict).items():
+            show(answer, title)
+        show(warehouse.reject_counts(), "Rows rejected, in whole or in part")
+        show(warehouse.key_counts(), "Primary keys missing or repeated")
+        if warehouse.fk_report is not None:
+            show(warehouse.fk_report, "Foreign keys without a match")
+        show(warehouse.types, "Column types before and after")
+        show(warehouse.profile(), "Filled values")
+        found = list_tables(spark, registry=warehouse.registry, source="star")
+        print(f"\nTables: {', '.join(found)}")
     return warehouse

@@ -4,7 +4,8 @@ Every function takes `tables`, a dict with the DataFrames it needs of `orders`
 (the fact), `stores`, `products` and `dates`, and returns a lazy DataFrame.
 
 Money is summed as whole pence (`scale` decimals) in bigint: exact in any order,
-and free of per-row decimal arithmetic. Descending order puts nulls first and
+and free of per-row decimal arithmetic. Prices that are finer or very large are summed
+beside it as decimals of six places, so none is rounded or left out. Descending order puts nulls first and
 ascending order last; equal rows at a cut are settled by their key.
 """
 
@@ -13,21 +14,45 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import clock_text, mean_micros, sale_moment, split_clock, to_micros
+from ..functions.numbers import MONEY
 from ..operators.joins import broadcastable, lookup, sum_then_lookup
 from ..operators.sequence import first_in_group, gap_totals, next_moment
 
 Tables = dict[str, DataFrame]
 SCALE = 2
+#: Prices from here on are summed as wide decimals, so that no sum of units overflows.
+LARGE_PRICE = 1_000_000_000
 
 
 def _priced(products: DataFrame, scale: int) -> DataFrame:
-    """product_code and its price in whole units of the last decimal."""
-    exact = F.col("product_price").try_cast(f"decimal(18,{scale})")
-    return products.select("product_code", (exact * 10**scale).cast("bigint").alias("unit_price"))
+    """product_code with its price: in whole units of the last decimal (`unit_price`), or,
+    where it is too fine or too large for that, as a wide decimal (`odd_price`)."""
+    price = F.col("product_price")
+    whole = price.try_cast(f"decimal(18,{scale})")
+    plain = (whole.cast("double") == price.cast("double")) & (F.abs(whole) < LARGE_PRICE)
+    return products.select(
+        "product_code",
+        F.when(plain, (whole * 10**scale).cast("bigint")).alias("unit_price"),
+        F.when(~F.coalesce(plain, F.lit(False)), price.try_cast(MONEY)).alias("odd_price"),
+    )
+
+
+def _units() -> list[Column]:
+    """Amounts of sales: in whole units, and those at odd prices."""
+    quantity = F.col("product_quantity")
+    odd = F.when(F.col("odd_price").isNotNull(), F.col("odd_price") * quantity.cast("decimal(18,0)"))
+    return [(F.col("unit_price") * quantity).alias("units"), odd.cast("decimal(38,6)").alias("odd")]
 
 
-def _money(units: Column, scale: int) -> Column:
-    return units.cast("double") / 10**scale
+def _money(units: Column, odd: Column, scale: int) -> Column:
+    """Units and odd amounts together as a number; exact until it becomes one."""
+    in_units = units.cast("double") / 10**scale
+    both = (units.cast("decimal(19,0)") / 10**scale).cast("decimal(38,6)") + odd
+    return F.when(odd.isNull(), in_units).when(units.isNull(), odd.cast("double")).otherwise(both.cast("double"))
+
+
+def _total(scale: int) -> Column:
+    return _money(F.sum("units"), F.sum("odd"), scale)
 
 
 def _sold_units(tables: Tables, dim: DataFrame, key: str, scale: int) -> DataFrame:
@@ -39,14 +64,13 @@ def _sold_units(tables: Tables, dim: DataFrame, key: str, scale: int) -> DataFra
     attributes = [c for c in dim.columns if c != key]
     fact = tables["orders"].select("product_code", key, "product_quantity")
     prices = _priced(tables["products"], scale)
-    units = (F.col("unit_price") * F.col("product_quantity")).alias("units")
     if broadcastable(dim) and not broadcastable(prices):
         per_product = fact.join(dim, key).groupBy("product_code", *attributes).agg(
             F.sum("product_quantity").alias("product_quantity")
         )
-        return per_product.join(prices, "product_code").select(*attributes, units)
-    sold = lookup(fact, prices, "product_code").select(key, units)
-    return sum_then_lookup(sold, dim, key, "units")
+        return per_product.join(prices, "product_code").select(*attributes, *_units())
+    sold = lookup(fact, prices, "product_code").select(key, *_units())
+    return sum_then_lookup(sold, dim, key, "units", "odd")
 
 
 def stores_per_country(tables: Tables) -> DataFrame:
@@ -68,33 +92,44 @@ def sales_by_month(tables: Tables, scale: int = SCALE) -> DataFrame:
     """Sales of each calendar month over all years, largest first."""
     dates = tables["dates"].select("date_uuid", "month")
     totals = _sold_units(tables, dates, "date_uuid", scale).groupBy("month").agg(
-        _money(F.sum("units"), scale).alias("total_sales")
+        _total(scale).alias("total_sales")
     )
     return totals.orderBy(F.desc_nulls_first("total_sales"), F.asc_nulls_last("month"))
 
 
 def sales_by_month_first_sale(tables: Tables, scale: int = SCALE) -> DataFrame:
-    """`sales_by_month` with one sample sale per month, first by product and date key."""
+    """`sales_by_month` with one sample sale per month, first by product and date key.
+
+    Sums per month and product tell the total and the first product of each month; only
+    the sales of these few products are looked at again to find the sample.
+    """
     fact = tables["orders"].select("product_code", "date_uuid", "product_quantity")
     dates = tables["dates"].select("date_uuid", "month").where(F.col("month").isNotNull())
     prices = _priced(tables["products"], scale)
-    sold = lookup(fact, prices, "product_code").withColumn(
-        "units", F.col("unit_price") * F.col("product_quantity")
-    )
-    sale = ["product_quantity", "unit_price"]
+    by_date = fact
     if not broadcastable(dates):
-        # One candidate sale and one sum per date key before the shuffle join.
-        sold = first_in_group(sold, ["date_uuid"], ["product_code"], sale, units=F.sum("units"))
-    months = first_in_group(
-        sold.join(dates, "date_uuid"), ["month"], ["product_code", "date_uuid"], sale,
-        units=F.sum("units"),
-    )
-    price = _money(F.col("unit_price"), scale)
-    result = months.select(
+        by_date = fact.groupBy("date_uuid", "product_code").agg(F.sum("product_quantity").alias("product_quantity"))
+    sold = by_date.join(dates, "date_uuid").groupBy("month", "product_code").agg(
+        F.sum("product_quantity").alias("product_quantity")
+    )
+    priced = sold.join(prices, "product_code").select("month", "product_code", *_units())
+    months = priced.groupBy("month").agg(F.min("product_code").alias("product_code"), _total(scale).alias("total_sales"))
+
+    first = months.select("month", "product_code")
+    looked_at = fact.join(first.select("product_code").distinct(), "product_code", "left_semi")
+    sample = first_in_group(
+        lookup(looked_at, dates, "date_uuid").join(first, ["month", "product_code"]),
+        ["month", "product_code"], ["date_uuid"], ["product_quantity"],
+    )
+    priced_sample = sample.join(months, ["month", "product_code"]).join(prices, "product_code").withColumns(
+        {c: u for c, u in zip(("units", "odd"), _units(), strict=True)}
+    )
+    odd_price = F.col("odd_price").cast("decimal(38,6)")
+    result = priced_sample.select(
         "product_quantity", "product_code", "date_uuid", "month",
-        price.alias("product_price"),
-        _money(F.col("unit_price") * F.col("product_quantity"), scale).alias("total_price"),
-        _money(F.col("units"), scale).alias("total_sales"),
+        _money(F.col("unit_price"), odd_price, scale).alias("product_price"),
+        _money(F.col("units"), F.col("odd"), scale).alias("total_price"),
+        "total_sales",
     )
     return result.orderBy(
         F.desc_nulls_first("total_sales"), "month", "product_code", "date_uuid"
@@ -103,8 +138,8 @@ def sales_by_month_first_sale(tables: Tables, scale: int = SCALE) -> DataFrame:
 
 def web_vs_offline(tables: Tables) -> DataFrame:
     """Sales moments and products sold on the web and in shops."""
-    web = F.col("store_type").isin(fixed.WEB_STORE_TYPE)
-    location = F.when(web, fixed.WEB).otherwise(fixed.OFFLINE).alias("location")
+    on_web = F.col("store_type").eqNullSafe(F.lit(fixed.WEB_STORE_TYPE))
+    location = F.when(on_web, fixed.WEB).otherwise(fixed.OFFLINE).alias("location")
     stores = tables["stores"].select("store_code", location)
     fact = tables["orders"].select("store_code", "date_uuid", "product_quantity")
     sales = lookup(fact, stores, "store_code").groupBy("location").agg(
@@ -118,12 +153,12 @@ def store_type_share(tables: Tables, scale: int = SCALE) -> DataFrame:
     """Sales of each store type and their share of all sales."""
     stores = tables["stores"].select("store_code", "store_type")
     by_type = _sold_units(tables, stores, "store_code", scale).groupBy("store_type").agg(
-        F.sum("units").alias("units")
+        F.sum("units").alias("units"), F.sum("odd").alias("odd")
     )
-    overall = by_type.agg(_money(F.sum("units"), scale)).scalar()
+    overall = by_type.agg(_total(scale)).scalar()
     total = F.col("total_sales")
     return (
-        by_type.select("store_type", _money(F.col("units"), scale).alias("total_sales"))
+        by_type.select("store_type", _money(F.col("units"), F.col("odd"), scale).alias("total_sales"))
         .withColumn("sales_percentage", F.try_divide(total, overall) * 100)
         .orderBy(F.desc_nulls_first("total_sales"), F.asc_nulls_last("store_type"))
     )
@@ -133,7 +168,7 @@ def top_year_months(tables: Tables, top: int = 10, scale: int = SCALE) -> DataFr
     """The months of single years that sold most."""
     dates = tables["dates"].select("date_uuid", "year", "month")
     totals = _sold_units(tables, dates, "date_uuid", scale).groupBy("year", "month").agg(
-        _money(F.sum("units"), scale).alias("total_sales")
+        _total(scale).alias("total_sales")
     )
     order = [F.desc_nulls_first("total_sales"), F.asc_nulls_last("year"), F.asc_nulls_last("month")]
     return totals.orderBy(*order).limit(top)
@@ -152,7 +187,7 @@ def country_sales_by_store_type(tables: Tables, country: str = "DE", scale: int
     stores = tables["stores"].where(F.col("country_code") == country)
     stores = stores.select("store_code", "store_type", "country_code")
     totals = _sold_units(tables, stores, "store_code", scale).groupBy("store_type", "country_code").agg(
-        _money(F.sum("units"), scale).alias("total_sales")
+        _total(scale).alias("total_sales")
     )
     return totals.orderBy(F.asc_nulls_last("total_sales"), F.asc_nulls_last("store_type"))
 

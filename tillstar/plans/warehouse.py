@@ -1,12 +1,15 @@
 """From raw tables to the written, typed and checked star schema."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.cleaning import CLEANERS, RULES, quarantine
+from ..operators.cleaning import CLEANERS, quarantine
 from ..operators.integrity import fk_orphans, pk_violations, require_keys
-from ..operators.typing import STAR
+from ..operators.profiling import profile
+from ..operators.typing import STAR, type_changes
 from ..sources.tables import SourceRegistry, read_table, write_table
 
 
@@ -15,20 +18,61 @@ def star_tables(raw: dict[str, DataFrame], strict: bool = False) -> dict[str, Da
     return {t: STAR[t].apply(CLEANERS[t](df, strict=strict), strict) for t, df in raw.items()}
 
 
+def star_types(raw: dict[str, DataFrame], strict: bool = False) -> DataFrame:
+    """table_name, column_name, old_type, new_type and nullable of every column of the star.
+
+    old_type is the cleaned table's, null for a column that typing makes.
+    """
+    rows, spark = [], None
+    for t, df in raw.items():
+        spark, clean = df.sparkSession, CLEANERS[t](df, strict=strict)
+        rows += [(STAR[t].name, *change) for change in type_changes(clean, STAR[t].apply(clean, strict))]
+    return spark.createDataFrame(rows, "table_name string, column_name string, old_type string, new_type string, nullable boolean")
+
+
+def _stacked(parts: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 @dataclass
 class Warehouse:
-    """The written star and what its build found wrong; no fact, no foreign key report."""
+    """The written star and what its build found wrong; no fact or no dimension, no foreign key report."""
 
     tables: dict[str, DataFrame]
     rejects: dict[str, DataFrame]
     pk_report: DataFrame
     fk_report: DataFrame | None
+    types: DataFrame
+    registry: SourceRegistry
 
     def create_views(self) -> None:
         """Make the tables known to `spark.sql` under their names."""
         for t, df in self.tables.items():
             df.createOrReplaceTempView(STAR[t].name)
 
+    def reject_counts(self) -> DataFrame:
+        """table_name, reason and rows_rejected."""
+        return reject_counts(self.rejects)
+
+    def key_counts(self) -> DataFrame:
+        """Per primary key: how many of its values are missing or repeated, and their rows."""
+        return self.pk_report.groupBy("table_name", "key_column").agg(
+            F.count("*").alias("key_values"), F.sum("row_count").alias("row_count")
+        )
+
+    def profile(self) -> DataFrame:
+        """Filled values and type of every column of every table."""
+        return profile_star(self.tables)
+
+
+def reject_counts(rejects: dict[str, DataFrame]) -> DataFrame:
+    reasons = [df.select(F.lit(t).alias("table_name"), F.explode("reject_reasons").alias("reason")) for t, df in rejects.items()]
+    return _stacked(reasons).groupBy("table_name", "reason").agg(F.count("*").alias("rows_rejected"))
+
+
+def profile_star(tables: dict[str, DataFrame]) -> DataFrame:
+    return _stacked([profile(df).withColumn("table_name", F.lit(STAR[t].name)) for t, df in tables.items()])
+
 
 def build_warehouse(
     spark: SparkSession, raw: dict[str, DataFrame], out: str | dict[str, str], strict: bool = False
@@ -36,15 +80,28 @@ def build_warehouse(
     """Clean, type and write the fact and dimensions given to `out`, replacing earlier ones, then check keys.
 
     `out` is a folder for Parquet tables or the options of a database. Later queries
-    read the written tables. `strict` raises on unreadable values and on violated keys
-    instead of reporting them.
+    read the written tables. Rejected rows and violated keys are written there too.
+    `strict` raises on unreadable values and on violated keys instead.
     """
     registry = SourceRegistry({"star": {"format": "parquet", "path": out} if isinstance(out, str) else out})
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, registry, "star", name)
+        return read_table(spark, registry, "star", name)
+
     for t, df in star_tables(raw, strict).items():
         write_table(df, registry, "star", STAR[t].name)
     tables = {t: read_table(spark, registry, "star", STAR[t].name) for t in raw}
     if strict:
         require_keys(tables)
-    rejects = {t: quarantine(df, t) for t, df in raw.items() if t in RULES}
-    fk_report = fk_orphans(tables) if "orders" in tables else None
-    return Warehouse(tables, rejects, pk_violations(tables), fk_report)
+    rejects = {t: kept(_storable(quarantine(df, t)), f"rejects_{t}") for t, df in raw.items()}
+    rejects = {t: df.withColumn("reject_reasons", F.split("reject_reasons", "; ")) for t, df in rejects.items()}
+    pk_report = kept(pk_violations(tables), "pk_violations")
+    linked = "orders" in tables and len(tables) > 1
+    fk_report = kept(fk_orphans(tables), "fk_orphans") if linked else None
+    return Warehouse(tables, rejects, pk_report, fk_report, star_types(raw, strict), registry)
+
+
+def _storable(rejects: DataFrame) -> DataFrame:
+    """Reasons as one text, which any database can hold."""
+    return rejects.withColumn("reject_reasons", F.array_join("reject_reasons", "; "))
