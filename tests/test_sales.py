@@ -198,11 +198,10 @@ def test_plans(spark, plan_of):
 def test_sample_sale_does_not_sort_the_fact(spark, plan_of):
     from tillstar.contract.queries import QUERIES
 
-    text = plan_of(QUERIES["sales_by_month_first_sale"](spark, "/root/testdata/sf0.001")).split("Initial Plan")[-1]
-    # Where the fact is read whole, a hash aggregate folds it.
-    lines = text.splitlines()
-    reads = [i for i, line in enumerate(lines) if "FileScan" in line and "product_quantity" in line]
-    assert len(reads) == 2 and "HashAggregate" in text
+    text = plan_of(QUERIES["sales_by_month_first_sale"](spark, "/root/testdata/sf0.001"))
+    # What is sorted for the sample are sales of the first products, picked by the scan.
+    reads = [line for line in text.splitlines() if "FileScan" in line and "product_quantity" in line]
+    assert reads and all("In(product_code" in line or "EqualTo(product_code" in line for line in reads)
 
 
 def test_report(spark):

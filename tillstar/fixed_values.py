@@ -41,18 +41,22 @@ DATE_LAYOUTS = [
     (r"\d{4} NAME \d{1,2}", "yyyy MMMM d"),
     (r"NAME \d{4} \d{1,2}", "MMMM yyyy d"),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
-    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
     (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
+    (r"\d{8}", "yyyyMMdd"),
+    (r"\d{1,2} NAME \d{4}", "d MMMM yyyy"),
+    (r"NAME \d{1,2}, \d{4}", "MMMM d, yyyy"),
+]
+
+# Rarer layouts, tried on what the ones above do not read.
+RARE_DATE_LAYOUTS = [
+    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
     (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
     (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
     (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"),
-    (r"\d{8}", "yyyyMMdd"),
-    (r"\d{1,2} NAME \d{4}", "d MMMM yyyy"),
     (r"\d{1,2}-NAME-\d{4}", "d-MMMM-yyyy"),
     (r"\d{4}-NAME-\d{1,2}", "yyyy-MMMM-d"),
-    (r"NAME \d{1,2}, \d{4}", "MMMM d, yyyy"),
     (r"NAME \d{1,2} \d{4}", "MMMM d yyyy"),
     (r"NAME-\d{1,2}-\d{4}", "MMMM-d-yyyy"),
 ]

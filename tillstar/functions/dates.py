@@ -5,16 +5,16 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import CLOCK, DATE_LAYOUTS, ORDINAL
+from ..fixed_values import CLOCK, DATE_LAYOUTS, ORDINAL, RARE_DATE_LAYOUTS
 
 MONTH_NAME = "[A-Za-z]{3,9}"
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
-def _by_shape() -> dict[str, list[str]]:
+def _by_shape(listed: list[tuple[str, str]]) -> dict[str, list[str]]:
     """The layouts of each text shape; month names may be whole or cut to three letters."""
     shapes: dict[str, list[str]] = {}
-    for shape, layout in DATE_LAYOUTS:
+    for shape, layout in listed:
         either = layout.replace("MMMM", "[MMMM][MMM]")
         shapes.setdefault(shape.replace("NAME", MONTH_NAME), []).append(either)
     return shapes
@@ -25,10 +25,18 @@ def _read(text: Column, layout: str) -> Column:
     return text.try_cast("date") if layout == "yyyy-M-d" else F.try_to_date(F.trim(text), layout)
 
 
+def _by_layout(text: Column, listed: list[tuple[str, str]]) -> Column:
+    branches = [
+        (text.rlike(f"^ *{shape} *$"), F.coalesce(*(_read(text, p) for p in layouts)))
+        for shape, layouts in _by_shape(listed).items()
+    ]
+    first, *rest = branches
+    return reduce(lambda chain, b: chain.when(*b), rest, F.when(*first))
+
+
 def day_part(text: Column) -> Column:
     """The text without a clock behind its date, and without the ending of an ordinal."""
-    plain = F.when(text.contains(":"), F.regexp_replace(text, CLOCK, "")).otherwise(text)
-    return F.when(plain.rlike(ORDINAL), F.regexp_replace(plain, ORDINAL, "")).otherwise(plain)
+    return F.regexp_replace(F.regexp_replace(text, CLOCK, ""), ORDINAL, "")
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:
@@ -36,21 +44,14 @@ def parse_date(text: Column, strict: bool = False) -> Column:
 
     The shape of the text picks the layout, so a value runs one formatter rather
     than failing through a list of them: a failed parse costs far more than a
-    pattern test.
+    pattern test. Rare layouts, clocks and ordinals are looked for only where no common
+    layout fits, and outside the generated code, which stays as small as it was.
     """
-    # Most dates are ISO and need none of the rest.
-    iso = text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$")
-    written = text
-    text = F.when(iso, text).otherwise(day_part(text))
-    branches = [
-        (text.rlike(f"^ *{shape} *$"), F.coalesce(*(_read(text, p) for p in layouts)))
-        for shape, layouts in _by_shape().items()
-    ]
-    first, *rest = branches
-    parsed = reduce(lambda chain, b: chain.when(*b), rest, F.when(*first))
+    rare = F.transform(F.array(day_part(text)), lambda t: _by_layout(t, [*DATE_LAYOUTS, *RARE_DATE_LAYOUTS]))
+    parsed = F.coalesce(_by_layout(text, DATE_LAYOUTS), F.when(text.rlike(r"^ *\w.*\d"), F.get(rare, F.lit(0))))
     if not strict:
         return parsed
-    shown = F.coalesce(written, F.lit("null"))
+    shown = F.coalesce(text, F.lit("null"))
     return F.coalesce(parsed, F.raise_error(F.concat(F.lit("unreadable date: "), shown)).cast("date"))
 
 

@@ -113,16 +113,18 @@ def sales_by_month_first_sale(tables: Tables, scale: int = SCALE) -> DataFrame:
         F.sum("product_quantity").alias("product_quantity")
     )
     priced = sold.join(prices, "product_code").select("month", "product_code", *_units())
-    months = priced.groupBy("month").agg(F.min("product_code").alias("product_code"), _total(scale).alias("total_sales"))
+    first = priced.groupBy("month").agg(F.min("product_code").alias("product_code"), _total(scale).alias("total_sales"))
+    # As many rows as the answer, needed twice below.
+    months = fact.sparkSession.createDataFrame(first.collect(), first.schema)
 
-    first = months.select("month", "product_code")
-    looked_at = fact.join(first.select("product_code").distinct(), "product_code", "left_semi")
+    codes = [r["product_code"] for r in months.select("product_code").distinct().collect()]
+    looked_at = fact.where(F.col("product_code").isin(codes))
     sample = first_in_group(
-        lookup(looked_at, dates, "date_uuid").join(first, ["month", "product_code"]),
-        ["month", "product_code"], ["date_uuid"], ["product_quantity"],
+        lookup(looked_at, dates, "date_uuid").join(months, ["month", "product_code"]),
+        ["month", "product_code", "total_sales"], ["date_uuid"], ["product_quantity"],
     )
-    priced_sample = sample.join(months, ["month", "product_code"]).join(prices, "product_code").withColumns(
-        {c: u for c, u in zip(("units", "odd"), _units(), strict=True)}
+    priced_sample = sample.join(prices.where(F.col("product_code").isin(codes)), "product_code").withColumns(
+        dict(zip(("units", "odd"), _units(), strict=True))
     )
     odd_price = F.col("odd_price").cast("decimal(38,6)")
     result = priced_sample.select(
