@@ -37,7 +37,7 @@ from pyspark.sql.types import FloatType
 from tillstar.llm.common import components, written
 
 COSINE = 0.98
-#: Vectors that centroids and codewords are fitted to, at most.
+#: Vectors that centroids and codewords are fitted to, about; twice as many at most.
 SAMPLE = 16384
 SUBSPACES = 8
 CODEWORDS = 256
@@ -199,7 +199,11 @@ def near_duplicates(
     if not size["n"]:
         return df.select(id, F.lit(0).cast("long").alias("n_links"), F.col(id).alias("component_id"), F.lit(True).alias("kept"))
     dimension = -(-size["d"] // SUBSPACES) * SUBSPACES
-    chosen = classes.select("vec").orderBy(F.xxhash64("cid")).limit(sample).collect()
+    # By hash, so that no task hands on more than its part of the sample.
+    one_in = -(-size["n"] // sample)
+    chosen = classes.select("cid", "vec").where(F.pmod(F.xxhash64("cid"), F.lit(one_in)) == 0).limit(2 * sample).collect()
+    chosen.sort(key=lambda r: r["cid"])
+    chosen = chosen or [classes.select("cid", "vec").first()]  # few classes, none of them hit
     index = fit(_unit(_plain([r["vec"] for r in chosen], dimension)), max(1, min(LISTS, size["n"] // per_list)), cosine)
 
     # Single precision is stored as such; every cosine is taken in double precision.

@@ -31,7 +31,8 @@ from pyspark.sql.types import StringType
 
 from tillstar.llm.common import with_text_column
 
-#: Pages of the table that the model learns from, at most, and pages made for it.
+#: Pages of the table that the model learns from, about (twice as many at most), and pages
+#: made for it.
 SAMPLE = 100
 MADE = 1000
 
@@ -369,7 +370,7 @@ def learn(sources: list[str], made: int = MADE, seed: int = 3) -> Model:
 
 
 def sample_pages(df: DataFrame, source: str, most: int = SAMPLE) -> list[str]:
-    """Up to `most` pages, chosen by their hash."""
+    """About `most` pages, twice as many at most, chosen by their hash."""
     step = max(1, -(-df.count() // most))
     rows = df.select(F.coalesce(F.col(source), F.lit("")).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(step)) == 0)
     return sorted(r["t"] for r in rows.distinct().limit(2 * most).collect())

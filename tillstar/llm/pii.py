@@ -34,7 +34,7 @@ from tillstar.llm.boosting import Trees, fit_trees
 from tillstar.llm.common import with_text_column
 
 KINDS = ("email", "ip", "card", "phone")
-#: Documents that examples are drawn from, at most.
+#: Documents that examples are drawn from, about; twice as many at most.
 SAMPLE = 500
 #: Made examples of each kind and of its look-alikes.
 EXAMPLES = 2000
@@ -322,7 +322,7 @@ def find(texts: list[str], model: Model) -> list[list[dict]]:
 
 
 def sample_texts(df: DataFrame, text: str, most: int = SAMPLE) -> list[str]:
-    """About `most` texts at most, chosen by their hash."""
+    """About `most` texts, twice as many at most, chosen by their hash."""
     step = max(1, -(-df.count() // most))
     rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("t")).where(F.pmod(F.xxhash64("t"), F.lit(step)) == 0)
     return sorted(r["t"] for r in rows.distinct().limit(2 * most).collect())

@@ -29,7 +29,7 @@ from pyspark.sql.types import BinaryType, DoubleType
 from tillstar.llm.common import with_text_column
 
 PASSAGE_WORDS = 64
-#: Labelled documents that the model is fitted to, at most.
+#: Labelled documents that the model is fitted to, about; twice as many at most.
 SAMPLE = 4000
 HIDDEN, ATTENTION = 32, 16
 EPOCHS, BATCH, RATE, DECAY = 30, 64, 0.005, 1e-3
@@ -164,8 +164,8 @@ def train(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "t
     marks = labels.where(F.col(label).isNotNull() & chosen(id)).select(F.col(id).alias("marked"), F.col(label).cast("double").alias("y"))
     known = docs.where(chosen(id)).select(id, text).join(marks, F.col(id) == F.col("marked")).select(id, "y", text)
     coded, at = with_text_column(known, text, "codes", BinaryType(), lambda: lambda texts: [encode(t).tobytes() for t in texts])
-    rows = coded.select(id, "y", at).collect()  # `most` documents or so, as passage codes
-    rows = sorted(rows, key=lambda r: (r[0], r[1], r[2]))[: 2 * most]
+    rows = coded.select(id, "y", at).limit(2 * most).collect()  # `most` documents or so, as passage codes
+    rows.sort(key=lambda r: (r[0], r[1], r[2]))
     return fit([np.frombuffer(r[2], np.float32).reshape(-1, WIDTH) for r in rows], np.array([r[1] for r in rows]))
 
 
