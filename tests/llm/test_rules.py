@@ -4,6 +4,7 @@ import random
 import zlib
 
 import brute
+import duckdb
 import numpy as np
 import pytest
 
@@ -56,6 +57,24 @@ def test_license_phrases(spark, small, documents):
     assert got == {i: brute.phrases(t) for i, t, _ in documents}
 
 
+def test_licenses_agree_with_sql(spark, tmp_path):
+    """The tables' documents, and edited notices among them."""
+    texts = dict((a, b) for a, b in licenses.TEXTS)
+    words = texts["gpl"].split()
+    extra = [
+        (10_000_001, " ".join([*words[:9], "oh", *words[9:40], *words[42:]]) + " Licensed under CC BY 4.0 " + texts["mit"]),
+        (10_000_002, texts["apache"] + " gap " + texts["apache"]), (10_000_003, " ".join(words[:30])), (10_000_004, None),
+    ]
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    docs.union(spark.createDataFrame(extra, docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(queries.ORACLES["op2_diagonal_voting"])
+    got = queries.op2_diagonal_voting(spark, str(tmp_path))
+    assert [d[0] for d in result.description] == got.columns
+    assert sorted(map(tuple, got.collect())) == sorted(result.fetchall())
+
+
 def test_license_notices_survive_edits(spark):
     mit = dict((a, b) for a, b in licenses.TEXTS)["mit"]
     words = mit.split()

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, html_model, licenses, mixing, packing, pii, quality_model, quality_rules, simhash, wordpiece
+from tillstar.llm import embeddings, html_model, licenses, mixing, oracle, packing, pii, quality_model, quality_rules, simhash, wordpiece
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -96,27 +96,6 @@ QUERIES = {
     )
 }
 ORACLES: dict[str, str] = {
-    "op9_product_quantisation": """
-with recursive v as (
-    select vec_id, label, embedding::double[] as e
-    from embeddings
-    where label is not null and len(embedding) > 0
-      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
-      and len([x for x in embedding if x <> 0]) > 0
-),
-links as (
-    select a.vec_id as a, b.vec_id as b
-    from v a join v b on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e)
-    where list_cosine_similarity(a.e, b.e) >= 0.98
-),
-reach as (
-    select vec_id, vec_id as other from embeddings
-    union
-    select r.vec_id, l.b from reach r join links l on r.other = l.a
-),
-named as (select vec_id, min(other) as component_id from reach group by vec_id),
-counted as (select a, count(*) as n from links group by a)
-select n.vec_id, coalesce(c.n, 0)::bigint as n_links, n.component_id, n.vec_id = n.component_id as kept
-from named n left join counted c on c.a = n.vec_id
-""",
+    "op2_diagonal_voting": oracle.LICENSES,
+    "op9_product_quantisation": oracle.EMBEDDINGS,
 }
