@@ -131,7 +131,7 @@ def test_all_violations_are_written(spark, tmp_path):
         [("A", "B", "1990-01-01", "Germany", "DE", "2001-01-01", f"93caf182-e4e9-4c6e-bebb-{i // 2:012d}") for i in range(300)],
         "first_name string, last_name string, date_of_birth string, country string, country_code string, join_date string, user_uuid string",
     )
-    built = build_warehouse(spark, {"users": users}, str(tmp_path / "star"))
+    built = build_warehouse(spark, {"users": users}, str(tmp_path / "star")).store_reports()
     assert spark.read.parquet(str(tmp_path / "star" / "pk_violations")).count() == 150
     assert [(r.key_values, r.row_count) for r in built.key_counts().collect()] == [(150, 300)]
 

@@ -24,7 +24,7 @@ def star(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The star of all raw tables, built and written once a session, as any job would find it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = build_warehouse(spark, raw_tables(spark, sf_dir), scratch_path(spark, "star"))
+        _BUILT[key] = build_warehouse(spark, raw_tables(spark, sf_dir), scratch_path(spark, "star")).store_reports()
     return _BUILT[key]
 
 

@@ -79,7 +79,7 @@ def run(
     (`rejects_<table>`) and every violated key (`pk_violations`, `fk_orphans`).
     """
     raw = {table: read_raw(spark, registry, table, source, strict) for table, source in sources.items()}
-    warehouse = build_warehouse(spark, raw, out, strict)
+    warehouse = build_warehouse(spark, raw, out, strict).store_reports()
     if printed:
         for title, answer in answers(warehouse.tables, strict).items():
             show(answer, title)

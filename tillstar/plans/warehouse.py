@@ -50,6 +50,23 @@ class Warehouse:
         for t, df in self.tables.items():
             df.createOrReplaceTempView(STAR[t].name)
 
+    def store_reports(self) -> "Warehouse":
+        """Write the rejected rows (`rejects_<table>`) and every violated key beside the star,
+        and read them from there from now on."""
+        spark = self.pk_report.sparkSession
+
+        def kept(df: DataFrame, name: str) -> DataFrame:
+            write_table(df, self.registry, "star", name)
+            return read_table(spark, self.registry, "star", name)
+
+        for t, df in self.rejects.items():
+            stored = kept(_storable(df), f"rejects_{t}")
+            self.rejects[t] = stored.withColumn("reject_reasons", F.split("reject_reasons", "; "))
+        self.pk_report = kept(self.pk_report, "pk_violations")
+        if self.fk_report is not None:
+            self.fk_report = kept(self.fk_report, "fk_orphans")
+        return self
+
     def reject_counts(self) -> DataFrame:
         """table_name, reason and rows_rejected."""
         return reject_counts(self.rejects)
@@ -80,26 +97,19 @@ def build_warehouse(
     """Clean, type and write the fact and dimensions given to `out`, replacing earlier ones, then check keys.
 
     `out` is a folder for Parquet tables or the options of a database. Later queries
-    read the written tables. Rejected rows and violated keys are written there too.
-    `strict` raises on unreadable values and on violated keys instead.
+    read the written tables; what is wrong is worked out when asked for, or written by
+    `store_reports`. `strict` raises on unreadable values and on violated keys instead.
     """
     registry = SourceRegistry({"star": {"format": "parquet", "path": out} if isinstance(out, str) else out})
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        write_table(df, registry, "star", name)
-        return read_table(spark, registry, "star", name)
-
     for t, df in star_tables(raw, strict).items():
         write_table(df, registry, "star", STAR[t].name)
     tables = {t: read_table(spark, registry, "star", STAR[t].name) for t in raw}
     if strict:
         require_keys(tables)
-    rejects = {t: kept(_storable(quarantine(df, t)), f"rejects_{t}") for t, df in raw.items()}
-    rejects = {t: df.withColumn("reject_reasons", F.split("reject_reasons", "; ")) for t, df in rejects.items()}
-    pk_report = kept(pk_violations(tables), "pk_violations")
+    rejects = {t: quarantine(df, t) for t, df in raw.items()}
     linked = "orders" in tables and len(tables) > 1
-    fk_report = kept(fk_orphans(tables), "fk_orphans") if linked else None
-    return Warehouse(tables, rejects, pk_report, fk_report, star_types(raw, strict), registry)
+    fk_report = fk_orphans(tables) if linked else None
+    return Warehouse(tables, rejects, pk_violations(tables), fk_report, star_types(raw, strict), registry)
 
 
 def _storable(rejects: DataFrame) -> DataFrame:
