@@ -233,6 +233,16 @@ def test_other_layouts(made):
     assert html_model.extract("<main><h1>T</h1><p>Body text.</p><div id='comments'><p>nice</p></div></main><nav><a>x</a></nav>", made) == "T\nBody text."
 
 
+def test_unclosed_quotes_end_at_the_next_bracket(made):
+    page = "<article><h1>T</h1><p class=\"a>First.</p><p>Second.</p><p title='x > y'>Third.</p></article>"
+    assert html_model.extract(page, made) == "T\nFirst.\nSecond.\nThird."
+    import time
+
+    start = time.time()
+    html_model.extract("<article>" + "<p class=\"a>word" * 20_000, made)
+    assert time.time() - start < 20
+
+
 def test_messages_give_exact_marginals(made):
     """Against all labellings of a small tree."""
     import itertools

@@ -36,9 +36,13 @@ from tillstar.llm.common import with_text_column
 SAMPLE = 100
 MADE = 1000
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
-#: Only read where quotes don't close: the tag then ends at the next bracket.
-LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
+#: A comment, a declaration, or a tag: with its quotes closed, or else up to the next bracket.
+TAG = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    re.S,
+)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # What HTML says of its elements.
@@ -95,17 +99,15 @@ def parse(source: str) -> Page:
             break
         text(at, m.start())
         at = m.end()
-        if m[2] is None:
+        closing, tag, attributes = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
+        if tag is None:
             continue
-        if at == size and not m[0].endswith(">"):
-            m = LOOSE.match(source, m.start())
-            at = m.end()
-            if not m[0].endswith(">"):
-                break  # a tag cut off at the end of the page
-        tag = m[2].lower()
+        if not m[0].endswith(">"):
+            break  # a tag cut off at the end of the page
+        tag = tag.lower()
         if tag in BLOCKS:
             block += 1
-        if m[1]:
+        if closing:
             if tag in page_tags(page, open_):
                 while page.tags[open_.pop()] != tag:
                     pass
@@ -116,7 +118,6 @@ def parse(source: str) -> Page:
             _end(page, open_, *ENDS[tag])
         page.tags.append(tag)
         page.parents.append(open_[-1])
-        attributes = m[3]
         page.names.append(" ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else "")
         if tag == "br":
             page.runs.append((open_[-1], block, " "))
