@@ -66,8 +66,9 @@ each_doc as (
         string_agg(distinct label, ',' order by label) as labels, max(coverage) as score
     from found group by doc_id
 )
-select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
-    last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score
+select doc_id, len(w)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base,
+    -- as numbers with a null show on the other side
+    first_word::double as first_word, last_word::double as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels, coalesce(score, 0.0)::double as score
 from docs left join each_doc using (doc_id)
 """
 
