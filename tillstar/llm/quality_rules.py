@@ -5,11 +5,18 @@ depends on its length, so the limits do too: `LIMITS` gives the least and the gr
 ratio (compressed to plain UTF-8 bytes) at some lengths, and lengths between them get
 limits interpolated over the logarithm of the length. A document is rejected where its
 whole text is outside its band, or where over half the bytes of its fixed chunks lie in
-chunks outside theirs. The limits were set on prose in Latin script; other scripts need
-their own.
+chunks outside theirs.
+
+The limits were set on prose in Latin script. In UTF-8 other scripts spend two or three
+bytes on a letter, all but the last nearly constant, and compress far better. So the bands
+judge the text with its letters at about the bytes they are worth (`folded`): one for
+alphabets and abugidas, two for kana and syllabaries, three as ever for Han. Text without
+such letters is judged as it is; `ratio` is that of the plain UTF-8 bytes in any script.
 
 Beside the bands stand counts on words and lines, and a base rule on them (too few words,
-or too large a share of words in repeated three-word windows).
+or too large a share of words in repeated three-word windows). Words are what white space
+parts; for `kept`, a text in a script that doesn't part them has enough words if it has so
+many pieces of two letters (four in Thai, Lao, Burmese and Khmer).
 
 Null and empty texts have no words and fail the base rule; repeated rows are judged each
 for itself; an empty table gives an empty one; input columns all stay.
@@ -18,6 +25,7 @@ for itself; an empty table gives an empty one; input columns all stay.
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
@@ -29,7 +37,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from tillstar.llm.common import with_text_column
 
-#: bytes -> (least, greatest) ratio of clean prose at zstandard level 3.
+#: bytes -> (least, greatest) ratio of clean prose at zstandard level 3, folded.
 LIMITS = (
     (64, 0.30, 1.40),
     (256, 0.40, 1.05),
@@ -45,6 +53,20 @@ LIMITS = (
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\x0b\x0c\r"
 
+# Code points, from and to, of letters worth one byte and two.
+ONE_BYTE = (
+    (0x370, 0x11FF), (0x1680, 0x1DFF), (0x1F00, 0x1FFF), (0x2C00, 0x2DFF), (0xA640, 0xA69F), (0xA800, 0xABFF),
+    (0xFB13, 0xFDFF), (0xFE70, 0xFEFC), (0x10280, 0x11FFF), (0x1E800, 0x1E95F),
+)
+TWO_BYTES = ((0x1200, 0x167F), (0x3000, 0x318F), (0xA000, 0xA4CF), (0xAC00, 0xD7A3), (0xFF00, 0xFFEF))
+#: Code point -> its bytes, each over 127, as surrogates that stand for them.
+FOLDED = {c: chr(0xDC80 | c & 0x7F) for a, b in ONE_BYTE for c in range(a, b + 1)} | {
+    c: chr(0xDC80 | c >> 7 & 0x7F) + chr(0xDC80 | c & 0x7F) for a, b in TWO_BYTES for c in range(a, b + 1)
+}
+FOLDS = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ONE_BYTE + TWO_BYTES) + "]")
+#: About a word in a script without spaces between words.
+UNSPACED = re.compile("[\u3005-\u3007\u3041-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF\U00020000-\U0003FFFF]{1,2}|[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF]{1,4}")
+
 RESULT = StructType([
     *(StructField(n, LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")),
     StructField("base_failed", BooleanType()),
@@ -97,6 +119,13 @@ def counts(text: str, words: list[bytes]) -> tuple[int, int, int, int]:
     return len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), again, repeated
 
 
+def folded(text: str, data: bytes) -> bytes:
+    """What the bands judge of a text; `data` are its UTF-8 bytes."""
+    if text.isascii() or not FOLDS.search(text):
+        return data
+    return text.translate(FOLDED).encode("utf-8", "surrogateescape")
+
+
 def judge(bands: Bands):
     """A function from texts to rows of RESULT."""
     packer = zstandard.ZstdCompressor(level=bands.level)
@@ -105,19 +134,25 @@ def judge(bands: Bands):
         data = text.encode()
         words = data.split()
         chars, symbols, again, repeated = counts(text, words)
-        failed = len(words) < bands.least_words or 100 * repeated > bands.repeat_percent * len(words)
+        repeats = 100 * repeated > bands.repeat_percent * len(words)
+        short = len(words) < bands.least_words
+        failed = short or repeats
+        if short and not text.isascii():
+            short = len(UNSPACED.sub(" w ", text).encode().split()) < bands.least_words
         size = len(data)
         ratio = len(packer.compress(data)) / size if size else 1.0
+        use = folded(text, data)
+        judged = ratio if use is data else len(packer.compress(use)) / len(use)
         bad = 0
-        for at in range(0, size, bands.chunk_bytes):
-            chunk = data[at : at + bands.chunk_bytes]
+        for at in range(0, len(use), bands.chunk_bytes):
+            chunk = use[at : at + bands.chunk_bytes]
             if bands.outside(len(packer.compress(chunk)) / len(chunk), len(chunk)):
                 bad += len(chunk)
-        share = bad / size if size else 0.0
-        clean = not bands.outside(ratio, size) and share <= bands.bad_chunk_share if size else False
+        share = bad / len(use) if size else 0.0
+        clean = not bands.outside(judged, len(use)) and share <= bands.bad_chunk_share if size else False
         return {
             "n_words": len(words), "word_chars": chars, "n_symbols": symbols, "n_dup_lines": again,
-            "n_repeat_words": repeated, "base_failed": failed, "kept": clean and not failed,
+            "n_repeat_words": repeated, "base_failed": failed, "kept": clean and not short and not repeats,
             "ratio": ratio, "bad_chunk_share": share,
         }
 
