@@ -1,0 +1,59 @@
+"""Personal data beyond the base patterns, and documents that are full of it."""
+
+import random
+
+import pytest
+
+from tillstar.llm import pii
+
+WORDS = "the harbour was quiet when people came down from the hills to trade wool for salt and bread".split()
+
+
+def digits(rnd, n):
+    return "".join(rnd.choice("123456789") for _ in range(n))
+
+
+def non_base(rnd):
+    """Kind and text of data that no base pattern matches."""
+    name = "".join(rnd.choice("abcdefghij") for _ in range(6))
+    return rnd.choice([
+        ("phone", f"({digits(rnd, 3)}) {digits(rnd, 3)}-{digits(rnd, 4)}"), ("phone", f"{digits(rnd, 3)}-{digits(rnd, 3)}-{digits(rnd, 4)}"),
+        ("email", f"{name} at {name} dot com"), ("email", f"{name}(at){name}.org"),
+        ("ip", ":".join(f"{rnd.randrange(4096, 65536):x}" for _ in range(8))), ("ip", "[.]".join(digits(rnd, 2) for _ in range(4))),
+    ])
+
+
+def in_prose(rnd, span):
+    prose = [rnd.choice(WORDS) for _ in range(12)]
+    return " ".join([*prose[:6], span, *prose[6:]])
+
+
+@pytest.fixture(scope="module")
+def crowded():
+    """A model from documents in which data of the kinds to be added is frequent."""
+    rnd = random.Random(8)
+    return pii.train([" ".join(in_prose(rnd, non_base(rnd)[1]) for _ in range(25)) for _ in range(400)])
+
+
+def test_frequent_data_is_not_taught_as_none(crowded):
+    rnd = random.Random(9)
+    assert all(t < 1 for t in crowded.threshold.values())
+    wanted = [non_base(rnd) for _ in range(600)]
+    texts = [in_prose(rnd, span) for _, span in wanted]
+    found = pii.find(texts, crowded)
+    hits = [any(s["kind"] == k and t[s["start"] : s["end"]] == span for s in f) for (k, span), t, f in zip(wanted, texts, found, strict=True)]
+    assert sum(hits) > 0.97 * len(hits)
+
+
+@pytest.mark.parametrize("kind, text, wrong", [
+    ("card", "4111 1111 1111 1112", True), ("card", "4111.1111.1111.1111", False), ("ip", "1[.]2[.]3[.]256", True), ("ip", "10[.]0[.]0[.]1", False),
+    ("ip", "12:30:45:10", True), ("phone", "2024-01-02", True), ("phone", "31.12.1999", True), ("phone", "3.14159265358979", True),
+    ("phone", "978-3-16-148410-0", True), ("phone", "(415) 555-2671", False), ("email", "home at last.Then", True), ("email", "me at home dot org", False),
+])
+def test_what_contradicts_a_format(kind, text, wrong):
+    assert pii.contradicts(f"see {text} here", kind, 4, 4 + len(text)) == wrong
+
+
+def test_versions_contradict():
+    text = "version 10[.]0[.]0[.]1"
+    assert pii.contradicts(text, "ip", 8, len(text))

@@ -11,7 +11,10 @@ first, none that overlaps a base span or a better candidate.
 
 No table labels personal data, so the trees learn from examples made here: formats of
 each kind and look-alikes of none, written between words of a bounded sample of the
-documents (`SAMPLE`), and the sample's own candidates, labelled by the exact patterns.
+documents (`SAMPLE`), and of the sample's own candidates those whose label is certain: the
+base spans are of their kind; their parts, and candidates that break a kind's format
+(`contradicts`), are not. All others may be data of just the sort the trees are to add, so
+they are no examples.
 
 Offsets are code points, ends exclusive. Null and empty texts have no spans; repeated rows
 are read each for itself; an empty table gives an empty one; input columns all stay.
@@ -23,6 +26,7 @@ import random
 import re
 from bisect import bisect_left
 from dataclasses import dataclass
+from ipaddress import ip_address
 from itertools import accumulate
 
 import numpy as np
@@ -52,6 +56,12 @@ NUMBER = re.compile(r"[+(0-9][0-9().\-/]*")
 AT = re.compile(r"@| ?\((?:at|AT)\) ?| ?\[(?:at|AT)\] ?| at ")
 LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?\((?:dot|DOT)\) ?| ?\[(?:dot|DOT)\] ?| dot )[A-Za-z0-9-]+)+")
 GROUPS = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3,}|(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){3,7}")
+#: A word just before a span that says it is a version or an ISBN.
+NAMED = re.compile(r"(?i)(?<![a-z])(?:v|ver|version|isbn)[.:]? ?\Z")
+DATED = re.compile(r"(?:19|20)[0-9]{2}([-./]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?![0-9])|(?:0?[1-9]|[12][0-9]|3[01])([-./])(?:0?[1-9]|1[0-2])\2(?:19|20)[0-9]{2}(?![0-9])|(?:19|20)[0-9]{2}-(?:19|20)[0-9]{2}(?![0-9])")
+#: What marks a word as a part of data rather than prose.
+CODED = re.compile(r"[0-9@:\[\]()]|(?i:\A(?:at|dot)\Z)")
+DECIMAL = re.compile(r"[0-9]+\.[0-9]+")
 #: Words before a span that speak for a kind, or for none.
 HINTS = {
     "email": ("mail", "contact", "write"),
@@ -170,6 +180,32 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     ]
 
 
+def contradicts(text: str, kind: str, start: int, end: int) -> bool:
+    """Whether a candidate can't be of its kind, by its format or a word that says so: a
+    check digit or range is wrong, or it is a date, a version, an ISBN or a decimal."""
+    span = text[start:end]
+    digits = digits_of(span)
+    groups = re.findall(r"[0-9]+", span)
+    if kind == "card":
+        return not (13 <= len(digits) <= 19 and luhn(digits))
+    if kind == "email":
+        labels = re.findall(r"[A-Za-z0-9-]+", span)
+        return len(labels[-1]) < 2 or not labels[-1].isalpha() or labels[-1].istitle() and not labels[-2].istitle()
+    if NAMED.search(text[max(0, start - 12) : start]):
+        return True
+    if kind == "ip":
+        if ":" in span:
+            try:
+                ip_address(span)
+            except ValueError:
+                return True
+            return False
+        return len(groups) != 4 or any(len(g) > 3 or int(g) > 255 for g in groups)
+    if not 7 <= len(digits) <= 15 or DATED.match(span) or DECIMAL.fullmatch(span):
+        return True
+    return len(digits) == 13 and digits[:3] in ("978", "979") and sum(int(d) * (1 + 2 * (i & 1)) for i, d in enumerate(digits)) % 10 == 0
+
+
 def _made(kind: str, rnd: random.Random) -> tuple[str, str]:
     """An example of a kind: a word before it ("" for none) and its text."""
     d = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
@@ -239,9 +275,10 @@ class Model:
 
 def examples(texts: list[str], kind: str, seed: int = 11) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels: made examples between the words of `texts`, and what the
-    generators find in `texts`, by the exact patterns."""
+    generators find in `texts` where it is certain what it is."""
     rnd = random.Random(f"{seed}-{kind}")
-    words = [w for t in texts for w in t.split()][:20000] or ["the"]
+    # Words that could be data themselves are no context.
+    words = [w for t in texts for w in t.split() if not CODED.search(w)][:20000] or ["the"]
     x, y = [], []
     for label, make in ((1, _made), (0, _look_alike)):
         for _ in range(EXAMPLES):
@@ -260,11 +297,15 @@ def examples(texts: list[str], kind: str, seed: int = 11) -> tuple[np.ndarray, n
                     x.append(features(text, kind, a, b))
                     y.append(float((a, b) in right))
     for text in texts:
-        exact = set(base_spans(text))
+        exact = [(a, b) for k, a, b in base_spans(text) if k == kind]  # apart, in order
         for k, a, b in candidates(text):
-            if k == kind:
+            if k != kind:
+                continue
+            at = bisect_left(exact, (a, b + 1)) - 1
+            whole = exact[at] if at >= 0 and exact[at][1] >= b else None
+            if whole or contradicts(text, kind, a, b):
                 x.append(features(text, kind, a, b))
-                y.append(float((k, a, b) in exact))
+                y.append(float(whole == (a, b)))
     return np.array(x), np.array(y)
 
 
