@@ -57,3 +57,40 @@ def test_what_contradicts_a_format(kind, text, wrong):
 def test_versions_contradict():
     text = "version 10[.]0[.]0[.]1"
     assert pii.contradicts(text, "ip", 8, len(text))
+
+
+@pytest.mark.parametrize("kind, span", [
+    ("phone", "0033 1 23 45 67 89"), ("phone", "00 3 3 1 2 3 4 5 6 7 8"), ("card", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1"), ("phone", "415  555  2671"),
+    ("phone", "415 555 2671"), ("phone", "415–555–2671"), ("phone", "0033 1 23\n45 67 89"), ("phone", "0033 1 23\r\n  45 67 89"), ("phone", "415 - 555 - 2671"),
+    ("ip", "2001:db8::1"), ("ip", "fe80::1"), ("ip", "::1"), ("ip", "2001:db8::"), ("ip", "::ffff:192.0.2.1"), ("ip", "2001:db8:1:2::3:4"),
+])
+def test_whole_candidates(kind, span):
+    assert (kind, 4, 4 + len(span)) in pii.candidates(f"see {span} here")
+
+
+def test_no_candidates():
+    text = "std::vector a :: b 12. 3456789 and 415\n\n5552671 with 12345678901234567890"
+    assert [(k, text[a:b]) for k, a, b in pii.candidates(text)] == [("phone", "3456789"), ("phone", "5552671")]
+
+
+def test_data_in_other_writings_is_found(crowded):
+    rnd = random.Random(10)
+    right = total = 0
+    for gap in (" ", "  ", " ", "–", "\n"):
+        for _ in range(40):
+            phone = gap.join([f"0033 {digits(rnd, 1)}", *[digits(rnd, 2) for _ in range(4)]])
+            card = gap.join(["4111", "1111", "1111", "1111"])
+            short = f"2001:db8::{rnd.randrange(256, 65536):x}"
+            for kind, hint, span in (("phone", "call", phone), ("card", "card", card), ("ip", "host", short)):
+                text = f"the quiet people {hint} {span} wool and bread"
+                total += 1
+                right += any(s["kind"] == kind and text[s["start"] : s["end"]] == span for s in pii.find([text], crowded)[0])
+    assert right > 0.9 * total
+
+
+def test_tables_of_numbers_are_no_data(crowded):
+    rnd = random.Random(11)
+    rows = ["\n".join("  ".join(str(rnd.randrange(10 ** rnd.randint(1, 4))) for _ in range(8)) for _ in range(6)) for _ in range(50)]
+    clean = ["std::vector and a::b at 12::30", "In 2019 2020 2021 and 2022, pages 12 13 14 15 16", *rows]
+    added = [s for spans in pii.find(clean, crowded) for s in spans if not s["base"] and s["kind"] != "card"]
+    assert len(added) <= 3

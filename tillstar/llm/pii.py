@@ -2,7 +2,9 @@
 
 Exact patterns find what is certain (the base spans, per kind from the left without
 overlap). Beside them, generators of high recall propose many overlapping candidates:
-windows of number tokens, addresses with or without an @, dotted and colon-joined groups.
+windows of number tokens (bounded by their digits alone, on one line or two, parted by
+spaces of any sort or a dash), addresses with or without an @, dotted and colon-joined
+groups, IPv6 with its zeros left out too.
 Per kind, boosted trees score a candidate by its format (digits, groups, separators,
 check digit, ranges) and its context (neighbouring characters, words before it). The
 scores are calibrated on held-out examples, the threshold being the least at which the
@@ -53,12 +55,23 @@ LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 
 NUMBER = re.compile(r"[+(0-9][0-9().\-/]*")
+#: What may stand between the tokens of one number.
+JOINT = re.compile(r"[^\S\r\n]+|[^\S\r\n]*(?:[-\u2010-\u2015\u2212\u00B7]?\r?\n|[-\u2010-\u2015\u2212\u00B7])[^\S\r\n]*")
+#: Most digits of a number.
+DIGITS = 19
 AT = re.compile(r"@| ?\((?:at|AT)\) ?| ?\[(?:at|AT)\] ?| at ")
 LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?\((?:dot|DOT)\) ?| ?\[(?:dot|DOT)\] ?| dot )[A-Za-z0-9-]+)+")
 GROUPS = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3,}|(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){3,7}")
+#: IPv6 with a run of zeros left out, with or without IPv4 at its end.
+SHORTENED = re.compile(
+    r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
+    r"(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?:(?<=[0-9])(?:\.[0-9]{1,3}){3})?(?![0-9A-Za-z:])"
+)
 #: A word just before a span that says it is a version or an ISBN.
 NAMED = re.compile(r"(?i)(?<![a-z])(?:v|ver|version|isbn)[.:]? ?\Z")
 DATED = re.compile(r"(?:19|20)[0-9]{2}([-./]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12][0-9]|3[01])(?![0-9])|(?:0?[1-9]|[12][0-9]|3[01])([-./])(?:0?[1-9]|1[0-2])\2(?:19|20)[0-9]{2}(?![0-9])|(?:19|20)[0-9]{2}-(?:19|20)[0-9]{2}(?![0-9])")
+#: Between the groups of made numbers, besides one space or hyphen.
+APART = ("\u00A0", "  ", "\u2013", "\n", "\u202F", " - ")
 #: What marks a word as a part of data rather than prose.
 CODED = re.compile(r"[0-9@:\[\]()]|(?i:\A(?:at|dot)\Z)")
 DECIMAL = re.compile(r"[0-9]+\.[0-9]+")
@@ -123,9 +136,9 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
     def windows() -> None:
         for i in range(len(run)):
             total = 0
-            for j in range(i, min(i + 5, len(run))):
+            for j in range(i, len(run)):
                 total += run[j][2]
-                if total > 19:
+                if total > DIGITS:
                     break
                 if total >= 7:
                     span = (run[i][0], run[j][1])
@@ -139,7 +152,7 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             token = token.rstrip(").-/")
         n = len(digits_of(token))
         if n:
-            if run and text[run[-1][1] : m.start()] != " ":
+            if run and not JOINT.fullmatch(text, run[-1][1], m.start()):
                 windows()
                 run = []
             run.append((m.start(), m.start() + len(token), n))
@@ -153,7 +166,11 @@ def candidates(text: str) -> list[tuple[str, int, int]]:
             out.append(("email", low, tail.end()))
     for m in GROUPS.finditer(text):
         out.append(("ip", m.start(), m.end()))
-    return out
+    if "::" in text:
+        for m in SHORTENED.finditer(text):
+            if m.end() - m.start() > 2:
+                out.append(("ip", m.start(), m.end()))
+    return list(dict.fromkeys(out))
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -166,6 +183,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     words = re.findall(r"[a-z]+", text[max(0, start - 24) : start].lower())[-2:]
     tail = re.split(r"[^A-Za-z0-9]+", span)[-1]
     seps = re.findall(r"[^0-9A-Za-z]+", span)
+    hexes = re.findall(r"[0-9A-Fa-f]+", span) if ":" in span else [""]
     return [
         len(span), len(digits), len(groups), max(sizes), min(sizes), sizes[0], sizes[-1],
         float(sizes == [4, 4, 4, 4]), float(sizes in ([3, 3, 4], [1, 3, 3, 4])), float(len(set(sizes)) == 1),
@@ -174,8 +192,9 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         float(" " in span), float(":" in span), float("@" in span), float("[" in span or "(at" in span.lower()),
         float(" at " in span), float(" dot " in span), sum(c.isalpha() for c in span), len(tail), float(tail.isalpha() and tail.islower()),
         max((int(g) for g in groups if 0 < len(g) < 10), default=0), float(bool(re.match(r"(19|20)[0-9]{2}[-./]?[01]", span))),
-        float(any("0" <= c <= "9" for c in text[max(0, start - 2) : start])), float(any("0" <= c <= "9" for c in text[end : end + 2])),
+        float(any("0" <= c <= "9" for c in text[max(0, start - 3) : start])), float(any("0" <= c <= "9" for c in text[end : end + 3])),
         float(before.isalnum()), float(after.isalnum()), float(before != "" and before in "#=/_$€£."), float(after != "" and after in "=/_%"),
+        float(digits[:2] == "00"), float("\n" in span), float(not span.isascii()), float("  " in span), span.count(":"), float("::" in span), len(hexes), max(map(len, hexes)),
         *(float(any(w in HINTS[k] for w in words)) for k in HINTS), float(any(w in HINTS[kind] for w in words)),
     ]
 
@@ -220,16 +239,24 @@ def _made(kind: str, rnd: random.Random) -> tuple[str, str]:
     if kind == "ip":
         if rnd.random() < 0.25:
             return hint, ":".join(f"{rnd.randrange(65536):x}" for _ in range(8))
+        if rnd.random() < 0.3:
+            part = lambda n: ":".join(f"{rnd.randrange(16 ** rnd.choice([1, 2, 3, 4, 4])):x}" for _ in range(n))
+            head = rnd.choice(["2001:db8", "2001", "2a00", "2a02", "2606", "2404", "fe80", "fe80", "fd00", f"fd{d(2)}", "ff02", "64:ff9b", f"2{d(3)}", f"2{d(3)}:{d(2)}ab"])
+            return rnd.choice([(hint, f"{head}::{part(rnd.randint(1, 4))}"), (hint, f"{head}::{part(rnd.randint(1, 4))}"), (hint, f"{head}:{part(rnd.randint(1, 3))}::"), (hint, f"{head}::"), (hint, "::1"), (rnd.choice(HINTS["ip"]), f"::{part(rnd.randint(1, 4))}")])
         return hint, rnd.choice([".", ".", ".", "[.]", "(.)"]).join(str(rnd.randint(1, 255)) for _ in range(4))
     if kind == "card":
         n = rnd.choice([16, 16, 16, 15, 14, 19])
         head = rnd.choice("3456") + d(n - 2)
         number = next(head + c for c in "0123456789" if luhn(head + c))
-        return hint, rnd.choice(["", " ", "-", "."]).join(number[i : i + 4] for i in range(0, n, 4))
+        return hint, rnd.choice(["", " ", " ", "-", "-", ".", *APART]).join(number[i : i + 4] for i in range(0, n, 4))
     a, b, c = str(rnd.randint(2, 9)) + d(2), d(3), d(4)
     plain = rnd.choice([f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"+1 ({a}) {b}-{c}", f"+1 {a} {b} {c}", f"+{d(2)} {d(2)} {d(4)} {d(4)}", f"+49 {d(3)} {d(7)}"])
+    pair = lambda n: " ".join(d(2) for _ in range(n))
+    plain = rnd.choice([plain, plain, plain, f"00{rnd.randint(1, 9)}{d(1)} {d(1)} {pair(4)}", f"00{rnd.randint(1, 9)}{d(1)} {d(3)} {d(3)} {d(2)} {d(2)}", f"00{rnd.randint(1, 9)}{d(1)} {d(2)} {d(4)} {d(4)}"])
+    if rnd.random() < 0.3:
+        plain = re.sub("(?<=[0-9])[ -](?=[0-9])", rnd.choice(APART), plain)
     # Forms that other numbers share only count beside a word that says so.
-    return rnd.choice([(hint, plain), (rnd.choice(HINTS["phone"]), rnd.choice([f"{a}.{b}.{c}", a + b + c, f"0{d(3)}/{d(6)}", f"0{d(2)} {d(7)}"]))])
+    return rnd.choice([(hint, plain), (rnd.choice(HINTS["phone"]), rnd.choice([f"{a}.{b}.{c}", a + b + c, f"0{d(3)}/{d(6)}", f"0{d(2)} {d(7)}", f"0{d(1)} {pair(4)}", f"{d(2)} {pair(3)}"]))])
 
 
 def _look_alike(kind: str, rnd: random.Random) -> tuple[str, str]:
@@ -244,6 +271,7 @@ def _look_alike(kind: str, rnd: random.Random) -> tuple[str, str]:
         ])
     if kind == "ip":
         return rnd.choice(["version", "section", "v", "ver"]), rnd.choice([
+            f"{d(1)}::{d(1)}", f"{d(2)}::{d(2)}", "::".join(rnd.choice(["a", "b", "add", "dec", "face", "ace", "bad", "c"]) for _ in range(2)), f"::{rnd.choice(['add', 'dec', 'fade', 'e', 'cafe'])}",
             ".".join(d(1) for _ in range(rnd.randint(4, 6))), ".".join(str(rnd.randint(256, 999)) for _ in range(4)), f"{d(1)}.{d(1)}.{d(3)}.{d(3)}", ":".join(d(2) for _ in range(4)),
         ])
     wrong = d(rnd.choice([13, 14, 15, 16, 16, 16, 18, 19]))
@@ -251,11 +279,15 @@ def _look_alike(kind: str, rnd: random.Random) -> tuple[str, str]:
         wrong = wrong[:-1] + str((int(wrong[-1]) + 1) % 10)
     token = "".join(rnd.choice("0123456789abcdef") for _ in range(12)) + rnd.choice("abcdef")
     token = f'"{token}{d(rnd.choice([7, 9, 10, 10, 11, 12, 14, 16]))}{token[::-1]}"'  # digits inside a longer code
-    four = " ".join(wrong[i : i + 4] for i in range(0, len(wrong), 4))
+    apart = rnd.choice([" ", " ", *APART])
+    row = apart.join(d(rnd.randint(1, 5)) for _ in range(rnd.randint(3, 12)))  # a table's numbers
+    same = apart.join(d(n) for n in [rnd.randint(1, 3)] * rnd.randint(4, 12))
+    years = apart.join(str(rnd.randint(1900, 2099)) for _ in range(rnd.randint(2, 5)))
+    four = apart.join(wrong[i : i + 4] for i in range(0, len(wrong), 4))
     if kind == "card":
-        return hint, rnd.choice([wrong, wrong, four, f"978{d(10)}", f"{date.replace('-', '')}{d(6)}", f"{d(4)} {d(5)} {d(6)}"])
+        return hint, rnd.choice([wrong, wrong, four, row, same, years, f"978{d(10)}", f"{date.replace('-', '')}{d(6)}", f"{d(4)} {d(5)} {d(6)}"])
     return hint, rnd.choice([
-        token, token, date, date.replace("-", "/"), date.replace("-", "."), f"{date} {d(2)}", wrong, four, *(d(n) for n in (7, 8, 9, 10, 10, 10, 11, 12)), f"{d(1)}.{d(8)}",
+        token, token, row, row, same, same, years, f"{date}{apart}{date}", date, date.replace("-", "/"), date.replace("-", "."), f"{date} {d(2)}", wrong, four, *(d(n) for n in (7, 8, 9, 10, 10, 10, 11, 12)), f"{d(1)}.{d(8)}",
         f"978-{d(1)}-{d(2)}-{d(6)}-{d(1)}", f"{d(3)}.{d(3)}.{d(3)}.{d(2)}", f"{d(4)} {d(4)}", f"{d(3)} {d(4)}", f"{d(2)}-{d(7)}", f"{d(4)}-{d(4)}", f"{d(5)} {d(2)} {d(3)}",
     ])
 
@@ -278,7 +310,7 @@ def examples(texts: list[str], kind: str, seed: int = 11) -> tuple[np.ndarray, n
     generators find in `texts` where it is certain what it is."""
     rnd = random.Random(f"{seed}-{kind}")
     # Words that could be data themselves are no context.
-    words = [w for t in texts for w in t.split() if not CODED.search(w)][:20000] or ["the"]
+    words = [w[:40] for t in texts for w in t.split() if not CODED.search(w)][:20000] or ["the"]
     x, y = [], []
     for label, make in ((1, _made), (0, _look_alike)):
         for _ in range(EXAMPLES):
