@@ -94,3 +94,13 @@ def test_tables_of_numbers_are_no_data(crowded):
     clean = ["std::vector and a::b at 12::30", "In 2019 2020 2021 and 2022, pages 12 13 14 15 16", *rows]
     added = [s for spans in pii.find(clean, crowded) for s in spans if not s["base"] and s["kind"] != "card"]
     assert len(added) <= 3
+
+
+def test_long_runs_of_digits(crowded):
+    long = "1" * 100_000
+    for text in (f"{long}.1.1.1", f"1.1.1.{long}", f"{'0' * 5000}7.1.1.1", f"x {long} y"):
+        spans = pii.base_spans(text)
+        assert [k for k, _, _ in spans if k == "ip"] == (["ip"] if "0" * 5000 in text else [])
+        assert [s["base"] for s in pii.find([text], crowded)[0]] == [1] * len(spans)
+    assert [pii.octet(p) for p in ("0", "000", "255", "256", "0255", "1000", "9" * 5000)] == [True, True, True, False, True, False, False]
+    pii.train([f"{long}.1.1.1"])

@@ -48,7 +48,7 @@ PRECISION = 0.99
 #: No threshold is under this probability.
 LEAST = 0.9
 
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]+\Z")
@@ -61,7 +61,7 @@ JOINT = re.compile(r"[^\S\r\n]+|[^\S\r\n]*(?:[-\u2010-\u2015\u2212\u00B7]?\r?\n|
 DIGITS = 19
 AT = re.compile(r"@| ?\((?:at|AT)\) ?| ?\[(?:at|AT)\] ?| at ")
 LOOSE_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\.| ?\((?:dot|DOT)\) ?| ?\[(?:dot|DOT)\] ?| dot )[A-Za-z0-9-]+)+")
-GROUPS = re.compile(r"[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3,}|(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){3,7}")
+GROUPS = re.compile(r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\[\.\]|\(\.\))[0-9]{1,3}){3,}(?![0-9])|(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){3,7}")
 #: IPv6 with a run of zeros left out, with or without IPv4 at its end.
 SHORTENED = re.compile(
     r"(?<![0-9A-Za-z:.])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::"
@@ -100,6 +100,11 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def octet(digits: str) -> bool:
+    """Whether a run of digits, of any length, is at most 255."""
+    return len(digits.lstrip("0")) <= 3 and int(digits[-3:]) <= 255
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """The spans of the exact patterns, by start, then kind as in KINDS."""
     found = []
@@ -115,7 +120,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
             done = m.end()
         at = text.find("@", max(at + 1, done))
     for m in IP.finditer(text):
-        if all(int(p) <= 255 for p in m[0].split(".")):
+        if all(octet(p) for p in m[0].split(".")):
             found.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
         digits = digits_of(m[0])
