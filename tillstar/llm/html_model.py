@@ -47,7 +47,11 @@ NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>
 
 # What HTML says of its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style title textarea noscript iframe template svg math object select head".split())
+#: Elements whose text is no markup: up to their end tag, or else to the end of the page.
+RAW = frozenset("script style title textarea noscript iframe".split())
+#: Elements of other markup, where `/>` ends any element, and those that it ends as in XHTML.
+FOREIGN = frozenset(("svg", "math"))
+MAY_END = RAW | FOREIGN | frozenset(("head", "object", "select", "template"))
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -56,6 +60,7 @@ CLOSES_P = BLOCKS - frozenset("body html head caption tbody td tfoot th thead tr
 #: Start tag -> open elements it ends, up to the nearest of the holders.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+    "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
 #: Words in tags, classes, ids and roles that mark what isn't main text.
@@ -86,6 +91,7 @@ def parse(source: str) -> Page:
     page = Page(["#page"], [-1], [""], [])
     open_ = [0]
     block = at = 0
+    choosing = False
 
     def text(low: int, high: int) -> None:
         if low < high:
@@ -114,6 +120,9 @@ def parse(source: str) -> Page:
             continue
         if tag in CLOSES_P:
             _end(page, open_, {"p"}, {"button", "td", "th", "table", "object"})
+            if choosing:  # no text block is inside a choice
+                _end(page, open_, {"select"}, {"table", "object"})
+                choosing = False
         if tag in ENDS:
             _end(page, open_, *ENDS[tag])
         page.tags.append(tag)
@@ -121,13 +130,14 @@ def parse(source: str) -> Page:
         page.names.append(" ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else "")
         if tag == "br":
             page.runs.append((open_[-1], block, " "))
-        if tag in VOID or attributes.endswith("/") and tag in RAW:
+        if tag in VOID or attributes.endswith("/") and (tag in MAY_END or any(page.tags[i] in FOREIGN for i in open_)):
             continue
-        if tag in RAW:
+        if tag in RAW or tag == "head":
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
             if end or tag != "head":
                 at = end.end() if end else size
             continue
+        choosing = choosing or tag == "select"
         open_.append(len(page.tags) - 1)
     return page
 
@@ -248,7 +258,7 @@ def own_labels(page: Page) -> list[int] | None:
     hidden = [False]
     for i in range(1, len(page.tags)):
         tag, parent = page.tags[i], page.parents[i]
-        named = {tag, *words_of(page.names[i])}
+        named = {"form" if tag == "select" else tag, *words_of(page.names[i])}
         begins = tag in ("article", "main") or "role" in page.names[i]
         hidden.append(hidden[parent] or not named.isdisjoint(AROUND))
         labels.append(int((labels[parent] or begins) and not hidden[i]))
@@ -282,8 +292,9 @@ def made_page(rnd: random.Random) -> tuple[str, set[int]]:
     def paragraph(good: bool, low: int = 1, high: int = 90) -> None:
         def inside():
             out.append(words(low, high) + ". ")
-            for tag in rnd.sample(["a", "b", "i", "em", "span", "strong", "code"], rnd.choice([0, 0, 1, 2])):
-                put(tag, words(1, 5), good)
+            for tag in rnd.sample(["a", "b", "i", "em", "span", "strong", "code", "math", "svg", "object"], rnd.choice([0, 0, 1, 2])):
+                inner = {"math": "mi", "svg": "text"}.get(tag)
+                put(tag, (lambda i=inner: put(i, words(1, 5), good)) if inner else words(1, 5), good)
                 out.append(words(1, 20) + ". ")
 
         put(rnd.choice(["p", "p", "p", "p", "h2", "h3", "blockquote", "pre", "div"]), inside, good)
@@ -311,6 +322,7 @@ def made_page(rnd: random.Random) -> tuple[str, set[int]]:
                     paragraph(False, 1, 60)
             if tag == "form":
                 put("label", words(1, 4), False)
+                put("select", lambda: [put("option", words(1, 3), False) for _ in range(rnd.randint(1, 5))], False)
                 put("button", words(1, 2), False)
 
         put(tag, inside, False, name)
@@ -320,8 +332,10 @@ def made_page(rnd: random.Random) -> tuple[str, set[int]]:
             put("h1", words(2, 10), True)
         for _ in range(rnd.randint(1, 9)):
             sort = rnd.random()
-            if sort < 0.08:
+            if sort < 0.07:
                 around(1)
+            elif sort < 0.08:
+                put("select", lambda: [put("option", words(1, 3), False) for _ in range(rnd.randint(1, 5))], False)
             elif sort < 0.18:
                 listing(True, rnd.random() < 0.1)
             elif sort < 0.22:
