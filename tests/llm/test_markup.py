@@ -28,3 +28,18 @@ def test_text_in_other_markup(made):
     assert text("<p>Pick <svg><svg><path d='M0'/></svg><style>a{}</style><title>t</title><g/></svg>here.</p>") == ["Pick here."]
     assert text("<select><option>Red<option>Green</select>") == []
     assert text("<p>a<script>b</script><iframe>c</iframe>d</p>") == ["ad"]
+
+
+@pytest.mark.parametrize("quote", ["'", '"'])
+@pytest.mark.parametrize("length", [10, 3990, 4010, 500_000])
+def test_attributes_of_any_length(made, quote, length):
+    value = "<b>LEAKED TEXT</b> " * (length // 19 + 1)
+    page = f"<body><article><h1>T</h1><p>{LONG}</p><div data-props={quote}{value}{quote} class=box><p>End. {LONG}</p></div></article></body>"
+    assert html_model.extract(page, made) == f"T\n{LONG}\nEnd. {LONG}"
+
+
+def test_unclosed_quotes(made):
+    assert html_model.extract(f"<article><p>{LONG}</p><p title=\"x>End. {LONG}</p></article>", made) == f"{LONG}\nEnd. {LONG}"
+    assert html_model.parse("<p>a</p><b title='x").runs == [(1, 1, "a")]
+    for part in ('<p "> "', "<p class=\"a>word", "<p '> ' \"x\" "):
+        html_model.parse("<article>" + part * 100_000 + "'>")  # each quote is followed once

@@ -36,13 +36,13 @@ from tillstar.llm.common import with_text_column
 SAMPLE = 100
 MADE = 1000
 
-#: A comment, a declaration, or a tag: with its quotes closed, or else up to the next bracket.
+#: A comment, a declaration, or a tag up to its end or its first quote.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]{0,4000}\"|'[^']{0,4000}')*)(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)[^'\">]*+",
     re.S,
 )
+OUTSIDE = re.compile(r"[^'\">]*+")
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # What HTML says of its elements.
@@ -92,6 +92,7 @@ def parse(source: str) -> Page:
     open_ = [0]
     block = at = 0
     choosing = False
+    dead: set[int] = set()
 
     def text(low: int, high: int) -> None:
         if low < high:
@@ -105,11 +106,14 @@ def parse(source: str) -> Page:
             break
         text(at, m.start())
         at = m.end()
-        closing, tag, attributes = m.group(1, 2, 3) if m[2] else m.group(4, 5, 6)
+        closing, tag = m.group(1, 2)
         if tag is None:
             continue
-        if not m[0].endswith(">"):
+        high = _tag_end(source, m.end(2), at, dead)
+        if high < 0:
             break  # a tag cut off at the end of the page
+        attributes = source[m.end(2) : high]
+        at = high + 1
         tag = tag.lower()
         if tag in BLOCKS:
             block += 1
@@ -142,6 +146,23 @@ def parse(source: str) -> Page:
     return page
 
 
+def _tag_end(source: str, name: int, at: int, dead: set[int]) -> int:
+    """Where the bracket is that ends a tag, -1 for none: outside of quotes of any length,
+    or the next one where a quote isn't closed. The tag's name ends at `name`; `at` is its
+    first quote, its bracket or the end of the page. `dead` gathers the quotes from which
+    an unclosed one is reached, so that each is followed once."""
+    size = len(source)
+    quotes = []
+    while at < size and source[at] != ">":
+        quotes.append(at)
+        close = -1 if at in dead else source.find(source[at], at + 1)
+        if close < 0:
+            dead.update(quotes)
+            return source.find(">", name)
+        at = OUTSIDE.match(source, close + 1).end()
+    return at if at < size else -1
+
+
 def page_tags(page: Page, open_: list[int]) -> set[str]:
     return {page.tags[i] for i in open_[1:]}
 
