@@ -49,8 +49,6 @@ NULL_TOKENS = (
 
 #: Where the job keeps the text of input that can't be read.
 BROKEN = "broken_input"
-#: As much of a broken document as is kept.
-SHOWN = 1000
 
 
 def _names(needed: StructType, found: list[str], path: str) -> list[str]:
@@ -178,7 +176,7 @@ def read_json_columns(
     while mark in names:
         mark += "_"
     read = cells.withColumns({"labels": labels, "same": same}).select(
-        F.when(F.col("doc").isNull(), F.substring("value", 1, SHOWN)).alias("mark"),
+        F.when(F.col("doc").isNull(), F.col("value")).alias("mark"),
         F.coalesce(rows, nothing).alias("rows"),
     )
     flat = read.select("mark", F.inline("rows")).toDF(mark, *names).select(*(F.col(f"`{n}`") for n in [*names, mark]))
