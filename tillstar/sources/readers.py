@@ -66,7 +66,7 @@ def _checked(df: DataFrame, mark: str, broken: str | None) -> DataFrame:
         return df.withColumnRenamed(mark, broken)
     # Another column beside the mark, as sources won't read the mark alone.
     beside = F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit(""))
-    error = F.raise_error(F.concat(F.lit("broken input: "), F.col(mark), F.lit(" "), beside)).cast("boolean")
+    error = F.raise_error(F.concat(F.lit("broken input: "), F.substring(mark, 1, 1000), F.lit(" "), beside)).cast("boolean")
     return df.where(F.when(F.col(mark).isNull(), True).otherwise(error)).drop(mark)
 
 
