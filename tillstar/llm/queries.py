@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillstar.llm import embeddings, html_model, licenses, mixing, oracle, packing, pii, quality_model, quality_rules, simhash, wordpiece
+from tillstar.llm import (
+    embeddings, html_model, licenses, mixing, oracle, packing, periodic_runs, pii, quality_model, quality_rules, simhash, wordpiece,
+)
 from tillstar.llm.common import read_table, written
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,11 +90,40 @@ def op10_longest_match_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", f"{at}.*")
 
 
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """doc_id and text, every tenth text's words repeating from some word on; texts without
+    an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g, n = F.floor(h / 10), F.size("words")
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (3 + g % 8))
+    repeated = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", (a + (i - a) % p).cast("int"))))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")
+    hit = F.coalesce(h % 10 == 0, F.lit(False))
+    # Words of other texts aren't split here.
+    docs = docs.select("doc_id", "text", F.when(hit, words).alias("words"))
+    return docs.select("doc_id", F.when(F.size("words") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document, some made periodic before."""
+    docs, at = periodic_runs.with_runs(made_periodic(read_table(spark, sf_dir, "documents", "doc_id", "text")))
+    runs = F.col(at)["runs"]
+    # The longest; of these the first, then that of the smallest period.
+    best = F.array_min(F.transform(runs, lambda r: F.struct((-r["length"]).alias("size"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform(runs, lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return docs.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), best["start"].alias("start"), (-best["size"]).alias("length"),
+        best["period"].alias("period"), F.floor(-1000 * best["size"] / best["period"]).alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2(F.col(at)["collapsed"], 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op4_attention_passages, op5_simhash_popcount,
-        op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts,
+        op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {
