@@ -1,0 +1,138 @@
+"""Katz backoff against dictionaries of n-grams."""
+
+import math
+import random
+import zlib
+from collections import Counter
+
+import brute
+import pytest
+from pyspark.sql import functions as F
+
+from tillstar.llm import katz, queries
+
+
+class Plain:
+    """The model over lists of words, `<` beginning and `>` ending a text."""
+
+    def __init__(self, texts, order):
+        self.order = order
+        self.count = {m: Counter() for m in range(order + 1)}
+        for words in texts:
+            line = ["<", *words, ">"]
+            for j in range(1, len(line)):
+                for m in range(1, min(order, j + 1) + 1):
+                    self.count[m][tuple(line[j - m + 1 : j + 1])] += 1
+        self.texts = len(texts)
+        self.total = sum(self.count[1].values())
+        self.kept, self.loss = {}, {}
+        for m in range(1, order + 1):
+            times = Counter(self.count[m].values())
+            self.kept[m] = katz.discounts([times[r] for r in range(1, katz.K + 2)])
+            self.loss[m] = min(r * (1 - d) for r, d in enumerate(self.kept[m], 1))
+        self.after = {}
+        for m in range(2, order + 1):
+            for gram in self.count[m]:
+                self.after.setdefault(gram[:-1], []).append(gram[-1])
+
+    def discounted(self, m, c):
+        return c * self.kept[m][c - 1] if c <= len(self.kept[m]) else c - self.loss[m]
+
+    def context(self, h):
+        return self.total if not h else self.texts if h == ("<",) else self.count[len(h)][h]
+
+    def probability(self, h, w):
+        m = len(h) + 1
+        c = self.count[m][h + (w,)]
+        if c:
+            return self.discounted(m, c) / self.context(h)
+        if not h:
+            return 1 - sum(self.discounted(1, x) for x in self.count[1].values()) / self.total if self.total else 1.0
+        return self.weight(h) * self.probability(h[1:], w)
+
+    def weight(self, h):
+        if not self.context(h):
+            return 1.0
+        met = self.after[h]
+        return (1 - sum(self.probability(h, w) for w in met)) / (1 - sum(self.probability(h[1:], w) for w in met))
+
+    def score(self, words):
+        line = ("<", *words, ">")
+        return sum(math.log10(self.probability(line[max(0, j - self.order + 1) : j], line[j])) for j in range(1, len(line)))
+
+    def base(self, words):
+        v = len(self.count[1])
+        return sum(math.log10((self.count[1][(w,)] + 1) / (self.total + v + 1)) for w in [*words, ">"])
+
+
+def words_of(text):
+    return brute.WORD.findall((text or "").translate(brute.ASCII))
+
+
+def chatter(seed, n=60):
+    rnd = random.Random(seed)
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(rnd.choices(words, [1 / (1 + k) for k in range(40)], k=rnd.randint(0, 60)))) for i in range(n)]
+    return [*rows, (n, rows[0][1]), (n + 1, "never met words"), (n + 2, "w0 w0 w0 W0")]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_probabilities_sum_to_one(order):
+    texts = [t.split() for _, t in chatter(order)]
+    model = Plain(texts, order)
+    vocabulary = [w for (w,) in model.count[1]]
+    for h in [(), ("<",), ("w0",), ("w1", "w0"), ("<", "w2"), ("w3", "w39", "w1"), ("nobody",)]:
+        h = h[: order - 1]
+        assert sum(model.probability(h, w) for w in vocabulary) + model.probability(h, "unheard") == pytest.approx(1, abs=1e-9)
+
+
+def agree(got, texts, train, order):
+    model = Plain([words_of(t) for i, t in texts if train(i)], order)
+    assert len(got) == len(texts)
+    by_id = {r["doc_id"]: r for r in got}
+    for i, t in texts:
+        words, r = words_of(t), by_id[i]
+        assert r["held_out"] == (not train(i)) and r["n_tokens"] == len(words) + 1 and r["train_tokens"] == model.total
+        assert r["n_known"] == sum(model.count[1][(w,)] > 0 for w in [*words, ">"])
+        assert r["base_score"] == pytest.approx(model.base(words), rel=1e-9, abs=1e-9)
+        assert r["score"] == pytest.approx(model.score(words), rel=1e-7, abs=1e-7), (i, t)
+
+
+@pytest.mark.parametrize("order,block,grams,hot", [(1, 1 << 20, 1 << 20, 1000), (2, 100, 50, 1000), (3, 300, 1 << 20, 5), (4, 1, 200, 1000)])
+def test_scores_of_small_texts(spark, monkeypatch, order, block, grams, hot):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(katz, "BUCKET_GRAMS", grams)
+    monkeypatch.setattr(katz, "HOT", hot)
+    rows = chatter(order)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    agree(katz.score(df, F.col("doc_id") % 3 != 1, order=order).collect(), rows, lambda i: i % 3 != 1, order)
+
+
+def test_query_against_dictionaries(spark, small, documents):
+    rows = [(i, t) for i, t, _ in documents]
+    got = queries.op12_katz_backoff(spark, small).collect()
+    agree(got, rows, lambda i: zlib.crc32(str(i).encode()) % 7 != 2, katz.ORDER)
+    assert sum(r["held_out"] for r in got) > 10
+
+
+def test_discounts():
+    kept = katz.discounts([1000, 400, 220, 140, 100, 75])
+    assert len(kept) == 5 and all(0 < a < 1 for a in kept)
+    # What is left for the unknown is what Good and Turing give it: the share of single counts.
+    n = [1000, 400, 220, 140, 100, 75]
+    assert sum(r * n[r - 1] * (1 - d) for r, d in enumerate(kept, 1)) == pytest.approx(1000)
+    assert len(katz.discounts([1000, 400, 220, 0, 100, 75])) == 2
+    assert katz.discounts([0, 5, 5, 5, 5, 5]) == [0.5] == katz.discounts([3, 40, 5, 5, 5, 5])
+
+
+def test_odd_rows(spark, odd, nothing):
+    rows = [(r["doc_id"], r["text"]) for r in odd.select("doc_id", "text").collect()]
+    train = F.col("doc_id") != 3
+    model = Plain([words_of(t) for i, t in rows if i != 3], 2)
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in katz.score(odd, train).collect())
+    wanted = sorted((str(i), len(w) + 1, sum(model.count[1][(x,)] > 0 for x in [*w, ">"]), model.score(w)) for i, w in ((i, words_of(t)) for i, t in rows))
+    assert [g[:3] for g in got] == [w[:3] for w in wanted]
+    assert [g[3] for g in got] == pytest.approx([w[3] for w in wanted], rel=1e-7, abs=1e-7)
+    assert katz.score(nothing, F.lit(True)).count() == 0
+    unlearned = katz.score(odd, F.lit(False)).collect()
+    assert all(r["score"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 and r["held_out"] for r in unlearned)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillstar.llm import (
-    conversations, embeddings, html_model, licenses, mixing, oracle, packing, periodic_runs, pii, quality_model, quality_rules, simhash, wordpiece,
+    conversations, embeddings, html_model, katz, licenses, mixing, oracle, packing, periodic_runs, pii, quality_model, quality_rules, simhash, wordpiece,
 )
 from tillstar.llm.common import read_table, written
 
@@ -115,6 +115,12 @@ def op11_persistent_audits(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_katz_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned outside the held-out seventh."""
+    learned = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    return katz.score(read_table(spark, sf_dir, "documents", "doc_id", "text"), learned)
+
+
 def made_periodic(docs: DataFrame) -> DataFrame:
     """doc_id and text, every tenth text's words repeating from some word on; texts without
     an id stay as they are."""
@@ -148,7 +154,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_zstd_bands, op2_diagonal_voting, op3_candidate_boosting, op4_attention_passages, op5_simhash_popcount,
-        op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts, op11_persistent_audits, op13_periodic_runs,
+        op6_exact_complements, op7_entropy_mixing, op8_tree_marginals, op9_product_quantisation, op10_longest_match_counts, op11_persistent_audits,
+        op12_katz_backoff, op13_periodic_runs,
     )
 }
 ORACLES: dict[str, str] = {
