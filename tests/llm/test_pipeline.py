@@ -33,7 +33,7 @@ def test_stages(spark, small, stages):
     assert all(df.columns == raw.columns for df in stages[:-1])
     judge = quality_rules.judge(quality_rules.Bands())
     before = rows_of(raw)
-    assert sorted(rows_of(quality)) == sorted(r for r in before if judge([r[1] or ""])[0]["kept"])
+    assert sorted(rows_of(quality)) == sorted(r for r in before if judge([r[1] or ""])[0]["usable"])
 
     before = rows_of(quality)
     near = brute.near_duplicates([(r[0], r[1]) for r in before])

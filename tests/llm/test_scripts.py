@@ -20,9 +20,11 @@ PROSE = {
 def test_clean_prose_is_kept_in_its_script(script):
     text = PROSE[script]
     whole, half, many, lines = quality_rules.judge(quality_rules.Bands())([text, text[: len(text) // 2], text[:80] * 60, f"{text[:40]}\n" * 400])
-    assert whole["kept"] and whole["bad_chunk_share"] == 0
-    assert half["kept"] or half["base_failed"]
-    assert not many["kept"] and not lines["kept"]
+    assert whole["usable"] and whole["bad_chunk_share"] == 0
+    assert whole["kept"] == (not whole["base_failed"])
+    assert half["usable"] or half["base_failed"]
+    assert not any(r["usable"] or r["kept"] for r in (many, lines))
+    assert not any(r["kept"] and r["base_failed"] for r in (whole, half, many, lines))
 
 
 def test_latin_text_is_judged_by_its_own_bytes():
@@ -32,4 +34,4 @@ def test_latin_text_is_judged_by_its_own_bytes():
     mixed = "Αθήνα city"
     assert len(quality_rules.folded(mixed, mixed.encode())) == len(mixed)
     short = quality_rules.judge(quality_rules.Bands())(["清晨 and a few other words", PROSE["Han"]])
-    assert [r["kept"] for r in short] == [False, True]
+    assert [(r["kept"], r["usable"]) for r in short] == [(False, False), (False, True)]

@@ -15,7 +15,8 @@ such letters is judged as it is; `ratio` is that of the plain UTF-8 bytes in any
 
 Beside the bands stand counts on words and lines, and a base rule on them (too few words,
 or too large a share of words in repeated three-word windows). Words are what white space
-parts; for `kept`, a text in a script that doesn't part them has enough words if it has so
+parts. `kept` is false wherever the base rule fails. `usable`, by which `keep_quality` keeps
+rows, differs for scripts that don't part words: such a text has enough words if it has so
 many pieces of two letters (four in Thai, Lao, Burmese and Khmer).
 
 Null and empty texts have no words and fail the base rule; repeated rows are judged each
@@ -73,6 +74,7 @@ RESULT = StructType([
     StructField("kept", BooleanType()),
     StructField("ratio", DoubleType()),
     StructField("bad_chunk_share", DoubleType()),
+    StructField("usable", BooleanType()),
 ])
 
 
@@ -152,8 +154,8 @@ def judge(bands: Bands):
         clean = not bands.outside(judged, len(use)) and share <= bands.bad_chunk_share if size else False
         return {
             "n_words": len(words), "word_chars": chars, "n_symbols": symbols, "n_dup_lines": again,
-            "n_repeat_words": repeated, "base_failed": failed, "kept": clean and not short and not repeats,
-            "ratio": ratio, "bad_chunk_share": share,
+            "n_repeat_words": repeated, "base_failed": failed, "kept": clean and not failed,
+            "ratio": ratio, "bad_chunk_share": share, "usable": clean and not short and not repeats,
         }
 
     return lambda texts: [one(t) for t in texts]
@@ -161,12 +163,12 @@ def judge(bands: Bands):
 
 def quality_rules(df: DataFrame, text: str = "text", bands: Bands | None = None) -> tuple[DataFrame, str]:
     """`df` with a struct column (its name is returned too) of the counts, the base rule's
-    verdict, the ratios and `kept`."""
+    verdict, the ratios, `kept` and `usable`."""
     use = bands or Bands()
     return with_text_column(df, text, "quality", RESULT, lambda: judge(use))
 
 
 def keep_quality(df: DataFrame, text: str = "text", bands: Bands | None = None) -> DataFrame:
-    """The rows of `df` that the rules keep."""
+    """The rows of `df` that are usable."""
     judged, at = quality_rules(df, text, bands)
-    return judged.where(F.col(at)["kept"]).drop(at)
+    return judged.where(F.col(at)["usable"]).drop(at)
