@@ -34,7 +34,7 @@ from zlib import crc32
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructField, StructType
 
 from tillstar.llm.common import free_name, spread, with_text_column, written
 
@@ -43,7 +43,7 @@ END = 2
 BUCKETS = 1024
 
 PIECE = StructType([
-    StructField("piece", LongType()), StructField("start", LongType()), StructField("length", LongType()),
+    StructField("piece", IntegerType()), StructField("start", LongType()), StructField("length", LongType()),
     StructField("ids", BinaryType()), StructField("ids_crc32", LongType()),
 ])
 
