@@ -1,6 +1,7 @@
 """Near duplicates, packing, mixing, pages, embeddings, components."""
 
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -322,11 +323,35 @@ def test_embeddings_on_odd_rows(spark):
         (1, [1.0, float("nan"), 3.0], 1), (10, [float("inf"), 2.0, 3.0], 1), (None, v, 1), (None, [3.0, -1.0, 0.0], 1), (11, [1.0, 2.0, 3.0, 0.0], 1), (12, [3e38, 6e38 / 2, 3e38], 4),
     ]
     df = spark.createDataFrame([(*r, "own", "own") for r in rows], "vec_id long, embedding array<double>, label int, n_links string, cid string")
-    got = sorted([(r["vec_id"], r["n_links"], r["component_id"]) for r in embeddings.near_duplicates(df).collect()], key=str)
+    found = embeddings.near_duplicates(df).collect()
+    got = sorted([(r["vec_id"], r["n_links"], r["component_id"]) for r in found], key=str)
     assert got == expected_links(rows)
+    # A row without an id is kept only where nothing that it is linked to has one.
+    assert all(r["kept"] == (r["vec_id"] == r["component_id"]) for r in found)
+    assert sorted(r["kept"] for r in found if r["vec_id"] is None) == [False, True]
     assert embeddings.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_probes_are_sufficient_and_small():
+    rnd = np.random.default_rng(3)
+    x = embeddings._unit(rnd.normal(size=(600, 768)) + 3 * rnd.normal(size=(600, 1)) * rnd.normal(size=(1, 768)))
+    index = embeddings.Index(x[rnd.choice(600, 300, replace=False)].copy(), np.zeros((8, 1, 96)), 0.2)
+    at = embeddings._nearest(x, index.centroids)
+    tracemalloc.start()
+    probed = index.probes(x, at)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20e6  # the distances of 600 x 300 x 768 would be 1.1 GB
+    near = np.linalg.norm(x[:, None] - x[None], axis=2) <= 0.2
+    for i, j in zip(*np.nonzero(near), strict=True):
+        assert probed[i, at[j]] or probed[j, at[i]]
+
+
+def test_contract_types(spark, small):
+    assert dict(queries.op6_exact_complements(spark, small).dtypes)["piece"] == "int"
+    assert dict(queries.op1_zstd_bands(spark, small).dtypes)["kept"] == "boolean"
+
+
 def test_embeddings_agree_with_sql(spark):
     sf = "/root/testdata/sf0.01"
     con = duckdb.connect()

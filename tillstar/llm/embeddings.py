@@ -21,11 +21,13 @@ number of links per class and as many edges as connect them, not the pairs.
 
 Vectors that are null, empty, zero, without a label, or hold null or non-finite
 components link with nothing. Repeated rows count as vectors of their own. An empty table
-gives an empty one. Rows without an id take part; they are never a component's name.
+gives an empty one. Rows without an id take part; they are never a component's name, and are kept
+only where no row that links reach has an id.
 """
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 import numpy as np
@@ -78,6 +80,14 @@ class Index:
     def dimension(self) -> int:
         return self.centroids.shape[1]
 
+    @functools.cached_property
+    def apart(self) -> np.ndarray:
+        """Distances between centroids (lists x lists)."""
+        norms = (self.centroids**2).sum(1)
+        squared = norms[:, None] + norms - 2 * self.centroids @ self.centroids.T
+        np.fill_diagonal(squared, 0)
+        return np.sqrt(np.maximum(0, squared))
+
     def parts(self, x: np.ndarray) -> np.ndarray:
         return x.reshape(len(x), len(self.codewords), -1)
 
@@ -93,8 +103,7 @@ class Index:
         """Which lists may hold a vector within the radius, as booleans per vector."""
         squared = (x**2).sum(1)[:, None] + (self.centroids**2).sum(1) - 2 * x @ self.centroids.T
         own = squared[np.arange(len(x)), at][:, None]
-        apart = np.sqrt(np.maximum(0, ((self.centroids[at][:, None] - self.centroids) ** 2).sum(2)))
-        near = (squared - own) <= 2 * (self.radius + 1e-9) * apart + 1e-9
+        near = (squared - own) <= 2 * (self.radius + 1e-9) * (self.apart[at] + 1e-7) + 1e-9
         return near & (np.arange(len(self.centroids)) >= at[:, None])
 
     def distances(self, x: np.ndarray, place: int, codes: np.ndarray) -> np.ndarray:
@@ -254,4 +263,4 @@ def near_duplicates(
     alone = rows.where("vec is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"))
     grouped = rows.where("vec is not null")
     all_ = grouped.join(result, (grouped["label"] == F.col("l")) & (grouped["vec"] == F.col("v"))).select("id", "n_links", "component_id").union(alone)
-    return all_.select(F.col("id").alias(id), "n_links", "component_id", F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"))
+    return all_.select(F.col("id").alias(id), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
