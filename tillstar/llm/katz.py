@@ -51,7 +51,7 @@ from tillstar.llm.common import written
 ORDER = 2
 K = 5
 #: Tokens in a block, about (one text is never split), and n-grams asked for in a bucket.
-BLOCK_TOKENS, BUCKET_GRAMS = 1 << 21, 1 << 21
+BLOCK_TOKENS, BUCKET_GRAMS = 1 << 20, 1 << 20
 #: Contexts that are broadcast, at most: those asked for by more than 1 / HOT of all askers.
 HOT = 1000
 SEED = 42
@@ -91,20 +91,24 @@ class Block:
     """Texts as numbers of their words; text i is BEGIN, its words, END."""
 
     def __init__(self, hashes: np.ndarray, stream: np.ndarray, train: np.ndarray, order: int):
-        self.text = np.cumsum(stream == BEGIN) - 1
-        begins = np.flatnonzero(stream == BEGIN)
-        self.place = np.arange(len(stream)) - begins[self.text]
-        self.train, self.words = train, hashes[stream]
+        begin = stream == BEGIN
+        self.text = np.cumsum(begin, dtype=np.int32) - 1
+        self.place = np.arange(len(stream), dtype=np.int32) - np.flatnonzero(begin).astype(np.int32)[self.text]
+        self.train = train
         #: n-grams by length: hash per place that ends one, those places, the distinct hashes
-        #: with the first place of each, and which of them a place has.
+        #: with the first place of each (none for single words), and which of them a place has.
         self.grams = {}
-        key = self.words
-        for m in range(1, order + 1):
-            if m > 1:
-                key = np.concatenate([np.zeros(1, np.uint64), mixed(key[:-1], self.words[1:])])
-            at = np.flatnonzero(self.place >= max(1, m - 1))
+        by_hash = np.argsort(hashes[1:])  # without BEGIN
+        rank = np.empty(len(hashes), np.int32)
+        rank[1 + by_hash] = np.arange(len(by_hash), dtype=np.int32)
+        words = key = hashes[stream]
+        at = np.flatnonzero(~begin).astype(np.int32)
+        self.grams[1] = key, at, hashes[1:][by_hash], None, rank[stream[at]]
+        for m in range(2, order + 1):
+            key = np.concatenate([np.zeros(1, np.uint64), mixed(key[:-1], words[1:])])
+            at = np.flatnonzero(self.place >= m - 1).astype(np.int32)
             distinct, first, which = np.unique(key[at], return_index=True, return_inverse=True)
-            self.grams[m] = key, at, distinct, at[first], which
+            self.grams[m] = key, at, distinct, at[first], which.astype(np.int32)
 
     def asked(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes of length m and their learned counts."""
@@ -165,7 +169,8 @@ def _asks(order: int, buckets: int):
     """A function from blocks to (length, bucket, block, hashes, counts)."""
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):  # one at a time: a row is a block
+                row = batch.slice(k, 1).to_pylist()[0]
                 block = _block(row, order)
                 for m in range(1, order + 1):
                     distinct, counts = block.asked(m)
@@ -271,6 +276,7 @@ def _evaluate(order: int, model: Model, id_type: pa.DataType):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         row = left.to_pylist()[0]
         block = _block(row, order)
+        del left, row["stream"], row["words"]
         n, texts = len(block.text), len(row["ids"])
         parts = {m: [] for m in range(1, order + 1)}
         for r in sorted(right.to_pylist(), key=lambda r: r["bucket"]):
@@ -283,7 +289,7 @@ def _evaluate(order: int, model: Model, id_type: pa.DataType):
                 raise RuntimeError("a block's answers don't match what it asked for")
             own[m] = reply % 2 == 1
             count[m] = np.zeros(n, np.int64)
-            count[m][at] = reply[which] // 2
+            count[m][at] = (reply // 2)[which]
             if m == 1:
                 before[m] = np.full(n, model.levels[1].total)
             else:
