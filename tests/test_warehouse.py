@@ -1,9 +1,12 @@
 import pytest
+from pyspark.sql import functions as F
 
 from tillstar.contract import fixtures as fx
+from tillstar.operators.cleaning import quarantine
+from tillstar.operators.profiling import max_lengths
 from tillstar.operators.typing import STAR
 from tillstar.plans import sales
-from tillstar.plans.warehouse import build_warehouse, star_tables
+from tillstar.plans.warehouse import build_warehouse, profile_star, star_tables
 from tillstar.streaming import clean_stream
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +65,41 @@ def test_stream_of_files_equals_batch(spark, tmp_path, table, make):
     raw.write.mode("append").json(landed)
     run()
     assert spark.read.parquet(out).count() == 2 * batch.count()
+
+
+def test_every_raw_row_is_read_once(spark, tmp_path):
+    """Star, quarantine, counts and lengths from one pass over a source that never says the
+    same twice."""
+    raw = fx.raw_tables(spark, SF)
+    read = {t: spark.sparkContext.accumulator(0) for t in raw}
+
+    def counting(df, seen):
+        def run(batches):
+            for pdf in batches:
+                seen.add(len(pdf))
+                yield pdf
+
+        return df.mapInPandas(run, df.schema)
+
+    built = build_warehouse(spark, {t: counting(df, read[t]) for t, df in raw.items()}, str(tmp_path / "star")).store_reports()
+    assert built.reject_counts().count() > 5 and built.profile().count() > 20
+    for t, df in raw.items():
+        assert read[t].value == df.count()
+        assert content(built.tables[t]) == content(star_tables({t: df})[t])
+        assert content(built.rejects[t].select("*")) == content(quarantine(df, t))
+    assert content(built.profile()) == content(profile_star(built.tables).select("column_name", "non_null", "data_type", "table_name"))
+    longest = {(r.table_name, r.column_name): r.max_length for r in built.max_lengths().collect()}
+    for t, spec in STAR.items():
+        for r in max_lengths(built.tables[t], list(spec.measured)).collect():
+            assert longest[spec.name, r.column_name] == r.max_length
+        assert built.measured[t].rows == built.tables[t].count()
+
+
+def test_routes_of_odd_rows(spark, tmp_path):
+    """Further columns with odd names, nothing but rejects, an empty table."""
+    stores = fx.raw_stores(spark, SF).withColumn("a column, with; odd name", F.lit(1)).withColumn("route", F.lit("own"))
+    rejects = stores.withColumn("country_code", F.lit("XX"))
+    for k, df in enumerate([stores, rejects, stores.limit(0)]):
+        built = build_warehouse(spark, {"stores": df}, str(tmp_path / f"star{k}"))
+        assert content(built.tables["stores"]) == content(star_tables({"stores": df})["stores"])
+        assert content(built.rejects["stores"]) == content(quarantine(df, "stores"))

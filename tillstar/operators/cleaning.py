@@ -3,7 +3,8 @@
 Each table has a list of `Rule`s over its *raw* columns. A cleaner keeps the rows
 that pass every dropping rule and repairs their columns in one projection, so a
 cleaner is scan -> filter -> project with no shuffle, and it runs on a streaming
-DataFrame as it stands. `quarantine` reads the same rules the other way round.
+DataFrame as it stands. `quarantine` reads the same rules the other way round, and
+`routed` does both in one projection over all rows.
 """
 
 from collections.abc import Callable
@@ -142,48 +143,99 @@ RULES: dict[str, Callable[[DataFrame], list[Rule]]] = {
 }
 
 
+#: Where a row goes: to the star, to the star and to quarantine, to quarantine alone.
+CLEAN, MENDED, DROPPED = "clean", "mended", "dropped"
+#: Columns that `routed` puts beside a table's own.
+ROUTE, RAW_ROW, REASONS = "_route", "_raw_row", "_reject_reasons"
+
+
+def _passes(rules: list[Rule]) -> Column:
+    """That every dropping rule holds; plain conjuncts, so scans can take them."""
+    return reduce(lambda a, b: a & b, [r.ok for r in rules if r.drops], F.lit(True))
+
+
 def _keep(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """Rows that pass every dropping rule; plain conjuncts, so scans can take them."""
-    dropping = [r.ok for r in rules if r.drops]
-    return (df.where(reduce(lambda a, b: a & b, dropping)) if dropping else df).drop(BROKEN)
+    return df.where(_passes(rules)).drop(BROKEN)
+
+
+def _reasons(df: DataFrame, rules: list[Rule]) -> Column:
+    failed = [F.when(~F.coalesce(r.ok, F.lit(False)), r.reason) for r in rules]
+    reasons = F.array_compact(F.array(*failed))
+    if BROKEN not in df.columns:
+        return reasons
+    # That it could not be read is all there is to say of such a row.
+    return F.when(F.col(BROKEN).isNotNull(), F.array(F.lit("input unreadable"))).otherwise(reasons)
 
 
 def quarantine(df: DataFrame, table: str) -> DataFrame:
     """Raw rows that were dropped or lost a value in cleaning or typing, with every reason."""
-    failed = [F.when(~F.coalesce(r.ok, F.lit(False)), r.reason) for r in RULES[table](df)]
-    reasons = F.array_compact(F.array(*failed))
-    if BROKEN in df.columns:  # that it could not be read is all there is to say of such a row
-        reasons = F.when(F.col(BROKEN).isNotNull(), F.array(F.lit("input unreadable"))).otherwise(reasons)
-    return df.withColumn("reject_reasons", reasons).where(F.size("reject_reasons") > 0)
+    return df.withColumn("reject_reasons", _reasons(df, RULES[table](df))).where(F.size("reject_reasons") > 0)
 
 
-def clean_users(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Users of a served country with no missing value; dates parsed, codes repaired."""
-    return _keep(df, user_rules(df)).withColumns({
+def routed(df: DataFrame, table: str) -> DataFrame:
+    """Every raw row with its cleaned columns, and beside them where it goes (`ROUTE`), why
+    (`REASONS`), and for rows that quarantine shows the row as it was (`RAW_ROW`).
+
+    The cleaned columns of rows that don't pass mean nothing.
+    """
+    rules = RULES[table](df)
+    reasons = _reasons(df, rules)
+    sound = F.size(reasons) == 0
+    route = F.when(sound, CLEAN).when(F.coalesce(_passes(rules), F.lit(False)), MENDED).otherwise(DROPPED)
+    whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    marked = df.select("*", route.alias(ROUTE), F.when(~sound, whole).alias(RAW_ROW), reasons.alias(REASONS))
+    return REPAIRS[table](marked).drop(BROKEN)
+
+
+def accepted(routes: DataFrame) -> DataFrame:
+    """The rows of `routed` that the cleaner keeps, as it leaves them."""
+    return routes.where(F.col(ROUTE).isin(CLEAN, MENDED)).drop(ROUTE, RAW_ROW, REASONS)
+
+
+def rejected(routes: DataFrame) -> DataFrame:
+    """The rows of `routed` that `quarantine` shows."""
+    return routes.where(F.col(ROUTE).isin(MENDED, DROPPED)).select(f"{RAW_ROW}.*", F.col(REASONS).alias("reject_reasons"))
+
+
+def repair_users(df: DataFrame, strict: bool = False) -> DataFrame:
+    return df.withColumns({
         "country_code": F.replace("country_code", *map(F.lit, fixed.COUNTRY_CODE_FIX)),
         "date_of_birth": parse_date(F.col("date_of_birth"), strict),
         "join_date": parse_date(F.col("join_date"), strict),
     })
 
 
-def clean_cards(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Cards with a slashed expiry and no missing value; stray marks taken out of numbers."""
+def clean_users(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Users of a served country with no missing value; dates parsed, codes repaired."""
+    return repair_users(_keep(df, user_rules(df)), strict)
+
+
+def repair_cards(df: DataFrame, strict: bool = False) -> DataFrame:
     number = F.col("card_number").cast("string")
-    return _keep(df, card_rules(df)).withColumns({
+    return df.withColumns({
         "card_number": F.replace(number, F.lit(fixed.CARD_NOISE), F.lit("")),
         "date_payment_confirmed": parse_date(F.col("date_payment_confirmed"), strict),
     })
 
 
-def clean_stores(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Stores of a served country; head count from its digits, continent repaired."""
-    return _keep(df, store_rules(df)).withColumns({
+def clean_cards(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Cards with a slashed expiry and no missing value; stray marks taken out of numbers."""
+    return repair_cards(_keep(df, card_rules(df)), strict)
+
+
+def repair_stores(df: DataFrame, strict: bool = False) -> DataFrame:
+    return df.withColumns({
         "opening_date": parse_date(F.col("opening_date"), strict),
         "staff_numbers": digits_only(F.col("staff_numbers").cast("string")),
         "continent": F.replace("continent", F.lit(fixed.CONTINENT_NOISE), F.lit("")),
     })
 
 
+def clean_stores(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Stores of a served country; head count from its digits, continent repaired."""
+    return repair_stores(_keep(df, store_rules(df)), strict)
+
+
 def convert_weights(df: DataFrame, strict: bool = False) -> DataFrame:
     """Weights as kilograms. A row whose weight cannot be read goes (or raises when strict)."""
     raw = F.col("weight").cast("string")
@@ -196,29 +248,33 @@ def convert_weights(df: DataFrame, strict: bool = False) -> DataFrame:
     return df.withColumn("weight", kg).where(F.col("weight").isNotNull())
 
 
+def repair_products(df: DataFrame, strict: bool = False) -> DataFrame:
+    return df.withColumns({
+        "removed": F.replace("removed", *map(F.lit, fixed.AVAILABILITY_FIX)),
+        "product_price": _price(F.col("product_price")),
+        "date_added": parse_date(F.col("date_added"), strict),
+    }).withColumnsRenamed({"EAN": "ean"})
+
+
 def clean_products(df: DataFrame, strict: bool = False) -> DataFrame:
     """Products in a known state; price as a number, date parsed, `EAN` renamed to `ean`.
 
     Weights are converted separately, and first (`convert_weights`).
     """
-    return (
-        _keep(df, product_rules(df))
-        .withColumns({
-            "removed": F.replace("removed", *map(F.lit, fixed.AVAILABILITY_FIX)),
-            "product_price": _price(F.col("product_price")),
-            "date_added": parse_date(F.col("date_added"), strict),
-        })
-        .withColumnsRenamed({"EAN": "ean"})
-    )
+    return repair_products(_keep(df, product_rules(df)), strict)
 
 
-def clean_orders(df: DataFrame, strict: bool = False) -> DataFrame:
-    """Orders without the personal and spare columns; card numbers as text."""
+def repair_orders(df: DataFrame, strict: bool = False) -> DataFrame:
     unwanted = ["1", "first_name", "last_name"]
     absent = [c for c in unwanted if c not in df.columns]
     if strict and absent:
         raise KeyError(f"orders lack the columns {absent}")
-    return _keep(df, order_rules(df)).drop(*unwanted).withColumn("card_number", F.col("card_number").cast("string"))
+    return df.drop(*unwanted).withColumn("card_number", F.col("card_number").cast("string"))
+
+
+def clean_orders(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Orders without the personal and spare columns; card numbers as text."""
+    return repair_orders(_keep(df, order_rules(df)), strict)
 
 
 def clean_dates(df: DataFrame, strict: bool = False) -> DataFrame:
@@ -234,3 +290,13 @@ CLEANERS: dict[str, Callable[..., DataFrame]] = {
     "orders": clean_orders,
     "dates": clean_dates,
 }
+
+#: What the cleaners do to rows that pass, weights included.
+REPAIRS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "users": repair_users,
+    "cards": repair_cards,
+    "stores": repair_stores,
+    "products": lambda df: repair_products(df.withColumn("weight", to_kg(F.col("weight").cast("string")))),
+    "orders": repair_orders,
+    "dates": lambda df: df,
+}

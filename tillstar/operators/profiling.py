@@ -1,6 +1,6 @@
 """Table profiles: filled values per column and longest text per column."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,37 @@ def max_lengths(df: DataFrame, columns: list[str]) -> DataFrame:
     return _one_row_to_many(longest, "column_name", "max_length")
 
 
+class Measured:
+    """Counts of filled values and longest texts, taken while a table is written.
+
+    Pass `watch(df)` to the writer; afterwards `profile()` and `max_lengths()` say what
+    the functions of those names would, without reading the table.
+    """
+
+    def __init__(self, columns: tuple[str, ...] = ()):
+        self._seen, self._measured, self._of = Observation(), columns, None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        self._of = df
+        counts = [F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]
+        lengths = [F.max(F.length(F.col(f"`{c}`"))).alias(f"l{i}") for i, c in enumerate(self._measured)]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts, *lengths)
+
+    @property
+    def rows(self) -> int:
+        return self._seen.get["rows"]
+
+    def profile(self) -> DataFrame:
+        seen = self._seen.get
+        rows = [(c, seen[f"n{i}"], kind) for i, (c, kind) in enumerate(self._of.dtypes)]
+        return self._of.sparkSession.createDataFrame(rows, "column_name string, non_null long, data_type string")
+
+    def max_lengths(self) -> DataFrame:
+        seen = self._seen.get
+        rows = [(c, seen[f"l{i}"]) for i, c in enumerate(self._measured)]
+        return self._of.sparkSession.createDataFrame(rows, "column_name string, max_length long")
+
+
 def show_all(df: DataFrame) -> None:
     """Print a small result, every row of it."""
     rows = df.collect()

@@ -6,10 +6,11 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.cleaning import CLEANERS, quarantine
+from ..operators.cleaning import CLEANERS, ROUTE, accepted, quarantine, rejected, routed
 from ..operators.integrity import fk_orphans, pk_violations, require_keys
-from ..operators.profiling import profile
+from ..operators.profiling import Measured, profile
 from ..operators.typing import STAR, type_changes
+from ..session import scratch_path
 from ..sources.tables import SourceRegistry, read_table, write_table
 
 
@@ -44,6 +45,7 @@ class Warehouse:
     fk_report: DataFrame | None
     types: DataFrame
     registry: SourceRegistry
+    measured: dict[str, Measured]
 
     def create_views(self) -> None:
         """Make the tables known to `spark.sql` under their names."""
@@ -78,8 +80,12 @@ class Warehouse:
         )
 
     def profile(self) -> DataFrame:
-        """Filled values and type of every column of every table."""
-        return profile_star(self.tables)
+        """Filled values and type of every column of every table, as counted while writing."""
+        return _stacked([m.profile().withColumn("table_name", F.lit(STAR[t].name)) for t, m in self.measured.items()])
+
+    def max_lengths(self) -> DataFrame:
+        """The longest text of every column that typing measures, as found while writing."""
+        return _stacked([m.max_lengths().withColumn("table_name", F.lit(STAR[t].name)) for t, m in self.measured.items()])
 
 
 def reject_counts(rejects: dict[str, DataFrame]) -> DataFrame:
@@ -96,20 +102,37 @@ def build_warehouse(
 ) -> Warehouse:
     """Clean, type and write the fact and dimensions given to `out`, replacing earlier ones, then check keys.
 
-    `out` is a folder for Parquet tables or the options of a database. Later queries
-    read the written tables; what is wrong is worked out when asked for, or written by
-    `store_reports`. `strict` raises on unreadable values and on violated keys instead.
+    `out` is a folder for Parquet tables or the options of a database. Each raw table is read
+    once: its rows are judged, cleaned and typed in one projection and written to the shared
+    folder, apart by where they go; the star and the rejects are both read from there. So no
+    row is lost or doubled where a source changes meanwhile. Later queries read the written
+    tables; what is wrong is worked out when asked for, or written by `store_reports`.
+    `strict` raises on unreadable values and on violated keys instead; only its rejects read
+    the raw table again.
     """
     registry = SourceRegistry({"star": {"format": "parquet", "path": out} if isinstance(out, str) else out})
-    for t, df in star_tables(raw, strict).items():
-        write_table(df, registry, "star", STAR[t].name)
+    measured = {t: Measured(STAR[t].measured) for t in raw}
+    if strict:
+        star, rejects = star_tables(raw, strict), {t: quarantine(df, t) for t, df in raw.items()}
+    else:
+        routes = {t: _apart(spark, df, t) for t, df in raw.items()}
+        star, rejects = ({t: part(df) for t, df in routes.items()} for part in (accepted, rejected))
+    for t, df in star.items():
+        write_table(measured[t].watch(df), registry, "star", STAR[t].name)
     tables = {t: read_table(spark, registry, "star", STAR[t].name) for t in raw}
     if strict:
         require_keys(tables)
-    rejects = {t: quarantine(df, t) for t, df in raw.items()}
     linked = "orders" in tables and len(tables) > 1
     fk_report = fk_orphans(tables) if linked else None
-    return Warehouse(tables, rejects, pk_violations(tables), fk_report, star_types(raw, strict), registry)
+    return Warehouse(tables, rejects, pk_violations(tables), fk_report, star_types(raw, strict), registry, measured)
+
+
+def _apart(spark: SparkSession, raw: DataFrame, table: str) -> DataFrame:
+    """`routed` rows, typed, as a table with a partition for each route."""
+    df = STAR[table].apply(routed(raw, table))
+    path = scratch_path(spark, f"routed-{table}")
+    df.write.partitionBy(ROUTE).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def _storable(rejects: DataFrame) -> DataFrame:
