@@ -95,25 +95,29 @@ class Block:
         self.text = np.cumsum(begin, dtype=np.int32) - 1
         self.place = np.arange(len(stream), dtype=np.int32) - np.flatnonzero(begin).astype(np.int32)[self.text]
         self.train = train
-        #: n-grams by length: hash per place that ends one, those places, the distinct hashes
-        #: with the first place of each (none for single words), and which of them a place has.
-        self.grams = {}
-        by_hash = np.argsort(hashes[1:])  # without BEGIN
-        rank = np.empty(len(hashes), np.int32)
-        rank[1 + by_hash] = np.arange(len(by_hash), dtype=np.int32)
-        words = key = hashes[stream]
-        at = np.flatnonzero(~begin).astype(np.int32)
-        self.grams[1] = key, at, hashes[1:][by_hash], None, rank[stream[at]]
+        #: Of each length the hash of the n-gram that ends at a place; not of all places.
+        words = hashes[stream]
+        self.keys = {1: words}
         for m in range(2, order + 1):
-            key = np.concatenate([np.zeros(1, np.uint64), mixed(key[:-1], words[1:])])
-            at = np.flatnonzero(self.place >= m - 1).astype(np.int32)
-            distinct, first, which = np.unique(key[at], return_index=True, return_inverse=True)
-            self.grams[m] = key, at, distinct, at[first], which.astype(np.int32)
+            self.keys[m] = np.concatenate([np.zeros(1, np.uint64), mixed(self.keys[m - 1][:-1], words[1:])])
+
+    def ends(self, m: int) -> np.ndarray:
+        """Whether an n-gram of length m ends at a place."""
+        return self.place >= max(1, m - 1)
+
+    def distinct(self, m: int) -> np.ndarray:
+        """The hashes of length m, sorted, each once."""
+        return _once(np.sort(self.keys[m][self.ends(m)]))
 
     def asked(self, m: int) -> tuple[np.ndarray, np.ndarray]:
         """Distinct hashes of length m and their learned counts."""
-        _, at, distinct, _, which = self.grams[m]
-        return distinct, np.bincount(which, weights=self.train[self.text[at]], minlength=len(distinct)).astype(np.uint64)
+        distinct = self.distinct(m)
+        learned = np.sort(self.keys[m][self.ends(m) & self.train[self.text]])
+        return distinct, (np.searchsorted(learned, distinct, "right") - np.searchsorted(learned, distinct, "left")).astype(np.uint64)
+
+
+def _once(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.r_[True, ordered[1:] != ordered[:-1]][: len(ordered)]]
 
 
 def _blocks(schema: pa.Schema):
@@ -179,6 +183,7 @@ def _asks(order: int, buckets: int):
                         {"m": m, "bucket": b, "block": row["block"], "hashes": pack_sorted(distinct[i:j]), "counts": pack(counts[i:j])}
                         for b, (i, j) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if i < j
                     ]
+                    del distinct, counts
                     yield pa.RecordBatch.from_pylist(out, schema=ASK)
 
     return run
@@ -195,9 +200,9 @@ def _answer(table: pa.Table) -> pa.Table:
     rows = table.to_pylist()
     hashes = [unpack_sorted(r["hashes"]) for r in rows]
     counts = np.concatenate([unpack(r["counts"]) for r in rows]).astype(np.int64)
-    distinct, which = np.unique(np.concatenate(hashes), return_inverse=True)
-    total = np.zeros(len(distinct), np.int64)
-    np.add.at(total, which, counts)
+    distinct = _once(np.sort(np.concatenate(hashes)))
+    which = np.concatenate([np.searchsorted(distinct, h) for h in hashes])
+    total = np.bincount(which, weights=counts, minlength=len(distinct)).astype(np.int64)
     first = np.full(len(distinct), -1)
     met = np.flatnonzero(counts)[::-1]
     first[which[met]] = met  # the first that has met it is assigned last
@@ -281,15 +286,19 @@ def _evaluate(order: int, model: Model, id_type: pa.DataType):
         parts = {m: [] for m in range(1, order + 1)}
         for r in sorted(right.to_pylist(), key=lambda r: r["bucket"]):
             parts[r["m"]].append(unpack(r["counts"]))
-        count, own, before = {}, {}, {}  # per place; per distinct n-gram; the context's count per place
+        count, own, before = {}, {}, {}  # per place; places; the context's count per place
         for m in range(1, order + 1):
-            _, at, distinct, _, which = block.grams[m]
-            reply = np.concatenate(parts[m] or [np.zeros(0, np.uint64)]).astype(np.int64)
+            distinct, at = block.distinct(m), np.flatnonzero(block.ends(m))
+            reply = np.concatenate(parts.pop(m) or [np.zeros(0, np.uint64)]).astype(np.int64)
             if len(reply) != len(distinct):
                 raise RuntimeError("a block's answers don't match what it asked for")
-            own[m] = reply % 2 == 1
+            which = np.searchsorted(distinct, block.keys[m][at])
             count[m] = np.zeros(n, np.int64)
             count[m][at] = (reply // 2)[which]
+            one = np.empty(len(distinct), np.int64)
+            one[which] = at
+            own[m] = one[reply % 2 == 1]  # a place of each n-gram that this block owns
+            del distinct, reply, which, one
             if m == 1:
                 before[m] = np.full(n, model.levels[1].total)
             else:
@@ -308,7 +317,7 @@ def _evaluate(order: int, model: Model, id_type: pa.DataType):
             if m > 1:
                 back = np.flatnonzero(here & ~met & (before[m] > 0))
                 score[back] -= np.log10(before[m][back])
-                asks.append((np.full(len(back), m), block.grams[m - 1][0][back - 1], block.text[back]))
+                asks.append((np.full(len(back), m), block.keys[m - 1][back - 1], block.text[back]))
         if waiting.any():
             score[waiting] += math.log10(model.unknown)
         per_text = lambda x: np.bincount(block.text, weights=x, minlength=texts)
@@ -324,11 +333,10 @@ def _evaluate(order: int, model: Model, id_type: pa.DataType):
             new = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (text[1:] != text[:-1])][: len(by)])
             times = np.diff(np.r_[new, len(by)])
             out.append({"kind": np.full(len(new), 2), "at": text[new], "m": length[new], "context": context[new].view(np.int64), "asked": times})
-            _, _, _, first, _ = block.grams[m]
-            place = first[own[m]]
+            place = own[m]
             gone = count[m][place] - model.levels[m].discounted(count[m][place])
             lower = model.levels[m - 1].discounted(count[m - 1][place]) / before[m - 1][place]
-            keys = block.grams[m - 1][0][place - 1]
+            keys = block.keys[m - 1][place - 1]
             contexts, which = np.unique(np.concatenate([keys, context[new]]), return_inverse=True)
             mine, theirs = which[: len(keys)], which[len(keys) :]
             add = lambda w, x: np.bincount(w, weights=x, minlength=len(contexts))  # noqa: B023, E731
