@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import random
 import re
 
 import pytest
@@ -167,3 +168,32 @@ def test_mean_micros(spark):
     df = spark.createDataFrame([(0, 10, 4), (1, 9, 4), (2, 0, 3), (3, 5, 0)], "i int, t bigint, n bigint")
     got = df.select("i", mean_micros(F.col("t"), F.col("n")).alias("m")).orderBy("i").collect()
     assert [r.m for r in got] == [3, 2, 0, None]
+
+
+def public_date(text):
+    """What the public date parser reads, None where it fills parts in from a default."""
+    from dateutil import parser
+
+    try:
+        found = {parser.parse(text, default=dt.datetime(year, 2, 28)).date() for year in (1999, 2004)}
+        found |= {parser.parse(text, default=dt.datetime(2004, 1, 1)).date()}
+    except (parser.ParserError, OverflowError):
+        return None
+    return found.pop() if len(found) == 1 else None
+
+
+def test_dates_agree_with_the_public_parser(values):
+    """All orders of day, month and year, with names whole and cut, weekdays, clocks and separators."""
+    rnd, texts = random.Random(11), []
+    for _ in range(700):
+        d = dt.date(rnd.randint(1700, 2250), rnd.randint(1, 12), rnd.randint(1, 28))
+        month = rnd.choice([d.strftime("%B"), d.strftime("%b"), str(d.month), f"{d.month:02}"])
+        parts = [month, rnd.choice([str(d.day), f"{d.day:02}", f"{d.day}th"]), str(d.year)]
+        rnd.shuffle(parts)
+        separator = rnd.choice([" ", "-", "/", ", ", ". ", "  "])
+        text = separator.join(parts[: rnd.choice([3] * 9 + [2])])
+        text = rnd.choice(["", "", "", d.strftime("%A "), d.strftime("%a, ")]) + text
+        texts.append(text + rnd.choice(["", "", "", " 08:00", " 8:15:30 PM", "T08:00:00", "T08:00:00.25Z"]))
+    got = values(parse_date, texts)
+    assert dict(zip(texts, got, strict=True)) == {t: public_date(t) for t in texts}
+    assert sum(d is not None for d in got) > 400

@@ -45,6 +45,11 @@ DATES = [
     ("2018.10.22", "2018-10-22"), ("22.10.2018", "2018-10-22"), ("22-Oct-2018", "2018-10-22"), ("2018-Oct-22", "2018-10-22"),
     ("Oct-22-2018", "2018-10-22"), ("10/22/2018 08:00:00", "2018-10-22"), ("10/22/2018 8:00 PM", "2018-10-22"), ("22nd October 2018", "2018-10-22"),
     ("October 1st, 2018", "2018-10-01"), ("october 22, 2018", "2018-10-22"), (" 2018-10-22 ", "2018-10-22"), ("May 2001 3", "2001-05-03"),
+    ("Monday 22 October 2018", "2018-10-22"), ("Mon, 22 Oct 2018", "2018-10-22"), ("Sept 4 2018", "2018-09-04"), ("22/Oct/2018", "2018-10-22"),
+    ("20181022T080000", "2018-10-22"), ("22. October 2018", "2018-10-22"), ("Oct. 22, 2018", "2018-10-22"), ("22 October, 2018", "2018-10-22"),
+    ("2018 22 October", "2018-10-22"), ("22Oct2018", "2018-10-22"), ("22 of October 2018", "2018-10-22"), ("8:00 AM 22 October 2018", "2018-10-22"),
+    ("20181022080000", "2018-10-22"), ("22 2018 Oct", "2018-10-22"), ("2018-22-10", None), ("10 2018 22", None), ("May 5 May 2018", None),
+    ("the 22 October 2018", None), ("2018-10-22T25:00", None), ("20181322", None), ("Oct 22", None), ("22 October 18", None),
     ("2020-02-30", None), ("31/31/2003", None), ("October 2000", None), ("10/11/12", None), ("Octember 22 2018", None), ("5", None),
     ("", None), ("JUNK", None), ("08:00:00", None),
 ]

@@ -33,36 +33,19 @@ HEAVIEST_CLASS = "Truck_Required"
 WEB_STORE_TYPE = "Web Portal"
 WEB, OFFLINE = "Web", "Offline"
 
-# Date layouts, each with the shape of text it may read. `NAME` is
-# a month name, whole or as its first three letters. Layouts of the same shape are
-# tried in order: where day and month could be either, the month comes first.
+# The commonest date layouts, each with the shape of text it may read. `NAME` is
+# a month name, whole or as its first three letters. Other dates are read by their parts.
 DATE_LAYOUTS = [
     (r"\d{4}-\d{1,2}-\d{1,2}", "yyyy-M-d"),
     (r"\d{4} NAME \d{1,2}", "yyyy MMMM d"),
     (r"NAME \d{4} \d{1,2}", "MMMM yyyy d"),
     (r"\d{4}/\d{1,2}/\d{1,2}", "yyyy/M/d"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "M/d/yyyy"),
-    (r"\d{1,2}/\d{1,2}/\d{4}", "d/M/yyyy"),
-    (r"\d{8}", "yyyyMMdd"),
-    (r"\d{1,2} NAME \d{4}", "d MMMM yyyy"),
-    (r"NAME \d{1,2}, \d{4}", "MMMM d, yyyy"),
 ]
 
-# Rarer layouts, tried on what the ones above do not read.
-RARE_DATE_LAYOUTS = [
-    (r"\d{4}\.\d{1,2}\.\d{1,2}", "yyyy.M.d"),
-    (r"\d{1,2}-\d{1,2}-\d{4}", "M-d-yyyy"),
-    (r"\d{1,2}-\d{1,2}-\d{4}", "d-M-yyyy"),
-    (r"\d{1,2}\.\d{1,2}\.\d{4}", "M.d.yyyy"),
-    (r"\d{1,2}\.\d{1,2}\.\d{4}", "d.M.yyyy"),
-    (r"\d{1,2}-NAME-\d{4}", "d-MMMM-yyyy"),
-    (r"\d{4}-NAME-\d{1,2}", "yyyy-MMMM-d"),
-    (r"NAME \d{1,2} \d{4}", "MMMM d yyyy"),
-    (r"NAME-\d{1,2}-\d{4}", "MMMM-d-yyyy"),
-]
-
-# What may follow a date and is dropped: a clock, with or without seconds,
-# fractions, half of day and zone.
-CLOCK = r"[T ]+\d{1,2}:\d{2}(:\d{2}([.,]\d+)?)?( ?[AaPp][Mm])?( ?(Z|[+-]\d{2}:?\d{2}))? *$"
-# Endings of a day's number, as in 22nd.
-ORDINAL = r"(?<=\d)(st|nd|rd|th)(?=[ ,])"
+# Weekdays, whole or cut; a date may name one, which says nothing more.
+WEEKDAY_NAMES = "mon(day)?|tue(s(day)?)?|wed(nesday)?|thu(rs(day)?)?|fri(day)?|sat(urday)?|sun(day)?"
+# Words between the parts of a date, endings of a day's number among them.
+DATE_FILLERS = "at|on|and|ad|m|t|of|st|nd|rd|th"
+# A clock beside a date, with or without seconds, fractions, half of day and zone; and one of digits alone.
+SHORT_CLOCK = r"([01]\d|2[0-3])[0-5]\d([0-5]\d)?"
+CLOCK = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d([.,]\d+)?)?( ?[ap]m)?( ?(z|utc|gmt|[+-]\d{2}:?\d{2}))?"

@@ -5,9 +5,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..fixed_values import CLOCK, DATE_LAYOUTS, ORDINAL, RARE_DATE_LAYOUTS
+from ..fixed_values import CLOCK, DATE_FILLERS, DATE_LAYOUTS, SHORT_CLOCK, WEEKDAY_NAMES
 
 MONTH_NAME = "[A-Za-z]{3,9}"
+#: The parts of a date in every order, numbers first: a section with a name could end before it.
+PARTS = "".join(f"[{p}]" for p in ("yyyy M d", "M d yyyy", "yyyy NAME d", "NAME d yyyy", "d NAME yyyy", "yyyy d NAME", "NAME yyyy d", "d yyyy NAME")).replace("NAME", "[MMMM][MMM]")
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
@@ -34,21 +36,33 @@ def _by_layout(text: Column, listed: list[tuple[str, str]]) -> Column:
     return reduce(lambda chain, b: chain.when(*b), rest, F.when(*first))
 
 
-def day_part(text: Column) -> Column:
-    """The text without a clock behind its date, and without the ending of an ordinal."""
-    return F.regexp_replace(F.regexp_replace(text, CLOCK, ""), ORDINAL, "")
+def date_by_parts(text: Column) -> Column:
+    """Read a date from its parts, in whatever order and however separated.
+
+    What isn't part of a date goes first: a clock, a weekday, fillers and separators. Then
+    a name is the month, a number of four digits the year. Of two numbers beside a year the
+    first is the month, unless only the second can be; behind a year month and day stand in
+    this order. Eight digits in one are year, month and day. Anything left over, missing or
+    of two digits for a year is no date. Each step refers to the one before it once, and one
+    formatter tries all orders, so that the generated code stays small.
+    """
+    plain = F.regexp_replace(F.lower(text), rf"(?:(?<=\d)t|(?<![\d:])){CLOCK}(?![\d:])", " ")
+    plain = F.regexp_replace(plain, rf"^\s*(\d{{4}})(\d\d)(\d\d)(t? ?{SHORT_CLOCK})?\s*$", "$1 $2 $3")
+    # A name may stick to the day before it or to any number behind it.
+    plain = F.regexp_replace(plain, r"(?<=(?<!\d)\d{1,2})(?=[a-z])|(?<=[a-z])(?=\d)|[\s,;./'-]+", " ")
+    plain = F.trim(F.regexp_replace(plain, rf"\b({WEEKDAY_NAMES}|{DATE_FILLERS})\b *", ""))
+    plain = F.regexp_replace(plain, r"^(1[3-9]|[23]\d) (\d{1,2}) (\d{4})$", "$2 $1 $3")
+    return F.try_to_date(F.regexp_replace(plain, r"\bsept\b", "sep"), PARTS)
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:
-    """Read a date from any known layout; unreadable text is null, or an error when strict.
+    """Read a date, however written; unreadable text is null, or an error when strict.
 
-    The shape of the text picks the layout, so a value runs one formatter rather
-    than failing through a list of them: a failed parse costs far more than a
-    pattern test. Rare layouts, clocks and ordinals are looked for only where no common
-    layout fits, and outside the generated code, which stays as small as it was.
+    The shape of the text picks one of the common layouts, so that a value runs one formatter
+    rather than failing through a list of them: a failed parse costs far more than a pattern
+    test. What fits none of them is read by its parts (`date_by_parts`), if it has any digit.
     """
-    rare = F.transform(F.array(day_part(text)), lambda t: _by_layout(t, [*DATE_LAYOUTS, *RARE_DATE_LAYOUTS]))
-    parsed = F.coalesce(_by_layout(text, DATE_LAYOUTS), F.when(text.rlike(r"^ *\w.*\d"), F.get(rare, F.lit(0))))
+    parsed = F.coalesce(_by_layout(text, DATE_LAYOUTS), F.when(text.rlike(r"\d"), date_by_parts(text)))
     if not strict:
         return parsed
     shown = F.coalesce(text, F.lit("null"))
