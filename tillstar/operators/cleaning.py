@@ -158,33 +158,42 @@ def _keep(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return df.where(_passes(rules)).drop(BROKEN)
 
 
-def _reasons(df: DataFrame, rules: list[Rule]) -> Column:
-    failed = [F.when(~F.coalesce(r.ok, F.lit(False)), r.reason) for r in rules]
-    reasons = F.array_compact(F.array(*failed))
+#: Between reasons while they are one text; no column's name holds it.
+_BETWEEN = "\u0001"
+
+
+def _reason_text(df: DataFrame, rules: list[Rule]) -> Column:
+    """All reasons in one text, empty for none: unlike an array's, its parts need no lambda
+    to leave out nulls, so the projection stays compiled."""
+    text = F.concat_ws(_BETWEEN, *(F.when(~F.coalesce(r.ok, F.lit(False)), r.reason) for r in rules))
     if BROKEN not in df.columns:
-        return reasons
+        return text
     # That it could not be read is all there is to say of such a row.
-    return F.when(F.col(BROKEN).isNotNull(), F.array(F.lit("input unreadable"))).otherwise(reasons)
+    return F.when(F.col(BROKEN).isNotNull(), "input unreadable").otherwise(text)
+
+
+def _listed(text: Column) -> Column:
+    return F.split(text, _BETWEEN)
 
 
 def quarantine(df: DataFrame, table: str) -> DataFrame:
     """Raw rows that were dropped or lost a value in cleaning or typing, with every reason."""
-    return df.withColumn("reject_reasons", _reasons(df, RULES[table](df))).where(F.size("reject_reasons") > 0)
+    reasons = _reason_text(df, RULES[table](df))
+    return df.withColumn("reject_reasons", reasons).where("reject_reasons != ''").withColumn("reject_reasons", _listed(F.col("reject_reasons")))
 
 
 def routed(df: DataFrame, table: str) -> DataFrame:
     """Every raw row with its cleaned columns, and beside them where it goes (`ROUTE`), why
-    (`REASONS`), and for rows that quarantine shows the row as it was (`RAW_ROW`).
+    (`REASONS`, as one text), and for rows that quarantine shows the row as it was (`RAW_ROW`).
 
     The cleaned columns of rows that don't pass mean nothing.
     """
     rules = RULES[table](df)
-    reasons = _reasons(df, rules)
-    sound = F.size(reasons) == 0
-    route = F.when(sound, CLEAN).when(F.coalesce(_passes(rules), F.lit(False)), MENDED).otherwise(DROPPED)
     whole = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    marked = df.select("*", route.alias(ROUTE), F.when(~sound, whole).alias(RAW_ROW), reasons.alias(REASONS))
-    return REPAIRS[table](marked).drop(BROKEN)
+    marked = df.select("*", _reason_text(df, rules).alias(REASONS), F.coalesce(_passes(rules), F.lit(False)).alias(ROUTE), whole.alias(RAW_ROW))
+    sound = F.col(REASONS) == ""
+    route = F.when(sound, CLEAN).when(F.col(ROUTE), MENDED).otherwise(DROPPED)
+    return REPAIRS[table](marked.withColumns({ROUTE: route, RAW_ROW: F.when(~sound, F.col(RAW_ROW))})).drop(BROKEN)
 
 
 def accepted(routes: DataFrame) -> DataFrame:
@@ -194,7 +203,7 @@ def accepted(routes: DataFrame) -> DataFrame:
 
 def rejected(routes: DataFrame) -> DataFrame:
     """The rows of `routed` that `quarantine` shows."""
-    return routes.where(F.col(ROUTE).isin(MENDED, DROPPED)).select(f"{RAW_ROW}.*", F.col(REASONS).alias("reject_reasons"))
+    return routes.where(F.col(ROUTE).isin(MENDED, DROPPED)).select(f"{RAW_ROW}.*", _listed(F.col(REASONS)).alias("reject_reasons"))
 
 
 def repair_users(df: DataFrame, strict: bool = False) -> DataFrame:
