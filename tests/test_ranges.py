@@ -1,0 +1,135 @@
+"""One large file read by ranges: the same rows as read whole, wherever the ranges end."""
+
+import csv
+import json
+import random
+
+import pandas as pd
+import pyarrow as pa
+import pytest
+from pyspark.errors import PySparkException
+
+from tillstar.sources import RAW_SCHEMAS, ranges, read_csv, read_json_columns, readers
+from tillstar.sources.readers import BROKEN, text_schema
+
+SCHEMA = text_schema("a", "b")
+
+
+@pytest.fixture
+def small_ranges(spark, monkeypatch, request):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(getattr(request, "param", 23)))
+    yield monkeypatch
+    spark.conf.set(name, before)
+
+
+def content(df):
+    return sorted(map(repr, map(tuple, df.collect())))
+
+
+def some_text(rnd):
+    return "".join(rnd.choice(['a', 'é', ',', '"', "\\", "{", "}", "[", "]", ":", " ", "\n", "日", '","', "x,y", '{"0":1}']) for _ in range(rnd.randint(0, 12)))
+
+
+def some_document(rnd, rows=12):
+    labels = [str(i) for i in range(rows)] + ["a,b", '"', ""]
+    value = lambda: rnd.choice([some_text(rnd), some_text(rnd), None, 7, -2, True, {"k": [1, "p,q", {}]}, [], "z" * 90 + "," * 40])
+    names = ["a", "b", 'odd "name", with {marks}', "c"]
+    rnd.shuffle(names)
+    return {n: {k: value() for k in rnd.sample(labels, rnd.choice([len(labels), 2, 0]))} for n in names[: rnd.randint(0, 4)]}
+
+
+def by_hand(text, layout, size):
+    """What the engine's functions find in a text cut into ranges of `size` bytes: entries
+    with their columns, how many are bad, and whether the end closes all."""
+    rows, at, separator = [], 0, layout.separator.encode()
+    for piece in text.encode().removesuffix(separator).split(separator):
+        rows.append({"path": "p", "start": max(0, at - 1) // size * size, "value": piece.decode()})
+        at += len(piece) + len(separator)
+    schema = pa.schema([("path", pa.string()), ("start", pa.int64()), ("value", pa.string())])
+    cut = lambda rows, schema: [pa.RecordBatch.from_pylist(rows[i : i + 4], schema=schema) for i in range(0, len(rows), 4)]
+    states = ranges._states(pa.Table.from_batches(ranges._summaries(layout)(cut(rows, schema))).to_pandas())
+    state = {r["start"]: {k: r[k] for k in ("inside", "level")} for r in states.to_dict("records")}
+    placed = cut([r | state[r["start"]] for r in rows], schema.append(pa.field("inside", pa.bool_())).append(pa.field("level", pa.int64())))
+    found = pa.Table.from_batches(ranges._records(layout)(placed)).to_pylist()
+    settled = ranges._settled(layout)(pd.DataFrame([f for f in found if f["kind"] in ("range", "head", "middle", "tail")])).to_dict("records")
+    begun = {r["start"]: r["column"] for r in settled if r["kind"] == "begun"}
+    every = [r for r in found + settled if r["kind"] in ("entry", "bad")]
+    entries = [(r["column"] if r["column"] is not None else begun[r["start"]], r["label"], r["value"]) for r in every if r["kind"] == "entry"]
+    return sorted(entries, key=str), len(every) - len(entries), bool(states["sound"].all())
+
+
+def test_any_ranges_of_any_document():
+    rnd = random.Random(1)
+    shown = lambda v: v if isinstance(v, str) or v is None else json.dumps(v, separators=(",", ":"), ensure_ascii=False)
+    for _ in range(300):
+        document = some_document(rnd, rows=rnd.choice([0, 3, 8]))
+        text = json.dumps(document, indent=rnd.choice([None, 1]), ensure_ascii=rnd.random() < 0.5) + rnd.choice(["", "\n"])
+        want = sorted(((c, k, shown(v)) for c, cells in document.items() for k, v in cells.items()), key=str)
+        for size in (3, 11, 50, 10**6):
+            assert by_hand(text, ranges.JSON_COLUMNS, size) == (want, 0, True), (size, text)
+
+
+@pytest.mark.parametrize("small_ranges", [60, 100_000], indirect=True)
+def test_documents_by_ranges(spark, tmp_path, small_ranges):
+    rnd = random.Random(5)
+    for i in range(3):
+        text = json.dumps(some_document(rnd, rows=3), indent=rnd.choice([None, 1]), ensure_ascii=rnd.random() < 0.5)
+        (tmp_path / f"{i}.json").write_text(text + rnd.choice(["", "\n"]))
+    (tmp_path / "empty.json").write_text(" ")
+    whole = read_json_columns(spark, str(tmp_path), SCHEMA)
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    split = read_json_columns(spark, str(tmp_path), SCHEMA)
+    assert split.columns == whole.columns
+    assert content(split) == content(whole)
+    assert content(read_json_columns(spark, str(tmp_path), SCHEMA, columns=[]).select("a", "b")) == content(whole.select("a", "b"))
+    small_ranges.setattr(readers, "LARGE_FILE", 300)  # some of the files
+    assert content(read_json_columns(spark, str(tmp_path), SCHEMA).select(whole.columns)) == content(whole)
+
+
+def test_many_tasks_read_one_document(spark, tmp_path, small_ranges):
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    n = 2000
+    document = {c: {str(i): f"{c}-{i}, and so on" for i in range(n)} for c in RAW_SCHEMAS["dates"].fieldNames()}
+    (tmp_path / "d.json").write_text(json.dumps(document))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    assert ranges.pieces(spark, str(tmp_path), ranges.JSON_COLUMNS).rdd.getNumPartitions() > 10
+    rows = read_json_columns(spark, str(tmp_path), RAW_SCHEMAS["dates"]).collect()
+    assert sorted(map(tuple, rows)) == sorted(tuple(f"{c}-{i}, and so on" for c in document) for i in range(n))
+
+
+@pytest.mark.parametrize("bad", ['{"a": {"0": "x", "1": "y"', '{"a": {"0": "x", "1": "y', '{"a": {"0": 1}}}', '{"a": ["x", "y"]}', '{"a": {"0": 1 2, "1": 3}}', '{"a": {"0": "x"}, "b": 5, "c": {}}', "[1, 2]", '{"a"'])
+def test_broken_documents(spark, tmp_path, small_ranges, bad):
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    (tmp_path / "bad.json").write_text(bad)
+    (tmp_path / "good.json").write_text('{"a": {"0": "x, y"}, "b": {"0": null}}')
+    rows = read_json_columns(spark, str(tmp_path), SCHEMA, broken=BROKEN, columns=[]).collect()
+    assert sorted((r.a, r.b, r[BROKEN] and r[BROKEN].rsplit("/", 1)[1]) for r in rows if r.a) == [("x, y", None, None)]
+    assert [r[BROKEN].rsplit("/", 1)[1] for r in rows if not r.a] == ["bad.json"]
+    with pytest.raises(PySparkException, match="broken input"):
+        read_json_columns(spark, str(tmp_path), SCHEMA).collect()
+
+
+@pytest.mark.parametrize("small_ranges", [60, 100_000], indirect=True)
+def test_csv_by_ranges(spark, tmp_path, small_ranges):
+    rnd = random.Random(6)
+    for i in range(3):
+        with (tmp_path / f"{i}.csv").open("w", newline="") as out:
+            writer = csv.writer(out, quoting=csv.QUOTE_ALL, lineterminator="\n")
+            writer.writerow(["a", "b"])
+            writer.writerows([[some_text(rnd) + "." for _ in "ab"] for _ in range(12)])
+    whole = read_csv(spark, str(tmp_path), SCHEMA, multi_line=True)
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    split = read_csv(spark, str(tmp_path), SCHEMA, multi_line=True)
+    assert split.columns == whole.columns and content(split) == content(whole) and split.count() == 36
+
+
+def test_csv_rows_that_do_not_fit(spark, tmp_path, small_ranges):
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    (tmp_path / "p.csv").write_text('a,b\r\n1,"x\r\ny"\r\n\r\n2\r\n3,NULL\r\n4,5,6\r\n')
+    rows = read_csv(spark, str(tmp_path), SCHEMA, multi_line=True, broken=BROKEN).collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(map(repr, [("1", "x\r\ny", None), ("2", None, None), ("3", None, None), (None, None, "4,5,6")]))
+    (tmp_path / "cut.csv").write_text('a,b\n7,"never closed\n8,9\n')
+    rows = read_csv(spark, str(tmp_path), SCHEMA, multi_line=True, broken=BROKEN).collect()
+    assert len(rows) == 5 and sum((r[BROKEN] or "").endswith("cut.csv") for r in rows) == 1

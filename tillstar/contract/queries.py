@@ -282,16 +282,27 @@ def scan_json_lines(spark, sf):
 def scan_json_columns(spark, sf):
     """Date rows written as column-oriented documents of up to 4,096 rows, one per line."""
     path = scratch_path(spark, "dates") + ".json"
+    _date_documents(spark, sf, 4096).select("value").write.text(path)
+    return read_json_columns(spark, path, RAW_SCHEMAS["dates"], one_per_line=True)
+
+
+def _date_documents(spark, sf, rows):
+    """doc and value: date rows as column-oriented documents of up to `rows` rows."""
     names = RAW_SCHEMAS["dates"].fieldNames()
-    rows = fx.raw_dates(spark, sf, "o_orderkey").groupBy((F.col("o_orderkey") / 4096).cast("bigint").alias("doc")).agg(
+    grouped = fx.raw_dates(spark, sf, "o_orderkey").groupBy((F.col("o_orderkey") / rows).cast("bigint").alias("doc")).agg(
         F.array_sort(F.collect_list(F.struct("o_orderkey", *names))).alias("rows")
     )
-    columns = [
-        F.map_from_arrays(F.col("rows.o_orderkey").cast("array<string>"), F.col(f"rows.{n}")).alias(n)
-        for n in names
-    ]
-    rows.select(F.to_json(F.struct(*columns)).alias("value")).write.text(path)
-    return read_json_columns(spark, path, RAW_SCHEMAS["dates"], one_per_line=True)
+    columns = [F.map_from_arrays(F.col("rows.o_orderkey").cast("array<string>"), F.col(f"rows.{n}")).alias(n) for n in names]
+    return grouped.select("doc", F.to_json(F.struct(*columns)).alias("value"))
+
+
+@register("scan_json_ranges", """
+    SELECT timestamp, month, year, day, time_period, date_uuid FROM raw_dates""")
+def scan_json_ranges(spark, sf):
+    """Date rows written as documents of up to 32,768 rows, a file each, and read by ranges."""
+    path = scratch_path(spark, "dates")
+    _date_documents(spark, sf, 32768).write.partitionBy("doc").text(path)
+    return read_json_columns(spark, path, RAW_SCHEMAS["dates"], large_file=1)
 
 
 @register("paged_union", """

@@ -52,7 +52,8 @@ def date_by_parts(text: Column) -> Column:
     plain = F.regexp_replace(plain, r"(?<=(?<!\d)\d{1,2})(?=[a-z])|(?<=[a-z])(?=\d)|[\s,;./'-]+", " ")
     plain = F.trim(F.regexp_replace(plain, rf"\b({WEEKDAY_NAMES}|{DATE_FILLERS})\b *", ""))
     plain = F.regexp_replace(plain, r"^(1[3-9]|[23]\d) (\d{1,2}) (\d{4})$", "$2 $1 $3")
-    return F.try_to_date(F.regexp_replace(plain, r"\bsept\b", "sep"), PARTS)
+    # Nothing would fit all sections by leaving them out, so it becomes something.
+    return F.try_to_date(F.regexp_replace(plain, r"\bsept\b|^$", "sep"), PARTS)
 
 
 def parse_date(text: Column, strict: bool = False) -> Column:

@@ -178,8 +178,11 @@ def _listed(text: Column) -> Column:
 
 def quarantine(df: DataFrame, table: str) -> DataFrame:
     """Raw rows that were dropped or lost a value in cleaning or typing, with every reason."""
-    reasons = _reason_text(df, RULES[table](df))
-    return df.withColumn("reject_reasons", reasons).where("reject_reasons != ''").withColumn("reject_reasons", _listed(F.col("reject_reasons")))
+    # An explode drops rows as a filter would, but evaluates the rules once: a filter would be
+    # moved below, and take a copy of them.
+    marked = df.withColumn(REASONS, _reason_text(df, RULES[table](df)))
+    found = F.explode(F.when(F.col(REASONS) != "", F.array(_listed(F.col(REASONS)))))
+    return marked.select("*", found.alias("reject_reasons")).drop(REASONS)
 
 
 def routed(df: DataFrame, table: str) -> DataFrame:

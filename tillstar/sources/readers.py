@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StringType, StructField, StructType
 
+from . import ranges
+
+#: Bytes from which a file that is one record, or whose records hold line breaks, is read by
+#: ranges: one task would take long over it, and one record can't hold 2 GB.
+LARGE_FILE = 256 << 20
+
 
 def text_schema(*columns: str) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
@@ -77,8 +83,9 @@ def read_csv(
     """CSV with a header; each of `null_tokens` reads as null.
 
     Columns go by the header's names (`_c0` for an empty one), in any order, all files the same. A row with fewer
-    fields ends in nulls. `multi_line` allows line breaks inside quotes, at the price that
-    files no longer split.
+    fields ends in nulls. `multi_line` allows line breaks inside quotes: a file is then read by
+    one task, or from `LARGE_FILE` bytes on by ranges, its records put together by quote parity
+    (headers of such files aren't compared).
     """
     # Rows are checked whole, whichever columns are asked for.
     options = {"header": True, "escape": '"', "multiLine": multi_line, "columnPruning": False}
@@ -86,19 +93,29 @@ def read_csv(
     # Every file's header is compared, unless Spark had to make up a name for an empty one.
     options["enforceSchema"] = any(c == f"_c{i}" for i, c in enumerate(header))
     names = _names(schema, header, path)
-    mark = "unread"
-    while mark in header:
-        mark += "_"
-    df = (
-        spark.read.options(**options, columnNameOfCorruptRecord=mark)
-        .schema(text_schema(*header, mark)).csv(path)
-    )
+    mark = _free("unread", header)
+    full = text_schema(*header, mark)
+    df = spark.read.options(**options, columnNameOfCorruptRecord=mark).schema(full).csv(path)
+    cut = None
+    if multi_line:
+        lines = ranges.pieces(spark, path, ranges.CSV_LINES, LARGE_FILE)
+        if not lines.isEmpty():
+            found, cut = ranges.csv_records(lines)
+            parsed = F.from_csv("value", ", ".join(f"`{c}` string" for c in full.fieldNames()), {"escape": '"', "columnNameOfCorruptRecord": mark})
+            df = df.where(F.col("_metadata.file_size") < LARGE_FILE).unionByName(found.select(parsed.alias("row")).select("row.*"))
     # Rows that are too short are marked as well; only surplus fields are an error.
     commas = F.regexp_count(F.regexp_replace(mark, r'"([^"]|"")*"', ""), F.lit(","))
     surplus = F.when(commas >= len(header), F.col(mark))
     tokens = list(null_tokens)
     texts = [F.when(~F.col(f"`{c}`").isin(tokens) & surplus.isNull(), F.col(f"`{c}`")).alias(c) for c in names]
-    return _checked(df.select(*texts, surplus.alias(mark)), mark, broken)
+    rows = df.select(*texts, surplus.alias(mark))
+    if cut is not None:  # a large file that ends in quotes is shown by its path
+        rows = rows.unionByName(_unread(cut, mark), allowMissingColumns=True)
+    return _checked(rows, mark, broken)
+
+
+def _unread(paths: DataFrame, mark: str) -> DataFrame:
+    return paths.select(F.col("path").alias(mark))
 
 
 def _json(
@@ -130,7 +147,7 @@ def read_json_objects(
 
 def read_json_columns(
     spark: SparkSession, path: str, schema: StructType, one_per_line: bool = False,
-    aligned: bool = False, broken: str | None = None, columns: list[str] | None = None,
+    aligned: bool = False, broken: str | None = None, columns: list[str] | None = None, large_file: int | None = None,
 ) -> DataFrame:
     """Column-oriented documents, `{column: {row: value}}`, to rows.
 
@@ -141,8 +158,35 @@ def read_json_columns(
     label, inside its record too, so nothing shuffles. `aligned` says that there is
     none of the latter, and raises if it is wrong. `columns` lists the columns beyond
     those of `schema`; without it they are found in a pass over the documents.
+
+    Files of `large_file` bytes (`LARGE_FILE`) or more that hold one document are read by ranges, by
+    many tasks (`ranges`); such a document that can't be read is shown by its path.
     """
-    raw = spark.read.text(path, wholetext=not one_per_line).where(F.trim("value") != "")
+    raw = spark.read.text(path, wholetext=not one_per_line)
+    limit = LARGE_FILE if large_file is None else large_file
+    if not one_per_line:
+        large = ranges.pieces(spark, path, ranges.JSON_COLUMNS, limit)
+        if not large.isEmpty():
+            rows, unread = ranges.json_columns(large, schema.fieldNames(), columns)
+            mark = _free("unread", rows.columns)
+            rows = rows.withColumn(mark, F.lit(None).cast("string")).unionByName(_unread(unread, mark), allowMissingColumns=True)
+            rows = _checked(rows, mark, broken)
+            small = raw.where(F.col("_metadata.file_size") < limit)
+            rest = _documents(small, schema, aligned, broken, columns)
+            texts = [c for c in dict.fromkeys([*rows.columns, *rest.columns]) if c != broken] + [broken] * bool(broken)
+            return rows.unionByName(rest, allowMissingColumns=True).select(*(F.col(f"`{c}`") for c in texts))
+    return _documents(raw, schema, aligned, broken, columns)
+
+
+def _free(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _documents(raw: DataFrame, schema: StructType, aligned: bool, broken: str | None, columns: list[str] | None) -> DataFrame:
+    """The rows of documents that are one record each."""
+    raw = raw.where(F.trim("value") != "")
     document = F.from_json("value", MapType(StringType(), MapType(StringType(), StringType())))
     docs = raw.select(F.col("value"), document.alias("doc"))
     if columns is None:
@@ -172,9 +216,7 @@ def read_json_columns(
         matched = F.raise_error(F.lit("the columns of a document list different rows")).cast(_zip_type(len(names)))
     rows = F.when(F.col("doc").isNotNull(), F.when(F.col("same"), zipped).otherwise(matched))
     nothing = F.array(F.struct(*(F.lit(None).cast("string").alias(f"c{i}") for i in range(len(names)))))
-    mark = "unread"
-    while mark in names:
-        mark += "_"
+    mark = _free("unread", names)
     read = cells.withColumns({"labels": labels, "same": same}).select(
         F.when(F.col("doc").isNull(), F.col("value")).alias("mark"),
         F.coalesce(rows, nothing).alias("rows"),
