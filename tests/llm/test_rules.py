@@ -94,6 +94,39 @@ def test_license_notices_survive_edits(spark):
     assert sorted(r["start"] for r in found) == [0, len(brute.PLAIN.findall(mit.lower())) + 1]
 
 
+def edits(words):
+    """The notice alone, in another version, and with each word changed, left out or doubled."""
+    yield words
+    yield [{"4": "3", "2": "1", "3": "2"}.get(w, w) for w in words]
+    for i in range(len(words)):
+        yield [*words[:i], "zebra", *words[i + 1 :]]
+    if len(words) >= licenses.BRIEF:
+        for i in range(len(words)):
+            yield [*words[:i], *words[i + 1 :]]
+            yield [*words[:i], "zebra", *words[i:]]
+
+
+def test_every_notice_has_its_own_label_only(spark, tmp_path):
+    rows, wanted = [], {}
+    for label, text in licenses.TEXTS:
+        words = licenses.template_words(text)
+        for edited in edits(words):
+            # The word that tells two sisters apart may be the one that is gone.
+            sure = {"noncommercial", "sharealike", "nc", "sa"} & set(words) <= set(edited)
+            wanted[len(rows)] = label if sure else None
+            rows.append((len(rows), f"Some words before. {' '.join(edited)} And some behind."))
+    several = [(10_000, " ".join(t for _, t in licenses.TEXTS)), (10_001, licenses.TEXTS[2][1] + " or " + licenses.TEXTS[4][1])]
+    spark.createDataFrame([*rows, *several], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in queries.op2_diagonal_voting(spark, str(tmp_path)).collect()}
+    for i, label in wanted.items():
+        added = set(got[i]["labels"].split(",")) - (set(got[i]["base_labels"].split(",")) - {label})
+        assert (added == {label} if label else len(added) == 1), (rows[i], got[i]["labels"])
+    assert got[10_000]["labels"] == ",".join(sorted({label for label, _ in licenses.TEXTS})) and got[10_001]["labels"] == "cc-by,cc-by-nc"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    assert sorted(map(tuple, got.values())) == sorted(con.execute(queries.ORACLES["op2_diagonal_voting"]).fetchall())
+
+
 def test_licenses_on_odd_rows(odd, nothing, plan_of):
     out = licenses.scan(odd)
     assert out.count() == odd.count() and licenses.scan(nothing).count() == 0

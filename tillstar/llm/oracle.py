@@ -2,67 +2,77 @@
 
 from __future__ import annotations
 
-import re
 import string
 
 from tillstar.llm import licenses
 
 
 def _templates() -> str:
-    """The templates' grams as a VALUES list: template, label, exact, length, k, place, gram."""
-    lower = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+    """The templates as a VALUES list: template, label, exact, words of a gram, words."""
     listed = [*((label, text, True) for text, label in licenses.PHRASES), *((label, text, False) for label, text in licenses.TEXTS)]
     rows = []
     for number, (label, text, exact) in enumerate(listed):
-        words = re.findall(licenses.WORD, text.translate(lower))
-        k = licenses.SHORT if exact else licenses.LONG
-        for place in range(len(words) - k + 1):
-            gram = ", ".join(f"'{w}'" for w in words[place : place + k])
-            rows.append(f"({number}, '{label}', {str(exact).lower()}, {len(words)}, {k}, {place}, [{gram}])")
+        words = licenses.template_words(text)
+        quoted = ", ".join(f"'{w}'" for w in words)
+        rows.append(f"({number}, '{label}', {str(exact).lower()}, {licenses.gram_size(words, exact)}, [{quoted}])")
     return ",\n".join(rows)
 
 
+# Phrases by comparing every stretch of words. A text's spans by their aligned words: where a
+# gram of the template stands, all its words are compared at the same distance; alignments at
+# nearly the same distance are one span; of overlapping spans the best label stays.
 LICENSES = f"""
-with templates(template, label, exact, length, k, place, gram) as (values {_templates()}),
+with templates(template, label, exact, k, words) as (values {_templates()}),
 docs as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '{licenses.WORD}') as w
     from documents
 ),
 places as (select doc_id, w, unnest(range(len(w))) as p from docs),
-grams as (
+firsts as (select *, words[1] as word from templates where exact),
+phrases as (
+    select doc_id, label, p as start from (select *, w[p + 1] as word from places) join firsts using (word) where w[p + 1 : p + len(words)] = words
+),
+grams as (select template, k, t as place, words[t + 1 : t + k] as gram from templates, unnest(range(len(words) - k + 1)) as g(t) where not exact),
+stretches as (
     select doc_id, p, w[p + 1 : p + {licenses.SHORT}] as gram from places
     union all
-    select doc_id, p, w[p + 1 : p + {licenses.LONG}] from places where p + {licenses.LONG} <= len(w)
+    select doc_id, p, w[p + 1 : p + {licenses.LONG}] from places
+),
+aligned as (select distinct doc_id, template, p - place as distance from stretches join grams using (gram)),
+meets as (
+    select a.doc_id, a.template, a.distance, t.label, len(t.words) as length, i as word
+    from aligned a join docs using (doc_id) join templates t using (template), unnest(range(len(t.words))) as r(i)
+    where a.distance + i >= 0 and (
+        w[a.distance + i + 1] = t.words[i + 1]
+        or regexp_full_match(t.words[i + 1], '[0-9]+') and regexp_full_match(w[a.distance + i + 1], '[0-9]+'))
 ),
-votes as (select g.doc_id, t.*, g.p - t.place as diagonal from grams g join templates t on t.gram = g.gram),
-diagonals as (
-    select doc_id, template, label, exact, length, k, diagonal, min(place) as low, max(place) as high, count(distinct place) as n
-    from votes group by all
+begun as (
+    select *, coalesce(distance - lag(distance) over line > {licenses.NEIGHBOURS}, true)::int as begins
+    from aligned window line as (partition by doc_id, template order by distance)
 ),
-steps as (
-    select *, coalesce(diagonal - lag(diagonal) over line > {licenses.NEIGHBOURS}, true)::int as begins
-    from diagonals where not exact window line as (partition by doc_id, template order by diagonal)
+numbered as (select *, sum(begins) over (partition by doc_id, template order by distance) as span from begun),
+spans as (
+    select doc_id, template, span, label, length, least(count(distinct word), count(distinct distance + word)) as covered, min(distance + word) as first, max(distance + word) as last
+    from meets join numbered using (doc_id, template, distance) group by all
 ),
-numbered as (select *, sum(begins) over (partition by doc_id, template order by diagonal) as span from steps),
-merged as (
-    select doc_id, template, label, length, span, max(diagonal + high + k) - min(diagonal + low) as spanned
-    from numbered group by all
+good as (
+    select *, 2 * covered / (length + last - first + 1)::double as common from spans
+    where covered / length::double >= {licenses.COVERAGE} and last - first + 1 <= {licenses.STRETCH} * length
 ),
-touched as (
-    select distinct n.doc_id, n.template, n.span, unnest(range(v.place, v.place + v.k)) as word
-    from numbered n join votes v on v.doc_id = n.doc_id and v.template = n.template and v.diagonal = n.diagonal
+labelled as (
+    select doc_id, label, covered / length::double as coverage from good g
+    where not exists (
+        from good o where o.doc_id = g.doc_id and o.label <> g.label and o.first <= g.last and g.first <= o.last
+        and (o.common > g.common or o.common = g.common and (o.covered > g.covered or o.covered = g.covered and o.label < g.label)))
 ),
-covered as (select doc_id, template, span, count(*) as words from (select distinct * from touched) group by all),
 found as (
-    select doc_id, label, true as exact, diagonal as start, 1.0::double as coverage from diagonals where exact and n = length - k + 1
+    select doc_id, label, start, 1.0::double as coverage from phrases
     union all
-    select doc_id, label, false, null, words / length::double
-    from merged join covered using (doc_id, template, span)
-    where words / length::double >= {licenses.COVERAGE} and spanned <= {licenses.STRETCH} * length
+    select doc_id, label, null, coverage from labelled
 ),
 each_doc as (
     select doc_id, count(start) as n_base, min(start) as first_word, max(start) as last_word,
-        coalesce(string_agg(distinct label, ',' order by label) filter (exact), '') as base_labels,
+        coalesce(string_agg(distinct label, ',' order by label) filter (start is not null), '') as base_labels,
         string_agg(distinct label, ',' order by label) as labels, max(coverage) as score
     from found group by doc_id
 )
