@@ -61,6 +61,32 @@ def test_links_of_clusters(spark, cell_rows):
             assert (got.get(signed(a), a) == got.get(signed(b), b)) == (b in reach[a])
 
 
+def test_crowded_cells_are_cut_by_finer_grids(spark):
+    """One half with counters of one, where cells are fullest, the other at random: the finer
+    grids alone find every link, and no cell is left for midpoints."""
+    rnd = random.Random(8)
+    prints = set()
+    while len(prints) < 3000:
+        low = sum(rnd.choice([1, 2]) << 2 * j for j in range(16))
+        x = rnd.getrandbits(32) << 32 | low
+        prints.add(x)
+        if rnd.random() < 0.2:
+            for _ in range(rnd.randint(1, 4)):
+                x ^= 1 << rnd.randrange(64)
+            prints.add(x)
+    values = np.array(sorted(prints), np.uint64)
+    want = set()
+    for k, x in enumerate(values):
+        for j in np.flatnonzero(np.bitwise_count(values[k + 1 :] ^ x) <= 4):
+            pair = sorted((int(x.astype(np.int64)), int(values[k + 1 + j].astype(np.int64))))
+            want.add(tuple(pair))
+    df = spark.createDataFrame([(int(v.astype(np.int64)),) for v in values], "fp long")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(simhash, "_within_two", None)
+        assert {tuple(e) for e in simhash.links(df, "fp", cell_rows=100).collect()} == want
+    assert len(want) > 300
+
+
 def test_simhash_on_odd_rows(odd, nothing):
     out = simhash.near_duplicates(odd)
     assert out.count() == odd.count() and simhash.near_duplicates(nothing).count() == 0

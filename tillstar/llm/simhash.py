@@ -11,9 +11,13 @@ is an equi-join on cells, and each candidate pair is verified on its bits, in on
 alone (the first step from the smaller towards the larger fingerprint).
 
 Exact copies share a fingerprint and meet as one row. A cell of more than `CELL_ROWS`
-fingerprints isn't paired up. Its members are put under all fingerprints within two bits
-of them (2,081 keys): two such sets meet exactly where the distance is four or less, so
-joining each member to the least of its key finds the same components in linear work.
+fingerprints isn't paired up but cut by a finer grid over counters that it leaves free: of
+its members' other half, of 16 counters at distance four or less, one of the two quarters is
+at distance two or less, so the same steps apply to eight counters; and once more to four of
+the remaining eight. What is crowded even then are near copies of each other. Those are put
+under all fingerprints within two bits of them (2,081 keys): two such sets meet exactly
+where the distance is four or less, so joining each member to the least of its key finds the
+same components without writing out all pairs of such a crowd.
 
 Null and empty texts have fingerprint zero, linked like any other; rows with a null id
 get a component of null unless a row with an id reaches them; an empty table gives an
@@ -64,23 +68,23 @@ def with_fingerprint(df: DataFrame, text: str = "text", words: int = WORDS) -> t
     return with_text_column(df, text, "fingerprint", LongType(), lambda: lambda texts: [fingerprint(t, words) for t in texts])
 
 
-def _half(fp: Column, half: int) -> Column:
-    """16 two-bit counters: the set bits of each two-bit segment of 32 bits."""
-    bits = F.shiftrightunsigned(fp, 32 * half).bitwiseAND(F.lit(0xFFFFFFFF))
-    return bits - F.shiftright(bits, 1).bitwiseAND(F.lit(0x55555555))
+def _counters(fp: Column, offset: Column, bits: int) -> Column:
+    """The set bits of each two-bit segment of `bits` bits from `offset` on, as two-bit numbers."""
+    part = F.call_function("shiftrightunsigned", fp, offset).bitwiseAND(F.lit((1 << bits) - 1))
+    return part - F.shiftright(part, 1).bitwiseAND(F.lit(0x5555555555555555 & (1 << bits) - 1))
 
 
-def _cells(center: Column) -> Column:
-    """The grid points within one step of a half's 16 counters; steps that leave 0..2 are null."""
+def _cells(center: Column, bits: int) -> Column:
+    """The grid points within one step of the counters; steps that leave 0..2 are null."""
     points = [center]
-    for j in range(16):
-        counter = F.shiftright(center, 2 * j).bitwiseAND(F.lit(3))
-        points += [F.when(counter < 2, center + F.lit(1 << 2 * j)), F.when(counter > 0, center - F.lit(1 << 2 * j))]
+    for j in range(0, bits, 2):
+        counter = F.shiftright(center, j).bitwiseAND(F.lit(3))
+        points += [F.when(counter < 2, center + F.lit(1 << j)), F.when(counter > 0, center - F.lit(1 << j))]
     return F.array_compact(F.array(*points))
 
 
 def _meeting(a: Column, b: Column) -> Column:
-    """The one cell where a pair of halves is verified: `a`, moved one step towards `b` in
+    """The one cell where a pair of counters is verified: `a`, moved one step towards `b` in
     the lowest counter in which they differ."""
     differ = a.bitwiseXOR(b)
     low = differ.bitwiseAND(-differ)
@@ -97,45 +101,56 @@ def _within_two(fp: Column) -> Column:
     return F.transform(F.lit(masks), lambda m: m.bitwiseXOR(fp))
 
 
+def _gridded(members: DataFrame, bits: int, parts: int) -> DataFrame:
+    """Members (fp, key, rest) in the cells of either part of their `2 * bits` bits from `rest` on:
+    fp, key (of the old one, the part and the cell), rest (what the part leaves), center and cell."""
+    sides = F.explode(F.array(F.lit(0), F.lit(1))).alias("side")
+    split = members.select("fp", "key", "rest", sides).select(
+        "fp", "key", "side", (F.col("rest") + (1 - F.col("side")) * bits).alias("rest"),
+        _counters(F.col("fp"), F.col("rest") + F.col("side") * bits, bits).alias("center"),
+    )
+    cells = split.select("fp", "key", "side", "rest", "center", F.explode(_cells(F.col("center"), bits)).alias("cell"))
+    return cells.select("fp", F.xxhash64("key", "side", "cell").alias("key"), "rest", "center", "cell").repartition(parts, "key")
+
+
+def _met(cells: DataFrame, bits: int) -> DataFrame:
+    """Linked pairs (a, b) within cells."""
+    left = cells.select("key", F.col("fp").alias("a"), F.col("center").alias("ca"), "cell")
+    right = cells.select(F.col("key").alias("other"), F.col("fp").alias("b"), F.col("center").alias("cb"))
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
+    once = F.col("cell") == _meeting(F.col("ca"), F.col("cb"))
+    return left.join(right, (F.col("key") == F.col("other")) & (F.col("a") < F.col("b")) & near & once).select("a", "b")
+
+
 def links(prints: DataFrame, fp: str = "fp", bits: int = BITS, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints that connect whatever is linked.
 
     `prints` holds each fingerprint once. Pairs that meet in a cell of up to `cell_rows`
-    fingerprints are all there; in larger cells each is joined to the least one it shares
-    a midpoint with, which has the same components.
+    fingerprints, of the coarse grid or of a finer one, are all there; in crowds of near
+    copies each is joined to the least one it shares a midpoint with, which has the same
+    components.
     """
     if bits > 4:
-        raise ValueError("the grid's two halves and single steps cover up to four bits")
-    x = F.col(fp)
-    halves = [
-        prints.select(x.alias("fp"), F.lit(h).alias("half"), _half(x, h).alias("center")).select(
-            "fp", "half", "center", F.explode(_cells(F.col("center"))).alias("cell")
-        )
-        for h in (0, 1)
-    ]
-    spark = prints.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = halves[0].union(halves[1]).repartition(parts, "half", "cell")
-    dense = written(cells.groupBy("half", "cell").count().where(F.col("count") > cell_rows).select("half", "cell"), "dense")
-    crowded = not dense.isEmpty()
-    sparse = cells.join(dense, ["half", "cell"], "left_anti") if crowded else cells
-    left = sparse.select("half", "cell", F.col("fp").alias("a"), F.col("center").alias("ca"))
-    right = sparse.select("half", "cell", F.col("fp").alias("b"), F.col("center").alias("cb"))
-    near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= bits
-    pairs = left.join(
-        right,
-        (left["half"] == right["half"]) & (left["cell"] == right["cell"]) & (F.col("a") < F.col("b"))
-        & near & (left["cell"] == _meeting(F.col("ca"), F.col("cb"))),
-    ).select("a", "b").distinct()
-    if not crowded:
-        return pairs
+        raise ValueError("the grid's parts and single steps cover up to four bits")
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = prints.select(F.col(fp).alias("fp"), F.lit(0).cast("long").alias("key"), F.lit(0).alias("rest"))
+    found = None
+    for width in (32, 16, 8):
+        cells = _gridded(members, width, parts)
+        crowded = written(cells.groupBy("key").count().where(F.col("count") > cell_rows).select("key"), "crowded")
+        none = crowded.isEmpty()
+        pairs = _met(cells if none else cells.join(crowded, "key", "left_anti"), bits)
+        found = pairs if found is None else found.union(pairs)
+        if none:
+            return found.distinct()
+        members = written(cells.join(crowded, "key", "left_semi").select("fp", "key", "rest"), "members")
     if bits != 4:
-        raise ValueError("crowded cells are linked by midpoints, which give exactly four bits")
-    members = cells.join(dense, ["half", "cell"], "left_semi").select("fp").distinct().repartition(parts, "fp")
-    keys = members.select("fp", F.explode(_within_two(F.col("fp"))).alias("key"))
+        raise ValueError("crowds are linked by midpoints, which give exactly four bits")
+    crowd = members.select("fp").distinct().repartition(parts, "fp")
+    keys = crowd.select("fp", F.explode(_within_two(F.col("fp"))).alias("key"))
     least = keys.groupBy("key").agg(F.min("fp").alias("a"), F.max("fp").alias("top")).where("a != top")
-    star = keys.join(least, "key").where("fp != a").select("a", F.col("fp").alias("b")).distinct()
-    return pairs.union(star)
+    star = keys.join(least, "key").where("fp != a").select("a", F.col("fp").alias("b"))
+    return found.union(star).distinct()
 
 
 def _classified(df: DataFrame, id: str, text: str, words: int, bits: int, cell_rows: int) -> DataFrame:
