@@ -1,6 +1,7 @@
 """Personal data beyond the base patterns, and documents that are full of it."""
 
 import random
+import time
 
 import pytest
 
@@ -104,3 +105,32 @@ def test_long_runs_of_digits(crowded):
         assert [s["base"] for s in pii.find([text], crowded)[0]] == [1] * len(spans)
     assert [pii.octet(p) for p in ("0", "000", "255", "256", "0255", "1000", "9" * 5000)] == [True, True, True, False, True, False, False]
     pii.train([f"{long}.1.1.1"])
+
+
+class Accepts:
+    """A stand-in model that accepts every candidate."""
+
+    threshold = dict.fromkeys(pii.KINDS, 0.5)
+
+    def probability(self, kind, rows):
+        return [0.9] * len(rows)
+
+
+def test_a_directory_takes_linear_time():
+    rnd = random.Random(2)
+    text = "\n".join(f"name {digits(rnd, 3)}-{digits(rnd, 3)}-{digits(rnd, 4)} and" for _ in range(100_000))
+    began = time.process_time()
+    found = pii.find([text], Accepts())[0]
+    assert time.process_time() - began < 60
+    assert len(found) == 100_000 and all(a["end"] <= b["start"] for a, b in zip(found, found[1:], strict=False))
+
+
+def test_added_spans_stay_out_of_base_spans():
+    """Also of one that holds many others."""
+    address = ".".join(["10.20.30.40"] * 12)
+    text = f"mail a{address}@b.example or 555-123-4567, {address} 4111 1111 1111 1111"
+    spans = pii.find([text], Accepts())[0]
+    base = [s for s in spans if s["base"]]
+    assert len(base) > 12
+    for s in spans:
+        assert s["base"] or not any(s["start"] < b["end"] and b["start"] < s["end"] for b in base), s

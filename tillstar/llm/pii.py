@@ -378,9 +378,10 @@ def find(texts: list[str], model: Model) -> list[list[dict]]:
     proposals: dict[str, list[tuple[int, int, int]]] = {k: [] for k in KINDS}
     for i, text in enumerate(texts):
         busy = sorted((a, b) for _, a, b in bases[i])
+        reach = list(accumulate((b for _, b in busy), max))  # the last end of all spans so far
         for kind, a, b in candidates(text):
             k = bisect_left(busy, (b, 0))
-            if not any(x < b and a < y for x, y in busy[max(0, k - 8) : k]):
+            if not k or reach[k - 1] <= a:
                 proposals[kind].append((i, a, b))
     scored = []
     for kind, found in proposals.items():
@@ -389,13 +390,15 @@ def find(texts: list[str], model: Model) -> list[list[dict]]:
             scored += [(-q, i, a, -b, kind) for q, (i, a, b) in zip(p, found, strict=True) if q >= model.threshold[kind]]
     free: dict[int, list[tuple[int, int]]] = {}
     for _, i, a, b, kind in sorted(scored):
-        if not any(x < -b and a < y for x, y in free.get(i, ())):
-            free.setdefault(i, []).append((a, -b))
+        accepted = free.setdefault(i, [])  # in order and apart, so one neighbour tells
+        k = bisect_left(accepted, (-b, 0))
+        if not k or accepted[k - 1][1] <= a:
+            accepted.insert(k, (a, -b))
             taken[i].append((kind, a, -b))
     order = {k: n for n, k in enumerate(KINDS)}
     return [
-        [{"kind": k, "start": a, "end": b, "base": int((k, a, b) in set(base))} for k, a, b in sorted(all_, key=lambda s: (s[1], order[s[0]], s[2]))]
-        for base, all_ in zip(bases, taken, strict=True)
+        [{"kind": k, "start": a, "end": b, "base": int((k, a, b) in exact)} for k, a, b in sorted(all_, key=lambda s: (s[1], order[s[0]], s[2]))]
+        for exact, all_ in zip(map(set, bases), taken, strict=True)
     ]
 
 
