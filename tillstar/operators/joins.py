@@ -9,7 +9,6 @@ stay rows, cut the keys that are hot into shares (`lookup`).
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructField, StructType
 
 #: Rows of one key that one task may be left with.
 ROWS_PER_TASK = 4_000_000
@@ -38,14 +37,13 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, rows_per_task: int | None
 
     Large dimension: a key with more rows than a task should get is cut into shares, by a
     hash of its rows, and only its dimension rows are repeated, once a share. The fact is
-    read twice: its key column to count, and once for the join.
+    read twice: its key column to count, and once for the join. The counts are part of the
+    plan, worked out and broadcast when it runs; there is a row per task of the hot keys at
+    most. Nothing runs while the plan is made.
     """
     if broadcastable(dim):
         return fact.join(dim, key)
-    found = hot_keys(fact, key, rows_per_task or ROWS_PER_TASK).collect()  # a row per task of the hot keys at most
-    if not found:
-        return fact.join(dim, key)
-    hot = F.broadcast(fact.sparkSession.createDataFrame(found, hot_schema(fact, key)))
+    hot = F.broadcast(hot_keys(fact, key, rows_per_task or ROWS_PER_TASK))
     columns = [F.col(f"`{c}`") for c in fact.columns]
     # Equal rows differ in their number, which a scan gives them alike each time.
     share = F.pmod(F.xxhash64(*columns, F.monotonically_increasing_id()), "shares").cast("int")
@@ -57,10 +55,6 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, rows_per_task: int | None
     return cut.join(repeated, [key, "hot_share"]).drop("hot_share")
 
 
-def hot_schema(fact: DataFrame, key: str) -> StructType:
-    return StructType([StructField("hot_key", fact.schema[key].dataType), StructField("shares", IntegerType())])
-
-
 def sum_then_lookup(fact: DataFrame, dim: DataFrame, key: str, *sums: str) -> DataFrame:
     """Join to the dimension where only sums of `sums` per dimension attribute matter.
 
