@@ -114,18 +114,15 @@ def sales_by_month_first_sale(tables: Tables, scale: int = SCALE) -> DataFrame:
     )
     priced = sold.join(prices, "product_code").select("month", "product_code", *_units())
     first = priced.groupBy("month").agg(F.min("product_code").alias("product_code"), _total(scale).alias("total_sales"))
-    # As many rows as the answer, needed twice below.
-    months = fact.sparkSession.createDataFrame(first.collect(), first.schema)
-
-    codes = [r["product_code"] for r in months.select("product_code").distinct().collect()]
-    looked_at = fact.where(F.col("product_code").isin(codes))
+    # As many rows as the answer, so it is broadcast where it is needed again below. All uses
+    # share the shuffle that it comes from.
+    months = F.broadcast(first)
+    looked_at = fact.join(F.broadcast(first.select("product_code")), "product_code", "left_semi")
     sample = first_in_group(
         lookup(looked_at, dates, "date_uuid").join(months, ["month", "product_code"]),
         ["month", "product_code", "total_sales"], ["date_uuid"], ["product_quantity"],
     )
-    priced_sample = sample.join(prices.where(F.col("product_code").isin(codes)), "product_code").withColumns(
-        dict(zip(("units", "odd"), _units(), strict=True))
-    )
+    priced_sample = prices.join(F.broadcast(sample), "product_code").withColumns(dict(zip(("units", "odd"), _units(), strict=True)))
     odd_price = F.col("odd_price").cast("decimal(38,6)")
     result = priced_sample.select(
         "product_quantity", "product_code", "date_uuid", "month",
