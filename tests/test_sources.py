@@ -10,7 +10,7 @@ from tillstar.sources import (
     read_table, stack_pages, store_count, write_table,
 )
 from tillstar.sources.readers import BROKEN, text_schema
-from tillstar.sources.tables import bounds_query, jdbc_options, split_of
+from tillstar.sources.tables import bounds_query, jdbc_options, predicates_of, quantiles_query, split_of
 
 
 def rows(df):
@@ -225,3 +225,27 @@ def test_split_from_bounds():
         "partitionColumn": "index", "lowerBound": "0", "upperBound": "100", "numPartitions": "4"
     }
     assert bounds_query("users") == '(SELECT min("index") AS low, max("index") AS high, count(*) AS n FROM users) bounds'
+
+
+@pytest.mark.parametrize("kind", ["bigint", "varchar", "date"])
+def test_equal_shares_of_skewed_keys(kind):
+    """Bounds and conditions as a database answers them: every row is read once, and no share is
+    far larger than the others but where one value is."""
+    import duckdb
+
+    values = {
+        "bigint": "CASE WHEN i % 3 = 0 THEN 7 WHEN i % 50 = 1 THEN NULL ELSE i * i * i END",
+        "varchar": "CASE WHEN i % 3 = 0 THEN 'it''s hot' WHEN i % 50 = 1 THEN NULL ELSE repeat('x', i % 7) || i END",
+        "date": "CASE WHEN i % 50 = 1 THEN NULL ELSE DATE '2000-01-01' + CAST(sqrt(i) AS INT) END",
+    }
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE t AS SELECT i, CAST({values[kind]} AS {kind}) AS k FROM range(6000) r(i)")
+    bounds = [r[0] for r in con.execute(f"SELECT bound FROM {quantiles_query('t', 'k', 12)} ORDER BY tile").fetchall()]
+    assert len(bounds) == 12
+    parts = predicates_of("k", bounds)
+    counts = [con.execute(f"SELECT count(*) FROM t WHERE {p}").fetchone()[0] for p in parts]
+    assert sum(counts) == 6000 == con.execute(f"SELECT count(*) FROM t WHERE {' OR '.join(f'({p})' for p in parts)}").fetchone()[0]
+    single = [p for p in parts if "=" in p and "<" not in p]
+    largest = max(c for p, c in zip(parts, counts, strict=True) if p not in single)
+    assert largest <= 6000 / 12 + 200 and (kind == "date" or len(single) == 1)
+    assert predicates_of("k", []) == ["1 = 1"]

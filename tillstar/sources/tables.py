@@ -1,6 +1,8 @@
 """Tables: named sources, whole-table reads, replacing writes and listings."""
 
+from collections import Counter
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -54,8 +56,49 @@ def split_of(low: int | None, high: int | None, n: int, column: str = "index", p
     return {"partitionColumn": column, "lowerBound": str(low), "upperBound": str(high + 1), "numPartitions": str(tasks)}
 
 
+def quantiles_query(name: str, column: str, parts: int) -> str:
+    """A query, as a table, for the greatest value of each of `parts` equal shares of a column's
+    values in order, and how many values each share has."""
+    tiles = f'SELECT "{column}" AS value, ntile({parts}) OVER (ORDER BY "{column}") AS tile FROM {name} WHERE "{column}" IS NOT NULL'
+    return f"(SELECT tile, max(value) AS bound, count(*) AS n FROM ({tiles}) tiles GROUP BY tile) bounds"
+
+
+def _literal(value: object) -> str:
+    return str(value) if isinstance(value, (int, float, Decimal)) else "'" + str(value).replace("'", "''") + "'"
+
+
+def predicates_of(column: str, bounds: list) -> list[str]:
+    """Conditions that part a table by the ordered `bounds` of its shares: every row meets one
+    of them. A value that fills a share or more has one of its own, as no range over the
+    column can cut it; rows without a value go with the first."""
+    quoted, found, low, seen = f'"{column}"', [], None, Counter(bounds)
+
+    def after() -> str:
+        return f"{quoted} > {_literal(low)} AND " if low is not None else ""
+
+    for bound in seen:  # in the database's own order
+        if seen[bound] > 1:
+            found += [f"{after()}{quoted} < {_literal(bound)}", f"{quoted} = {_literal(bound)}"]
+        else:
+            found.append(f"{after()}{quoted} <= {_literal(bound)}")
+        low = bound
+    if low is None:
+        return ["1 = 1"]
+    found[0] = f"({found[0]}) OR {quoted} IS NULL"
+    return [*found, f"{quoted} > {_literal(low)}"]  # what came in since the bounds were taken
+
+
+def _by_quantiles(spark: SparkSession, source: dict[str, str], name: str, column: str, parts: int) -> DataFrame:
+    shares = spark.read.format("jdbc").options(**jdbc_options(source, quantiles_query(name, column, parts), None)).load()
+    bounds = [r["bound"] for r in sorted(shares.collect(), key=lambda r: r["tile"])]  # a row per task of the read
+    rest = {k: v for k, v in source.items() if k != "url"}
+    return spark.read.jdbc(source["url"], name, predicates=predicates_of(column, bounds), properties={"fetchsize": "10000", **rest})
+
+
 def _read_jdbc(spark: SparkSession, source: dict[str, str], name: str, split: dict[str, str] | None) -> DataFrame:
     """Without a split: by ranges of the table's `index`, whose bounds one small query gives."""
+    if split and set(split) == {"quantilesOf", "numPartitions"}:
+        return _by_quantiles(spark, source, name, split["quantilesOf"], int(split["numPartitions"]))
     whole = spark.read.format("jdbc").options(**jdbc_options(source, name, split)).load()
     whole_numbers = ("smallint", "int", "bigint")
     if split or dict(whole.dtypes).get("index") not in whole_numbers:
@@ -69,7 +112,12 @@ def read_table(
     spark: SparkSession, registry: SourceRegistry, source: str, name: str,
     split: dict[str, str] | None = None,
 ) -> DataFrame:
-    """A whole table of a named source, without its `index` column."""
+    """A whole table of a named source, without its `index` column.
+
+    `split` says how tasks share a JDBC table: the four options of Spark's reader, for a whole-number
+    key that is spread evenly, or `quantilesOf` any column that has an order and `numPartitions`:
+    then the database tells the bounds of equal shares of its rows, however its values are spread.
+    """
     options = registry.options(source)
     fmt = options.pop("format")
     if fmt == "catalog":
