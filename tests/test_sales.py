@@ -199,9 +199,16 @@ def test_sample_sale_does_not_sort_the_fact(spark, plan_of):
     from tillstar.contract.queries import QUERIES
 
     text = plan_of(QUERIES["sales_by_month_first_sale"](spark, "/root/testdata/sf0.001"))
-    # What is sorted for the sample are sales of the first products, picked by the scan.
-    reads = [line for line in text.splitlines() if "FileScan" in line and "product_quantity" in line]
-    assert reads and all("In(product_code" in line or "EqualTo(product_code" in line for line in reads)
+    # What is sorted for the sample are sales of the first products, met while the fact is
+    # read: between its scan and the next sort or shuffle stands a semi join.
+    lines = text.splitlines()
+    scans = [i for i, line in enumerate(lines) if "FileScan" in line and "product_quantity" in line]
+    next_up = [next(x for x in reversed(lines[:i]) if any(n in x for n in ("LeftSemi", "Sort", "hashpartitioning", "HashAggregate"))) for i in scans]
+    assert any("LeftSemi" in line for line in next_up)
+    # And nothing has run to make this plan.
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    QUERIES["sales_by_month_first_sale"](spark, "/root/testdata/sf0.001")
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
 
 
 def test_report(spark):
