@@ -23,7 +23,7 @@ import math
 import random
 import re
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +43,7 @@ TAG = re.compile(
     re.S,
 )
 OUTSIDE = re.compile(r"[^'\">]*+")
+ROLE = re.compile(r"(?<![\w-])role\s*=\s*[\"']?\s*(main|article)\b", re.I)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 # What HTML says of its elements.
@@ -68,8 +69,14 @@ AROUND = (
     "ad ads advert advertisement adverts aside banner breadcrumb breadcrumbs comment comments consent contentinfo cookie cookies discussion "
     "footer form gdpr header masthead menu modal nav navbar navigation newsletter notice popup promo promoted related reply replies respond "
     "search share sharing sidebar skip social sponsor sponsored subscribe tags toolbar widget reader paywall alert complementary signup login "
-    "button label disqus pagination pager"
+    "button label disqus pagination pager secondary colophon"
 ).split()
+#: What such a word may be written together with.
+TOGETHER = re.compile(
+    rf"(?P<before>sub|top|main|site|page|side|left|right|bottom|global|mega)?(?P<word>{'|'.join(sorted(AROUND, key=len, reverse=True))})"
+    r"(?P<behind>s|list|lists|section|area|box|wrap|wrapper|container|bar|block|inner|holder|thread|body|text|content|item|items|links|row|panel)?"
+)
+KNOWN = frozenset(AROUND)
 INSIDE = "article main content post entry body story text page-content articlebody maincontent prose blog".split()
 INLINE, BLOCK, HOLDER = 0, 1, 2
 #: What an unseen feature counts as. Most names of what is around the text are rare but
@@ -85,11 +92,34 @@ class Page:
     parents: list[int]
     names: list[str]
     runs: list[tuple[int, int, str]]
+    #: Elements whose role is that of the main text or an article.
+    mains: set[int] = field(default_factory=set)
+
+
+class Open(list):
+    """The open elements, with a count by tag, so that asking for one needs no look at all."""
+
+    def __init__(self, page: Page):
+        super().__init__([0])
+        self.page, self.count = page, Counter()
+
+    def open(self, element: int) -> None:
+        self.append(element)
+        self.count[self.page.tags[element]] += 1
+
+    def close(self) -> str:
+        """Closes the innermost one; its tag."""
+        tag = self.page.tags[self.pop()]
+        self.count[tag] -= 1
+        return tag
+
+    def has(self, tags) -> bool:
+        return any(self.count[t] for t in tags)
 
 
 def parse(source: str) -> Page:
     page = Page(["#page"], [-1], [""], [])
-    open_ = [0]
+    open_ = Open(page)
     block = at = 0
     choosing = False
     dead: set[int] = set()
@@ -118,8 +148,8 @@ def parse(source: str) -> Page:
         if tag in BLOCKS:
             block += 1
         if closing:
-            if tag in page_tags(page, open_):
-                while page.tags[open_.pop()] != tag:
+            if open_.has((tag,)):
+                while open_.close() != tag:
                     pass
             continue
         if tag in CLOSES_P:
@@ -132,9 +162,11 @@ def parse(source: str) -> Page:
         page.tags.append(tag)
         page.parents.append(open_[-1])
         page.names.append(" ".join(a or b or c for a, b, c in NAMES.findall(attributes)) if "=" in attributes else "")
+        if "=" in attributes and ROLE.search(attributes):
+            page.mains.add(len(page.tags) - 1)
         if tag == "br":
             page.runs.append((open_[-1], block, " "))
-        if tag in VOID or attributes.endswith("/") and (tag in MAY_END or any(page.tags[i] in FOREIGN for i in open_)):
+        if tag in VOID or attributes.endswith("/") and (tag in MAY_END or open_.has(FOREIGN)):
             continue
         if tag in RAW or tag == "head":
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(source, at)
@@ -142,7 +174,7 @@ def parse(source: str) -> Page:
                 at = end.end() if end else size
             continue
         choosing = choosing or tag == "select"
-        open_.append(len(page.tags) - 1)
+        open_.open(len(page.tags) - 1)
     return page
 
 
@@ -163,25 +195,29 @@ def _tag_end(source: str, name: int, at: int, dead: set[int]) -> int:
     return at if at < size else -1
 
 
-def page_tags(page: Page, open_: list[int]) -> set[str]:
-    return {page.tags[i] for i in open_[1:]}
-
-
-def _end(page: Page, open_: list[int], which: set[str], holders: set[str]) -> None:
+def _end(page: Page, open_: Open, which: set[str], holders: set[str]) -> None:
     """Closes open elements of `which`, with all inside, up to the nearest holder."""
+    if not open_.has(which):
+        return
     for k in range(len(open_) - 1, 0, -1):
         tag = page.tags[open_[k]]
         if tag in holders:
             return
         if tag in which:
-            del open_[k:]
+            while len(open_) > k:
+                open_.close()
             if which == {"p"}:
                 return
 
 
 def words_of(name: str) -> list[str]:
-    """Words of class, id and role values, camel case taken apart."""
-    return re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower())
+    """Words of class, id and role values; camel case is taken apart, and so are words for
+    what is around the main text from what they are written together with."""
+    out = []
+    for word in re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()):
+        found = TOGETHER.fullmatch(word) if word not in KNOWN else None
+        out.append(found["word"] if found else word)
+    return out
 
 
 def kind_of(tag: str) -> int:
@@ -280,7 +316,7 @@ def own_labels(page: Page) -> list[int] | None:
     for i in range(1, len(page.tags)):
         tag, parent = page.tags[i], page.parents[i]
         named = {"form" if tag == "select" else tag, *words_of(page.names[i])}
-        begins = tag in ("article", "main") or "role" in page.names[i]
+        begins = tag in ("article", "main") or i in page.mains
         hidden.append(hidden[parent] or not named.isdisjoint(AROUND))
         labels.append(int((labels[parent] or begins) and not hidden[i]))
         found = found or begins
@@ -321,10 +357,20 @@ def made_page(rnd: random.Random) -> tuple[str, set[int]]:
         put(rnd.choice(["p", "p", "p", "p", "h2", "h3", "blockquote", "pre", "div"]), inside, good)
 
     def listing(good: bool, links: bool) -> None:
+        whole = not links and rnd.random() < 0.4  # items of paragraphs, as reader comments have them
+
         def item():
-            put("a", words(1, 4), good, ' href="/x"') if links else out.append(words(1, 25))
+            if links:
+                put("a", words(1, 4), good, ' href="/x"')
+            elif whole:
+                for _ in range(rnd.randint(1, 2)):
+                    paragraph(good, 3, 40)
+            else:
+                out.append(words(1, 25))
 
-        put("ul", lambda: [put("li", item, good) for _ in range(rnd.randint(2, 8))], good)
+        name = named(AROUND) if not good and not links and rnd.random() < 0.7 else ""
+        each = named(AROUND) if name and rnd.random() < 0.5 else ""
+        put(rnd.choice(["ul", "ul", "ol"]), lambda: [put("li", item, good, each) for _ in range(rnd.randint(2, 8))], good, name)
 
     def around(place: int) -> None:
         sort = rnd.random()
@@ -334,8 +380,10 @@ def made_page(rnd: random.Random) -> tuple[str, set[int]]:
         def inside():
             if tag == "header" or rnd.random() < 0.1:
                 put(rnd.choice(["h1", "h2", "h3"]), words(1, 4), False)
-            if sort < 0.4:
+            if sort < 0.3:
                 listing(False, True)
+            elif sort < 0.45:
+                listing(False, False)
             elif sort < 0.55:
                 out.append(words(1, 30))
             else:
