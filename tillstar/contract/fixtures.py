@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import digits_only
-from ..operators.joins import lookup
+from ..operators.joins import broadcastable, lookup
 
 DATE_TEXTS = ["yyyy-MM-dd", "yyyy MMMM dd", "MMMM yyyy dd", "yyyy/MM/dd"]
 
@@ -28,10 +28,18 @@ SCHEMAS = {
 }
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, *_by: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def even_table(spark: SparkSession, sf_dir: str, name: str, *by: str) -> DataFrame:
+    """`table` in even partitions, whatever the splits of its files; rows alike in `by` stay together.
+
+    Only the columns that are used later move, and before any text is made of them.
+    """
+    return table(spark, sf_dir, name).hint("rebalance", *by)
+
+
 def uuid_of(prefix: str, key: Column) -> Column:
     h = F.md5(F.concat(F.lit(prefix), key.cast("string")))
     return F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
@@ -56,12 +64,12 @@ def nations(spark: SparkSession, sf_dir: str, key: str) -> DataFrame:
     return F.broadcast(table(spark, sf_dir, "nation").withColumnRenamed("n_nationkey", key))
 
 
-def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_users(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     k, region = F.col("c_custkey"), F.col("n_regionkey")
     uuid = uuid_of("u", k)
     country = F.when(region == 1, "United States").when(region == 2, "United Kingdom")
     code = F.when(region == 1, "US").when(region == 2, F.when(k % 3 == 0, "GGB").otherwise("GB"))
-    return table(spark, sf_dir, "customer").join(nations(spark, sf_dir, "c_nationkey"), "c_nationkey").select(
+    return source(spark, sf_dir, "customer").join(nations(spark, sf_dir, "c_nationkey"), "c_nationkey").select(
         F.lit("Customer").alias("first_name"),
         F.substring("c_name", 10, 1000).alias("last_name"),
         dirty_date("1950-01-01", k * 37 % 18000, k, k % 97 == 0).alias("date_of_birth"),
@@ -73,23 +81,23 @@ def raw_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_cards(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     k = F.col("c_custkey")
     number = (F.lit(4_000_000_000_000_000) + k).cast("string")
     expiry = F.concat(F.lpad((k % 12 + 1).cast("string"), 2, "0"), F.lit("/"), (k % 6 + 24).cast("string"))
     paid = dirty_date("2000-01-01", k * 11 % 8000, k, k % 101 == 0)
-    return table(spark, sf_dir, "customer").select(
+    return source(spark, sf_dir, "customer").select(
         F.when(k % 9 == 0, F.concat(F.lit("??"), number)).otherwise(number).alias("card_number"),
         F.when(k % 23 == 0, "JUNK").otherwise(expiry).alias("expiry_date"),
         F.when(k % 31 != 0, paid).alias("date_payment_confirmed"),
     )
 
 
-def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_stores(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     k, region = F.col("s_suppkey"), F.col("n_regionkey")
     staff = (k % 50 + 1).cast("string")
     kind = F.when(k % 5 == 0, "Web Portal").when(k % 5 == 1, "Local").when(k % 5 == 2, "Super Store")
-    return table(spark, sf_dir, "supplier").join(nations(spark, sf_dir, "s_nationkey"), "s_nationkey").select(
+    return source(spark, sf_dir, "supplier").join(nations(spark, sf_dir, "s_nationkey"), "s_nationkey").select(
         code_of("ST-", k, 8).alias("store_code"),
         F.when(region == 3, "DE").when(region == 1, "US").when(region == 2, "GB")
         .otherwise("XX").alias("country_code"),
@@ -105,7 +113,7 @@ def raw_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_products(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     k, size = F.col("p_partkey"), F.col("p_size").cast("string")
     units = ["kg", "g", "g", "ml", "oz", "g ."]
     weight = F.when(k % 7 == 0, F.concat(size, F.lit(units[0])))
@@ -114,7 +122,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
         weight = weight.when(k % 7 == i, F.concat(text, F.lit(unit)))
     state = F.when(k % 10 == 0, "JUNK").when(k % 3 == 0, "Still_avaliable").when(k % 3 == 1, "Removed")
     price = F.concat(F.lit("£"), F.col("p_retailprice").cast("string"))
-    return table(spark, sf_dir, "part").select(
+    return source(spark, sf_dir, "part").select(
         code_of("P-", k).alias("product_code"),
         F.when(k % 41 == 0, "JUNK").otherwise(price).alias("product_price"),
         weight.otherwise("JUNK").alias("weight"),
@@ -125,13 +133,13 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_dates(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
+def raw_dates(spark: SparkSession, sf_dir: str, *keep: str, source=table) -> DataFrame:
     k, day = F.col("o_orderkey"), F.col("o_orderdate")
     second = k * 7919 % 86400
     parts = [second / 3600, second / 60 % 60, second % 60]
     clock = F.format_string("%02d:%02d:%02d", *(p.cast("bigint") for p in parts))
     period = F.when(k % 37 == 0, "JUNK").when(second < 21600, "Late_Hours").when(second < 43200, "Morning")
-    return table(spark, sf_dir, "orders").select(
+    return source(spark, sf_dir, "orders").select(
         clock.alias("timestamp"),
         F.month(day).cast("string").alias("month"),
         F.year(day).cast("string").alias("year"),
@@ -151,10 +159,12 @@ def _fact(lines: DataFrame) -> dict[str, Column]:
     }
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     """The whole fact. Needs the orders table for the customer behind user and card."""
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     buyers = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
+    # A join that shuffles deals the lines out by itself.
+    lines = source(spark, sf_dir, "lineitem", "l_orderkey") if broadcastable(buyers) else table(spark, sf_dir, "lineitem")
+    lines = lines.select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     customer = F.col("o_custkey")
     return lookup(lines, buyers, "l_orderkey").select(
         uuid_of("u", customer).alias("user_uuid"),
@@ -174,19 +184,19 @@ def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: make(spark, sf_dir) for name, make in makers.items()}
 
 
-def sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_fact(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     """The fact without user and card, which no sales question asks for, so without a join."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = source(spark, sf_dir, "lineitem", "l_orderkey")
     return lines.select(*(c.alias(n) for n, c in _fact(lines).items()))
 
 
-def sales_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(
+def sales_products(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
+    return source(spark, sf_dir, "part").select(
         code_of("P-", F.col("p_partkey")).alias("product_code"),
         F.col("p_retailprice").alias("product_price"),
     )
 
 
-def sales_stores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_stores(spark: SparkSession, sf_dir: str, source=table) -> DataFrame:
     staff = digits_only(F.col("staff_numbers")).cast("smallint")
-    return raw_stores(spark, sf_dir).withColumn("staff_numbers", staff)
+    return raw_stores(spark, sf_dir, source).withColumn("staff_numbers", staff)

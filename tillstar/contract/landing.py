@@ -26,8 +26,8 @@ _WRITTEN: dict[tuple, tuple] = {}
 def _stored(spark: SparkSession, sf_dir: str, zone: str, name: str, make) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir, zone, name)
     if key not in _WRITTEN:
-        df, path = make(spark, sf_dir), scratch_path(spark, f"{zone}-{name}")
-        df.hint("rebalance").write.parquet(path)  # even files, whatever the splits of the source
+        df, path = make(spark, sf_dir, source=fx.even_table), scratch_path(spark, f"{zone}-{name}")
+        df.write.option("compression", "zstd").parquet(path)
         _WRITTEN[key] = path, df.schema
     path, schema = _WRITTEN[key]
     return spark.read.schema(schema).parquet(path)

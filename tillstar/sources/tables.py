@@ -172,4 +172,6 @@ def write_table(
     elif fmt == "jdbc":
         writer.format("jdbc").options(**jdbc_options(options, name, None)).save()
     else:
+        if fmt == "parquet":
+            writer = writer.option("compression", "zstd")  # keys are mostly hex digits, which take half the bytes
         writer.format(fmt).save(f"{options['path'].rstrip('/')}/{name}")
