@@ -211,6 +211,23 @@ def test_sample_sale_does_not_sort_the_fact(spark, plan_of):
     assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
 
 
+def test_first_products_are_found_once(spark, tmp_path, no_broadcast, plan_of):
+    """Every use of the months shares the shuffles that they come from."""
+    from tillstar.contract import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    tables = {"orders": fx.sales_fact(spark, sf), "products": fx.sales_products(spark, sf), "dates": fx.raw_dates(spark, sf)}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    found = sales.sales_by_month_first_sale(tables)
+    assert len(found.collect()) == 12
+    final = plan_of(found).split("== Initial Plan ==")[0]
+    exchanged = [line for line in final.splitlines() if "Exchange hashpartitioning(month" in line and "product_code" in line.split("ENSURE")[0]]
+    made = [line for line in exchanged if "ReusedExchange" not in line and "total_sales" not in line]
+    assert len(made) == 1, exchanged
+
+
 def test_report(spark):
     df = spark.createDataFrame([("a", 1234567.891, 3), ("b", 2.675, 4), ("c", None, 5)], "k string, x double, n int")
     got = [tuple(r) for r in report(df).orderBy("k").collect()]

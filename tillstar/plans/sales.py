@@ -106,18 +106,17 @@ def sales_by_month_first_sale(tables: Tables, scale: int = SCALE) -> DataFrame:
     fact = tables["orders"].select("product_code", "date_uuid", "product_quantity")
     dates = tables["dates"].select("date_uuid", "month").where(F.col("month").isNotNull())
     prices = _priced(tables["products"], scale)
-    by_date = fact
-    if not broadcastable(dates):
-        by_date = fact.groupBy("date_uuid", "product_code").agg(F.sum("product_quantity").alias("product_quantity"))
-    sold = by_date.join(dates, "date_uuid").groupBy("month", "product_code").agg(
+    sold = lookup(fact, dates, "date_uuid").groupBy("month", "product_code").agg(
         F.sum("product_quantity").alias("product_quantity")
     )
     priced = sold.join(prices, "product_code").select("month", "product_code", *_units())
     first = priced.groupBy("month").agg(F.min("product_code").alias("product_code"), _total(scale).alias("total_sales"))
-    # As many rows as the answer, so it is broadcast where it is needed again below. All uses
-    # share the shuffle that it comes from.
-    months = F.broadcast(first)
-    looked_at = fact.join(F.broadcast(first.select("product_code")), "product_code", "left_semi")
+    # As many rows as the answer, so it is broadcast where it is needed again below. As one row
+    # holds them all, no use is planned without the columns that it doesn't need: all uses
+    # share the shuffles that it comes from.
+    listed = first.agg(F.collect_list(F.struct("month", "product_code", "total_sales")).alias("months"))
+    months = F.broadcast(listed.select(F.inline("months")))
+    looked_at = fact.join(F.broadcast(months.select("product_code")), "product_code", "left_semi")
     sample = first_in_group(
         lookup(looked_at, dates, "date_uuid").join(months, ["month", "product_code"]),
         ["month", "product_code", "total_sales"], ["date_uuid"], ["product_quantity"],
