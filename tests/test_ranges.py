@@ -133,3 +133,28 @@ def test_csv_rows_that_do_not_fit(spark, tmp_path, small_ranges):
     (tmp_path / "cut.csv").write_text('a,b\n7,"never closed\n8,9\n')
     rows = read_csv(spark, str(tmp_path), SCHEMA, multi_line=True, broken=BROKEN).collect()
     assert len(rows) == 5 and sum((r[BROKEN] or "").endswith("cut.csv") for r in rows) == 1
+
+
+def test_ranges_are_passed_at_once():
+    """Pieces cost a match each; strings and levels are followed through a whole range."""
+    from dataclasses import replace
+
+    import pyarrow as pa
+
+    from tillstar.sources import ranges
+
+    calls = []
+    layout = replace(ranges.JSON_COLUMNS, passed=lambda piece, inside: calls.append(piece) or ranges.json_passed(piece, inside))
+    document = '{"a": {' + ",".join(f'"{i}": "v\\"{i}"' if i % 9 == 0 else f'"{i}": "{i}, {{"' for i in range(400)) + '}, "b": {"0": null}}'
+    rows = [{"path": "p", "start": 0, "value": piece, "inside": False, "level": 0} for piece in document.split(",")]
+    batch = pa.RecordBatch.from_pylist(rows)
+    (ends,) = [b.to_pylist()[0] for b in ranges._summaries(layout)([batch])]
+    assert (ends["inside0"], ends["levels0"]) == (False, 0) and len(calls) == 2
+    plain = [{**row, "value": f'"{i}": "{i}"', "level": 2} for i, row in enumerate(rows)]
+    calls.clear()
+    found = [r for b in ranges._records(layout)([pa.RecordBatch.from_pylist(plain)]) for r in b.to_pylist()]
+    assert [(r["label"], r["value"]) for r in found if r["kind"] == "entry"] == [(str(i), str(i)) for i in range(len(plain))]
+    assert not calls
+    whole = [r for b in ranges._records(layout)([batch]) for r in b.to_pylist() if r["kind"] == "entry"]
+    assert [r["value"] for r in whole if r["column"] == "a"] == [f'v"{i}' if i % 9 == 0 else f"{i}, {{" for i in range(400)]
+    assert [(r["column"], r["label"], r["value"]) for r in whole][-1] == ("b", "0", None)

@@ -23,6 +23,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,9 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 
 #: A string, or one that is open at the end.
-STRING = re.compile(r'"(?:[^"\\]|\\.)*("|\\?\Z)', re.S)
-REST_OF_STRING = re.compile(r'(?:[^"\\]|\\.)*"', re.S)
+STRING = re.compile(r'"(?:[^"\\]++|\\.)*+(?:"|\\?\Z)', re.S)
+#: Put behind a text, its last character is outside strings only if the text ends inside one.
+PROBE = ',"\0'
 NAME = r'"(?:[^"\\]|\\.)*"'
 _ENTRY = rf"\s*(?P<label>{NAME})\s*:\s*(?P<value>\S.*?)"
 _COLUMN = rf"\s*(?P<column>{NAME})\s*:\s*\{{(?:{_ENTRY})?"
@@ -50,27 +52,30 @@ Record = tuple[str | None, str | None, str | None]
 class Layout:
     """How records are told apart: what separates pieces, whether a string is open behind a
     piece and how many levels it opens, the level below which a separator ends a record, and
-    what a record between two levels holds (ValueError: nothing that may stand there)."""
+    what a record between two levels holds (ValueError: nothing that may stand there).
+    `entry` matches pieces that are a record by themselves at the deepest level."""
 
     separator: str
     passed: Callable[[str, bool], tuple[bool, int]]
     deepest: int
     read: Callable[[str, int, int], Record]
+    entry: re.Pattern | None = None
 
 
 def json_passed(piece: str, inside: bool) -> tuple[bool, int]:
-    if inside:
-        end = REST_OF_STRING.match(piece)
-        if not end:
-            return True, 0
-        piece = piece[end.end() :]
-    outside = STRING.sub(lambda string: "" if string[1] == '"' else '"', piece)
-    return outside.endswith('"'), outside.count("{") + outside.count("[") - outside.count("}") - outside.count("]")
+    outside = STRING.sub("", f'"{piece}{PROBE}' if inside else piece + PROBE)
+    return outside.endswith("\0"), outside.count("{") + outside.count("[") - outside.count("}") - outside.count("]")
+
+
+def json_string(text: str) -> str:
+    return json.loads(text, strict=False) if "\\" in text else text[1:-1]
 
 
 def json_text(value: str) -> str | None:
     """A JSON value as the other readers show it: text as it reads, null as None, nested values
     without white space."""
+    if value[0] == '"' and "\\" not in value and value.find('"', 1) == len(value) - 1:
+        return value[1:-1]
     read = json.loads(value, strict=False)
     if isinstance(read, str) or read is None:
         return read
@@ -79,7 +84,7 @@ def json_text(value: str) -> str | None:
 
 def json_record(text: str, before: int, after: int) -> Record:
     if before == after == 2 and (plain := ENTRY.fullmatch(text)):
-        return None, json.loads(plain[1], strict=False), json_text(plain[2])
+        return None, json_string(plain[1]), json_text(plain[2])
     if not 0 <= after <= 2 or not 0 <= before <= 2:
         raise ValueError("more levels than a column-oriented document has")
     body = text.rstrip()
@@ -103,7 +108,7 @@ def csv_passed(piece: str, inside: bool) -> tuple[bool, int]:
     return inside != (piece.count('"') % 2 == 1), 0  # a quote in quotes is two
 
 
-JSON_COLUMNS = Layout(",", json_passed, 2, json_record)
+JSON_COLUMNS = Layout(",", json_passed, 2, json_record, ENTRY)
 CSV_LINES = Layout("\n", csv_passed, 0, lambda text, before, after: (None, "", text.removesuffix("\r")))
 
 SUMMARY = "path string, start long, inside0 boolean, levels0 long, inside1 boolean, levels1 long"
@@ -117,18 +122,20 @@ def _schema(columns: str) -> pa.Schema:
     return pa.schema([(name, kinds[kind]) for name, kind in map(str.split, columns.split(", "))])
 
 
-def _by_range(batches) -> Iterator[tuple[tuple[str, int], list[dict]]]:
-    """Arrow batches of ordered pieces as ((path, start), rows), a range maybe in portions."""
+def _by_range(batches, *others: str) -> Iterator[tuple[tuple[str, int], list[str], tuple]]:
+    """Arrow batches of ordered pieces as ((path, start), values, the first row's `others`), a
+    range maybe in portions."""
     for batch in batches:
-        rows, key = [], None
-        for row in batch.to_pylist():
-            if key != (row["path"], row["start"]):
-                if rows:
-                    yield key, rows
-                rows, key = [], (row["path"], row["start"])
-            rows.append(row)
-        if rows:
-            yield key, rows
+        if not batch.num_rows:
+            continue
+        paths, starts = batch.column("path").dictionary_encode(), batch.column("start").to_numpy()
+        places = paths.indices.to_numpy()
+        ends = [*(np.flatnonzero((np.diff(starts) != 0) | (np.diff(places) != 0)) + 1), batch.num_rows]
+        values, low = batch.column("value").to_pylist(), 0
+        for high in ends:
+            first = tuple(batch.column(c)[int(low)].as_py() for c in others)
+            yield (paths.dictionary[int(places[low])].as_py(), int(starts[low])), values[low:high], first
+            low = high
 
 
 def _summaries(layout: Layout):
@@ -143,13 +150,13 @@ def _summaries(layout: Layout):
             row = {"path": key[0], "start": key[1], "inside0": i0, "levels0": n0, "inside1": i1, "levels1": n1}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for at, rows in _by_range(batches):
+        for at, values, _ in _by_range(batches):
             if at != key:
                 if key:
                     yield done()
                 key, states = at, [(False, 0), (True, 0)]
-            for row in rows:
-                states = [(inside, levels + n) for was, levels in states for inside, n in [layout.passed(row["value"], was)]]
+            text = layout.separator.join(values)  # a separator changes no state
+            states = [(inside, levels + n) for was, levels in states for inside, n in [layout.passed(text, was)]]
         if key:
             yield done()
 
@@ -173,47 +180,60 @@ def _records(layout: Layout):
     the end of its range, from the beginning of one, or all of a range that lies in one. `bad`: what
     can't be read.
     """
-    schema = _schema(FOUND)
+    schema, entry = _schema(FOUND), layout.entry
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def run(batches):
         key, parts, head, begins, column, inside, level, first = None, [], False, 0, None, False, 0, False
 
-        def end() -> list[dict]:
-            at = {"path": key[0], "start": key[1]}
-            left = [at | {"kind": "middle" if head else "tail", "label": "1" if first else None, "value": layout.separator.join(parts), "level": begins}] if parts else []
-            return [at | {"kind": "range", "column": column}, *left]
+        def end() -> list[tuple]:
+            path, start = key
+            kind, label = "middle" if head else "tail", "1" if first else None
+            left = [(kind, path, None, label, layout.separator.join(parts), start, begins)] if parts else []
+            return [("range", path, column, None, None, start, None), *left]
 
-        for found, rows in _by_range(batches):
+        for found, values, (was_inside, was_level) in _by_range(batches, "inside", "level"):
             out = []
             if found != key:
                 out += end() if key else []
                 key, parts, column = found, [], None
-                inside, level = rows[0]["inside"], rows[0]["level"]
+                inside, level = was_inside, was_level
                 begins, head, first = level, inside or level > layout.deepest, found[1] == 0
-            for row in rows:
-                inside, levels = layout.passed(row["value"], inside)
+            path, start = key
+            for piece in values:
+                if entry and level == layout.deepest and not parts and not inside and (plain := entry.fullmatch(piece)):
+                    try:
+                        out.append(("entry", path, column, json_string(plain[1]), json_text(plain[2]), start, None))
+                        first = False
+                    except ValueError:
+                        out.append(("bad", path, None, None, None, None, None))
+                    continue
+                inside, levels = layout.passed(piece, inside)
                 level += levels
-                parts.append(row["value"])
+                parts.append(piece)
                 if inside or level > layout.deepest:
                     continue
-                text, at = layout.separator.join(parts), {"path": key[0], "start": key[1]}
+                text = layout.separator.join(parts)
                 if head:
-                    out.append(at | {"kind": "head", "value": text, "level": level})
+                    out.append(("head", path, None, None, text, start, level))
                 else:
                     try:
                         opened, label, value = layout.read(text, begins, level)
                         if opened is not None:
                             column = opened
-                            out.append(at | {"kind": "column", "column": column})
+                            out.append(("column", path, column, None, None, start, None))
                         if label is not None:
-                            out.append(at | {"kind": "entry", "column": column, "label": "1" if first and layout is CSV_LINES else label, "value": value})
+                            out.append(("entry", path, column, "1" if first and layout is CSV_LINES else label, value, start, None))
                             first = False
                     except ValueError:
-                        out.append({"kind": "bad", "path": key[0]})
+                        out.append(("bad", path, None, None, None, None, None))
                 parts, head, begins = [], False, level
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
+            yield batch_of(out)
         if key:
-            yield pa.RecordBatch.from_pylist(end(), schema=schema)
+            yield batch_of(end())
 
     return run
 
