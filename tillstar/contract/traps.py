@@ -170,6 +170,9 @@ def broken_input(spark, sf):
     }
     counted = []
     for t, df in found.items():
+        # Read once, as a job would land it; three counts are taken of it.
+        df.write.option("compression", "zstd").parquet(f"{at}/read/{t}")
+        df = spark.read.schema(df.schema).parquet(f"{at}/read/{t}")
         unread = F.array_contains("reject_reasons", "input unreadable")
         counted += [
             quarantine(df, t).where(unread).select(F.lit(t).alias("source"), F.lit("broken").alias("kind")),
