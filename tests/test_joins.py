@@ -70,6 +70,34 @@ def test_hot_rows_are_shared(spark, no_broadcast, tmp_path, plan_of):
     assert len(hot) > 1 and sum(r["count"] for r in hot) == 1000
 
 
+def test_counting_does_not_move_the_keys(spark, no_broadcast, plan_of):
+    """Keys of which none is hot are counted in far fewer groups, not by themselves."""
+    fact = spark.range(0, 200_000, 1, 2).select(F.concat(F.lit("key-"), F.col("id")).alias("k"), F.lit(1).alias("n"))
+    dim = spark.range(0, 1_000, 1, 1).select(F.concat(F.lit("key-"), F.col("id")).alias("k"), F.col("id").alias("v"))
+    out = joins.lookup(fact, dim, "k")
+    initial = plan_of(out).split("== Initial Plan ==")[-1]
+    counted = [line.split("hashpartitioning(")[1] for line in initial.splitlines() if "hashpartitioning(" in line and "hot_share" not in line]
+    assert counted and all(line.startswith("key_group") for line in counted)
+    assert out.count() == 1_000
+    assert joins.GROUPED_ROWS // joins.ROWS_PER_TASK < 20_000
+
+
+def test_groups_of_several_keys(spark, no_broadcast, monkeypatch):
+    """Keys that share a group with a hot one are cut with it, and find all their rows."""
+    monkeypatch.setattr(joins, "GROUPED_ROWS", 900)
+    rows, fact, dim = skewed(spark)
+    got = joins.lookup(fact, dim, "k", 300)
+    assert sorted(tuple(r) for r in got.select("k", "other", "n", "v").collect()) == joined(rows, [tuple(r) for r in dim.collect()])
+
+
+def test_keys_of_two_types(spark, no_broadcast):
+    """Equal numbers of different types have different hashes; hot ones are found all the same."""
+    fact = spark.createDataFrame([(7 if i % 2 else i,) for i in range(1000)], "k int")
+    dim = spark.createDataFrame([(i, str(i)) for i in range(0, 1000, 7)], "k long, v string")
+    want = sum((7 if i % 2 else i) % 7 == 0 for i in range(1000))
+    assert joins.lookup(fact, dim, "k", 100).where("v = string(k)").count() == want
+
+
 def test_small_dimension_is_broadcast_by_size(spark, tmp_path, plan_of):
     path = str(tmp_path / "dim")
     _, fact, dim = skewed(spark)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rows of one key that one task may be left with.
 ROWS_PER_TASK = 4_000_000
+#: Rows up to which a group of keys (`lookup`) holds fewer, on average, than one task may be left with.
+GROUPED_ROWS = 1 << 36
 
 
 def broadcastable(df: DataFrame) -> bool:
@@ -35,21 +37,26 @@ def hot_keys(fact: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK) -> D
 def lookup(fact: DataFrame, dim: DataFrame, key: str, rows_per_task: int | None = None) -> DataFrame:
     """Inner join of every fact row to the dimension rows of its key.
 
-    Large dimension: a key with more rows than a task should get is cut into shares, by a
-    hash of its rows, and only its dimension rows are repeated, once a share. The fact is
-    read twice: its key column to count, and once for the join. The counts are part of the
-    plan, worked out and broadcast when it runs; there is a row per task of the hot keys at
-    most. Nothing runs while the plan is made.
+    Large dimension: keys are counted in groups of one hash, a number per group and task, as
+    the keys themselves would be as many as the dimension's. A group with more rows than a
+    task should get is cut into shares, by a hash of its rows, and only its dimension rows are
+    repeated, once a share. The fact is read twice: its key column to count, and once for
+    the join. The counts are part of the plan, worked out and broadcast when it runs; there
+    is a row per task of the hot groups at most. Nothing runs while the plan is made.
     """
     if broadcastable(dim):
         return fact.join(dim, key)
-    hot = F.broadcast(hot_keys(fact, key, rows_per_task or ROWS_PER_TASK))
+    rows = rows_per_task or ROWS_PER_TASK
+    group = F.col(key)
+    if fact.schema[key].dataType == dim.schema[key].dataType:  # else equal keys may differ in their hash
+        group = F.when(group.isNotNull(), F.pmod(F.xxhash64(group), F.lit(max(GROUPED_ROWS // rows, 1))))
+    hot = F.broadcast(hot_keys(fact.select(group.alias("key_group")), "key_group", rows))
     columns = [F.col(f"`{c}`") for c in fact.columns]
     # Equal rows differ in their number, which a scan gives them alike each time.
     share = F.pmod(F.xxhash64(*columns, F.monotonically_increasing_id()), "shares").cast("int")
-    cut = fact.join(hot, F.col(key) == F.col("hot_key"), "left").select(*columns, F.coalesce(share, F.lit(0)).alias("hot_share"))
+    cut = fact.join(hot, group == F.col("hot_key"), "left").select(*columns, F.coalesce(share, F.lit(0)).alias("hot_share"))
     places = F.sequence(F.lit(0), F.coalesce(F.col("shares") - 1, F.lit(0)))
-    repeated = dim.join(hot, F.col(key) == F.col("hot_key"), "left").select(
+    repeated = dim.join(hot, group == F.col("hot_key"), "left").select(
         *(F.col(f"`{c}`") for c in dim.columns), F.explode(places).alias("hot_share")
     )
     return cut.join(repeated, [key, "hot_share"]).drop("hot_share")
