@@ -228,6 +228,25 @@ def test_first_products_are_found_once(spark, tmp_path, no_broadcast, plan_of):
     assert len(made) == 1, exchanged
 
 
+def test_date_keys_move_once(spark, tmp_path, no_broadcast, plan_of):
+    """Where dates and prices are large, sales go on to the prices with a month for their date key."""
+    from tillstar.contract import fixtures as fx
+
+    sf = "/root/testdata/sf0.001"
+    tables = {"orders": fx.sales_fact(spark, sf), "products": fx.sales_products(spark, sf), "dates": fx.raw_dates(spark, sf)}
+    for name, df in tables.items():
+        df.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    for question in (sales.sales_by_month, sales.top_year_months):
+        initial = plan_of(question(tables)).split("== Initial Plan ==")[-1].splitlines()
+        by_date = [line for line in initial if "Exchange hashpartitioning(date_uuid" in line]
+        assert len(by_date) == 2, initial  # the fact's, once, and the dates'
+        # No key of a date goes through the shuffle by product.
+        lookups = [i for i, line in enumerate(initial) if "Join [product_code" in line]
+        dates = [i for i, line in enumerate(initial) if "Join [date_uuid" in line]
+        assert lookups and dates and min(dates) > max(lookups)
+
+
 def test_report(spark):
     df = spark.createDataFrame([("a", 1234567.891, 3), ("b", 2.675, 4), ("c", None, 5)], "k string, x double, n int")
     got = [tuple(r) for r in report(df).orderBy("k").collect()]

@@ -59,17 +59,18 @@ def _sold_units(tables: Tables, dim: DataFrame, key: str, scale: int) -> DataFra
     """Sales as `units`, next to the columns of `dim`, at least as fine as those columns need.
 
     The dimension Spark can broadcast is joined first, so that the fact is summed
-    down before it meets the one it has to shuffle for.
+    down before it meets the one it has to shuffle for. Where both are large, `key` goes
+    first: no more than its attributes move on to the prices.
     """
     attributes = [c for c in dim.columns if c != key]
     fact = tables["orders"].select("product_code", key, "product_quantity")
     prices = _priced(tables["products"], scale)
-    if broadcastable(dim) and not broadcastable(prices):
-        per_product = fact.join(dim, key).groupBy("product_code", *attributes).agg(
+    if not broadcastable(prices):
+        per_product = lookup(fact, dim, key).groupBy("product_code", *attributes).agg(
             F.sum("product_quantity").alias("product_quantity")
         )
         return per_product.join(prices, "product_code").select(*attributes, *_units())
-    sold = lookup(fact, prices, "product_code").select(key, *_units())
+    sold = fact.join(prices, "product_code").select(key, *_units())
     return sum_then_lookup(sold, dim, key, "units", "odd")
 
 
