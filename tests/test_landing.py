@@ -35,6 +35,21 @@ def test_lines_of_an_order_land_together(spark, afresh, small_orders):
         spark.conf.set(several, "true")
 
 
+@pytest.mark.parametrize("small_orders", [True, False])
+def test_lines_of_an_order_lie_side_by_side(spark, afresh, small_orders):
+    """Where a file holds a key in one run, the key takes its bytes once."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, before if small_orders else "-1")
+    try:
+        for df in (landing.raw(spark, SF, "orders"), *landing.loaded(spark, SF, "orders").values()):
+            keys = [(r.file, r.date_uuid) for r in df.select("date_uuid", F.input_file_name().alias("file")).collect()]
+            runs = sum(a != b for a, b in zip(keys, keys[1:])) + 1
+            assert runs == len(set(keys)) < len(keys)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_keys_are_stored_compressed(spark, afresh, tmp_path):
     """Keys are hex digits of four bits each, which a codec without entropy coding can't shorten."""
     users = landing.raw(spark, SF, "users")
