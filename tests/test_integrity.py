@@ -87,3 +87,26 @@ def test_violations_are_counted_beyond_those_shown(spark):
     users = spark.createDataFrame([(str(i // 2),) for i in range(40)], "user_uuid string")
     with pytest.raises(ValueError, match="20 primary key values"):
         integrity.require_keys({"users": users})
+
+
+def test_keys_move_once_and_packed(spark, tmp_path, plan_of, monkeypatch):
+    """Keys and those of the one large dimension meet in the shuffle that counts them, UUIDs in 16 bytes."""
+    monkeypatch.setattr(integrity, "broadcastable", lambda df: "date_uuid" not in df.columns)
+    tables = stored(spark, tmp_path)
+    found = integrity.orphans(tables["orders"], {"user_uuid": tables["users"], "date_uuid": tables["dates"]})
+    moved = [line for line in plan_of(found).split("== Initial Plan ==")[-1].splitlines() if "hashpartitioning(" in line]
+    assert len(moved) == 2 and sum("hashpartitioning(key#" in line for line in moved) == 1  # the other: distinct small keys
+    uuid = spark.sql("SELECT '0123abcd-4567-89ab-cdef-0123456789ab' AS k").select(integrity.packed(F.col("k"), 3).alias("k"))
+    assert len(uuid.first().k) == 17
+
+
+def test_odd_keys_stay_apart(spark, no_broadcast):
+    """Keys that are UUIDs in other spellings, hold the bytes of one, or are empty."""
+    uuid = "00616263-6465-6667-6869-6a6b6c6d6e6f"
+    keys = [uuid, uuid.upper(), uuid.replace("-", ""), "\0abcdefghijklmno", "abcdefghijklmno", "", "é", None]
+    fact = spark.createDataFrame([(k, k) for k in keys], "a string, b string")
+    known = spark.createDataFrame([(uuid.upper(),), ("",), (None,)], "a string")
+    none = spark.createDataFrame([], "b string")
+    got = sorted(tuple(r) for r in integrity.orphans(fact, {"a": known, "b": none}).collect())
+    lost = [k for k in keys if k is not None]
+    assert got == sorted([("a", k, 1) for k in lost if k not in (uuid.upper(), "")] + [("b", k, 1) for k in lost])

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tillstar.contract import fixtures as fx
 from tillstar.contract import landing
+from tillstar.contract.queries import QUERIES
 from tillstar.plans.warehouse import build_warehouse
 
 SF = "/root/testdata/sf0.01"
@@ -56,3 +57,11 @@ def test_keys_are_stored_compressed(spark, afresh, tmp_path):
     built = build_warehouse(spark, {"users": users}, str(tmp_path / "star"))
     for df in (users, built.tables["users"]):
         assert df.inputFiles() and all(".zstd." in f for f in df.inputFiles())
+
+
+def test_large_tables_read_once_are_not_landed(spark, afresh):
+    """The foreign key report reads lines and dates once, so it doesn't write them first."""
+    QUERIES["fk_orphans"](spark, SF)
+    assert not {"orders", "dates"} & {name for *_, name in landing._WRITTEN}
+    landing.raw(spark, SF, "dates")
+    assert "/raw-dates-" in landing.raw_once(spark, SF, "dates")["dates"].inputFiles()[0]

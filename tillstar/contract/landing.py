@@ -42,6 +42,16 @@ def raw_tables(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataF
     return {name: raw(spark, sf_dir, name) for name in names or RAW}
 
 
+def raw_once(spark: SparkSession, sf_dir: str, *names: str, source=fx.even_table) -> dict[str, DataFrame]:
+    """Raw tables for a query that reads each once. One that nothing has landed yet is derived in
+    the query's own plan: to write it first would only be one more pass over it."""
+    app = spark.sparkContext.applicationId
+    return {
+        name: raw(spark, sf_dir, name) if (app, sf_dir, "raw", name) in _WRITTEN else RAW[name](spark, sf_dir, source=source)
+        for name in names or RAW
+    }
+
+
 def loaded(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """Ready tables for the sales questions: every store, every price, every date."""
     return {name: _stored(spark, sf_dir, "loaded", name, LOADED[name]) for name in names}
