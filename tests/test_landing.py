@@ -65,3 +65,9 @@ def test_large_tables_read_once_are_not_landed(spark, afresh):
     assert not {"orders", "dates"} & {name for *_, name in landing._WRITTEN}
     landing.raw(spark, SF, "dates")
     assert "/raw-dates-" in landing.raw_once(spark, SF, "dates")["dates"].inputFiles()[0]
+
+
+def test_the_star_is_built_without_landing(spark, afresh):
+    """Each raw table is read once to build a star, so none is written first."""
+    shares = QUERIES["star_store_type_share"](spark, SF)
+    assert not landing._WRITTEN and shares.count() == 5

@@ -1,12 +1,13 @@
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from tillstar.contract import fixtures as fx
-from tillstar.operators.cleaning import quarantine
+from tillstar.operators.cleaning import ROUTE, ROUTES, quarantine
 from tillstar.operators.profiling import max_lengths
 from tillstar.operators.typing import STAR
 from tillstar.plans import sales
-from tillstar.plans.warehouse import build_warehouse, profile_star, star_tables
+from tillstar.plans.warehouse import _apart, build_warehouse, profile_star, star_tables
 from tillstar.streaming import clean_stream
 
 SF = "/root/testdata/sf0.001"
@@ -103,3 +104,20 @@ def test_routes_of_odd_rows(spark, tmp_path):
         built = build_warehouse(spark, {"stores": df}, str(tmp_path / f"star{k}"))
         assert content(built.tables["stores"]) == content(star_tables({"stores": df})["stores"])
         assert content(built.rejects["stores"]) == content(quarantine(df, "stores"))
+
+
+def test_routes_are_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """Rows of all routes in one task come to three files at once, in the order they had."""
+    name, write, limits = "spark.sql.maxConcurrentOutputFileWriters", DataFrameWriter.parquet, []
+    before = spark.conf.get(name)
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, **more: (limits.append(spark.conf.get(name)), write(self, path, **more)))
+    stores = fx.raw_stores(spark, SF)
+    undated = stores.withColumns({"store_code": F.concat(F.lit("U"), "store_code"), "opening_date": F.lit("JUNK")})
+    stores = stores.unionByName(undated).coalesce(1)
+    routes = _apart(spark, stores, "stores")
+    assert limits == ["3"] and spark.conf.get(name) == before
+    want = [r.store_code for r in star_tables({"stores": stores})["stores"].collect()]
+    got = {r.store_code: r.asDict()[ROUTE] for r in routes.collect()}
+    assert set(got.values()) == set(ROUTES) and len(got) == stores.count()
+    assert sorted(k for k, route in got.items() if route != "dropped") == sorted(want)
+    assert len(routes.inputFiles()) == len(ROUTES)

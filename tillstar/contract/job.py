@@ -12,7 +12,7 @@ from ..session import scratch_path
 from ..sources import list_tables
 from ..sources.tables import read_table
 from . import fixtures as fx
-from .landing import raw, raw_tables
+from .landing import raw, raw_once, raw_tables
 from .oracle import over_star
 from .queries import SALES
 from .registry import register
@@ -24,7 +24,7 @@ def star(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The star of all raw tables, built and written once a session, as any job would find it."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _BUILT:
-        _BUILT[key] = build_warehouse(spark, raw_tables(spark, sf_dir), scratch_path(spark, "star")).store_reports()
+        _BUILT[key] = build_warehouse(spark, raw_once(spark, sf_dir), scratch_path(spark, "star")).store_reports()
     return _BUILT[key]
 
 

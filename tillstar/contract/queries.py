@@ -343,7 +343,7 @@ def write_overwrite(spark, sf):
       total_sales / (SELECT CAST(sum(amount) AS DOUBLE) FROM amounts) * 100 AS sales_percentage FROM by_type""")
 def star_store_type_share(spark, sf):
     """End to end: raw tables cleaned, typed, written, and a sales question asked of what was written."""
-    tables = raw_tables(spark, sf, "orders", "products", "stores")
+    tables = raw_once(spark, sf, "orders", "products", "stores")
     return sales.store_type_share(build_warehouse(spark, tables, scratch_path(spark, "star")).tables)
 
 

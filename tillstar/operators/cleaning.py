@@ -144,7 +144,7 @@ RULES: dict[str, Callable[[DataFrame], list[Rule]]] = {
 
 
 #: Where a row goes: to the star, to the star and to quarantine, to quarantine alone.
-CLEAN, MENDED, DROPPED = "clean", "mended", "dropped"
+ROUTES = CLEAN, MENDED, DROPPED = "clean", "mended", "dropped"
 #: Columns that `routed` puts beside a table's own.
 ROUTE, RAW_ROW, REASONS = "_route", "_raw_row", "_reject_reasons"
 
