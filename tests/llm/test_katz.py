@@ -2,11 +2,17 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter
+from urllib.parse import urlparse
 
 import brute
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tillstar.llm import katz, queries
@@ -108,6 +114,68 @@ def test_scores_of_small_texts(spark, monkeypatch, order, block, grams, hot):
     agree(katz.score(df, F.col("doc_id") % 3 != 1, order=order).collect(), rows, lambda i: i % 3 != 1, order)
 
 
+@pytest.mark.parametrize("order,block,part", [(2, 1 << 20, 1), (2, 400, 60), (3, 1 << 20, 100)])
+def test_scores_by_slices(spark, monkeypatch, order, block, part):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", block)
+    monkeypatch.setattr(katz, "SLICE_TOKENS", part)
+    monkeypatch.setattr(katz, "ROWS", 7)
+    rows = chatter(order)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    agree(katz.score(df, F.col("doc_id") % 3 != 1, order=order).collect(), rows, lambda i: i % 3 != 1, order)
+
+
+def large_block(tokens=1_200_000, words=40_000, size=600):
+    """A block as `katz._blocks` has it, of texts of `size` words."""
+    rnd = np.random.default_rng(5)
+    texts = tokens // size
+    stream = (2 + words * rnd.random(texts * size) ** 3).astype(np.uint32).reshape(texts, size)
+    stream[:, 0], stream[:, -1] = katz.BEGIN, katz.END
+    return {
+        "block": 3, "ids": list(range(texts)), "train": [i % 7 != 2 for i in range(texts)],
+        "words": katz.pack(rnd.integers(0, 1 << 63, words + 2).astype(np.uint64)), "stream": zstandard.ZstdCompressor(level=1).compress(stream.tobytes()),
+    }
+
+
+def peak_mb(run):
+    tracemalloc.start()
+    run()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak / 1e6
+
+
+def test_memory_of_a_block():
+    row = large_block()
+    asks = []
+    ask = lambda: asks.extend(r for b in katz._asks(2, 16)([pa.RecordBatch.from_pylist([row])]) for r in b.to_pylist())
+    assert peak_mb(ask) < 60  # 8 bytes for each token, 6 times over
+    by = {}
+    for r in asks:
+        by.setdefault((r["m"], r["bucket"]), []).append(r)
+    answers = [a for rows in by.values() for a in katz._answer(pa.Table.from_pylist(rows)).to_pylist()]
+    stats = {m: np.sum([a["stats"] for a in answers if a["stats"] and a["m"] == m], axis=0).tolist() for m in (1, 2)}
+    model = katz.fitted(stats, sum(row["train"]))
+    empty = dict.fromkeys(("ids", "train", "words", "stream"))
+    replies = [{k: a[k] for k in ("m", "bucket", "block", "counts")} | empty for a in answers if not a["stats"]]
+    schema = pa.schema([
+        ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("words", pa.binary()), ("stream", pa.binary()),
+        ("m", pa.int32()), ("bucket", pa.int32()), ("counts", pa.binary()),
+    ])
+    given = pa.RecordBatch.from_pylist([*replies[3:], row, *replies[:3]], schema=schema)
+    seen = []
+    assert peak_mb(lambda: seen.extend((b.num_rows, b.column("asked").null_count) for b in katz._evaluate(2, model, pa.int64())(iter([given])))) < 100
+    assert max(n for n, _ in seen) <= katz.ROWS < sum(n for n, _ in seen) and sum(k for _, k in seen) == len(row["ids"])
+
+
+def test_a_large_block_is_a_row_group(spark, monkeypatch):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 200_000)
+    rnd = random.Random(1)
+    rows = [(i, " ".join(f"{rnd.random():.9f}" for _ in range(50_000))) for i in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    files = [pq.ParquetFile(urlparse(f).path) for f in katz.blocks_of(df, "doc_id", "text", F.lit(True)).inputFiles()]
+    assert [(f.metadata.num_rows, f.metadata.num_row_groups) for f in files] == [(3, 3)]
+
+
 def test_query_against_dictionaries(spark, small, documents):
     rows = [(i, t) for i, t, _ in documents]
     got = queries.op12_katz_backoff(spark, small).collect()

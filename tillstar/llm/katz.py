@@ -21,8 +21,10 @@ probability needs but the backoff weights; what an n-gram takes away from its co
 weight is added up by its owner. Weights are sums over owners, in a table by context, and
 are joined to what the texts ask for: contexts asked for by many texts (at most `HOT`) by
 broadcast. However frequent an n-gram or a context, it is one entry a block. A bucket and a
-block have a bounded number of n-grams, so tasks grow in number, not in memory. Two different
-n-grams are taken for one where their hashes collide: about n / 2**64 of n n-grams.
+block have a bounded number of n-grams, so tasks grow in number, not in memory. What there is
+one of for each token is held for `SLICE_TOKENS` of a block at a time, and rows leave a block
+as they are made. Two different n-grams are taken for one where their hashes collide: about
+n / 2**64 of n n-grams.
 
 Null and empty texts are an end alone; repeated rows count and are scored each for itself;
 rows whose `train` is null are learned from; an empty table gives an empty one; without any
@@ -46,12 +48,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_schema
 
-from tillstar.llm.common import written
+from tillstar.llm.common import LARGE_ROWS, written
 
 ORDER = 2
 K = 5
 #: Tokens in a block, about (one text is never split), and n-grams asked for in a bucket.
 BLOCK_TOKENS, BUCKET_GRAMS = 1 << 20, 1 << 20
+#: Tokens of a block that are looked at together, about, and rows that leave it together, at most.
+SLICE_TOKENS, ROWS = 1 << 17, 1 << 15
 #: Contexts that are broadcast, at most: those asked for by more than 1 / HOT of all askers.
 HOT = 1000
 SEED = 42
@@ -87,8 +91,8 @@ def mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Block:
-    """Texts as numbers of their words; text i is BEGIN, its words, END."""
+class Slice:
+    """Some texts of a block as numbers of their words; text i is BEGIN, its words, END."""
 
     def __init__(self, hashes: np.ndarray, stream: np.ndarray, train: np.ndarray, order: int):
         begin = stream == BEGIN
@@ -158,9 +162,14 @@ def _blocks(schema: pa.Schema):
     return run
 
 
-def _block(row: dict, order: int) -> Block:
+def _slices(row: dict, order: int) -> Iterator[tuple[int, Slice]]:
+    """A block's texts, about SLICE_TOKENS at a time, and the number of the first."""
     stream = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["stream"]), np.uint32)
-    return Block(unpack(row["words"]), stream, np.array(row["train"], bool), order)
+    hashes, train = unpack(row["words"]), np.array(row["train"], bool)
+    begin = np.flatnonzero(stream == BEGIN)
+    cut = np.flatnonzero(np.diff(begin // SLICE_TOKENS, prepend=-1))
+    for i, j in zip(cut, [*cut[1:], len(begin)], strict=True):
+        yield int(i), Slice(hashes, stream[begin[i] : begin[j] if j < len(begin) else None], train[i:j], order)
 
 
 def _edges(distinct: np.ndarray, buckets: int) -> np.ndarray:
@@ -169,15 +178,26 @@ def _edges(distinct: np.ndarray, buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(distinct, bounds), [len(distinct)]])
 
 
+def _merged(parts: list[np.ndarray]) -> np.ndarray:
+    """All that is in any of the parts, sorted, each once."""
+    return _once(np.sort(np.concatenate(parts)))
+
+
 def _asks(order: int, buckets: int):
     """A function from blocks to (length, bucket, block, hashes, counts)."""
     def run(batches):
         for batch in batches:
             for k in range(batch.num_rows):  # one at a time: a row is a block
                 row = batch.slice(k, 1).to_pylist()[0]
-                block = _block(row, order)
+                parts = {m: [] for m in range(1, order + 1)}
+                for _, texts in _slices(row, order):
+                    for m in parts:
+                        parts[m].append(texts.asked(m))
                 for m in range(1, order + 1):
-                    distinct, counts = block.asked(m)
+                    distinct = _merged([d for d, _ in parts[m]])
+                    counts = np.zeros(len(distinct), np.uint64)
+                    for d, c in parts.pop(m):
+                        counts[np.searchsorted(distinct, d)] += c
                     edges = _edges(distinct, buckets)
                     out = [
                         {"m": m, "bucket": b, "block": row["block"], "hashes": pack_sorted(distinct[i:j]), "counts": pack(counts[i:j])}
@@ -273,85 +293,108 @@ SCORED = pa.schema([
 
 
 def _evaluate(order: int, model: Model, id_type: pa.DataType):
-    """A function from a block and its answers to rows of SCORED and id: 0 a text, with all of its
-    score but what it asks for; 1 a context's part of its weight and how many texts of the
-    block ask for it; 2 a text's asking for a context `asked` times."""
+    """A function from a block and its answers, in any order, to rows of SCORED and id: 0 a text,
+    with all of its score but what it asks for; 1 a context's part of its weight and how many
+    texts of the block ask for it; 2 a text's asking for a context `asked` times."""
     schema = SCORED.append(pa.field("id", id_type))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.to_pylist()[0]
-        block = _block(row, order)
-        del left, row["stream"], row["words"]
-        n, texts = len(block.text), len(row["ids"])
-        parts = {m: [] for m in range(1, order + 1)}
-        for r in sorted(right.to_pylist(), key=lambda r: r["bucket"]):
-            parts[r["m"]].append(unpack(r["counts"]))
-        count, own, before = {}, {}, {}  # per place; places; the context's count per place
-        for m in range(1, order + 1):
-            distinct, at = block.distinct(m), np.flatnonzero(block.ends(m))
-            reply = np.concatenate(parts.pop(m) or [np.zeros(0, np.uint64)]).astype(np.int64)
-            if len(reply) != len(distinct):
+    def rows(block: int, columns: dict) -> Iterator[pa.RecordBatch]:
+        size = len(columns["kind"])
+        columns["block"] = np.full(size, block)
+        for i in range(0, size, ROWS):
+            n = min(ROWS, size - i)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(columns[f.name][i : i + n], type=f.type, from_pandas=False) if f.name in columns else pa.nulls(n, f.type) for f in schema
+            ], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        row, replies = None, []
+        for batch in batches:
+            for r in batch.to_pylist():
+                if r["stream"] is None:
+                    replies.append((r["bucket"], r["m"], r["counts"]))
+                else:
+                    row = r
+        parts = {m: [unpack(c) for _, k, c in sorted(replies) if k == m] for m in range(1, order + 1)}
+        del batch, r, replies
+        met = {m: [] for m in parts}
+        for _, texts in _slices(row, order):
+            for m in met:
+                met[m].append(texts.distinct(m))
+        distinct, total, own = {}, {}, {}  # of each length; own: the n-grams of this block that aren't yet seen to
+        for m in parts:
+            distinct[m] = _merged(met.pop(m))
+            reply = np.concatenate(parts[m] or [np.zeros(0, np.uint64)]).astype(np.int64)
+            if len(reply) != len(distinct[m]):
                 raise RuntimeError("a block's answers don't match what it asked for")
-            which = np.searchsorted(distinct, block.keys[m][at])
-            count[m] = np.zeros(n, np.int64)
-            count[m][at] = (reply // 2)[which]
-            one = np.empty(len(distinct), np.int64)
-            one[which] = at
-            own[m] = one[reply % 2 == 1]  # a place of each n-gram that this block owns
-            del distinct, reply, which, one
-            if m == 1:
-                before[m] = np.full(n, model.levels[1].total)
-            else:
-                before[m] = np.concatenate([[0], count[m - 1][:-1]])
-                if m == 2:
-                    before[m][block.place == 1] = model.texts
-        token = block.place > 0
-        words = model.levels[1]
-        base = np.where(token, np.log10((count[1] + 1) / (words.total + words.types + 1)), 0.0)
-        score, waiting, asks = np.zeros(n), token.copy(), []
-        for m in range(order, 0, -1):
-            here = waiting & (block.place >= m - 1)
-            met = here & (count[m] > 0)
-            score[met] += np.log10(model.levels[m].discounted(count[m][met])) - np.log10(before[m][met])
-            waiting &= ~met
-            if m > 1:
-                back = np.flatnonzero(here & ~met & (before[m] > 0))
-                score[back] -= np.log10(before[m][back])
-                asks.append((np.full(len(back), m), block.keys[m - 1][back - 1], block.text[back]))
-        if waiting.any():
-            score[waiting] += math.log10(model.unknown)
-        per_text = lambda x: np.bincount(block.text, weights=x, minlength=texts)
-        out = [{
-            "kind": np.zeros(texts, int), "at": np.arange(texts), "id": pa.array(row["ids"], id_type), "held_out": ~block.train,
-            "n_tokens": per_text(token).astype(int), "n_known": per_text(token & (count[1] > 0)).astype(int),
-            "base_score": per_text(base), "score": per_text(score),
-        }]
-        for m, (length, context, text) in zip(range(order, 1, -1), asks, strict=True):
-            # A text's equal asks as one row.
-            by = np.lexsort((context, text))
-            length, context, text = length[by], context[by], text[by]
-            new = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (text[1:] != text[:-1])][: len(by)])
-            times = np.diff(np.r_[new, len(by)])
-            out.append({"kind": np.full(len(new), 2), "at": text[new], "m": length[new], "context": context[new].view(np.int64), "asked": times})
-            place = own[m]
-            gone = count[m][place] - model.levels[m].discounted(count[m][place])
-            lower = model.levels[m - 1].discounted(count[m - 1][place]) / before[m - 1][place]
-            keys = block.keys[m - 1][place - 1]
-            contexts, which = np.unique(np.concatenate([keys, context[new]]), return_inverse=True)
-            mine, theirs = which[: len(keys)], which[len(keys) :]
+            total[m], own[m] = reply // 2, reply % 2 == 1
+            parts[m] = None
+        lost = {m: [] for m in range(2, order + 1)}  # contexts, and what own n-grams take from their weights
+        wanted = {m: [] for m in range(2, order + 1)}  # contexts, once for each text that asks for them
+        for begin, block in _slices(row, order):
+            n, texts = len(block.text), len(block.train)
+            count, before, firsts = {}, {}, {}  # per place, and the context's count; a place of each n-gram that this block owns
+            for m in range(1, order + 1):
+                at = np.flatnonzero(block.ends(m))
+                which = np.searchsorted(distinct[m], block.keys[m][at])
+                count[m] = np.zeros(n, np.int64)
+                count[m][at] = total[m][which]
+                mine = np.flatnonzero(own[m][which])
+                grams, first = np.unique(which[mine], return_index=True)
+                firsts[m], own[m][grams] = at[mine[first]], False
+                if m == 1:
+                    before[m] = np.full(n, model.levels[1].total)
+                else:
+                    before[m] = np.concatenate([[0], count[m - 1][:-1]])
+                    if m == 2:
+                        before[m][block.place == 1] = model.texts
+            token = block.place > 0
+            words = model.levels[1]
+            base = np.where(token, np.log10((count[1] + 1) / (words.total + words.types + 1)), 0.0)
+            score, waiting, asks = np.zeros(n), token.copy(), []
+            for m in range(order, 0, -1):
+                here = waiting & (block.place >= m - 1)
+                known = here & (count[m] > 0)
+                score[known] += np.log10(model.levels[m].discounted(count[m][known])) - np.log10(before[m][known])
+                waiting &= ~known
+                if m > 1:
+                    back = np.flatnonzero(here & ~known & (before[m] > 0))
+                    score[back] -= np.log10(before[m][back])
+                    asks.append((m, block.keys[m - 1][back - 1], block.text[back]))
+            if waiting.any():
+                score[waiting] += math.log10(model.unknown)
+            per_text = lambda x: np.bincount(block.text, weights=x, minlength=texts)  # noqa: B023, E731
+            yield from rows(row["block"], {
+                "kind": np.zeros(texts, int), "at": np.arange(begin, begin + texts), "id": row["ids"][begin : begin + texts], "held_out": ~block.train,
+                "n_tokens": per_text(token).astype(int), "n_known": per_text(token & (count[1] > 0)).astype(int),
+                "base_score": per_text(base), "score": per_text(score),
+            })
+            for m, context, text in asks:
+                # A text's equal asks as one row.
+                by = np.lexsort((context, text))
+                context, text = context[by], text[by]
+                new = np.flatnonzero(np.r_[True, (context[1:] != context[:-1]) | (text[1:] != text[:-1])][: len(by)])
+                times = np.diff(np.r_[new, len(by)])
+                yield from rows(row["block"], {
+                    "kind": np.full(len(new), 2), "at": begin + text[new], "m": np.full(len(new), m), "context": context[new].view(np.int64), "asked": times,
+                })
+                wanted[m].append(context[new])
+                place = firsts[m]
+                gone = count[m][place] - model.levels[m].discounted(count[m][place])
+                lower = model.levels[m - 1].discounted(count[m - 1][place]) / before[m - 1][place]
+                lost[m].append((block.keys[m - 1][place - 1], gone, lower))
+        del distinct, total, own
+        for m in lost:
+            keys, gone, lower = map(np.concatenate, zip(*lost[m], strict=True))
+            asked = np.concatenate(wanted[m])
+            contexts = _merged([keys, asked])
+            mine, theirs = np.searchsorted(contexts, keys), np.searchsorted(contexts, asked)
             add = lambda w, x: np.bincount(w, weights=x, minlength=len(contexts))  # noqa: B023, E731
-            out.append({
+            yield from rows(row["block"], {
                 "kind": np.ones(len(contexts), int), "m": np.full(len(contexts), m), "context": contexts.view(np.int64), "left": add(mine, gone),
                 "lower": add(mine, lower), "asked": np.bincount(theirs, minlength=len(contexts)),
             })
-        tables = []
-        for columns in out:
-            size = len(columns["kind"])
-            columns["block"] = np.full(size, row["block"])
-            tables.append(pa.table([
-                pa.array(columns[f.name], type=f.type, from_pandas=False) if f.name in columns else pa.nulls(size, f.type) for f in schema
-            ], schema=schema))
-        return pa.concat_tables(tables)
+            lost[m] = wanted[m] = None
 
     return run
 
@@ -363,7 +406,7 @@ def blocks_of(df: DataFrame, id: str, text: str, train: Column) -> DataFrame:
         ("block", pa.int64()), ("ids", pa.list_(to_arrow_schema(rows.schema).field("id").type)), ("train", pa.list_(pa.bool_())), ("tokens", pa.int64()),
         ("words", pa.binary()), ("stream", pa.binary()),
     ])
-    return written(rows.mapInArrow(_blocks(schema), from_arrow_schema(schema)), "blocks")
+    return written(rows.mapInArrow(_blocks(schema), from_arrow_schema(schema)), "blocks", LARGE_ROWS)
 
 
 def counted(blocks: DataFrame, order: int) -> DataFrame:
@@ -402,7 +445,8 @@ def score(df: DataFrame, train: Column, id: str = "doc_id", text: str = "text",
     id_type = to_arrow_schema(df.select(id).schema).field(0).type
     replies = counts.where("block is not null").select("m", "bucket", "block", "counts")
     columns = from_arrow_schema(SCORED).add("id", df.schema[id].dataType)
-    scored = written(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_evaluate(order, model, id_type), columns), "scored")
+    both = blocks.drop("tokens").unionByName(replies, allowMissingColumns=True)
+    scored = written(both.groupBy("block").applyInArrow(_evaluate(order, model, id_type), columns), "scored")
     texts = scored.where("kind = 0").select(
         F.col("id").alias(id), "block", "at", "held_out", "n_tokens", "n_known", F.lit(model.levels[1].total).cast("long").alias("train_tokens"), "base_score", "score"
     )
