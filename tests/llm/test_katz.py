@@ -167,6 +167,18 @@ def test_memory_of_a_block():
     assert max(n for n, _ in seen) <= katz.ROWS < sum(n for n, _ in seen) and sum(k for _, k in seen) == len(row["ids"])
 
 
+def test_memory_of_texts(monkeypatch):
+    monkeypatch.setattr(katz, "TaskContext", type("Context", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
+    texts = [" ".join(f"{w:03}" for w in range(i, i + 1000)) for i in range(5000)]
+    batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts), pa.array([True] * len(texts))], names=["id", "text", "train"])
+    schema = pa.schema([
+        ("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("train", pa.list_(pa.bool_())), ("tokens", pa.int64()), ("words", pa.binary()), ("stream", pa.binary()),
+    ])
+    tokens = []
+    assert peak_mb(lambda: tokens.extend(b.column("tokens")[0].as_py() for b in katz._blocks(schema)([batch]))) < 20  # the texts have over 20 MB
+    assert sum(tokens) == 5000 * 1002 and len(tokens) == 5
+
+
 def test_a_large_block_is_a_row_group(spark, monkeypatch):
     monkeypatch.setattr(katz, "BLOCK_TOKENS", 200_000)
     rnd = random.Random(1)

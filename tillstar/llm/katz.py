@@ -56,6 +56,8 @@ K = 5
 BLOCK_TOKENS, BUCKET_GRAMS = 1 << 20, 1 << 20
 #: Tokens of a block that are looked at together, about, and rows that leave it together, at most.
 SLICE_TOKENS, ROWS = 1 << 17, 1 << 15
+#: Texts that are Python strings at a time, at most.
+TEXTS = 256
 #: Contexts that are broadcast, at most: those asked for by more than 1 / HOT of all askers.
 HOT = 1000
 SEED = 42
@@ -139,8 +141,8 @@ def _blocks(schema: pa.Schema):
             }
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
-        for batch in batches:
-            for i, text, learned in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for some in (batch.slice(i, TEXTS) for batch in batches for i in range(0, batch.num_rows, TEXTS)):
+            for i, text, learned in zip(*(c.to_pylist() for c in some.columns), strict=True):
                 if number is None:
                     number = defaultdict(None, MARKS)
                     number.default_factory = number.__len__
