@@ -3,12 +3,15 @@
 import csv
 import json
 import random
+from pathlib import Path
 
 import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from tillstar.contract import queries
 from tillstar.sources import RAW_SCHEMAS, ranges, read_csv, read_json_columns, readers
 from tillstar.sources.readers import BROKEN, text_schema
 
@@ -158,3 +161,49 @@ def test_ranges_are_passed_at_once():
     whole = [r for b in ranges._records(layout)([batch]) for r in b.to_pylist() if r["kind"] == "entry"]
     assert [r["value"] for r in whole if r["column"] == "a"] == [f'v"{i}' if i % 9 == 0 else f"{i}, {{" for i in range(400)]
     assert [(r["column"], r["label"], r["value"]) for r in whole][-1] == ("b", "0", None)
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """Scratch paths that this test's queries and readers take, by their labels."""
+    taken, fresh = [], queries.scratch_path
+    for module in (queries, ranges):
+        monkeypatch.setattr(module, "scratch_path", lambda spark, label: taken.append(fresh(spark, label)) or taken[-1])
+    return lambda label: [p for p in taken if Path(p).name.startswith(label + "-")]
+
+
+def test_no_task_holds_a_long_document(spark, written):
+    """Documents are written in lines of some rows of a column; put together these are the document."""
+    sf, rows = "/root/testdata/sf0.01", 4096
+    lines = queries._long_date_documents(spark, sf, rows).withColumn("task", F.spark_partition_id()).collect()
+    documents = {r.doc: r.value for r in queries._date_documents(spark, sf, rows).collect()}
+    assert {d: "".join(r.value for r in lines if r.doc == d) for d in documents} == documents
+    assert len({(r.doc, r.task) for r in lines}) == len(documents) > 2
+    assert queries.scan_json_ranges(spark, sf).count() == 15000
+    (files,) = written("dates")
+    texts = [p.read_text() for p in Path(files).glob("doc=*/*.txt")]
+    assert [list(json.loads(t)) for t in texts] == [RAW_SCHEMAS["dates"].fieldNames()]
+    assert max(line.count('":"') for t in texts for line in t.split("\n")) <= queries.LINE_ROWS + 1
+
+
+def test_nothing_is_cut_out_of_a_cut_document(spark, tmp_path, small_ranges, written):
+    """A string left open would be kept in memory up to the end of its file."""
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "bad.json").write_text('{"a": {"0": "x", "1": "y' + ", and so on" * 30)
+    (tmp_path / "in" / "good.json").write_text('{"a": {"0": "x, y"}, "b": {"0": null}}')
+    rows = read_json_columns(spark, str(tmp_path / "in"), SCHEMA, broken=BROKEN, columns=[]).collect()
+    assert sorted(str(r[BROKEN] or r.a).rsplit("/", 1)[-1] for r in rows) == ["bad.json", "x, y"]
+    found = spark.read.parquet(*written("found"))
+    assert {r[0] for r in found.where("kind = 'entry'").select("value").collect()} <= {"x, y", None}
+    assert found.select("path").distinct().count() == 1
+
+
+def test_rows_of_one_file_are_dealt_out(spark, tmp_path, small_ranges, no_broadcast):
+    """Entries never meet by file alone, which would be one task for a large one, and don't carry its path."""
+    small_ranges.setattr(readers, "LARGE_FILE", 1)
+    (tmp_path / "d.json").write_text(json.dumps({c: {str(i): f"{c}{i}" for i in range(40)} for c in "ab"}))
+    entries, _, pieces = ranges.records(ranges.pieces(spark, str(tmp_path), ranges.JSON_COLUMNS), ranges.JSON_COLUMNS)
+    assert pieces == 80
+    assert "SortMergeJoin" not in entries._jdf.queryExecution().executedPlan().toString()
+    assert {len(r[0]) < 12 for r in entries.select("path").distinct().collect()} == {True}

@@ -4,7 +4,7 @@ Dates, and whole numbers that may be null, leave as text, so that both engines s
 them alike.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import digits_only, parse_date, strict_double, weight_class
@@ -298,12 +298,44 @@ def _date_documents(spark, sf, rows):
     return grouped.select("doc", F.to_json(F.struct(*columns)).alias("value"))
 
 
+#: Rows of one column that stand on a line of a long document.
+LINE_ROWS = 1024
+
+
+def _long_date_documents(spark, sf, rows):
+    """doc and value: the documents of `_date_documents` in lines of up to `LINE_ROWS` rows of a
+    column, those of a document together and in order, so that no task holds a document whole."""
+    names = RAW_SCHEMAS["dates"].fieldNames()
+
+    def dealt_out(spark, sf, name):
+        """Rows of a document together, about eight documents to a task."""
+        orders = fx.table(spark, sf, name)
+        tasks = max(spark.sparkContext.defaultParallelism, orders.count() // (8 * rows))
+        return orders.withColumn("doc", (F.col("o_orderkey") / rows).cast("bigint")).repartition(tasks, "doc")
+
+    part = (F.col("o_orderkey") / LINE_ROWS).cast("bigint")
+    parts = fx.raw_dates(spark, sf, "o_orderkey", "doc", source=dealt_out).groupBy("doc", part.alias("part")).agg(
+        F.array_sort(F.collect_list(F.struct("o_orderkey", *names))).alias("rows")
+    )
+    cells = [F.to_json(F.map_from_arrays(F.col("rows.o_orderkey").cast("array<string>"), F.col(f"rows.{n}"))) for n in names]
+    lines = parts.select("doc", "part", F.posexplode(F.array(*cells)).alias("place", "cells"))
+    in_order = Window.partitionBy("doc").orderBy("place", "part")
+    lines = lines.withColumns({"last": F.lag("place").over(in_order), "next": F.lead("place").over(in_order)})
+    begins = F.array(*(F.lit(f'{"," if i else "{"}"{n}":{{') for i, n in enumerate(names)))[F.col("place")]
+    value = F.concat(
+        F.when(F.col("last") == F.col("place"), ",").otherwise(begins),
+        F.expr("substring(cells, 2, length(cells) - 2)"),
+        F.when(F.col("next") == F.col("place"), "").when(F.col("next").isNotNull(), "}").otherwise("}}"),
+    )
+    return lines.sortWithinPartitions("doc", "place", "part").select("doc", value.alias("value"))
+
+
 @register("scan_json_ranges", """
     SELECT timestamp, month, year, day, time_period, date_uuid FROM raw_dates""")
 def scan_json_ranges(spark, sf):
     """Date rows written as documents of up to 32,768 rows, a file each, and read by ranges."""
     path = scratch_path(spark, "dates")
-    _date_documents(spark, sf, 32768).write.partitionBy("doc").text(path)
+    _long_date_documents(spark, sf, 32768).write.partitionBy("doc").text(path)
     return read_json_columns(spark, path, RAW_SCHEMAS["dates"], large_file=1)
 
 

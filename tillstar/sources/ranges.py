@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -44,6 +44,11 @@ SEGMENTS = [re.compile(rf"{body}\s*", re.S) for body in (rf"\s*\{{(?:{_COLUMN})?
 #: The commonest segment: an entry alone, of a plain value.
 ENTRY = re.compile(rf'\s*({NAME})\s*:\s*({NAME}|[^\s"{{}}\[\],]+)\s*', re.S)
 
+#: Bytes of a row group of what is kept between steps: a task holds one as it writes, and one as it reads.
+ROW_GROUP = 16 << 20
+#: Entries of a JSON document that one task sorts by row.
+TASK_ENTRIES = 1 << 19
+
 #: (column that begins, label, value) of a record.
 Record = tuple[str | None, str | None, str | None]
 
@@ -111,8 +116,8 @@ def csv_passed(piece: str, inside: bool) -> tuple[bool, int]:
 JSON_COLUMNS = Layout(",", json_passed, 2, json_record, ENTRY)
 CSV_LINES = Layout("\n", csv_passed, 0, lambda text, before, after: (None, "", text.removesuffix("\r")))
 
-SUMMARY = "path string, start long, inside0 boolean, levels0 long, inside1 boolean, levels1 long"
-STATES = "path string, start long, inside boolean, level long, sound boolean"
+SUMMARY = "path string, start long, inside0 boolean, levels0 long, inside1 boolean, levels1 long, pieces long"
+STATES = "path string, start long, inside boolean, level long, pieces long, sound boolean"
 FOUND = "kind string, path string, column string, label string, value string, start long, level long"
 SETTLED = "kind string, path string, column string, label string, value string, start long"
 
@@ -139,22 +144,23 @@ def _by_range(batches, *others: str) -> Iterator[tuple[tuple[str, int], list[str
 
 
 def _summaries(layout: Layout):
-    """How each range ends, begun outside (0) and inside (1) a string."""
+    """How each range ends, begun outside (0) and inside (1) a string, and how many pieces it has."""
     schema = _schema(SUMMARY)
 
     def run(batches):
-        key, states = None, None
+        key, states, pieces = None, None, 0
 
         def done():
             (i0, n0), (i1, n1) = states
-            row = {"path": key[0], "start": key[1], "inside0": i0, "levels0": n0, "inside1": i1, "levels1": n1}
+            row = {"path": key[0], "start": key[1], "inside0": i0, "levels0": n0, "inside1": i1, "levels1": n1, "pieces": pieces}
             return pa.RecordBatch.from_pylist([row], schema=schema)
 
         for at, values, _ in _by_range(batches):
             if at != key:
                 if key:
                     yield done()
-                key, states = at, [(False, 0), (True, 0)]
+                key, states, pieces = at, [(False, 0), (True, 0)], 0
+            pieces += len(values)
             text = layout.separator.join(values)  # a separator changes no state
             states = [(inside, levels + n) for was, levels in states for inside, n in [layout.passed(text, was)]]
         if key:
@@ -167,9 +173,9 @@ def _states(ranges: pd.DataFrame) -> pd.DataFrame:
     """How each range of a file begins, and whether the file's end closes all that was opened."""
     inside, level, out = False, 0, []
     for r in ranges.sort_values("start").to_dict("records"):
-        out.append((r["path"], r["start"], inside, level))
+        out.append((r["path"], r["start"], inside, level, r["pieces"]))
         inside, level = bool(r[f"inside{int(inside)}"]), level + r[f"levels{int(inside)}"]
-    return pd.DataFrame([(*row, not inside and level == 0) for row in out], columns=["path", "start", "inside", "level", "sound"])
+    return pd.DataFrame([(*row, not inside and level == 0) for row in out], columns=["path", "start", "inside", "level", "pieces", "sound"])
 
 
 def _records(layout: Layout):
@@ -283,43 +289,56 @@ def pieces(spark: SparkSession, path: str, layout: Layout, least_bytes: int = 0)
     return read.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value")
 
 
-def records(text: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame]:
-    """(records, broken): kind, path, column, label and value of the records (kind `entry`) and
-    columns (kind `column`) of sound files, and the paths of the others."""
+def records(text: DataFrame, layout: Layout) -> tuple[DataFrame, DataFrame, int]:
+    """(records, broken, pieces): kind, path (a number that stands for it), column, label and value of the
+    records (kind `entry`) and columns (kind `column`) of sound files, the paths of the others, and how many pieces the sound ones have."""
     spark = text.sparkSession
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         at = scratch_path(spark, name)
-        df.write.parquet(at)
+        df.write.option("parquet.block.size", ROW_GROUP).parquet(at)
         return spark.read.schema(df.schema).parquet(at)
 
-    states = kept(text.mapInArrow(_summaries(layout), SUMMARY).groupBy("path").applyInPandas(_states, STATES), "ranges")
-    # Broadcast: a row for each range of many megabytes.
-    found = kept(text.join(F.broadcast(states.drop("sound")), ["path", "start"]).mapInArrow(_records(layout), FOUND), "found")
+    ends = text.mapInArrow(_summaries(layout), SUMMARY).groupBy("path").applyInPandas(_states, STATES)
+    numbered = F.min("row").over(Window.partitionBy("path")).cast("string")
+    states = kept(ends.withColumn("row", F.monotonically_increasing_id()).withColumn("file", numbered).drop("row"), "ranges")
+    # From here on `path` is a file's number: paths are longer than most records. Broadcast: a row for
+    # each range of many megabytes. Of a file that is cut, a string left open would run through all
+    # that follows, so nothing is cut out of it.
+    sound = states.where("sound").drop("sound")
+    pieces = sound.agg(F.sum("pieces")).first()[0] or 0
+    placed = text.join(F.broadcast(sound.drop("pieces")), ["path", "start"]).drop("path").withColumnRenamed("file", "path")
+    found = kept(placed.mapInArrow(_records(layout), FOUND), "found")
     edges = found.where("kind in ('range', 'head', 'middle', 'tail')")
     settled = kept(edges.groupBy("path").applyInPandas(_settled(layout), SETTLED), "settled")
     every = found.where("kind in ('entry', 'column', 'bad')").drop("level").unionByName(settled.where("kind in ('entry', 'column', 'bad')"))
     begun = settled.where("kind = 'begun'").select("path", "start", F.col("column").alias("begun"))
-    broken = states.where("not sound").select("path").union(every.where("kind = 'bad'").select("path")).distinct()
+    bad = every.where("kind = 'bad'").select("path").distinct()
+    unread = F.broadcast(bad.withColumnRenamed("path", "file"))
+    broken = states.where("not sound").select("path").union(states.join(unread, "file", "left_semi").select("path")).distinct()
     entries = every.where("kind != 'bad'").join(F.broadcast(begun), ["path", "start"], "left").select(
         "kind", "path", F.coalesce("column", "begun").alias("column"), "label", "value"
     )
-    return entries.join(broken, "path", "left_anti"), broken
+    # Broadcast: a row per file. A shuffle by file would bring all of a large one to a single task.
+    return entries.join(F.broadcast(bad), "path", "left_anti"), broken, pieces
 
 
 def json_columns(text: DataFrame, needed: list[str], columns: list[str] | None) -> tuple[DataFrame, DataFrame]:
     """(rows, broken): the rows of the documents whose pieces are `text`, with the columns
     `needed` and, if `columns` doesn't list them, whatever else there is; paths of broken ones."""
-    entries, broken = records(text, JSON_COLUMNS)
+    entries, broken, pieces = records(text, JSON_COLUMNS)
     if columns is None:
         columns = sorted(r[0] for r in entries.select("column").distinct().collect())  # a row per column name
     names = list(dict.fromkeys([*needed, *columns]))
     cells = [F.max(F.when(F.col("column") == n, F.col("value"))).alias(f"c{i}") for i, n in enumerate(names)]
-    return entries.where("kind = 'entry'").groupBy("path", "label").agg(*cells).drop("path", "label").toDF(*names), broken
+    # By number, as partitions sized by compressed bytes don't fit in memory when they are sorted.
+    tasks = max(text.sparkSession.sparkContext.defaultParallelism, pieces // TASK_ENTRIES)
+    dealt = entries.where("kind = 'entry'").repartition(tasks, "path", "label")
+    return dealt.groupBy("path", "label").agg(*cells).drop("path", "label").toDF(*names), broken
 
 
 def csv_records(text: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(records, broken): the records of the files whose lines are `text`, each a `value` without its
     line end, headers and empty lines left out."""
-    found, broken = records(text, CSV_LINES)
+    found, broken, _ = records(text, CSV_LINES)
     return found.where("kind = 'entry' AND label != '1' AND value != ''").select("value"), broken
